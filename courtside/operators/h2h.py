@@ -7,8 +7,9 @@ the 5 most recent pairs, latest season first.
 Only the first ``n`` positions of each season can reach the result, so the
 per-(side, season) numbering is a ``row_number() <= n`` window limit: Spark
 applies it on the map side before the shuffle, and a side with a huge season
-ships at most ``n`` rows per task.  The zip is then an equi-join on
-``(season, position)`` between two small inputs.
+ships at most ``n`` rows per task.  The zip is then a conditional aggregate
+on ``(season, position)``: both sides come from one scan, and a position is
+kept only when both sides have a game there (the cut at the shorter list).
 """
 
 from __future__ import annotations
@@ -37,11 +38,14 @@ def head_to_head(games: DataFrame, side_col: str, season_col: str, order_by: lis
     if max_season is not None:
         g = g.where(F.col(season_col) <= max_season)
     g = last_n(g, [side_col, season_col], order_by, n, rn_col="pos")
-    a = g.where(F.col(side_col) == side1).select(
-        season_col, "pos", F.col(label_col).alias("matchup"), F.col(points_col).alias("pts1"))
-    b = g.where(F.col(side_col) == side2).select(
-        season_col, "pos", F.col(points_col).alias("pts2"))
-    zipped = a.join(b, [season_col, "pos"], "inner")
+    is1 = F.col(side_col) == side1
+    is2 = F.col(side_col) == side2
+    zipped = (g.groupBy(season_col, "pos")
+               .agg(F.max(F.when(is1, F.col(label_col))).alias("matchup"),
+                    F.max(F.when(is1, F.col(points_col))).alias("pts1"),
+                    F.max(F.when(is2, F.col(points_col))).alias("pts2"),
+                    F.count_if(is1).alias("n1"), F.count_if(is2).alias("n2"))
+               .where((F.col("n1") > 0) & (F.col("n2") > 0)))
     out = zipped.select(
         F.col(season_col).alias("season"),
         season_label(F.col(season_col)).alias("season_label"),

@@ -10,6 +10,11 @@ each partition is sorted locally, and the position of a row is the number of
 rows in earlier partitions plus its index inside its own partition.  Only one
 count per partition (a table whose size is bounded by the partition number)
 is broadcast back.
+
+The counting pass and the numbering pass must see the very same partitions,
+so the range-sorted rows are written once with a reliable ``checkpoint()``
+(into ``spark.checkpoint.dir``) and both passes read that copy; the upstream
+plan runs once and a lost executor cannot reshuffle the rows in between.
 """
 
 from __future__ import annotations
@@ -17,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtside.session import ensure_checkpoint_dir
+
 _PID = "__cs_pid"
 _MID = "__cs_mid"
 _OFF = "__cs_offset"
@@ -42,10 +49,12 @@ def global_row_number(df: DataFrame, order_by: list[Column], rank_col: str = "ra
     numbering is deterministic, as with any ``row_number``.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order_by)
-                .sortWithinPartitions(*order_by)
-                .withColumn(_PID, F.spark_partition_id())
+    ordered = (df.repartitionByRange(n, *order_by)
+                 .sortWithinPartitions(*order_by)
+                 .checkpoint(eager=True))
+    tagged = (ordered.withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     # One row per non-empty partition: the number of rows before it.
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n"))

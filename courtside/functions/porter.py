@@ -225,14 +225,18 @@ def stem_terms(df: DataFrame, col: str = "term", out: str = "stem") -> DataFrame
     the word and its signature alike.
     """
     w, s, e = "__cs_w", "__cs_sig", "__cs_edit"
-    cur = df.withColumn(w, F.col(col)).withColumn(s, signature(F.col(col)))
+    keep = [F.col(c) for c in df.columns]
+    cur = df.select(*keep, F.col(col).alias(w), signature(F.col(col)).alias(s))
     for step in _STEPS:
-        cur = (cur.withColumn(e, step(F.col(w), F.col(s)))
-                  .withColumn(w, F.concat(F.left(F.col(w), F.length(w) - F.col(f"{e}.k")), F.col(f"{e}.r")))
-                  .withColumn(s, F.concat(F.left(F.col(s), F.length(s) - F.col(f"{e}.k")), F.col(f"{e}.s"))))
+        edited = cur.select(*keep, w, s, step(F.col(w), F.col(s)).alias(e))
+        cut = F.col(f"{e}.k")
+        cur = edited.select(
+            *keep,
+            F.concat(F.left(F.col(w), F.length(w) - cut), F.col(f"{e}.r")).alias(w),
+            F.concat(F.left(F.col(s), F.length(s) - cut), F.col(f"{e}.s")).alias(s))
     pool = F.create_map(*[F.lit(x) for kv in IRREGULAR_FORMS.items() for x in kv])
     word = F.col(col)
     final = (F.when(F.element_at(pool, word).isNotNull(), F.element_at(pool, word))
               .when(F.length(word) <= 2, word)
               .otherwise(F.col(w)))
-    return cur.withColumn(out, final).drop(w, s, e)
+    return cur.select(*keep, final.alias(out))

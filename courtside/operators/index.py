@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from courtside.functions.porter import stem_terms
 from courtside.functions.text import has_digit, is_alnum, word_tokens
 from courtside.operators.ranking import top_k
+from courtside.session import ensure_checkpoint_dir
 from courtside.sources.params import stop_words
 
 DEFAULT_BLOCK = 1_000_000
@@ -54,7 +55,9 @@ def term_postings(docs: DataFrame, id_col: str = "doc_id", text: Column | str =
     """Long postings ``term, doc_id, tf, first_pos`` after filtering (and stemming).
 
     Stemming runs on the distinct vocabulary only and is joined back (C9): the
-    vocabulary is far smaller than the token stream.
+    vocabulary is far smaller than the token stream.  The vocabulary -> stem
+    dictionary is written once with a reliable ``checkpoint()``; the main plan
+    then joins a plain table instead of carrying the long rule chain.
     """
     toks = tokens(docs, id_col, text).where(term_filter("term", profile))
     per_doc = toks.groupBy("term", "doc_id").agg(
@@ -62,7 +65,8 @@ def term_postings(docs: DataFrame, id_col: str = "doc_id", text: Column | str =
     if not stemmed:
         return per_doc
     vocab = per_doc.select("term").distinct()
-    stems = stem_terms(vocab, "term", "stem")
+    ensure_checkpoint_dir(docs.sparkSession)
+    stems = stem_terms(vocab, "term", "stem").checkpoint(eager=True)
     return (per_doc.join(stems, "term")
                    .groupBy(F.col("stem").alias("term"), "doc_id")
                    .agg(F.sum("tf").alias("tf"), F.min("first_pos").alias("first_pos")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.plans import boxscore, oracle_boxscore
+from courtside.plans import boxscore, oracle_boxscore, oracle_text, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +19,27 @@ QUERIES: dict[str, Query] = {
     "matchup_validation": boxscore.matchup_validation,
     "cells_guarded_cast": boxscore.cells_guarded_cast,
     "entity_search_first_hit": boxscore.entity_search_first_hit,
+    "page_text": text.page_text,
+    "page_raw_text": text.page_raw_text,
+    "page_links": text.page_links,
+    "page_links_absolute": text.page_links_absolute,
+    "link_last_segment": text.link_last_segment,
+    "tokens_clean": text.tokens_clean,
+    "top15_terms": text.top15_terms,
+    "inverted_index_top15": text.inverted_index_top15,
+    "inverted_index_stemmed": text.inverted_index_stemmed,
+    "term_counts_wide": text.term_counts_wide,
+    "document_frequency": text.document_frequency,
+    "idf": text.idf,
+    "tf_sublinear": text.tf_sublinear,
+    "tfidf": text.tfidf,
+    "search_topk": text.search_topk,
+    "precision_recall": text.precision_recall,
 }
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(oracle_boxscore.SQL)
+ORACLE_SQL.update(oracle_text.SQL)
 
 
 def queries() -> dict[str, Query]:

@@ -27,6 +27,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs everything in the driver JVM.
+            builder = builder.config("spark.driver.memory", os.environ.get("COURTSIDE_DRIVER_MEMORY", "8g"))
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.plans import boxscore, oracle_boxscore, oracle_text, text
+from courtside.plans import boxscore, graph, oracle_boxscore, oracle_graph, oracle_text, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,11 +35,18 @@ QUERIES: dict[str, Query] = {
     "tfidf": text.tfidf,
     "search_topk": text.search_topk,
     "precision_recall": text.precision_recall,
+    "out_degree_trade": graph.out_degree_trade,
+    "pagerank_trade": graph.pagerank_trade,
+    "pagerank_report": graph.pagerank_report,
+    "hits_trade": graph.hits_trade,
+    "page_out_degree": graph.page_out_degree,
+    "link_graph_in_set": graph.link_graph_in_set,
 }
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(oracle_boxscore.SQL)
 ORACLE_SQL.update(oracle_text.SQL)
+ORACLE_SQL.update(oracle_graph.SQL)
 
 
 def queries() -> dict[str, Query]:

@@ -15,7 +15,7 @@ from courtside.functions.text import html_raw_text, html_to_text
 from courtside.operators import index as IX
 from courtside.operators import tfidf as TF
 from courtside.operators.evaluate import precision_recall_by_query
-from courtside.sources.tables import pages, table
+from courtside.sources.tables import pages, table, text_table
 
 # Parameters of the term-count / TF-IDF report on ``pages``: six terms with
 # spread-out document frequencies in this corpus, reported as written.
@@ -57,7 +57,7 @@ def link_last_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_postings(spark: SparkSession, sf_dir: str, stemmed: bool = False) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text")
     return IX.term_postings(docs, "doc_id", "text", profile="v2", stemmed=stemmed)
 
 

@@ -1 +1,61 @@
+"""Writers (B1-B6): CSV with header, index/count exports, two-part reports.
 
+All writers are distributed: they write one part file per task and never
+funnel the data through the driver or a single task.  Row order in the
+output follows a global sort where the report has an order.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """UTF-8 CSV with a header row, replacing the target (B1)."""
+    df.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+
+
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
+                  partition_by: list[str] | None = None) -> None:
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
+def export_inverted_index(index: DataFrame, path: str) -> None:
+    """``Word, Document IDs`` rows in frequency order (B2)."""
+    out = index.orderBy("rank", "block").select(
+        F.col("word").alias("Word"), F.col("document_ids").alias("Document IDs"))
+    write_csv(out, path)
+
+
+def export_term_counts(wide: DataFrame, path: str, url_col: str = "url",
+                       terms: list[str] | None = None) -> None:
+    """``URL`` + one column per query term, header as written."""
+    terms = terms or [c for c in wide.columns if c not in (url_col, "page_id")]
+    write_csv(wide.select(F.col(url_col).alias("URL"), *terms), path)
+
+
+def export_two_section_report(all_rows: DataFrame, top_rows: DataFrame, path: str) -> None:
+    """A ranked listing and its top-k as two datasets under one folder.
+
+    One CSV cannot hold two schemas; ``<path>/all`` and ``<path>/top`` keep
+    the reference's two sections apart.
+    """
+    write_csv(all_rows, os.path.join(path, "all"))
+    write_csv(top_rows, os.path.join(path, "top"))
+
+
+def rank_lines(ranks: DataFrame, id_col: str = "id", rank_col: str = "rank") -> DataFrame:
+    """``id : 0.xxx`` text lines."""
+    return ranks.select(F.concat(F.col(id_col).cast("string"), F.lit(" : "),
+                                 F.format_string("%.3f", F.col(rank_col))).alias("line"))
+
+
+def write_per_entity(df: DataFrame, path: str, entity_cols: list[str]) -> None:
+    """One folder per entity, all written by one job."""
+    df.write.mode("overwrite").option("header", True).partitionBy(*entity_cols).csv(path)

@@ -53,3 +53,32 @@ def head_to_head(games: DataFrame, side_col: str, season_col: str, order_by: lis
         winner(F.lit(name1), "pts1", F.lit(name2), "pts2").alias("winner"),
         score_label(F.lit(name1), "pts1", F.lit(name2), "pts2").alias("score"))
     return top_k(out, n, [F.col("season").desc(), F.col("pos").asc()], rank_col="rank")
+
+
+def head_to_head_by_game(games: DataFrame, side_col: str, game_col: str, season_col: str,
+                         recency_col: str, points_col: str, label_col: str,
+                         side1, side2, name1: str, name2: str, n: int = 5) -> DataFrame:
+    """Last ``n`` meetings paired on a shared game id (D3, key-based variant).
+
+    When both sides' rows carry the game they belong to, pairing by key is
+    exact even if the two lists are not in the same order.  Only games both
+    sides played are kept, most recent (``recency_col`` descending) first.
+    The pairing is one aggregate per game: at most two rows per group.
+    """
+    g = games.where(F.col(side_col).isin(side1, side2))
+    is1 = F.col(side_col) == side1
+    is2 = F.col(side_col) == side2
+    paired = (g.groupBy(game_col, season_col)
+               .agg(F.max(F.when(is1, F.col(label_col))).alias("matchup"),
+                    F.max(F.when(is1, F.col(points_col))).alias("pts1"),
+                    F.max(F.when(is2, F.col(points_col))).alias("pts2"),
+                    F.max(F.col(recency_col)).alias("recency"),
+                    F.count_if(is1).alias("n1"), F.count_if(is2).alias("n2"))
+               .where((F.col("n1") > 0) & (F.col("n2") > 0)))
+    out = paired.select(
+        F.col(season_col).alias("season"), season_label(F.col(season_col)).alias("season_label"),
+        F.col(game_col).alias("game"), "recency", "matchup", "pts1", "pts2",
+        winner(F.lit(name1), "pts1", F.lit(name2), "pts2").alias("winner"),
+        score_label(F.lit(name1), "pts1", F.lit(name2), "pts2").alias("score"))
+    order = [F.col("season").desc(), F.col("recency").desc(), F.col("game").asc()]
+    return top_k(out, n, order, rank_col="rank").drop("recency")

@@ -162,3 +162,28 @@ def test_global_row_number_matches_window(spark):
     got = {r.k: r.rank for r in global_row_number(df, order, "rank", num_partitions=7).collect()}
     want = {k: i + 1 for i, (k, v) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])))}
     assert got == want
+
+
+def test_head_to_head_by_game_key(spark):
+    from courtside.operators.h2h import head_to_head_by_game
+    rows = [("LAL", 10, 2024, 5, 114), ("POR", 10, 2024, 5, 106), ("LAL", 9, 2024, 4, 100),
+            ("POR", 9, 2024, 4, 100), ("LAL", 8, 2024, 3, 90), ("POR", 7, 2024, 2, 80)]
+    games = spark.createDataFrame(rows, "team string, game int, season int, day int, pts int") \
+        .withColumn("label", F.concat(F.lit("game "), F.col("game")))
+    out = head_to_head_by_game(games, "team", "game", "season", "day", "pts", "label",
+                               "LAL", "POR", "A", "B").orderBy("rank").collect()
+    assert [(r.game, r.winner) for r in out] == [(10, "A"), (9, "B")]
+
+
+def test_html_table_rows(spark):
+    from courtside.sources.html_table import html_table_rows
+    html = ("<table><thead><tr><th>Game</th></tr></thead><tbody>"
+            "<tr><td>Jan 02, 2025 - POR @ LAL</td><td>W</td><td>36</td><td><b>19</b></td></tr>"
+            "<tr><td>Dec 30, 2024 - POR vs. PHI</td><td>L</td><td>30</td><td>&nbsp;17 </td></tr>"
+            "</tbody></table>")
+    df = spark.createDataFrame([(1, html), (2, "<p>no table</p>")], "page_id int, html string")
+    rows = html_table_rows(df, ["page_id"]).orderBy("page_id", "row_no").collect()
+    assert [(r.page_id, r.row_no) for r in rows] == [(1, 0), (1, 1)]
+    assert rows[0].cells == ["Jan 02, 2025 - POR @ LAL", "W", "36", "19"]
+    assert C.guarded_int(F.lit(rows[1].cells[3])) is not None
+    assert spark.range(1).select(C.guarded_int(F.lit(rows[1].cells[3].strip("\xa0 "))).alias("x")).first().x == 17

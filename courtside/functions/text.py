@@ -1,7 +1,10 @@
 """Text rules as Column expressions: HTML to text, tokenizing, term filters.
 
 Everything here is a chain of built-in regex functions, so it runs inside
-whole-stage codegen on the executors and needs no Python worker.  The
+whole-stage codegen on the executors and needs no Python worker.  No
+higher-order functions (``transform``/``filter``) are used: their lambda
+variables differ between copies of a plan, which stops Spark from reusing a
+shuffle that two branches of a query share.  The
 patterns avoid look-around so that the same rules also run on RE2-based
 engines (the DuckDB oracle in ``plans.oracle`` uses these constants).
 """
@@ -76,8 +79,11 @@ RE_TOK_NEG = "n['’]t\\b"
 RE_TOK_CLITIC = "['’](s|m|d|ll|re|ve)\\b"
 # Unicode-aware whitespace split; \p{Z} catches NBSP and friends.
 RE_TOK_SPLIT = r"[\s\p{Z}]+"
-# Leading quotes and trailing periods/quotes are separate tokens.
-RE_TOK_EDGES = "^['’‘]+|[.'’‘]+$"
+# Leading quotes and trailing periods/quotes are separate tokens.  Written
+# against token boundaries (string edge or whitespace, captured and put back)
+# so they run on the whole text before the split.
+RE_TOK_TRAILING = "[.'’‘]+([\\s\\p{Z}]|$)"
+RE_TOK_LEADING = "(^|[\\s\\p{Z}])['’‘]+"
 RE_ALNUM = r"^[\p{L}\p{N}]+$"
 RE_HAS_DIGIT = r"\p{Nd}"
 
@@ -93,15 +99,14 @@ def word_tokens(text: Column | str) -> Column:
     c = F.regexp_replace(c, RE_TOK_COLON_COMMA, " $1")
     c = F.regexp_replace(c, RE_TOK_NEG, " ")
     c = F.regexp_replace(c, RE_TOK_CLITIC, " ")
-    parts = F.split(F.trim(c), RE_TOK_SPLIT)
-    stripped = F.transform(parts, lambda t: F.regexp_replace(t, RE_TOK_EDGES, ""))
-    return F.filter(stripped, lambda t: t != F.lit(""))
+    c = F.regexp_replace(c, RE_TOK_TRAILING, "$1")
+    c = F.regexp_replace(c, RE_TOK_LEADING, "$1")
+    return F.array_remove(F.split(F.trim(c), RE_TOK_SPLIT), "")
 
 
 def whitespace_tokens(text: Column | str) -> Column:
     """``str.split()``: Unicode whitespace, punctuation stays attached."""
-    parts = F.split(F.coalesce(_col(text), F.lit("")), RE_TOK_SPLIT)
-    return F.filter(parts, lambda t: t != F.lit(""))
+    return F.array_remove(F.split(F.coalesce(_col(text), F.lit("")), RE_TOK_SPLIT), "")
 
 
 def is_alnum(term: Column | str) -> Column:

@@ -88,26 +88,46 @@ def top_terms(postings: DataFrame, k: int = 15) -> DataFrame:
 
 
 def top_postings(postings: DataFrame, top: DataFrame) -> DataFrame:
-    """Long postings restricted to the top terms."""
-    return postings.join(F.broadcast(top.select("term", "rank")), "term")
+    """Long postings restricted to the top terms.
+
+    The validity predicate references every postings column, so this branch
+    reads the same aggregate as the ranking branch and Spark reuses the
+    postings shuffle instead of tokenizing again.
+    """
+    valid = (F.col("tf") >= 1) & (F.col("first_pos") >= 0)
+    return postings.where(valid).join(F.broadcast(top.select("term", "rank")), "term")
 
 
-def posting_strings(postings: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """``term, block, document_ids``: ids sorted numerically, joined by ``', '``.
+def posting_strings(postings: DataFrame, block: int = DEFAULT_BLOCK,
+                    keys: tuple[str, ...] = ("term",)) -> DataFrame:
+    """``keys, block, document_ids, n_docs, occurrences, first_doc, first_pos``.
 
     Ids are sorted before they become strings, so ``2`` precedes ``10``.  One
     row per (term, block of ``block`` consecutive ids) bounds every group.
+    ``first_doc``/``first_pos`` is the first encounter of the term in the
+    block in (document, position) order.
     """
     blk = F.floor(F.col("doc_id") / F.lit(block)).cast("long")
-    return (postings.groupBy("term", blk.alias("block"))
+    return (postings.groupBy(*keys, blk.alias("block"))
                     .agg(F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"),
                                       ", ").alias("document_ids"),
-                         F.count(F.lit(1)).alias("n_docs")))
+                         F.count(F.lit(1)).alias("n_docs"),
+                         F.sum("tf").alias("occurrences"),
+                         F.min(F.struct("doc_id", "first_pos")).alias("first"))
+                    .select(*keys, "block", "document_ids", "n_docs", "occurrences",
+                            F.col("first.doc_id").alias("first_doc"),
+                            F.col("first.first_pos").alias("first_pos")))
 
 
 def inverted_index(postings: DataFrame, k: int = 15, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Top-k terms with their posting strings, in frequency order (B2)."""
+    """Top-k terms with their posting strings, in frequency order (B2).
+
+    The top-k list is computed once and broadcast (k rows); the strings
+    branch reads the same postings columns as the ranking branch, so Spark
+    reuses the postings shuffle instead of tokenizing the corpus twice.
+    """
     top = top_terms(postings, k)
-    strings = posting_strings(top_postings(postings, top).select("term", "doc_id"), block)
-    return (strings.join(F.broadcast(top.select("term", "rank")), "term")
-                   .select("rank", F.col("term").alias("word"), "block", "document_ids", "n_docs"))
+    ranked = postings.join(F.broadcast(top.select("term", "rank")), "term")
+    strings = posting_strings(ranked, block, keys=("term", "rank"))
+    return strings.select("rank", F.col("term").alias("word"), "block", "document_ids", "n_docs",
+                          "occurrences", "first_doc", "first_pos")

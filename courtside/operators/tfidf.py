@@ -31,12 +31,10 @@ def term_counts_wide(docs: DataFrame, key_cols: list[str], text: Column,
     """
     toks = F.lower(text)
     base = docs.select(*key_cols, whitespace_tokens(toks).alias("__cs_toks"))
+    toks_col = F.col("__cs_toks")
     return base.select(*key_cols, *[
-        F.size(F.filter("__cs_toks", _equals(t.lower()))).cast("int").alias(t) for t in terms])
-
-
-def _equals(value: str):
-    return lambda x: x == F.lit(value)
+        (F.size(toks_col) - F.size(F.array_remove(toks_col, F.lit(t.lower())))).cast("int").alias(t)
+        for t in terms])
 
 
 def term_counts_long(wide: DataFrame, key_cols: list[str], terms: list[str]) -> DataFrame:

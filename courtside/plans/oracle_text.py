@@ -50,9 +50,10 @@ def word_tokens(expr: str) -> str:
     e = rx(e, T.RE_TOK_COLON_COMMA, r" \1")
     e = rx(e, T.RE_TOK_NEG, " ")
     e = rx(e, T.RE_TOK_CLITIC, " ")
+    e = rx(e, T.RE_TOK_TRAILING, r"\1")
+    e = rx(e, T.RE_TOK_LEADING, r"\1")
     parts = f"regexp_split_to_array(trim({e}), {q(T.RE_TOK_SPLIT)})"
-    stripped = f"list_transform({parts}, lambda x: {rx('x', T.RE_TOK_EDGES, '')})"
-    return f"list_filter({stripped}, lambda x: x <> '')"
+    return f"list_filter({parts}, lambda x: x <> '')"
 
 
 def whitespace_tokens(expr: str) -> str:
@@ -128,7 +129,8 @@ TOP15_TERMS = _TOP + "SELECT rank, term, n, n_docs FROM top"
 INVERTED_INDEX_TOP15 = _TOP + f"""
 SELECT t.rank, t.term AS word, CAST(floor(p.doc_id / {DEFAULT_BLOCK}) AS BIGINT) AS block,
        string_agg(CAST(p.doc_id AS VARCHAR), ', ' ORDER BY p.doc_id) AS document_ids,
-       count(*) AS n_docs
+       count(*) AS n_docs, CAST(sum(p.tf) AS BIGINT) AS occurrences,
+       min(p.doc_id) AS first_doc, arg_min(p.first_pos, p.doc_id) AS first_pos
 FROM post p JOIN top t ON p.term = t.term
 GROUP BY t.rank, t.term, CAST(floor(p.doc_id / {DEFAULT_BLOCK}) AS BIGINT)
 """

@@ -57,7 +57,7 @@ def link_last_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_postings(spark: SparkSession, sf_dir: str, stemmed: bool = False) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
     return IX.term_postings(docs, "doc_id", "text", profile="v2", stemmed=stemmed)
 
 
@@ -82,8 +82,15 @@ def inverted_index_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-page counts, hash-exchanged on ``page_id`` right after tokenizing.
+
+    The counts are a few integers per page; the explicit exchange is cheap
+    and is the point where the TF-IDF branches (document frequency and the
+    per-page weights) share one tokenization pass through exchange reuse.
+    """
     pg = pages(spark, sf_dir)
-    return TF.term_counts_wide(pg, ["page_id", "url"], html_raw_text("html"), PAGE_TERMS)
+    wide = TF.term_counts_wide(pg, ["page_id", "url"], html_raw_text("html"), PAGE_TERMS)
+    return wide.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page_id")
 
 
 def term_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

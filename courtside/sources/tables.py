@@ -26,24 +26,28 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows when the scan has fewer splits than the cluster has cores.
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread the rows on ``key`` when the scan has fewer splits than the cluster has cores.
 
     Text operators spend most of their time in per-row regex work before the
     first shuffle; a table landed as one large file (or one row group) would
     otherwise be tokenized by a single task.  When the scan already has
     enough splits, as with any large table, the frame is returned unchanged
-    and no shuffle is added.
+    and no shuffle is added.  Hash (not round-robin) partitioning keeps the
+    placement deterministic under task retries and lets Spark reuse the
+    exchange when two branches of a query read the same table.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df if have >= want else df.repartition(want)
+    # Spread on a hash of the key: the placement does not pre-satisfy later
+    # (key, ...) groupings, so the plan keeps the shape it has on large input.
+    return df if have >= want else df.repartition(want, F.xxhash64(key))
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """``table`` for text-heavy scans, spread over the available cores."""
-    return spread(table(spark, sf_dir, name, *columns))
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """``table`` for text-heavy scans, spread over the available cores on ``key``."""
+    return spread(table(spark, sf_dir, name, *columns), key)
 
 
 def pages(spark: SparkSession, sf_dir: str, keep_failed: bool = True) -> DataFrame:
@@ -54,6 +58,6 @@ def pages(spark: SparkSession, sf_dir: str, keep_failed: bool = True) -> DataFra
     ``keep_failed=False`` such pages are dropped instead (A3 counts every page
     as it comes, so it is the default).
     """
-    df = text_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    df = text_table(spark, sf_dir, "pages", "page_id", "page_id", "url", "html")
     df = df.withColumn("html", F.coalesce(F.col("html"), F.lit("")))
     return df if keep_failed else df.where(F.col("html") != "")

@@ -17,7 +17,9 @@ so that each step reads a materialised column instead of inlining the
 previous step's expression many times over.  The signature is computed once
 per word and then edited along with it (a suffix rule removes characters and
 appends a fixed replacement whose signature is known), which keeps the
-generated code small enough for whole-stage codegen.  Use it on the distinct
+generated code small enough for whole-stage codegen.  Each step is written
+as one SQL expression (``F.expr``), so building the plan costs a handful of
+calls instead of thousands.  Use it on the distinct
 vocabulary and join the stems back; the vocabulary is much smaller than the
 token stream.
 """
@@ -59,31 +61,40 @@ def signature(word: Column) -> Column:
     return s
 
 
-def _drop(x: Column, k: int) -> Column:
-    return F.left(x, F.length(x) - k)
+# --- SQL text builders ------------------------------------------------------
+# W and S name the current word and signature columns inside a step.
+W, S = "__cs_w", "__cs_sig"
 
 
-def _measure(sig: Column) -> Column:
-    return (F.length(sig) - F.length(F.replace(sig, F.lit("VC"), F.lit("")))) / 2
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _has_vowel(sig: Column) -> Column:
-    return F.instr(sig, "V") > 0
+def _drop(x: str, k: int) -> str:
+    return f"left({x}, length({x}) - {k})" if k else x
 
 
-def _ends_cvc(stem: Column, sig: Column) -> Column:
-    last = F.substring(stem, -1, 1)
-    return ((F.length(sig) >= 3) & sig.endswith("CVC") & ~last.isin("w", "x", "y")) | \
-           ((F.length(sig) == 2) & (sig == "VC"))
+def _measure(sig: str) -> str:
+    return f"((length({sig}) - length(replace({sig}, 'VC', ''))) / 2)"
 
 
-def _ends_double_consonant(stem: Column, sig: Column) -> Column:
-    return (F.length(stem) >= 2) & (F.substring(stem, -1, 1) == F.substring(stem, -2, 1)) & \
-           sig.endswith("C")
+def _has_vowel(sig: str) -> str:
+    return f"(instr({sig}, 'V') > 0)"
 
 
-def _m_gt(n):
-    return lambda stem, sig: _measure(sig) > n
+def _ends_cvc(stem: str, sig: str) -> str:
+    return (f"((length({sig}) >= 3 AND endswith({sig}, 'CVC') "
+            f"AND substring({stem}, -1, 1) NOT IN ('w', 'x', 'y')) "
+            f"OR (length({sig}) = 2 AND {sig} = 'VC'))")
+
+
+def _ends_double_consonant(stem: str, sig: str) -> str:
+    return (f"(length({stem}) >= 2 AND substring({stem}, -1, 1) = substring({stem}, -2, 1) "
+            f"AND endswith({sig}, 'C'))")
+
+
+def _ends(x: str, suffix: str) -> str:
+    return f"endswith({x}, {_lit(suffix)})"
 
 
 def _sig_of(text: str) -> str:
@@ -91,71 +102,70 @@ def _sig_of(text: str) -> str:
     return "".join("V" if ch in "aeiou" else "C" for ch in text)
 
 
-def _edit(k: int, repl: str = "") -> Column:
+def _edit(k: int, repl: str = "") -> str:
     """Drop ``k`` trailing characters, append ``repl``."""
-    return F.struct(F.lit(k).alias("k"), F.lit(repl).alias("r"), F.lit(_sig_of(repl)).alias("s"))
+    return f"named_struct('k', {k}, 'r', {_lit(repl)}, 's', {_lit(_sig_of(repl))})"
 
 
-def _keep() -> Column:
-    return _edit(0, "")
+KEEP = _edit(0)
 
 
-def _rules(w: Column, sig: Column, rules) -> Column:
+def _m_gt(n):
+    return lambda stem, sig: f"({_measure(sig)} > {n})"
+
+
+def _rules(rules) -> str:
     """First matching suffix decides; a failed condition keeps the word."""
-    expr = None
+    arms = []
     for suffix, repl, cond in rules:
         k = len(suffix)
-        stem, ssig = _drop(w, k), _drop(sig, k)
-        val = _edit(k, repl) if cond is None else F.when(cond(stem, ssig), _edit(k, repl)).otherwise(_keep())
-        hit = w.endswith(suffix)
-        expr = F.when(hit, val) if expr is None else expr.when(hit, val)
-    return expr.otherwise(_keep())
+        val = _edit(k, repl) if cond is None else \
+            f"CASE WHEN {cond(_drop(W, k), _drop(S, k))} THEN {_edit(k, repl)} ELSE {KEEP} END"
+        arms.append(f"WHEN {_ends(W, suffix)} THEN {val}")
+    return "CASE " + " ".join(arms) + f" ELSE {KEEP} END"
 
 
-def _step1a(w, sig):
-    short_ies = w.endswith("ies") & (F.length(w) == 4)
-    return F.when(short_ies, _edit(3, "ie")).otherwise(
-        _rules(w, sig, [("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)]))
+def _step1a() -> str:
+    rules = _rules([("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)])
+    return f"CASE WHEN {_ends(W, 'ies')} AND length({W}) = 4 THEN {_edit(3, 'ie')} ELSE {rules} END"
 
 
 # Marks a word whose "ed"/"ing" was removed, for the follow-up rules.
 _MARK = "\u0001"
 
 
-def _step1b(w, sig):
-    ied = F.when(F.length(w) == 4, _edit(3, "ie")).otherwise(_edit(3, "i"))
-    eed = F.when(_measure(_drop(sig, 3)) > 0, _edit(3, "ee")).otherwise(_keep())
-    ed_ok = w.endswith("ed") & _has_vowel(_drop(sig, 2))
-    ing_ok = w.endswith("ing") & _has_vowel(_drop(sig, 3))
-    return (F.when(w.endswith("ied"), ied)
-             .when(w.endswith("eed"), eed)
-             .when(ed_ok, _edit(2, _MARK))
-             .when(ing_ok, _edit(3, _MARK))
-             .otherwise(_keep()))
+def _step1b() -> str:
+    ied = f"CASE WHEN length({W}) = 4 THEN {_edit(3, 'ie')} ELSE {_edit(3, 'i')} END"
+    eed = f"CASE WHEN {_measure(_drop(S, 3))} > 0 THEN {_edit(3, 'ee')} ELSE {KEEP} END"
+    return (f"CASE WHEN {_ends(W, 'ied')} THEN {ied} "
+            f"WHEN {_ends(W, 'eed')} THEN {eed} "
+            f"WHEN {_ends(W, 'ed')} AND {_has_vowel(_drop(S, 2))} THEN {_edit(2, _MARK)} "
+            f"WHEN {_ends(W, 'ing')} AND {_has_vowel(_drop(S, 3))} THEN {_edit(3, _MARK)} "
+            f"ELSE {KEEP} END")
 
 
-def _step1b_tail(w, sig):
+def _step1b_tail() -> str:
     """Follow-up rules of step 1b on a marked stem."""
-    stem = _drop(w, 1)
-    ssig = _drop(sig, 1)
-    last = F.substring(stem, -1, 1)
-    tail = (F.when(stem.endswith("at") | stem.endswith("bl") | stem.endswith("iz"), _edit(1, "e"))
-             .when(_ends_double_consonant(stem, ssig),
-                   F.when(~last.isin("l", "s", "z"), _edit(2)).otherwise(_edit(1)))
-             .when((_measure(ssig) == 1) & _ends_cvc(stem, ssig), _edit(1, "e"))
-             .otherwise(_edit(1)))
-    return F.when(w.endswith(_MARK), tail).otherwise(_keep())
+    stem, sig = _drop(W, 1), _drop(S, 1)
+    last = f"substring({stem}, -1, 1)"
+    tail = (f"CASE WHEN {_ends(stem, 'at')} OR {_ends(stem, 'bl')} OR {_ends(stem, 'iz')} "
+            f"THEN {_edit(1, 'e')} "
+            f"WHEN {_ends_double_consonant(stem, sig)} THEN "
+            f"CASE WHEN {last} NOT IN ('l', 's', 'z') THEN {_edit(2)} ELSE {_edit(1)} END "
+            f"WHEN {_measure(sig)} = 1 AND {_ends_cvc(stem, sig)} THEN {_edit(1, 'e')} "
+            f"ELSE {_edit(1)} END")
+    return f"CASE WHEN {_ends(W, _MARK)} THEN {tail} ELSE {KEEP} END"
 
 
-def _step1c(w, sig):
-    stem, ssig = _drop(w, 1), _drop(sig, 1)
-    ok = w.endswith("y") & (F.length(stem) > 1) & ssig.endswith("C")
-    return F.when(ok, _edit(1, "i")).otherwise(_keep())
+def _step1c() -> str:
+    stem, sig = _drop(W, 1), _drop(S, 1)
+    return (f"CASE WHEN {_ends(W, 'y')} AND length({stem}) > 1 AND endswith({sig}, 'C') "
+            f"THEN {_edit(1, 'i')} ELSE {KEEP} END")
 
 
-def _step2_alli(w, sig):
-    ok = w.endswith("alli") & (_measure(_drop(sig, 4)) > 0)
-    return F.when(ok, _edit(4, "al")).otherwise(_keep())
+def _step2_alli() -> str:
+    return (f"CASE WHEN {_ends(W, 'alli')} AND {_measure(_drop(S, 4))} > 0 "
+            f"THEN {_edit(4, 'al')} ELSE {KEEP} END")
 
 
 _M0 = _m_gt(0)
@@ -167,54 +177,41 @@ _STEP2 = [
     ("ator", "ate", _M0), ("alism", "al", _M0), ("iveness", "ive", _M0),
     ("fulness", "ful", _M0), ("ousness", "ous", _M0), ("aliti", "al", _M0),
     ("iviti", "ive", _M0), ("biliti", "ble", _M0), ("fulli", "ful", _M0),
-]
-
-
-def _step2(w, sig):
     # "logi -> log" tests the measure of the stem plus its "l".
-    logi = ("logi", "log", lambda stem, ssig: _measure(_drop(sig, 3)) > 0)
-    return _rules(w, sig, _STEP2 + [logi])
-
+    ("logi", "log", lambda stem, sig: f"({_measure(_drop(S, 3))} > 0)"),
+]
 
 _STEP3 = [
     ("icate", "ic", _M0), ("ative", "", _M0), ("alize", "al", _M0),
     ("iciti", "ic", _M0), ("ical", "ic", _M0), ("ful", "", _M0), ("ness", "", _M0),
 ]
 
-
-def _step3(w, sig):
-    return _rules(w, sig, _STEP3)
-
-
 _M1 = _m_gt(1)
 _STEP4 = [
     ("al", "", _M1), ("ance", "", _M1), ("ence", "", _M1), ("er", "", _M1),
     ("ic", "", _M1), ("able", "", _M1), ("ible", "", _M1), ("ant", "", _M1),
     ("ement", "", _M1), ("ment", "", _M1), ("ent", "", _M1),
-    ("ion", "", lambda stem, ssig: (_measure(ssig) > 1) & F.substring(stem, -1, 1).isin("s", "t")),
+    ("ion", "", lambda stem, sig: f"({_measure(sig)} > 1 AND substring({stem}, -1, 1) IN ('s', 't'))"),
     ("ou", "", _M1), ("ism", "", _M1), ("ate", "", _M1), ("iti", "", _M1),
     ("ous", "", _M1), ("ive", "", _M1), ("ize", "", _M1),
 ]
 
 
-def _step4(w, sig):
-    return _rules(w, sig, _STEP4)
-
-
-def _step5a(w, sig):
-    stem, ssig = _drop(w, 1), _drop(sig, 1)
-    m = _measure(ssig)
-    drop = (m > 1) | ((m == 1) & ~_ends_cvc(stem, ssig))
-    return F.when(w.endswith("e") & drop, _edit(1)).otherwise(_keep())
+def _step5a() -> str:
+    stem, sig = _drop(W, 1), _drop(S, 1)
+    m = _measure(sig)
+    return (f"CASE WHEN {_ends(W, 'e')} AND ({m} > 1 OR ({m} = 1 AND NOT {_ends_cvc(stem, sig)})) "
+            f"THEN {_edit(1)} ELSE {KEEP} END")
 
 
-def _step5b(w, sig):
-    ok = w.endswith("ll") & (_measure(_drop(sig, 1)) > 1)
-    return F.when(ok, _edit(1)).otherwise(_keep())
+def _step5b() -> str:
+    return (f"CASE WHEN {_ends(W, 'll')} AND {_measure(_drop(S, 1))} > 1 "
+            f"THEN {_edit(1)} ELSE {KEEP} END")
 
 
-_STEPS = (_step1a, _step1b, _step1b_tail, _step1c, _step2_alli, _step2, _step3,
-          _step4, _step5a, _step5b)
+_STEPS = (_step1a, _step1b, _step1b_tail, _step1c, _step2_alli,
+          lambda: _rules(_STEP2), lambda: _rules(_STEP3), lambda: _rules(_STEP4),
+          _step5a, _step5b)
 
 
 def stem_terms(df: DataFrame, col: str = "term", out: str = "stem") -> DataFrame:
@@ -224,19 +221,14 @@ def stem_terms(df: DataFrame, col: str = "term", out: str = "stem") -> DataFrame
     characters, append a suffix whose signature is a constant), applied to
     the word and its signature alike.
     """
-    w, s, e = "__cs_w", "__cs_sig", "__cs_edit"
+    e = "__cs_edit"
     keep = [F.col(c) for c in df.columns]
-    cur = df.select(*keep, F.col(col).alias(w), signature(F.col(col)).alias(s))
+    cur = df.select(*keep, F.col(col).alias(W), signature(F.col(col)).alias(S))
+    apply_w = F.expr(f"concat(left({W}, length({W}) - {e}.k), {e}.r)").alias(W)
+    apply_s = F.expr(f"concat(left({S}, length({S}) - {e}.k), {e}.s)").alias(S)
     for step in _STEPS:
-        edited = cur.select(*keep, w, s, step(F.col(w), F.col(s)).alias(e))
-        cut = F.col(f"{e}.k")
-        cur = edited.select(
-            *keep,
-            F.concat(F.left(F.col(w), F.length(w) - cut), F.col(f"{e}.r")).alias(w),
-            F.concat(F.left(F.col(s), F.length(s) - cut), F.col(f"{e}.s")).alias(s))
-    pool = F.create_map(*[F.lit(x) for kv in IRREGULAR_FORMS.items() for x in kv])
-    word = F.col(col)
-    final = (F.when(F.element_at(pool, word).isNotNull(), F.element_at(pool, word))
-              .when(F.length(word) <= 2, word)
-              .otherwise(F.col(w)))
+        cur = cur.select(*keep, W, S, F.expr(step()).alias(e)).select(*keep, apply_w, apply_s)
+    pool = ", ".join(f"{_lit(k)}, {_lit(v)}" for k, v in IRREGULAR_FORMS.items())
+    final = F.expr(f"coalesce(element_at(map({pool}), `{col}`), "
+                   f"CASE WHEN length(`{col}`) <= 2 THEN `{col}` ELSE {W} END)")
     return cur.select(*keep, final.alias(out))

@@ -50,23 +50,47 @@ IRREGULAR_FORMS = {
 }
 
 
+# Signature rules; capture groups instead of look-behind, so the same rules
+# run on RE2 engines too.  Runs of "y" alternate, three rounds cover six.
+_SIG_RULES = [("[aeiou]", "V"), ("[^Vy]", "C"), ("^y", "C")] + \
+    [("(C)y", "{1}V"), ("(V)y", "{1}C")] * 3
+
+
 def signature(word: Column) -> Column:
     """``C``/``V`` per character; ``y`` is a vowel right after a consonant."""
-    s = F.regexp_replace(word, "[aeiou]", "V")
-    s = F.regexp_replace(s, "[^Vy]", "C")
-    s = F.regexp_replace(s, "^y", "C")
-    for _ in range(3):  # runs of y alternate
-        s = F.regexp_replace(s, "(?<=C)y", "V")
-        s = F.regexp_replace(s, "(?<=V)y", "C")
+    s = word
+    for pattern, repl in _SIG_RULES:
+        s = F.regexp_replace(s, pattern, repl.replace("{1}", "$1"))
     return s
 
 
+def signature_sql(word: str, dialect: str = "spark") -> str:
+    """``signature`` as SQL text (``spark`` or ``duckdb``)."""
+    _DIALECT[0] = dialect
+    try:
+        s = word
+        for pattern, repl in _SIG_RULES:
+            if dialect == "duckdb":
+                s = f"regexp_replace({s}, {_lit(pattern)}, {_lit(repl.replace('{1}', chr(92) + '1'))}, 'g')"
+            else:
+                s = f"regexp_replace({s}, {_lit(pattern)}, {_lit(repl.replace('{1}', '$1'))})"
+        return s
+    finally:
+        _DIALECT[0] = "spark"
+
+
 # --- SQL text builders ------------------------------------------------------
 # W and S name the current word and signature columns inside a step.
 W, S = "__cs_w", "__cs_sig"
 
 
+# Target SQL dialect of the builders below ("spark" or "duckdb").
+_DIALECT = ["spark"]
+
+
 def _lit(text: str) -> str:
+    if _DIALECT[0] == "duckdb":
+        return "'" + text.replace("'", "''") + "'"
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -83,18 +107,19 @@ def _has_vowel(sig: str) -> str:
 
 
 def _ends_cvc(stem: str, sig: str) -> str:
-    return (f"((length({sig}) >= 3 AND endswith({sig}, 'CVC') "
+    return (f"((length({sig}) >= 3 AND {_ends(sig, 'CVC')} "
             f"AND substring({stem}, -1, 1) NOT IN ('w', 'x', 'y')) "
             f"OR (length({sig}) = 2 AND {sig} = 'VC'))")
 
 
 def _ends_double_consonant(stem: str, sig: str) -> str:
     return (f"(length({stem}) >= 2 AND substring({stem}, -1, 1) = substring({stem}, -2, 1) "
-            f"AND endswith({sig}, 'C'))")
+            f"AND {_ends(sig, 'C')})")
 
 
 def _ends(x: str, suffix: str) -> str:
-    return f"endswith({x}, {_lit(suffix)})"
+    fn = "ends_with" if _DIALECT[0] == "duckdb" else "endswith"
+    return f"{fn}({x}, {_lit(suffix)})"
 
 
 def _sig_of(text: str) -> str:
@@ -104,10 +129,13 @@ def _sig_of(text: str) -> str:
 
 def _edit(k: int, repl: str = "") -> str:
     """Drop ``k`` trailing characters, append ``repl``."""
+    if _DIALECT[0] == "duckdb":
+        return f"struct_pack(k := {k}, r := {_lit(repl)}, s := {_lit(_sig_of(repl))})"
     return f"named_struct('k', {k}, 'r', {_lit(repl)}, 's', {_lit(_sig_of(repl))})"
 
 
-KEEP = _edit(0)
+def _keep() -> str:
+    return _edit(0)
 
 
 def _m_gt(n):
@@ -120,9 +148,9 @@ def _rules(rules) -> str:
     for suffix, repl, cond in rules:
         k = len(suffix)
         val = _edit(k, repl) if cond is None else \
-            f"CASE WHEN {cond(_drop(W, k), _drop(S, k))} THEN {_edit(k, repl)} ELSE {KEEP} END"
+            f"CASE WHEN {cond(_drop(W, k), _drop(S, k))} THEN {_edit(k, repl)} ELSE {_keep()} END"
         arms.append(f"WHEN {_ends(W, suffix)} THEN {val}")
-    return "CASE " + " ".join(arms) + f" ELSE {KEEP} END"
+    return "CASE " + " ".join(arms) + f" ELSE {_keep()} END"
 
 
 def _step1a() -> str:
@@ -136,12 +164,12 @@ _MARK = "\u0001"
 
 def _step1b() -> str:
     ied = f"CASE WHEN length({W}) = 4 THEN {_edit(3, 'ie')} ELSE {_edit(3, 'i')} END"
-    eed = f"CASE WHEN {_measure(_drop(S, 3))} > 0 THEN {_edit(3, 'ee')} ELSE {KEEP} END"
+    eed = f"CASE WHEN {_measure(_drop(S, 3))} > 0 THEN {_edit(3, 'ee')} ELSE {_keep()} END"
     return (f"CASE WHEN {_ends(W, 'ied')} THEN {ied} "
             f"WHEN {_ends(W, 'eed')} THEN {eed} "
             f"WHEN {_ends(W, 'ed')} AND {_has_vowel(_drop(S, 2))} THEN {_edit(2, _MARK)} "
             f"WHEN {_ends(W, 'ing')} AND {_has_vowel(_drop(S, 3))} THEN {_edit(3, _MARK)} "
-            f"ELSE {KEEP} END")
+            f"ELSE {_keep()} END")
 
 
 def _step1b_tail() -> str:
@@ -154,18 +182,18 @@ def _step1b_tail() -> str:
             f"CASE WHEN {last} NOT IN ('l', 's', 'z') THEN {_edit(2)} ELSE {_edit(1)} END "
             f"WHEN {_measure(sig)} = 1 AND {_ends_cvc(stem, sig)} THEN {_edit(1, 'e')} "
             f"ELSE {_edit(1)} END")
-    return f"CASE WHEN {_ends(W, _MARK)} THEN {tail} ELSE {KEEP} END"
+    return f"CASE WHEN {_ends(W, _MARK)} THEN {tail} ELSE {_keep()} END"
 
 
 def _step1c() -> str:
     stem, sig = _drop(W, 1), _drop(S, 1)
-    return (f"CASE WHEN {_ends(W, 'y')} AND length({stem}) > 1 AND endswith({sig}, 'C') "
-            f"THEN {_edit(1, 'i')} ELSE {KEEP} END")
+    return (f"CASE WHEN {_ends(W, 'y')} AND length({stem}) > 1 AND {_ends(sig, 'C')} "
+            f"THEN {_edit(1, 'i')} ELSE {_keep()} END")
 
 
 def _step2_alli() -> str:
     return (f"CASE WHEN {_ends(W, 'alli')} AND {_measure(_drop(S, 4))} > 0 "
-            f"THEN {_edit(4, 'al')} ELSE {KEEP} END")
+            f"THEN {_edit(4, 'al')} ELSE {_keep()} END")
 
 
 _M0 = _m_gt(0)
@@ -201,18 +229,46 @@ def _step5a() -> str:
     stem, sig = _drop(W, 1), _drop(S, 1)
     m = _measure(sig)
     return (f"CASE WHEN {_ends(W, 'e')} AND ({m} > 1 OR ({m} = 1 AND NOT {_ends_cvc(stem, sig)})) "
-            f"THEN {_edit(1)} ELSE {KEEP} END")
+            f"THEN {_edit(1)} ELSE {_keep()} END")
 
 
 def _step5b() -> str:
     return (f"CASE WHEN {_ends(W, 'll')} AND {_measure(_drop(S, 1))} > 1 "
-            f"THEN {_edit(1)} ELSE {KEEP} END")
+            f"THEN {_edit(1)} ELSE {_keep()} END")
 
 
 _STEPS = (_step1a, _step1b, _step1b_tail, _step1c, _step2_alli,
           lambda: _rules(_STEP2), lambda: _rules(_STEP3), lambda: _rules(_STEP4),
           _step5a, _step5b)
 
+EDIT = "__cs_edit"
+
+
+def step_sql(dialect: str = "spark") -> list[str]:
+    """The edit expression of every step, as SQL text over ``W`` and ``S``."""
+    _DIALECT[0] = dialect
+    try:
+        return [step() for step in _STEPS]
+    finally:
+        _DIALECT[0] = "spark"
+
+
+def apply_sql() -> tuple[str, str]:
+    """New word and signature from the current ones and the step's edit."""
+    return (f"concat(left({W}, length({W}) - {EDIT}.k), {EDIT}.r)",
+            f"concat(left({S}, length({S}) - {EDIT}.k), {EDIT}.s)")
+
+
+def final_sql(word: str, dialect: str = "spark") -> str:
+    """Irregular forms first, words of two letters or fewer unchanged."""
+    _DIALECT[0] = dialect
+    try:
+        pool = " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in IRREGULAR_FORMS.items())
+        return (f"coalesce(CASE {word} {pool} END, "
+                f"CASE WHEN length({word}) <= 2 THEN {word} ELSE {W} END)")
+    finally:
+        _DIALECT[0] = "spark"
+
 
 def stem_terms(df: DataFrame, col: str = "term", out: str = "stem") -> DataFrame:
     """Append ``out`` = Porter stem of the lowercase word in ``col``.
@@ -221,14 +277,10 @@ def stem_terms(df: DataFrame, col: str = "term", out: str = "stem") -> DataFrame
     characters, append a suffix whose signature is a constant), applied to
     the word and its signature alike.
     """
-    e = "__cs_edit"
     keep = [F.col(c) for c in df.columns]
     cur = df.select(*keep, F.col(col).alias(W), signature(F.col(col)).alias(S))
-    apply_w = F.expr(f"concat(left({W}, length({W}) - {e}.k), {e}.r)").alias(W)
-    apply_s = F.expr(f"concat(left({S}, length({S}) - {e}.k), {e}.s)").alias(S)
-    for step in _STEPS:
-        cur = cur.select(*keep, W, S, F.expr(step()).alias(e)).select(*keep, apply_w, apply_s)
-    pool = ", ".join(f"{_lit(k)}, {_lit(v)}" for k, v in IRREGULAR_FORMS.items())
-    final = F.expr(f"coalesce(element_at(map({pool}), `{col}`), "
-                   f"CASE WHEN length(`{col}`) <= 2 THEN `{col}` ELSE {W} END)")
-    return cur.select(*keep, final.alias(out))
+    new_w, new_s = apply_sql()
+    for step in step_sql("spark"):
+        cur = (cur.select(*keep, W, S, F.expr(step).alias(EDIT))
+                  .select(*keep, F.expr(new_w).alias(W), F.expr(new_s).alias(S)))
+    return cur.select(*keep, F.expr(final_sql(f"`{col}`")).alias(out))

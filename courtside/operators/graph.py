@@ -39,8 +39,21 @@ def out_degree(edges: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("out_degree"))
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Rows per partition of the iteration state (vertices, edges).
+ROWS_PER_PARTITION = 2_000_000
+
+
+def _partitions(df: DataFrame, rows: int | None = None) -> int:
+    """Partitions for the iteration state: by size, capped at the shuffle setting.
+
+    A small graph runs each step in a few tasks instead of paying scheduling
+    overhead for hundreds of near-empty ones; a large graph gets the full
+    shuffle parallelism.
+    """
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if rows is None:
+        return cap
+    return max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
 
 
 def _keep(df: DataFrame, step: int, interval: int) -> DataFrame:
@@ -64,11 +77,11 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = _partitions(vertices)
     e = edges.select("src", "dst").distinct()
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    w = (e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
-          .repartition(parts, "src").checkpoint(eager=True))
+    w = e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w")).checkpoint(eager=True)
+    parts = _partitions(vertices, w.count())
+    w = w.repartition(parts, "src").checkpoint(eager=True)
     v = (vertices.select("id").distinct()
                  .join(deg.select(F.col("src").alias("id"), F.lit(False).alias("has_out")), "id", "left")
                  .select("id", F.col("has_out").isNull().alias("dangling"))
@@ -119,10 +132,11 @@ def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = _partitions(vertices)
+    e = edges.select("src", "dst").distinct().checkpoint(eager=True)
+    parts = _partitions(vertices, e.count())
+    e = e.repartition(parts, "src").checkpoint(eager=True)
     v = vertices.select("id").distinct().repartition(parts, "id").checkpoint(eager=True)
     n = v.count()
-    e = edges.select("src", "dst").distinct().repartition(parts, "src").checkpoint(eager=True)
     hub = v.select("id", F.lit(1.0 / n).alias("hub"))
     auth = None
     for step in range(1, iterations + 1):

@@ -115,26 +115,53 @@ post AS (SELECT term, doc_id, count(*) AS tf, min(pos) AS first_pos
 
 TOKENS_CLEAN = _POSTINGS + "SELECT term, doc_id, tf, first_pos FROM post"
 
-_TOP = _POSTINGS + f""",
+def _top(src: str) -> str:
+    return f""",
 freq AS (SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS n_docs,
                 min(doc_id) AS first_doc, arg_min(first_pos, doc_id) AS first_pos
-         FROM post GROUP BY term),
+         FROM {src} GROUP BY term),
 top AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, first_doc, first_pos) AS INTEGER) AS rank,
                term, n, n_docs
         FROM freq ORDER BY n DESC, first_doc, first_pos LIMIT {TOP_K_TERMS})
 """
 
-TOP15_TERMS = _TOP + "SELECT rank, term, n, n_docs FROM top"
 
-INVERTED_INDEX_TOP15 = _TOP + f"""
+def _index(src: str) -> str:
+    return f"""
 SELECT t.rank, t.term AS word, CAST(floor(p.doc_id / {DEFAULT_BLOCK}) AS BIGINT) AS block,
        string_agg(CAST(p.doc_id AS VARCHAR), ', ' ORDER BY p.doc_id) AS document_ids,
        count(*) AS n_docs, CAST(sum(p.tf) AS BIGINT) AS occurrences,
        min(p.doc_id) AS first_doc, arg_min(p.first_pos, p.doc_id) AS first_pos
-FROM post p JOIN top t ON p.term = t.term
+FROM {src} p JOIN top t ON p.term = t.term
 GROUP BY t.rank, t.term, CAST(floor(p.doc_id / {DEFAULT_BLOCK}) AS BIGINT)
 """
 
+
+def _stem_ctes() -> str:
+    """The stemmer's steps unrolled over the distinct vocabulary of ``post``."""
+    from courtside.functions import porter as P
+    new_w, new_s = P.apply_sql()
+    ctes = ["vocab AS (SELECT DISTINCT term FROM post)",
+            f"st0 AS (SELECT term, term AS {P.W}, {P.signature_sql('term', 'duckdb')} AS {P.S} FROM vocab)"]
+    steps = P.step_sql("duckdb")
+    for i, step in enumerate(steps, 1):
+        ctes.append(f"st{i}e AS (SELECT term, {P.W}, {P.S}, {step} AS {P.EDIT} FROM st{i - 1})")
+        ctes.append(f"st{i} AS (SELECT term, {new_w} AS {P.W}, {new_s} AS {P.S} FROM st{i}e)")
+    ctes.append(f"stems AS (SELECT term, {P.final_sql('term', 'duckdb')} AS stem FROM st{len(steps)})")
+    ctes.append("spost AS (SELECT s.stem AS term, p.doc_id, CAST(sum(p.tf) AS BIGINT) AS tf, "
+                "min(p.first_pos) AS first_pos FROM post p JOIN stems s ON p.term = s.term "
+                "GROUP BY s.stem, p.doc_id)")
+    return ",\n" + ",\n".join(ctes)
+
+
+_TOP = _POSTINGS + _top("post")
+
+TOP15_TERMS = _TOP + "SELECT rank, term, n, n_docs FROM top"
+
+INVERTED_INDEX_TOP15 = _TOP + _index("post")
+
+INVERTED_INDEX_STEMMED = _POSTINGS + _stem_ctes() + _top("spost") + _index("spost")
+
 PRECISION_RECALL = _TOP + """,
 judged AS (SELECT doc_id, quality = 1 AS relevant FROM labels),
 hits AS (SELECT p.term AS query, count(*) AS n_retrieved,
@@ -199,6 +226,7 @@ SQL = {
     "tokens_clean": TOKENS_CLEAN,
     "top15_terms": TOP15_TERMS,
     "inverted_index_top15": INVERTED_INDEX_TOP15,
+    "inverted_index_stemmed": INVERTED_INDEX_STEMMED,
     "term_counts_wide": TERM_COUNTS_WIDE,
     "document_frequency": DOCUMENT_FREQUENCY,
     "idf": IDF,

@@ -115,11 +115,11 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     return ranks.select("id", "rank")
 
 
-def _scaled_by_max(raw: DataFrame, col: str, out: str, step: int, interval: int) -> DataFrame:
-    """Materialise ``raw`` and divide ``col`` by its maximum (a driver scalar)."""
-    raw = _keep(raw, step, interval)
-    top = raw.select(F.max(col)).first()[0]
-    return raw.select("id", (F.col(col) / F.lit(top)).alias(out) if top else F.lit(None).cast("double").alias(out))
+def _checkpoint_scaled(df: DataFrame, col: str) -> DataFrame:
+    """Write ``df`` with a reliable checkpoint and divide ``col`` by its maximum."""
+    df = df.checkpoint(eager=True)
+    top = df.select(F.max(col)).first()[0]
+    return df.select("id", (F.col(col) / F.lit(top)).alias(col)) if top else df
 
 
 def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
@@ -127,32 +127,43 @@ def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
     """``id, hub, authority`` by power iteration (I4, Kleinberg 1999).
 
     Per step: authority = sum of hub scores of in-neighbours, hub = sum of
-    authority scores of out-neighbours, each scaled by its maximum.  The
-    result is normalised to sum 1 per score.  Runs a fixed number of steps.
+    authority scores of out-neighbours.  Scores are kept sparse (a node with
+    no in-links, or no out-links, scores 0 and contributes nothing), so a
+    step is one join and one aggregate per vector; zeros are filled in once at
+    the end.  The result is normalised to sum 1
+    per score, so scaling inside the loop only keeps values in range: every
+    ``checkpoint_interval`` steps both vectors are checkpointed and divided
+    by their maximum, and the steps in between stay lazy (each references
+    the previous one once, so the plan grows linearly).  Runs a fixed number
+    of steps.
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct().checkpoint(eager=True)
-    parts = _partitions(vertices, e.count())
-    e = e.repartition(parts, "src").checkpoint(eager=True)
+    parts = _partitions(vertices)
+    e = edges.select("src", "dst").distinct()
+    # Two copies of the edge list, one per join direction, partitioned like
+    # the per-node aggregates they meet: the joins need no extra exchange.
+    e_src = e.repartition(parts, "src").checkpoint(eager=True)
+    e_dst = e.repartition(parts, "dst").checkpoint(eager=True)
     v = vertices.select("id").distinct().repartition(parts, "id").checkpoint(eager=True)
     n = v.count()
     hub = v.select("id", F.lit(1.0 / n).alias("hub"))
     auth = None
     for step in range(1, iterations + 1):
-        a = (hub.join(e, hub.id == e.src).groupBy("dst").agg(F.sum("hub").alias("a"))
-                .select(F.col("dst").alias("id"), "a"))
-        a = v.join(a, "id", "left").select("id", F.coalesce("a", F.lit(0.0)).alias("a"))
-        new_auth = _scaled_by_max(a, "a", "authority", step, checkpoint_interval)
-        h = (new_auth.join(e, new_auth.id == e.dst).groupBy("src").agg(F.sum("authority").alias("h"))
-                     .select(F.col("src").alias("id"), "h"))
-        h = v.join(h, "id", "left").select("id", F.coalesce("h", F.lit(0.0)).alias("h"))
-        new_hub = _scaled_by_max(h, "h", "hub", step, checkpoint_interval)
-        hub.unpersist()
-        if auth is not None:
-            auth.unpersist()
-        hub, auth = new_hub, new_auth
-    hs, as_ = hub.join(auth, "id").select(F.sum("hub"), F.sum("authority")).first()
-    return (hub.join(auth, "id")
-               .select("id", (F.col("hub") / F.lit(hs)).alias("hub") if hs else F.col("hub"),
-                       (F.col("authority") / F.lit(as_)).alias("authority") if as_ else F.col("authority")))
+        a = (hub.join(e_src, hub.id == e_src.src).groupBy("dst").agg(F.sum("hub").alias("authority"))
+                .select(F.col("dst").alias("id"), "authority"))
+        at_checkpoint = step % checkpoint_interval == 0 or step == iterations
+        if at_checkpoint:
+            a = _checkpoint_scaled(a, "authority")
+        h = (a.join(e_dst, a.id == e_dst.dst).groupBy("src").agg(F.sum("authority").alias("hub"))
+              .select(F.col("src").alias("id"), "hub"))
+        if at_checkpoint:
+            h = _checkpoint_scaled(h, "hub")
+        hub, auth = h, a
+    hs = hub.select(F.sum("hub")).first()[0]
+    as_ = auth.select(F.sum("authority")).first()[0]
+    full = (v.join(hub, "id", "left").join(auth, "id", "left")
+             .select("id", F.coalesce("hub", F.lit(0.0)).alias("hub"),
+                     F.coalesce("authority", F.lit(0.0)).alias("authority")))
+    return full.select("id", (F.col("hub") / F.lit(hs)).alias("hub") if hs else F.col("hub"),
+                       (F.col("authority") / F.lit(as_)).alias("authority") if as_ else F.col("authority"))

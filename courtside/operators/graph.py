@@ -100,11 +100,13 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
                 .select("id", "dangling",
                         (F.lit(alpha) * F.coalesce(F.col("c"), F.lit(0.0)) + F.lit(base)).alias("rank")))
         new = _keep(new, step, checkpoint_interval)
-        err, dangling_mass = (
-            new.join(ranks.select("id", F.col("rank").alias("old")), "id")
-               .select(F.sum(F.abs(F.col("rank") - F.col("old"))),
-                       F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0)))
-               .first())
+        mass = F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))), F.lit(0.0))
+        if fixed_iterations is None:
+            err, dangling_mass = (
+                new.join(ranks.select("id", F.col("rank").alias("old")), "id")
+                   .select(F.sum(F.abs(F.col("rank") - F.col("old"))), mass).first())
+        else:
+            dangling_mass = new.select(mass).first()[0]
         ranks.unpersist()
         ranks = new
         if fixed_iterations is None and err < n * tol:

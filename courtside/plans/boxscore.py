@@ -16,6 +16,7 @@ from courtside.operators.h2h import head_to_head
 from courtside.operators.lastn import last_n, with_summary
 from courtside.operators.lookup import first_hit, lookup_id, matchup_status
 from courtside.operators.ranking import global_row_number, top_k
+from courtside.plans.graph import trade_pairs
 from courtside.sources.tables import table
 
 def recent_first() -> list:
@@ -138,15 +139,10 @@ def matchup_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     A request is (customer nation, supplier nation) of a traded line; ids are
     looked up in the nation dimension by name.
     """
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey")
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    trades = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-                .join(cust, F.col("o_custkey") == cust.c_custkey)
-                .join(supp, F.col("l_suppkey") == supp.s_suppkey)
-                .groupBy("c_nationkey", "s_nationkey").agg(F.count(F.lit(1)).alias("n_trades")))
+    trades = trade_pairs(spark, sf_dir).select(
+        F.col("dst").alias("c_nationkey"), F.col("src").alias("s_nationkey"),
+        F.col("n_lines").alias("n_trades"))
     names = nation.select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("nm"))
     named = (trades.join(F.broadcast(names.withColumnRenamed("nm", "team1")),
                          F.col("c_nationkey") == F.col("k")).drop("k")

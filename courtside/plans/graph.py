@@ -20,11 +20,12 @@ PAGERANK_FIXED_STEPS = 30
 HITS_STEPS = 30
 
 
-def trade_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``src, dst, revenue``: supplier nation -> customer nation, self-pairs excluded.
+def trade_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``src, dst, n_lines, revenue`` for every (supplier nation, customer nation).
 
     Lines are reduced to one row per (order, supplier nation) before the
-    order join, and the final aggregate has at most one row per nation pair.
+    order join, and the final aggregate has at most one row per nation pair,
+    so the large joins carry pre-aggregated rows.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_extendedprice")
     supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
@@ -32,12 +33,16 @@ def trade_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     per_order = (li.join(supp, li.l_suppkey == supp.s_suppkey)
                    .groupBy("l_orderkey", "s_nationkey")
-                   .agg(F.sum("l_extendedprice").alias("rev")))
+                   .agg(F.count(F.lit(1)).alias("lines"), F.sum("l_extendedprice").alias("rev")))
     return (per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
                      .join(cust, F.col("o_custkey") == cust.c_custkey)
-                     .where(F.col("s_nationkey") != F.col("c_nationkey"))
                      .groupBy(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst"))
-                     .agg(F.sum("rev").alias("revenue")))
+                     .agg(F.sum("lines").alias("n_lines"), F.sum("rev").alias("revenue")))
+
+
+def trade_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``src, dst, revenue``: supplier nation -> customer nation, self-pairs excluded."""
+    return trade_pairs(spark, sf_dir).where(F.col("src") != F.col("dst")).select("src", "dst", "revenue")
 
 
 def trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

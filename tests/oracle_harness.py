@@ -85,11 +85,17 @@ def compare(spark, name, query, sql, sf_dir, con=None):
 def main(argv=None):
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true",
+                    help="bare local[8] session with Spark defaults (as a foreign driver would use)")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args(argv)
     import __spark_entry__ as E
-    from courtside.session import build_session
-    spark = build_session("local[8]", 8)
+    if args.plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        from courtside.session import build_session
+        spark = build_session("local[8]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(args.sf)
     bad = 0

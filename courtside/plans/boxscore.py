@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from courtside.functions import cells as C
 from courtside.operators.h2h import head_to_head
 from courtside.operators.lastn import last_n, with_summary
-from courtside.operators.lookup import first_hit, lookup_id, matchup_status
+from courtside.operators.lookup import bounded_broadcast, first_hit, lookup_id, matchup_status
 from courtside.operators.ranking import global_row_number, top_k
 from courtside.plans.graph import trade_pairs
 from courtside.sources.tables import table
@@ -109,7 +109,7 @@ def _nation_games(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFra
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name").where(F.col("n_name").isin(*names))
-    teams = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
+    teams = cust.join(bounded_broadcast(nation), cust.c_nationkey == nation.n_nationkey)
     return orders.join(teams, orders.o_custkey == teams.c_custkey).select(
         F.col("n_name").alias("team"),
         F.year("o_orderdate").alias("season"),
@@ -144,9 +144,10 @@ def matchup_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("dst").alias("c_nationkey"), F.col("src").alias("s_nationkey"),
         F.col("n_lines").alias("n_trades"))
     names = nation.select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("nm"))
-    named = (trades.join(F.broadcast(names.withColumnRenamed("nm", "team1")),
+    names = bounded_broadcast(names)
+    named = (trades.join(names.withColumnRenamed("nm", "team1"),
                          F.col("c_nationkey") == F.col("k")).drop("k")
-                   .join(F.broadcast(names.withColumnRenamed("nm", "team2")),
+                   .join(names.withColumnRenamed("nm", "team2"),
                          F.col("s_nationkey") == F.col("k")).drop("k"))
     req = named.select("team1", "team2", "n_trades")
     req = lookup_id(req, "team1", nation, "n_name", "n_nationkey", "id1")

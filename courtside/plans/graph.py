@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from courtside.functions import urls as U
 from courtside.functions.cells import fixed
 from courtside.operators.graph import hits, in_set_edges, out_degree, pagerank
+from courtside.operators.lookup import bounded_broadcast
 from courtside.sources.tables import pages, table
 
 PAGERANK_FIXED_STEPS = 30
@@ -73,7 +74,7 @@ def pagerank_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _nations(spark, sf_dir).select(F.col("n_nationkey").alias("id"))
     r = pagerank(v, trade_edges(spark, sf_dir))
     names = _nations(spark, sf_dir)
-    return (r.join(F.broadcast(names), r.id == names.n_nationkey)
+    return (r.join(bounded_broadcast(names), r.id == names.n_nationkey)
              .select(F.col("n_name").alias("node"), fixed("rank", 3).alias("rank_text"),
                      F.concat(F.col("n_name"), F.lit(" : "), fixed("rank", 3)).alias("line")))
 

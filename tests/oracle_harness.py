@@ -56,19 +56,30 @@ def rows_of(pdf, cols, approx):
     return out
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 def compare(spark, name, query, sql, sf_dir, con=None):
     con = con or duck(sf_dir)
     t0 = time.time()
     sdf = query(spark, sf_dir)
     sp = sdf.toPandas()
     t1 = time.time()
-    dp = con.sql(sql).df()
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    dp = rel.df()
     cols_s, cols_d = sorted(sp.columns), sorted(dp.columns)
     res = {"name": name, "spark_rows": len(sp), "oracle_rows": len(dp),
            "spark_sec": round(t1 - t0, 2)}
     if cols_s != cols_d:
         res["status"] = f"columns differ: {cols_s} vs {cols_d}"
         return res
+    type_diff = {c: (t, duck_types.get(c)) for c, t in sdf.dtypes
+                 if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)}
+    if type_diff:
+        res["status"] = f"types differ: {type_diff}"
+        return res
     if len(sp) != len(dp):
         res["status"] = "row count differs"
         return res

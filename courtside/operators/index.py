@@ -30,9 +30,15 @@ DEFAULT_BLOCK = 1_000_000
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text") -> DataFrame:
-    """``doc_id, pos, term``: one row per raw token, document order."""
-    return docs.select(F.col(id_col).alias("doc_id"),
-                       F.posexplode(word_tokens(text)).alias("pos", "term"))
+    """``doc_id, pos, term``: one row per raw token, document order.
+
+    A document without an id cannot be indexed.  Filtering it here also makes
+    every branch that reads the tokens start from the same scan predicate, so
+    their shared shuffles stay reusable even when a later join infers it.
+    """
+    return (docs.where(F.col(id_col).isNotNull())
+                .select(F.col(id_col).alias("doc_id"),
+                        F.posexplode(word_tokens(text)).alias("pos", "term")))
 
 
 def term_filter(term: Column | str = "term", profile: str = "v2") -> Column:

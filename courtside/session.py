@@ -44,6 +44,33 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Target bytes per shuffle partition and per input split.  128 MiB keeps a
+# task's working set well inside a few-GiB executor slice, so sorts and
+# aggregations spill rarely; AQE merges smaller partitions at run time.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, cores: int, target_bytes: int = TARGET_PARTITION_BYTES) -> dict:
+    """Settings sized for a job reading ``input_bytes`` on ``cores`` executor cores.
+
+    * ``spark.sql.shuffle.partitions``: enough partitions that each holds
+      about ``target_bytes`` of the (pre-aggregation) input, and at least two
+      waves of tasks; AQE coalesces them when the shuffle turns out smaller.
+    * ``spark.sql.files.maxPartitionBytes``: scan splits of the same size.
+    * AQE advisory size and skew-split threshold from the same target, so a
+      hot key (a third of all rows) is split into target-sized pieces.
+    """
+    by_size = -(-input_bytes // target_bytes)
+    partitions = max(2 * cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_bytes // 16),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it only when unset.
 

@@ -36,3 +36,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(df)
     assert "PushedFilters: [In(n_name, [NATION_1,NATION_2]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_scale_conf_sizes_partitions():
+    from courtside.session import TARGET_PARTITION_BYTES, scale_conf
+    tb = 1024 ** 4
+    conf = scale_conf(100 * tb, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * tb // TARGET_PARTITION_BYTES
+    assert int(scale_conf(10 ** 6, cores=8)["spark.sql.shuffle.partitions"]) == 16

@@ -23,16 +23,23 @@ from pyspark.sql import functions as F
 RE_HIDDEN_BLOCKS = r"(?is)<(script|style|template)\b.*?</(script|style|template)\s*>"
 RE_COMMENTS_AND_TAGS = r"(?s)<!--.*?-->|<[^>]*>"
 RE_WHITESPACE_RUN = r"\s+"
+# A text-node boundary: tags are first replaced by this marker; whitespace
+# next to markers is the stripped end of a text node.
+NODE_MARK = "\u0001"
+RE_NODE_GAP = r"[\s\p{Z}]*\x01[\s\p{Z}\x01]*"
+RE_OUTER_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
 # Named entities decoded after tag removal, ``&amp;`` last so
-# that "&amp;quot;" becomes the literal text "&quot;".
+# that "&amp;quot;" becomes the literal text "&quot;".  ``&nbsp;`` is a
+# no-break space (U+00A0).
+NBSP_ENTITY = ("&nbsp;", "\u00a0")
 HTML_ENTITIES = [
     ("&quot;", '"'),
     ("&#39;", "'"),
     ("&apos;", "'"),
     ("&lt;", "<"),
     ("&gt;", ">"),
-    ("&nbsp;", " "),
+    NBSP_ENTITY,
     ("&copy;", "©"),
     ("&middot;", "·"),
     ("&amp;", "&"),
@@ -46,11 +53,19 @@ def decode_entities(col: Column) -> Column:
 
 
 def html_to_text(html: Column | str) -> Column:
-    """Visible text nodes, each stripped, joined by one space."""
+    """Visible text nodes, each stripped, joined by one space.
+
+    Tags (and script/style/template blocks, comments) become node
+    boundaries; whitespace at a boundary is the stripped end of a node, so
+    it collapses to the single joining space, while whitespace inside a node
+    is kept.  ``&nbsp;`` is decoded first because stripping removes it too.
+    """
     c = F.coalesce(_col(html), F.lit(""))
-    c = F.regexp_replace(c, RE_HIDDEN_BLOCKS, " ")
-    c = F.regexp_replace(c, RE_COMMENTS_AND_TAGS, " ")
-    c = F.trim(F.regexp_replace(c, RE_WHITESPACE_RUN, " "))
+    c = F.replace(c, F.lit(NBSP_ENTITY[0]), F.lit(NBSP_ENTITY[1]))
+    c = F.regexp_replace(c, RE_HIDDEN_BLOCKS, NODE_MARK)
+    c = F.regexp_replace(c, RE_COMMENTS_AND_TAGS, NODE_MARK)
+    c = F.regexp_replace(c, RE_NODE_GAP, " ")
+    c = F.regexp_replace(c, RE_OUTER_SPACE, "")
     return decode_entities(c)
 
 

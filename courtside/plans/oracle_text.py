@@ -31,9 +31,11 @@ def decode_entities(expr: str) -> str:
 
 def html_to_text(expr: str) -> str:
     e = f"coalesce({expr}, '')"
-    e = rx(e, T.RE_HIDDEN_BLOCKS, " ")
-    e = rx(e, T.RE_COMMENTS_AND_TAGS, " ")
-    e = f"trim({rx(e, T.RE_WHITESPACE_RUN, ' ')})"
+    e = f"replace({e}, {q(T.NBSP_ENTITY[0])}, {q(T.NBSP_ENTITY[1])})"
+    e = rx(e, T.RE_HIDDEN_BLOCKS, T.NODE_MARK)
+    e = rx(e, T.RE_COMMENTS_AND_TAGS, T.NODE_MARK)
+    e = rx(e, T.RE_NODE_GAP, " ")
+    e = rx(e, T.RE_OUTER_SPACE, "")
     return decode_entities(e)
 
 

@@ -73,3 +73,8 @@ def test_seed_join_and_prefix(spark):
         .orderBy("doc_id").collect()
     assert [r.u for r in rows] == ["https://site.org/player/1/a", "https://site.org/team/news/post-1"]
     assert one(spark, U.prefix_if_relative(F.col("v"), "https://site.org"), "/p/1") == "https://site.org/p/1"
+
+
+def test_text_nodes_are_stripped_not_collapsed(spark):
+    html = "<div>\n  <p>Hello   big\n world</p>\n\n<p>&nbsp;x&nbsp;</p><p> </p><span>a&amp;b</span></div>"
+    assert one(spark, html_to_text(F.col("v")), html) == "Hello   big\n world x a&b"

@@ -92,6 +92,13 @@ RE_TOK_COLON_COMMA = r"[:,]([^0-9]|$)"
 # since they are not alphanumeric).
 RE_TOK_NEG = "n['’]t\\b"
 RE_TOK_CLITIC = "['’](s|m|d|ll|re|ve)\\b"
+# Contractions the word tokenizer splits in two ("cannot" ->
+# "can not", "gonna" -> "gon na", "gotta" -> "got ta", "gimme"/"lemme" ->
+# "gim me"/"lem me", "wanna" -> "wan na", "'tis"/"'twas" -> "'t is"/"'t was").
+# Unmatched groups expand to nothing, so one pass serves all of them.
+RE_TOK_CONTRACTIONS = r"\b(?:(can)(not)|(gon|wan)(na)|(got)(ta)|(gim|lem)(me))\b"
+TOK_CONTRACTIONS_REPL = "$1$3$5$7 $2$4$6$8"
+RE_TOK_TIS = r"(['’]t)(is|was)\b"
 # Unicode-aware whitespace split; \p{Z} catches NBSP and friends.
 RE_TOK_SPLIT = r"[\s\p{Z}]+"
 # Leading quotes and trailing periods/quotes are separate tokens.  Written
@@ -110,6 +117,8 @@ def word_tokens(text: Column | str) -> Column:
     tokenizer emits them); ``is_alnum`` drops them later.
     """
     c = F.lower(F.coalesce(_col(text), F.lit("")))
+    c = F.regexp_replace(c, RE_TOK_CONTRACTIONS, TOK_CONTRACTIONS_REPL)
+    c = F.regexp_replace(c, RE_TOK_TIS, "$1 $2")
     c = F.regexp_replace(c, RE_TOK_PUNCT, " ")
     c = F.regexp_replace(c, RE_TOK_COLON_COMMA, " $1")
     c = F.regexp_replace(c, RE_TOK_NEG, " ")

@@ -48,6 +48,8 @@ def html_raw_text(expr: str) -> str:
 
 def word_tokens(expr: str) -> str:
     e = f"lower(coalesce({expr}, ''))"
+    e = rx(e, T.RE_TOK_CONTRACTIONS, T.TOK_CONTRACTIONS_REPL.replace("$", "\\"))
+    e = rx(e, T.RE_TOK_TIS, r"\1 \2")
     e = rx(e, T.RE_TOK_PUNCT, " ")
     e = rx(e, T.RE_TOK_COLON_COMMA, r" \1")
     e = rx(e, T.RE_TOK_NEG, " ")

@@ -78,3 +78,8 @@ def test_seed_join_and_prefix(spark):
 def test_text_nodes_are_stripped_not_collapsed(spark):
     html = "<div>\n  <p>Hello   big\n world</p>\n\n<p>&nbsp;x&nbsp;</p><p> </p><span>a&amp;b</span></div>"
     assert one(spark, html_to_text(F.col("v")), html) == "Hello   big\n world x a&b"
+
+
+def test_contractions_split(spark):
+    toks = one(spark, word_tokens(F.col("v")), "I cannot go, gonna win 'Tis canopy")
+    assert toks == ["i", "can", "not", "go", "gon", "na", "win", "t", "is", "canopy"]

@@ -73,7 +73,10 @@ def _order_box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").cast("int").alias("points"),
         F.count(F.lit(1)).cast("int").alias("rebounds"),
         F.count_if(F.col("l_returnflag") == "R").cast("int").alias("assists"))
-    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    # A game without a player key belongs to no one; filtering it here gives
+    # the detail and summary branches the same scan, so they share one plan.
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate") \
+        .where(F.col("o_custkey").isNotNull())
     return orders.join(per_order, orders.o_orderkey == per_order.l_orderkey).drop("l_orderkey")
 
 

@@ -1,8 +1,11 @@
 """Link graphs: build, out-degree, PageRank, HITS.
 
 PageRank and HITS are iterative DataFrame jobs.  Per step, ranks are joined
-with the edge list (persisted once, hash-partitioned by source so only the
-rank side moves) and summed per target.  The dangling mass and the L1 change
+with the edge list (checkpointed once, hash-partitioned by (source, salt) so
+only the vertex-sized side moves) and summed per target with map-side
+combine.  Hub nodes, whose edges exceed one partition's share, have their
+edges salted over several buckets and their value replicated per bucket, so
+a node holding a third of all edges never lands in a single task.  The dangling mass and the L1 change
 are one-row aggregates; the change is the only value brought to the driver.
 Ranks are persisted per step and written with a reliable ``checkpoint()``
 every few steps, which bounds the lineage and lets a lost executor recompute
@@ -56,6 +59,42 @@ def _partitions(df: DataFrame, rows: int | None = None) -> int:
     return max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
 
 
+def _hot_nodes(edges: DataFrame, key: str, parts: int) -> DataFrame:
+    """``id, salts`` for nodes whose edges exceed one partition's fair share.
+
+    A hot node gets ``ceil(degree / share)`` salt buckets.  Every hot node has
+    more than ``total / parts`` edges, so there are fewer hot nodes than
+    partitions: the table is small by construction and is broadcast.
+    """
+    deg = edges.groupBy(key).agg(F.count(F.lit(1)).alias("deg"))
+    total = edges.select(F.count(F.lit(1))).first()[0]
+    share = max(1, -(-total // parts))
+    return (deg.where(F.col("deg") > share)
+               .select(F.col(key).alias("id"), F.ceil(F.col("deg") / F.lit(share)).cast("int").alias("salts"))
+               .checkpoint(eager=True))
+
+
+def _salted_edges(edges: DataFrame, key: str, other: str, hot: DataFrame, parts: int) -> DataFrame:
+    """Edges with a ``salt`` spreading each hot node's edges over its buckets.
+
+    Partitioned by ``(key, salt)``: a node with a third of all edges is split
+    into partition-sized pieces instead of landing in one task every step.
+    """
+    salted = (edges.join(F.broadcast(hot), edges[key] == hot.id, "left")
+                   .select(*[edges[c] for c in edges.columns],
+                           F.coalesce(F.pmod(F.xxhash64(edges[other]), F.col("salts")), F.lit(0))
+                            .cast("int").alias("salt")))
+    return salted.repartition(parts, key, "salt").checkpoint(eager=True)
+
+
+def _salted_side(values: DataFrame, hot: DataFrame) -> DataFrame:
+    """Node values replicated once per salt bucket of their node (1 for cold nodes)."""
+    n = F.coalesce(F.col("salts"), F.lit(1))
+    return (values.join(F.broadcast(hot), "id", "left")
+                  .select(*[F.col(c) for c in values.columns],
+                          F.explode(F.sequence(F.lit(0), n - 1)).alias("salt")))
+
+
 def _keep(df: DataFrame, step: int, interval: int) -> DataFrame:
     """Persist a step's result; every ``interval`` steps write a reliable checkpoint."""
     if step % interval == 0:
@@ -65,7 +104,7 @@ def _keep(df: DataFrame, step: int, interval: int) -> DataFrame:
 
 def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: float = 1e-6,
              max_iter: int = 100, fixed_iterations: int | None = None,
-             checkpoint_interval: int = 5) -> DataFrame:
+             checkpoint_interval: int = 5, num_partitions: int | None = None) -> DataFrame:
     """``id, rank`` by power iteration.
 
     Uniform start and teleport, the rank of dangling nodes spread uniformly;
@@ -80,8 +119,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     e = edges.select("src", "dst").distinct()
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
     w = e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w")).checkpoint(eager=True)
-    parts = _partitions(vertices, w.count())
-    w = w.repartition(parts, "src").checkpoint(eager=True)
+    parts = num_partitions or _partitions(vertices, w.count())
+    hot = _hot_nodes(w, "src", parts)
+    w = _salted_edges(w, "src", "dst", hot, parts)
     v = (vertices.select("id").distinct()
                  .join(deg.select(F.col("src").alias("id"), F.lit(False).alias("has_out")), "id", "left")
                  .select("id", F.col("has_out").isNull().alias("dangling"))
@@ -93,8 +133,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     steps = fixed_iterations if fixed_iterations is not None else max_iter
     converged = fixed_iterations is not None
     for step in range(1, steps + 1):
-        contrib = (ranks.join(w, ranks.id == w.src)
-                        .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
+        r = _salted_side(ranks.select("id", "rank"), hot)
+        contrib = (r.join(w, (r.id == w.src) & (r.salt == w.salt))
+                    .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
         base = alpha * dangling_mass / n + (1.0 - alpha) / n
         new = (v.join(contrib, v.id == contrib.dst, "left")
                 .select("id", "dangling",
@@ -125,7 +166,7 @@ def _checkpoint_scaled(df: DataFrame, col: str) -> DataFrame:
 
 
 def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
-         checkpoint_interval: int = 5) -> DataFrame:
+         checkpoint_interval: int = 5, num_partitions: int | None = None) -> DataFrame:
     """``id, hub, authority`` by power iteration (I4, Kleinberg 1999).
 
     Per step: authority = sum of hub scores of in-neighbours, hub = sum of
@@ -141,23 +182,29 @@ def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = _partitions(vertices)
-    e = edges.select("src", "dst").distinct()
-    # Two copies of the edge list, one per join direction, partitioned like
-    # the per-node aggregates they meet: the joins need no extra exchange.
-    e_src = e.repartition(parts, "src").checkpoint(eager=True)
-    e_dst = e.repartition(parts, "dst").checkpoint(eager=True)
+    parts = num_partitions or _partitions(vertices)
+    e = edges.select("src", "dst").distinct().checkpoint(eager=True)
+    # Two copies of the edge list, one per join direction, each salted on its
+    # join key so a hub (by out- or in-degree) is split across tasks.
+    hot_src = _hot_nodes(e, "src", parts)
+    hot_dst = _hot_nodes(e, "dst", parts)
+    e_src = _salted_edges(e, "src", "dst", hot_src, parts)
+    e_dst = _salted_edges(e, "dst", "src", hot_dst, parts)
     v = vertices.select("id").distinct().repartition(parts, "id").checkpoint(eager=True)
     n = v.count()
     hub = v.select("id", F.lit(1.0 / n).alias("hub"))
     auth = None
     for step in range(1, iterations + 1):
-        a = (hub.join(e_src, hub.id == e_src.src).groupBy("dst").agg(F.sum("hub").alias("authority"))
+        hs_ = _salted_side(hub, hot_src)
+        a = (hs_.join(e_src, (hs_.id == e_src.src) & (hs_.salt == e_src.salt))
+                .groupBy("dst").agg(F.sum("hub").alias("authority"))
                 .select(F.col("dst").alias("id"), "authority"))
         at_checkpoint = step % checkpoint_interval == 0 or step == iterations
         if at_checkpoint:
             a = _checkpoint_scaled(a, "authority")
-        h = (a.join(e_dst, a.id == e_dst.dst).groupBy("src").agg(F.sum("authority").alias("hub"))
+        as_side = _salted_side(a, hot_dst)
+        h = (as_side.join(e_dst, (as_side.id == e_dst.dst) & (as_side.salt == e_dst.salt))
+                    .groupBy("src").agg(F.sum("authority").alias("hub"))
               .select(F.col("src").alias("id"), "hub"))
         if at_checkpoint:
             h = _checkpoint_scaled(h, "hub")

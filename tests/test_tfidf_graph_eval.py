@@ -139,3 +139,24 @@ def test_precision_recall_golden(spark):
     r = precision_recall_by_query(spark.createDataFrame([("a",)], "query string"),
                                   retrieved.where("query = 'a'"), judged).first()
     assert (r.precision, r.recall) == (1.0, 0.5)
+
+
+def test_graph_with_hub_is_salted_and_exact(spark):
+    """A hub holds most edges in both directions; salting must not change results."""
+    from courtside.operators.graph import _hot_nodes
+    nodes = [f"n{i}" for i in range(40)]
+    edges = [("hub", x) for x in nodes] + [(x, "hub") for x in nodes[:30]] + [("n1", "n2"), ("n2", "n3")]
+    v = spark.createDataFrame([(x,) for x in nodes + ["hub"]], "id string")
+    e = spark.createDataFrame(edges, "src string, dst string")
+    # 40 of 72 edges leave the hub; a fair share over 8 partitions is 9 -> 5 buckets
+    assert {r.id: r.salts for r in _hot_nodes(e, "src", 8).collect()} == {"hub": 5}
+    assert {r.id: r.salts for r in _hot_nodes(e, "dst", 8).collect()} == {"hub": 4}
+    want = _np_pagerank(nodes + ["hub"], edges)
+    salted = {r.id: r.rank for r in pagerank(v, e, num_partitions=8).collect()}
+    plain = {r.id: r.rank for r in pagerank(v, e, num_partitions=1).collect()}
+    for k in want:
+        assert abs(salted[k] - want[k]) < 1e-5 and abs(salted[k] - plain[k]) < 1e-12
+    h8 = {r.id: (r.hub, r.authority) for r in hits(v, e, iterations=20, num_partitions=8).collect()}
+    h1 = {r.id: (r.hub, r.authority) for r in hits(v, e, iterations=20, num_partitions=1).collect()}
+    for k in h1:
+        assert abs(h8[k][0] - h1[k][0]) < 1e-12 and abs(h8[k][1] - h1[k][1]) < 1e-12

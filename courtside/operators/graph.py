@@ -59,8 +59,8 @@ def _partitions(df: DataFrame, rows: int | None = None) -> int:
     return max(1, min(cap, -(-rows // ROWS_PER_PARTITION)))
 
 
-def _hot_nodes(edges: DataFrame, key: str, parts: int) -> DataFrame:
-    """``id, salts`` for nodes whose edges exceed one partition's fair share.
+def _hot_nodes(edges: DataFrame, key: str, parts: int) -> DataFrame | None:
+    """``id, salts`` for nodes whose edges exceed one partition's fair share (None if none).
 
     A hot node gets ``ceil(degree / share)`` salt buckets.  Every hot node has
     more than ``total / parts`` edges, so there are fewer hot nodes than
@@ -69,17 +69,23 @@ def _hot_nodes(edges: DataFrame, key: str, parts: int) -> DataFrame:
     deg = edges.groupBy(key).agg(F.count(F.lit(1)).alias("deg"))
     total = edges.select(F.count(F.lit(1))).first()[0]
     share = max(1, -(-total // parts))
-    return (deg.where(F.col("deg") > share)
-               .select(F.col(key).alias("id"), F.ceil(F.col("deg") / F.lit(share)).cast("int").alias("salts"))
-               .checkpoint(eager=True))
+    hot = (deg.where(F.col("deg") > share)
+              .select(F.col(key).alias("id"), F.ceil(F.col("deg") / F.lit(share)).cast("int").alias("salts"))
+              .checkpoint(eager=True))
+    return hot if hot.limit(1).count() else None
 
 
-def _salted_edges(edges: DataFrame, key: str, other: str, hot: DataFrame, parts: int) -> DataFrame:
+def _salted_edges(edges: DataFrame, key: str, other: str, hot: DataFrame | None,
+                  parts: int) -> DataFrame:
     """Edges with a ``salt`` spreading each hot node's edges over its buckets.
 
     Partitioned by ``(key, salt)``: a node with a third of all edges is split
     into partition-sized pieces instead of landing in one task every step.
+    Without hot nodes (``hot is None``) the edges are partitioned by ``key``
+    alone and the per-step join needs no exchange on either side.
     """
+    if hot is None:
+        return edges.withColumn("salt", F.lit(0)).repartition(parts, key).checkpoint(eager=True)
     salted = (edges.join(F.broadcast(hot), edges[key] == hot.id, "left")
                    .select(*[edges[c] for c in edges.columns],
                            F.coalesce(F.pmod(F.xxhash64(edges[other]), F.col("salts")), F.lit(0))
@@ -87,8 +93,10 @@ def _salted_edges(edges: DataFrame, key: str, other: str, hot: DataFrame, parts:
     return salted.repartition(parts, key, "salt").checkpoint(eager=True)
 
 
-def _salted_side(values: DataFrame, hot: DataFrame) -> DataFrame:
+def _salted_side(values: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Node values replicated once per salt bucket of their node (1 for cold nodes)."""
+    if hot is None:
+        return values.withColumn("salt", F.lit(0))
     n = F.coalesce(F.col("salts"), F.lit(1))
     return (values.join(F.broadcast(hot), "id", "left")
                   .select(*[F.col(c) for c in values.columns],
@@ -116,10 +124,12 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     """
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct()
+    # The input edges (often a whole join pipeline) are materialised once;
+    # weights, out-degrees and dangling flags all derive from that copy.
+    e = edges.select("src", "dst").distinct().checkpoint(eager=True)
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    w = e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w")).checkpoint(eager=True)
-    parts = num_partitions or _partitions(vertices, w.count())
+    w = e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
+    parts = num_partitions or _partitions(vertices, e.count())
     hot = _hot_nodes(w, "src", parts)
     w = _salted_edges(w, "src", "dst", hot, parts)
     v = (vertices.select("id").distinct()

@@ -151,6 +151,7 @@ def test_graph_with_hub_is_salted_and_exact(spark):
     # 40 of 72 edges leave the hub; a fair share over 8 partitions is 9 -> 5 buckets
     assert {r.id: r.salts for r in _hot_nodes(e, "src", 8).collect()} == {"hub": 5}
     assert {r.id: r.salts for r in _hot_nodes(e, "dst", 8).collect()} == {"hub": 4}
+    assert _hot_nodes(e, "src", 1) is None  # one partition: nothing exceeds its share
     want = _np_pagerank(nodes + ["hub"], edges)
     salted = {r.id: r.rank for r in pagerank(v, e, num_partitions=8).collect()}
     plain = {r.id: r.rank for r in pagerank(v, e, num_partitions=1).collect()}

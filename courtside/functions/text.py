@@ -99,6 +99,9 @@ RE_TOK_CLITIC = "['’](s|m|d|ll|re|ve)\\b"
 RE_TOK_CONTRACTIONS = r"\b(?:(can)(not)|(gon|wan)(na)|(got)(ta)|(gim|lem)(me))\b"
 TOK_CONTRACTIONS_REPL = "$1$3$5$7 $2$4$6$8"
 RE_TOK_TIS = r"(['’]t)(is|was)\b"
+# Punctuation, "n't" and clitics all become a space and touch disjoint
+# characters, so one pass handles the three.
+RE_TOK_SPACED = f"{RE_TOK_PUNCT}|{RE_TOK_NEG}|{RE_TOK_CLITIC}"
 # Unicode-aware whitespace split; \p{Z} catches NBSP and friends.
 RE_TOK_SPLIT = r"[\s\p{Z}]+"
 # Leading quotes and trailing periods/quotes are separate tokens.  Written
@@ -119,10 +122,8 @@ def word_tokens(text: Column | str) -> Column:
     c = F.lower(F.coalesce(_col(text), F.lit("")))
     c = F.regexp_replace(c, RE_TOK_CONTRACTIONS, TOK_CONTRACTIONS_REPL)
     c = F.regexp_replace(c, RE_TOK_TIS, "$1 $2")
-    c = F.regexp_replace(c, RE_TOK_PUNCT, " ")
+    c = F.regexp_replace(c, RE_TOK_SPACED, " ")
     c = F.regexp_replace(c, RE_TOK_COLON_COMMA, " $1")
-    c = F.regexp_replace(c, RE_TOK_NEG, " ")
-    c = F.regexp_replace(c, RE_TOK_CLITIC, " ")
     c = F.regexp_replace(c, RE_TOK_TRAILING, "$1")
     c = F.regexp_replace(c, RE_TOK_LEADING, "$1")
     return F.array_remove(F.split(F.trim(c), RE_TOK_SPLIT), "")

@@ -50,10 +50,8 @@ def word_tokens(expr: str) -> str:
     e = f"lower(coalesce({expr}, ''))"
     e = rx(e, T.RE_TOK_CONTRACTIONS, T.TOK_CONTRACTIONS_REPL.replace("$", "\\"))
     e = rx(e, T.RE_TOK_TIS, r"\1 \2")
-    e = rx(e, T.RE_TOK_PUNCT, " ")
+    e = rx(e, T.RE_TOK_SPACED, " ")
     e = rx(e, T.RE_TOK_COLON_COMMA, r" \1")
-    e = rx(e, T.RE_TOK_NEG, " ")
-    e = rx(e, T.RE_TOK_CLITIC, " ")
     e = rx(e, T.RE_TOK_TRAILING, r"\1")
     e = rx(e, T.RE_TOK_LEADING, r"\1")
     parts = f"regexp_split_to_array(trim({e}), {q(T.RE_TOK_SPLIT)})"

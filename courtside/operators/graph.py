@@ -93,14 +93,20 @@ def _salted_edges(edges: DataFrame, key: str, other: str, hot: DataFrame | None,
     return salted.repartition(parts, key, "salt").checkpoint(eager=True)
 
 
-def _salted_side(values: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Node values replicated once per salt bucket of their node (1 for cold nodes)."""
+def _join_edges(values: DataFrame, edges: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Join node values (``id``) to the edges on ``key``, salted when there are hubs.
+
+    With hubs, each hub's value is replicated once per salt bucket and the
+    join is on ``(node, salt)``, matching the edges' partitioning.  Without,
+    the join is on the node alone, which the edges are partitioned by.
+    """
     if hot is None:
-        return values.withColumn("salt", F.lit(0))
+        return values.join(edges, values.id == edges[key])
     n = F.coalesce(F.col("salts"), F.lit(1))
-    return (values.join(F.broadcast(hot), "id", "left")
+    side = (values.join(F.broadcast(hot), "id", "left")
                   .select(*[F.col(c) for c in values.columns],
                           F.explode(F.sequence(F.lit(0), n - 1)).alias("salt")))
+    return side.join(edges, (side.id == edges[key]) & (side.salt == edges.salt))
 
 
 def _keep(df: DataFrame, step: int, interval: int) -> DataFrame:
@@ -143,9 +149,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     steps = fixed_iterations if fixed_iterations is not None else max_iter
     converged = fixed_iterations is not None
     for step in range(1, steps + 1):
-        r = _salted_side(ranks.select("id", "rank"), hot)
-        contrib = (r.join(w, (r.id == w.src) & (r.salt == w.salt))
-                    .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
+        contrib = (_join_edges(ranks.select("id", "rank"), w, "src", hot)
+                   .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("c")))
         base = alpha * dangling_mass / n + (1.0 - alpha) / n
         new = (v.join(contrib, v.id == contrib.dst, "left")
                 .select("id", "dangling",
@@ -205,16 +210,14 @@ def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
     hub = v.select("id", F.lit(1.0 / n).alias("hub"))
     auth = None
     for step in range(1, iterations + 1):
-        hs_ = _salted_side(hub, hot_src)
-        a = (hs_.join(e_src, (hs_.id == e_src.src) & (hs_.salt == e_src.salt))
+        a = (_join_edges(hub, e_src, "src", hot_src)
                 .groupBy("dst").agg(F.sum("hub").alias("authority"))
                 .select(F.col("dst").alias("id"), "authority"))
         at_checkpoint = step % checkpoint_interval == 0 or step == iterations
         if at_checkpoint:
             a = _checkpoint_scaled(a, "authority")
-        as_side = _salted_side(a, hot_dst)
-        h = (as_side.join(e_dst, (as_side.id == e_dst.dst) & (as_side.salt == e_dst.salt))
-                    .groupBy("src").agg(F.sum("authority").alias("hub"))
+        h = (_join_edges(a, e_dst, "dst", hot_dst)
+                .groupBy("src").agg(F.sum("authority").alias("hub"))
               .select(F.col("src").alias("id"), "hub"))
         if at_checkpoint:
             h = _checkpoint_scaled(h, "hub")

@@ -3,6 +3,7 @@
     python -m courtside list
     python -m courtside run top15_terms --tables /data/sf1 --out /out/top15 [--format csv|parquet]
     python -m courtside h2h --team1 NATION_1 --team2 NATION_2 --tables /data/sf1 --out /out/h2h
+    python -m courtside player --name "Customer#000000001" --tables /data/sf1 --out /out/p1
 
 ``--master`` is only for local runs; on a cluster, submit with spark-submit
 and let the cluster provide the master and ``spark.checkpoint.dir``.
@@ -15,7 +16,7 @@ import sys
 
 from courtside import sinks
 from courtside.plans import registry
-from courtside.plans.boxscore import head_to_head_recent5
+from courtside.plans.boxscore import head_to_head_recent5, player_report
 
 
 def _session(master: str | None):
@@ -41,7 +42,9 @@ def main(argv: list[str] | None = None) -> int:
     h2h = sub.add_parser("h2h", help="head-to-head of two named teams")
     h2h.add_argument("--team1", required=True)
     h2h.add_argument("--team2", required=True)
-    for p in (run, h2h):
+    player = sub.add_parser("player", help="last 10 games and averages of one named player")
+    player.add_argument("--name", required=True)
+    for p in (run, h2h, player):
         p.add_argument("--tables", required=True, help="folder with <table>.parquet")
         p.add_argument("--out", required=True)
         p.add_argument("--format", choices=("csv", "parquet"), default="csv")
@@ -59,6 +62,8 @@ def main(argv: list[str] | None = None) -> int:
             print(f"unknown query {args.query!r}; see `courtside list`", file=sys.stderr)
             return 2
         df = registry.QUERIES[args.query](spark, args.tables)
+    elif args.cmd == "player":
+        df = player_report(spark, args.tables, args.name)
     else:
         df = head_to_head_recent5(spark, args.tables, args.team1, args.team2)
     _write(df, args.out, args.format, args.partition_by)

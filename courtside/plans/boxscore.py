@@ -62,31 +62,36 @@ def last_n_values_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.max(F.when(F.col("rn") == i, F.col("o_totalprice"))).alias(f"g{i}") for i in (1, 2, 3)])
 
 
-def _order_box_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_box_scores(spark: SparkSession, sf_dir: str, cust_key=None) -> DataFrame:
     """One box-score row per order: points, rebounds, assists from its lines.
 
     Lines are aggregated per order *before* the join, so the join sees one row
-    per order.
+    per order.  ``cust_key`` (a Column, e.g. a scalar subquery) restricts the
+    games to one player before anything else runs.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag")
-    per_order = li.groupBy("l_orderkey").agg(
-        F.sum("l_quantity").cast("int").alias("points"),
-        F.count(F.lit(1)).cast("int").alias("rebounds"),
-        F.count_if(F.col("l_returnflag") == "R").cast("int").alias("assists"))
     # A game without a player key belongs to no one; filtering it here gives
     # the detail and summary branches the same scan, so they share one plan.
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate") \
         .where(F.col("o_custkey").isNotNull())
+    if cust_key is not None:
+        orders = orders.where(F.col("o_custkey") == cust_key)
+    per_order = li.join(orders.select("o_orderkey"), li.l_orderkey == orders.o_orderkey, "left_semi") \
+        if cust_key is not None else li
+    per_order = per_order.groupBy("l_orderkey").agg(
+        F.sum("l_quantity").cast("int").alias("points"),
+        F.count(F.lit(1)).cast("int").alias("rebounds"),
+        F.count_if(F.col("l_returnflag") == "R").cast("int").alias("assists"))
     return orders.join(per_order, orders.o_orderkey == per_order.l_orderkey).drop("l_orderkey")
 
 
-def last10_avg_with_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def last10_avg_with_summary(spark: SparkSession, sf_dir: str, cust_key=None) -> DataFrame:
     """Per customer: last 10 games, then an "Averages" row.
 
     Averages are rounded half-to-even to 2 places and are 0 for a customer
     without games (the summary row is always there).
     """
-    games = _order_box_scores(spark, sf_dir)
+    games = _order_box_scores(spark, sf_dir, cust_key)
     last10 = last_n(games, ["o_custkey"], recent_first(), 10, rn_col="seq")
     detail = last10.select(
         F.col("o_custkey").alias("c_custkey"), "seq",
@@ -96,6 +101,8 @@ def last10_avg_with_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = last10.groupBy("o_custkey").agg(
         *[F.avg(c).alias(c) for c in ("points", "rebounds", "assists")])
     cust = table(spark, sf_dir, "customer", "c_custkey")
+    if cust_key is not None:
+        cust = cust.where(F.col("c_custkey") == cust_key)
     summary = cust.join(means, cust.c_custkey == means.o_custkey, "left").select(
         "c_custkey", F.lit(None).cast("int").alias("seq"),
         *[C.half_even(F.coalesce(F.col(c), F.lit(0.0)), 2).alias(c)
@@ -103,6 +110,19 @@ def last10_avg_with_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_summary(detail, summary, "game")
 
 
+def player_report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Last 10 games and an "Averages" row for one player found by name.
+
+    The first customer whose name matches (lowest key) wins, as a search
+    returning several hits takes the first; an unknown name gives no rows.
+    The key is a scalar subquery, so orders and lines are cut to that one
+    player before the window runs.
+    """
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_name").where(F.col("c_name") == name)
+    key = cust.select(F.min("c_custkey")).scalar()
+    return last10_avg_with_summary(spark, sf_dir, cust_key=key)
+
+
 def _nation_games(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
     """Orders as games of the customer's nation (the 'team'), for the named teams.
 

@@ -18,3 +18,15 @@ def test_cli_run_and_h2h(spark, capsys):
     rows = spark.read.parquet(os.path.join(out, "h2h")).collect()
     assert 0 < len(rows) <= 5 and all("NATION_3" in r.score for r in rows)
     assert main(["run", "nope", "--tables", SF_SMALL, "--out", out]) == 2
+
+
+def test_player_report(spark):
+    from courtside.plans.boxscore import player_report
+    name = spark.read.parquet(f"{SF_SMALL}/customer.parquet").orderBy("c_custkey").first().c_name
+    rows = player_report(spark, SF_SMALL, name).collect()
+    summary = [r for r in rows if r.game == "Averages"]
+    assert len(summary) == 1 and 1 <= len(rows) <= 11
+    detail = [r for r in rows if r.game != "Averages"]
+    if detail:
+        assert abs(summary[0].points - round(sum(r.points for r in detail) / len(detail), 2)) < 1e-9
+    assert player_report(spark, SF_SMALL, "nobody").count() == 0

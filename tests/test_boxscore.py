@@ -187,3 +187,26 @@ def test_html_table_rows(spark):
     assert rows[0].cells == ["Jan 02, 2025 - POR @ LAL", "W", "36", "19"]
     assert C.guarded_int(F.lit(rows[1].cells[3])) is not None
     assert spark.range(1).select(C.guarded_int(F.lit(rows[1].cells[3].strip("\xa0 "))).alias("x")).first().x == 17
+
+
+def test_bounded_season_scan(spark):
+    rows = [("A", 2024, 1, 10), ("B", 2024, 1, 9), ("A", 2022, 1, 5), ("B", 2022, 1, 7),
+            ("A", 1999, 1, 1), ("B", 1999, 1, 2)]
+    games = spark.createDataFrame(rows, "team string, season int, k int, pts int").withColumn("label", F.lit("g"))
+    out = head_to_head(games, "team", "season", [F.col("k").asc()], "pts", "label", "A", "B", "A", "B",
+                       n=5, min_season=2000, max_season=2024).collect()
+    assert sorted(r.season for r in out) == [2022, 2024]
+
+
+def test_season_partitions_are_pruned(spark):
+    import os
+    import tempfile
+    from courtside.sinks import write_parquet
+    out = os.path.join(tempfile.mkdtemp(prefix="courtside-season-"), "games")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet") \
+        .select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("season"))
+    write_parquet(orders, out, partition_by=["season"])
+    q = spark.read.parquet(out).where(F.col("season") == 1996)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan and "(season#" in plan
+    assert q.count() == orders.where("season = 1996").count()

@@ -61,3 +61,18 @@ def pages(spark: SparkSession, sf_dir: str, keep_failed: bool = True) -> DataFra
     df = text_table(spark, sf_dir, "pages", "page_id", "page_id", "url", "html")
     df = df.withColumn("html", F.coalesce(F.col("html"), F.lit("")))
     return df if keep_failed else df.where(F.col("html") != "")
+
+
+def seed_pages(seed: DataFrame, landed: DataFrame, url_col: str = "url") -> DataFrame:
+    """Seed documents with their landed HTML (A1, A2).
+
+    ``seed``: ``doc_id, base_url, path`` (see ``params.seed_frame``);
+    ``landed``: ``url, html``.  The full URL is ``join_url(base, path)``; a
+    seed whose page is missing keeps its row with ``html = ''``, so it is
+    still a document that contributes no terms.
+    """
+    from courtside.functions.urls import join_url
+    docs = seed.select("doc_id", join_url("base_url", "path").alias("url"))
+    pages_ = landed.select(F.col(url_col).alias("url"), "html").dropDuplicates(["url"])
+    return (docs.join(pages_, "url", "left")
+                .select("doc_id", "url", F.coalesce("html", F.lit("")).alias("html")))

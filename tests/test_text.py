@@ -83,3 +83,12 @@ def test_text_nodes_are_stripped_not_collapsed(spark):
 def test_contractions_split(spark):
     toks = one(spark, word_tokens(F.col("v")), "I cannot go, gonna win 'Tis canopy")
     assert toks == ["i", "can", "not", "go", "gon", "na", "win", "t", "is", "canopy"]
+
+
+def test_seed_pages_keep_missing_documents(spark):
+    from courtside.sources.params import seed_frame
+    from courtside.sources.tables import seed_pages
+    seed = seed_frame(spark, {"https://site.org/": {1: "player/1/a", 2: "player/2/b"}})
+    landed = spark.createDataFrame([("https://site.org/player/1/a", "<p>Games</p>")], "url string, html string")
+    rows = {r.doc_id: (r.url, r.html) for r in seed_pages(seed, landed).collect()}
+    assert rows == {1: ("https://site.org/player/1/a", "<p>Games</p>"), 2: ("https://site.org/player/2/b", "")}

@@ -1,6 +1,5 @@
 """TF-IDF goldens (H1-H5), graph invariants (I1-I4, D2, E9), precision/recall."""
 
-import math
 
 import numpy as np
 import pytest

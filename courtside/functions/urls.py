@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from courtside.functions.text import decode_entities
+
 # Anchor hrefs in double quotes, single quotes or bare (C11).  Group 1, 2 or 3
 # holds the value; exactly one of them is non-empty per match.
+# The attribute must start after whitespace, so ``data-href`` is not taken
+# for ``href``.
 RE_ANCHOR_HREF = (
-    r"""(?i)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 )
 RE_TRAILING_SLASH = r"/+$"
 RE_SCHEME_HOST = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
@@ -21,10 +25,11 @@ def anchor_hrefs(html: Column | str) -> Column:
     dq = F.regexp_extract_all(h, F.lit(RE_ANCHOR_HREF), 1)
     sq = F.regexp_extract_all(h, F.lit(RE_ANCHOR_HREF), 2)
     bare = F.regexp_extract_all(h, F.lit(RE_ANCHOR_HREF), 3)
-    # The three arrays are aligned by match; take the non-empty group.
+    # The three arrays are aligned by match; take the non-empty group, and
+    # decode entities in the value as an HTML parser does.
     merged = F.zip_with(
         F.zip_with(dq, sq, lambda a, b: F.concat(a, b)),
-        bare, lambda a, b: F.concat(a, b))
+        bare, lambda a, b: decode_entities(F.concat(a, b)))
     return merged
 
 

@@ -71,8 +71,9 @@ def term_filter_v2(col: str) -> str:
 
 def anchor_hrefs(expr: str) -> str:
     pat = q(U.RE_ANCHOR_HREF)
+    value = f"regexp_extract(m, {pat}, 1) || regexp_extract(m, {pat}, 2) || regexp_extract(m, {pat}, 3)"
     return (f"list_transform(regexp_extract_all(coalesce({expr}, ''), {pat}, 0), lambda m: "
-            f"regexp_extract(m, {pat}, 1) || regexp_extract(m, {pat}, 2) || regexp_extract(m, {pat}, 3))")
+            f"{decode_entities(value)})")
 
 
 def strip_trailing_slash(expr: str) -> str:

@@ -51,3 +51,27 @@ def test_html_text_matches_stdlib_parser(spark, pages):
     got = {r.i: r.t for r in df.select("i", html_to_text("h").alias("t")).collect()}
     for i, h in enumerate(pages):
         assert got[i] == reference_text(h), (h, got[i], reference_text(h))
+
+
+class _Raw(_Text):
+    def handle_data(self, data):
+        if not self.skip:
+            self.out.append(data)
+
+
+def reference_raw_text(html: str) -> str:
+    p = _Raw()
+    p.feed(html)
+    p.close()
+    return "".join(p.out)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ITEMS), min_size=1, max_size=25).map("".join),
+                min_size=1, max_size=30))
+def test_raw_text_matches_stdlib_parser(spark, pages):
+    from courtside.functions.text import html_raw_text
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(pages)], "i int, h string")
+    got = {r.i: r.t for r in df.select("i", html_raw_text("h").alias("t")).collect()}
+    for i, h in enumerate(pages):
+        assert got[i] == reference_raw_text(h), (h, got[i], reference_raw_text(h))

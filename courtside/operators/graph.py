@@ -1,13 +1,15 @@
 """Link graphs: build, out-degree, PageRank, HITS.
 
-PageRank and HITS are iterative DataFrame jobs.  Per step, ranks are joined
-with the edge list (checkpointed once, hash-partitioned by (source, salt) so
-only the vertex-sized side moves) and summed per target with map-side
+PageRank and HITS are iterative DataFrame jobs.  Per step, node values are
+joined with the edge list (checkpointed once, hash-partitioned by join node,
+so only the vertex-sized side moves) and summed per target with map-side
 combine.  Hub nodes, whose edges exceed one partition's share, have their
 edges salted over several buckets and their value replicated per bucket, so
-a node holding a third of all edges never lands in a single task.  The dangling mass and the L1 change
-are one-row aggregates; the change is the only value brought to the driver.
-Ranks are persisted per step and written with a reliable ``checkpoint()``
+a node holding a third of all edges never lands in a single task.
+
+Each step brings back one row to the driver: the L1 change and the rank
+mass on dangling nodes (PageRank), or the maxima used for scaling (HITS).
+Step results are persisted and written with a reliable ``checkpoint()``
 every few steps, which bounds the lineage and lets a lost executor recompute
 from the last checkpoint instead of from the first step.
 """

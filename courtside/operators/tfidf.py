@@ -83,6 +83,17 @@ def tfidf_matrix(weights: DataFrame, doc_col: str, docs: list, value_col: str =
     return weights.groupBy("term").pivot(doc_col, docs).agg(F.first(value_col))
 
 
+def tfidf_wide(weights: DataFrame, doc_cols: list[str], terms: list[str],
+               value_col: str = "tfidf") -> DataFrame:
+    """The document x term matrix with documents as rows, one column per term (H4).
+
+    The transpose of the report's layout, which scales: the column count is
+    the (bounded) query-term list, and the pivot values are given, so Spark
+    runs no extra job to discover them.
+    """
+    return weights.groupBy(*doc_cols).pivot("term", terms).agg(F.first(value_col))
+
+
 def search_top_k(weights: DataFrame, doc_cols: list[str], k: int = 10) -> DataFrame:
     """Rank documents by the sum of TF-IDF over the query terms (H5).
 

@@ -213,6 +213,10 @@ TF_SUBLINEAR = _LONG + "SELECT page_id, term, n, round(tf, 6) AS tf FROM w"
 TFIDF = _LONG + ("SELECT page_id, term, n, round(tf, 6) AS tf, round(idf, 6) AS idf, "
                  "round(tfidf, 6) AS tfidf FROM w")
 
+TFIDF_MATRIX = _LONG + "SELECT page_id, " + ", ".join(
+    f"max(CASE WHEN term = {q(t)} THEN round(tfidf, 6) END) AS \"{t}\"" for t in PAGE_TERMS
+) + " FROM w GROUP BY page_id"
+
 SEARCH_TOPK = _LONG + f"""
 , s AS (SELECT page_id, sum(tfidf) AS score FROM w WHERE idf IS NOT NULL GROUP BY page_id)
 SELECT CAST(row_number() OVER (ORDER BY score DESC, page_id) AS INTEGER) AS rank,
@@ -235,6 +239,7 @@ SQL = {
     "idf": IDF,
     "tf_sublinear": TF_SUBLINEAR,
     "tfidf": TFIDF,
+    "tfidf_matrix": TFIDF_MATRIX,
     "search_topk": SEARCH_TOPK,
     "precision_recall": PRECISION_RECALL,
 }

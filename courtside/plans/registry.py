@@ -33,6 +33,7 @@ QUERIES: dict[str, Query] = {
     "idf": text.idf,
     "tf_sublinear": text.tf_sublinear,
     "tfidf": text.tfidf,
+    "tfidf_matrix": text.tfidf_matrix,
     "search_topk": text.search_topk,
     "precision_recall": text.precision_recall,
     "out_degree_trade": graph.out_degree_trade,

@@ -135,6 +135,12 @@ def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("tfidf", 6).alias("tfidf"))
 
 
+def tfidf_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TF-IDF matrix: one row per page, one column per query term (H4)."""
+    w = _weights(spark, sf_dir).withColumn("tfidf", F.round("tfidf", 6))
+    return TF.tfidf_wide(w, ["page_id"], PAGE_TERMS)
+
+
 def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages ranked by summed TF-IDF of the query terms, top 10 (H5)."""
     w = _weights(spark, sf_dir).where(F.col("idf").isNotNull())

@@ -118,6 +118,8 @@ post AS (SELECT term, doc_id, count(*) AS tf, min(pos) AS first_pos
 
 TOKENS_CLEAN = _POSTINGS + "SELECT term, doc_id, tf, first_pos FROM post"
 
+_POSTINGS_EN = _POSTINGS.replace("FROM documents)", "FROM documents WHERE lang = 'en')")
+
 def _top(src: str) -> str:
     return f""",
 freq AS (SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS n_docs,
@@ -161,6 +163,8 @@ _TOP = _POSTINGS + _top("post")
 
 TOP15_TERMS = _TOP + "SELECT rank, term, n, n_docs FROM top"
 
+TOP15_TERMS_EN = _POSTINGS_EN + _top("post") + "SELECT rank, term, n, n_docs FROM top"
+
 INVERTED_INDEX_TOP15 = _TOP + _index("post")
 
 INVERTED_INDEX_STEMMED = _POSTINGS + _stem_ctes() + _top("spost") + _index("spost")
@@ -232,6 +236,7 @@ SQL = {
     "link_last_segment": LINK_LAST_SEGMENT,
     "tokens_clean": TOKENS_CLEAN,
     "top15_terms": TOP15_TERMS,
+    "top15_terms_en": TOP15_TERMS_EN,
     "inverted_index_top15": INVERTED_INDEX_TOP15,
     "inverted_index_stemmed": INVERTED_INDEX_STEMMED,
     "term_counts_wide": TERM_COUNTS_WIDE,

@@ -26,6 +26,7 @@ QUERIES: dict[str, Query] = {
     "link_last_segment": text.link_last_segment,
     "tokens_clean": text.tokens_clean,
     "top15_terms": text.top15_terms,
+    "top15_terms_en": text.top15_terms_en,
     "inverted_index_top15": text.inverted_index_top15,
     "inverted_index_stemmed": text.inverted_index_stemmed,
     "term_counts_wide": text.term_counts_wide,

@@ -56,8 +56,13 @@ def link_last_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select("page_id", "link", U.last_segment("link").alias("node"))
 
 
-def _doc_postings(spark: SparkSession, sf_dir: str, stemmed: bool = False) -> DataFrame:
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
+def _doc_postings(spark: SparkSession, sf_dir: str, stemmed: bool = False,
+                  lang: str | None = None) -> DataFrame:
+    if lang is None:
+        docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
+    else:
+        docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text", "lang") \
+            .where(F.col("lang") == lang).select("doc_id", "text")
     return IX.term_postings(docs, "doc_id", "text", profile="v2", stemmed=stemmed)
 
 
@@ -71,6 +76,11 @@ def top15_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IX.top_terms(_doc_postings(spark, sf_dir), TOP_K_TERMS)
 
 
+def top15_terms_en(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-15 terms of the English documents, the language of the stop list."""
+    return IX.top_terms(_doc_postings(spark, sf_dir, lang="en"), TOP_K_TERMS)
+
+
 def inverted_index_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings of the 15 most frequent terms as sorted id strings."""
     return IX.inverted_index(_doc_postings(spark, sf_dir), TOP_K_TERMS)

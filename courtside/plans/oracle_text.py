@@ -169,6 +169,8 @@ INVERTED_INDEX_TOP15 = _TOP + _index("post")
 
 INVERTED_INDEX_STEMMED = _POSTINGS + _stem_ctes() + _top("spost") + _index("spost")
 
+INVERTED_INDEX_STEMMED_EN = _POSTINGS_EN + _stem_ctes() + _top("spost") + _index("spost")
+
 PRECISION_RECALL = _TOP + """,
 judged AS (SELECT doc_id, quality = 1 AS relevant FROM labels),
 hits AS (SELECT p.term AS query, count(*) AS n_retrieved,
@@ -239,6 +241,7 @@ SQL = {
     "top15_terms_en": TOP15_TERMS_EN,
     "inverted_index_top15": INVERTED_INDEX_TOP15,
     "inverted_index_stemmed": INVERTED_INDEX_STEMMED,
+    "inverted_index_stemmed_en": INVERTED_INDEX_STEMMED_EN,
     "term_counts_wide": TERM_COUNTS_WIDE,
     "document_frequency": DOCUMENT_FREQUENCY,
     "idf": IDF,

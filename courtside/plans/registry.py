@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "top15_terms_en": text.top15_terms_en,
     "inverted_index_top15": text.inverted_index_top15,
     "inverted_index_stemmed": text.inverted_index_stemmed,
+    "inverted_index_stemmed_en": text.inverted_index_stemmed_en,
     "term_counts_wide": text.term_counts_wide,
     "document_frequency": text.document_frequency,
     "idf": text.idf,

@@ -91,6 +91,11 @@ def inverted_index_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IX.inverted_index(_doc_postings(spark, sf_dir, stemmed=True), TOP_K_TERMS)
 
 
+def inverted_index_stemmed_en(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stemmed top-15 index of the English documents: the reference's index query."""
+    return IX.inverted_index(_doc_postings(spark, sf_dir, stemmed=True, lang="en"), TOP_K_TERMS)
+
+
 def _page_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-page counts, hash-exchanged on ``page_id`` right after tokenizing.
 

@@ -30,3 +30,14 @@ def test_player_report(spark):
     if detail:
         assert abs(summary[0].points - round(sum(r.points for r in detail) / len(detail), 2)) < 1e-9
     assert player_report(spark, SF_SMALL, "nobody").count() == 0
+
+
+def test_cli_reports(spark):
+    out = tempfile.mkdtemp(prefix="courtside-cli-")
+    assert main(["ranking-report", "--k", "3", "--tables", SF_SMALL, "--out", os.path.join(out, "rank")]) == 0
+    top = spark.read.option("header", True).csv(os.path.join(out, "rank", "top"))
+    every = spark.read.option("header", True).csv(os.path.join(out, "rank", "all"))
+    assert top.count() == 3 and every.count() > 3
+    assert main(["term-counts", "--terms", "The", "Of", "--tables", SF_SMALL, "--out", os.path.join(out, "wc")]) == 0
+    wc = spark.read.option("header", True).csv(os.path.join(out, "wc"))
+    assert wc.columns == ["URL", "The", "Of"] and wc.count() == spark.read.parquet(f"{SF_SMALL}/pages.parquet").count()

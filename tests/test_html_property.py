@@ -9,7 +9,6 @@ from html.parser import HTMLParser
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from courtside.functions.text import html_to_text
 

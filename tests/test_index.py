@@ -1,7 +1,6 @@
 """Index operators on literal documents."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from courtside.functions.cells import strict_int
 from courtside.operators import index as IX

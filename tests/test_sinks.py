@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from courtside import sinks
 

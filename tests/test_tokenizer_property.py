@@ -9,7 +9,6 @@ periods, clitics, colons, digits and Unicode spaces must tokenize the same.
 import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from courtside.functions import text as T
 

@@ -145,6 +145,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
                  .select("id", F.col("has_out").isNull().alias("dangling"))
                  .repartition(parts, "id").checkpoint(eager=True))
     n, n_dangling = v.select(F.count(F.lit(1)), F.count_if("dangling")).first()
+    if n == 0:
+        return v.select("id", F.lit(None).cast("double").alias("rank"))
 
     ranks = v.select("id", "dangling", F.lit(1.0 / n).alias("rank"))
     dangling_mass = n_dangling / n
@@ -209,6 +211,9 @@ def hits(vertices: DataFrame, edges: DataFrame, iterations: int = 30,
     e_dst = _salted_edges(e, "dst", "src", hot_dst, parts)
     v = vertices.select("id").distinct().repartition(parts, "id").checkpoint(eager=True)
     n = v.count()
+    if n == 0:
+        return v.select("id", F.lit(None).cast("double").alias("hub"),
+                        F.lit(None).cast("double").alias("authority"))
     hub = v.select("id", F.lit(1.0 / n).alias("hub"))
     auth = None
     for step in range(1, iterations + 1):

@@ -160,3 +160,13 @@ def test_graph_with_hub_is_salted_and_exact(spark):
     h1 = {r.id: (r.hub, r.authority) for r in hits(v, e, iterations=20, num_partitions=1).collect()}
     for k in h1:
         assert abs(h8[k][0] - h1[k][0]) < 1e-12 and abs(h8[k][1] - h1[k][1]) < 1e-12
+
+
+def test_empty_graph(spark):
+    v = spark.createDataFrame([], "id string")
+    e = spark.createDataFrame([], "src string, dst string")
+    assert pagerank(v, e).count() == 0
+    assert hits(v, e).count() == 0
+    lone = spark.createDataFrame([("a",), ("b",)], "id string")
+    ranks = {r.id: r.rank for r in pagerank(lone, e).collect()}
+    assert ranks == {"a": 0.5, "b": 0.5}  # no edges: all mass is dangling, spread evenly

@@ -38,8 +38,11 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     exchange when two branches of a query read the same table.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
     # Spread on a hash of the key: the placement does not pre-satisfy later
     # (key, ...) groupings, so the plan keeps the shape it has on large input.
     return df if have >= want else df.repartition(want, F.xxhash64(key))

@@ -210,3 +210,14 @@ def test_season_partitions_are_pruned(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(season" in plan and "(season#" in plan
     assert q.count() == orders.where("season = 1996").count()
+
+
+def test_summary_by_rollup_equals_union(spark):
+    from courtside.operators.lastn import with_summary_rollup
+    rows = spark.createDataFrame([("p1", "g1", 19, 10), ("p1", "g2", 17, 7), ("p2", "g1", 21, 5)],
+                                 "player string, game string, pts int, reb int")
+    rolled = with_summary_rollup(rows, ["player"], "game", ["pts", "reb"])
+    means = rows.groupBy("player").agg(F.avg("pts").alias("pts"), F.avg("reb").alias("reb"))
+    union = with_summary(rows, means, "game")
+    cols = ["player", "game", "pts", "reb"]
+    assert sorted(map(tuple, rolled.select(*cols).collect())) == sorted(map(tuple, union.select(*cols).collect()))

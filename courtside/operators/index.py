@@ -70,7 +70,7 @@ def term_postings(docs: DataFrame, id_col: str = "doc_id", text: Column | str =
         F.count(F.lit(1)).alias("tf"), F.min("pos").alias("first_pos"))
     if not stemmed:
         return per_doc
-    vocab = per_doc.select("term").distinct()
+    vocab = toks.select("term").distinct()  # one map-side-deduplicated aggregate
     ensure_checkpoint_dir(docs.sparkSession)
     stems = stem_terms(vocab, "term", "stem").checkpoint(eager=True)
     return (per_doc.join(stems, "term")

@@ -1,0 +1,46 @@
+"""Event folding, exact round trips and digests of formatted conversations."""
+
+import hashlib
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+from courtside.llm import chat as C
+
+SCHEMA = "conv_id long, seq long, kind string, target long, role string, text string"
+PIECES = st.lists(st.sampled_from(["<|im_end|>", "<|im_start|>", "<", "\\", "|", "<\\|", "<\\\\|im", "\n", "assistant", "é", "%0A", "%"]), max_size=8).map("".join)
+
+
+@given(st.lists(st.tuples(PIECES, PIECES), max_size=5))
+def test_round_trip(messages):
+    text, spans = C.render(messages)
+    assert C.parse(text) == messages
+    assert [C.unescape(text[s:e]) for s, e in spans] == [t for r, t in messages if r == "assistant"]
+
+
+@given(PIECES)
+def test_escaped_text_holds_no_control_string(text):
+    assert "<|" not in C.escape(text) and C.unescape(C.escape(text)) == text
+
+
+def test_fold():
+    events = [(0, "message", None, "user", "hi"), (1, "message", None, "assistant", "Hel"), (2, "delta", None, None, "lo"), (3, "delta", 1, None, "!"),
+              (4, "edit", 0, None, "hi there"), (5, "message", None, "user", "more"), (6, "message", None, "assistant", "a"), (7, "regenerate", None, "assistant", "b"),
+              (8, "regenerate", 1, None, "Hello again"), (9, "delta", 6, None, "gone"), (10, "message", None, "user", None), (11, "delete", 99, None, None)]
+    assert C.fold(events) == [("user", "hi there"), ("assistant", "Hello again"), ("user", "")]
+    assert C.fold([(0, "message", None, None, "x"), (1, "delete", 0, None, None), (2, "delta", None, None, "y")]) == []
+
+
+def test_operator(spark):
+    rows = [(1, 1, "message", None, "assistant", "yes <|im_end|>"), (1, 0, "message", None, "user", "q?"), (1, 2, "delta", None, None, " ok"),
+            (2, 0, "message", None, None, None), (None, 0, "message", None, "assistant", "n"), (3, 0, "message", None, "user", "a"), (3, 0, "message", None, "user", "a"),
+            (4, 5, "delta", None, None, "lost"), (5, 0, "message", None, "assistant", "z" * 300_000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = C.format_chats(df)
+    got = {r["conv_id"]: r for r in C.read_back(out).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, None}
+    text = "user\nq?\nassistant\nyes <|im_end|> ok\n"
+    assert got[1]["turns_sha256"] == hashlib.sha256(text.encode()).hexdigest() and got[1]["n_turns"] == 2
+    assert got[1]["loss_chars"] == len("yes <|im_end|> ok") and got[3]["n_turns"] == 2 and got[4]["n_turns"] == 0 and got[2]["n_turns"] == 1
+    assert got[5]["loss_chars"] == 300_000 and got[5]["formatted_chars"] == 300_000 + len("<|im_start|>assistant\n<|im_end|>\n")
+    assert C.read_back(C.format_chats(df.limit(0))).count() == 0

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.llm import decontaminate, quality_rules, secrets
+from courtside.llm import decontaminate, ngram_join, packing, quality_rules, secrets
 from courtside.llm.common import materialize, table
+from courtside.llm.queries import TOKENIZER
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +19,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of linked documents stays, the one with the smallest doc_id."""
+    return ngram_join.keep_first(docs)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows contaminated by benchmark items go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -28,10 +34,17 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return secrets.mask_secrets(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in near-equal windows."""
+    return packing.pack_documents(docs, TOKENIZER, end_id=2)
+
+
 STAGES = [
     ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicates_stage),
     ("decontamination", decontamination_stage),
     ("secret_scan", secrets_stage),
+    ("packing", packing_stage),
 ]
 
 #: The forest, the joins' components, the guess costs and the packing have no SQL form.

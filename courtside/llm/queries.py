@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import chat, decontaminate, quality_rules, secrets
+from courtside.llm import chat, decontaminate, ngram_join, packing, quality_rules, repair, secrets
 from courtside.llm.common import table
 
+#: Place of the tokenizer file on every machine.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,6 +31,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.encode_and_read_back(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
@@ -41,6 +53,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans"), count("guess").alias("n_guess"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("seq"), "role", "text")
     probe = "<|im_end|><|im_start|>assistant ok"
@@ -49,7 +66,8 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(events))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op8_secrets, op10_chat)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_quality_rules, op2_decontaminate, op6_repair, op7_ngram_join, op8_secrets, op9_packing, op10_chat)}
 
 _WORDS2 = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -71,6 +89,19 @@ own AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN own USING (r)""",
+    "op7_ngram_join": r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+pairs AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.r < y.r GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes s ON a = s.r JOIN sizes t ON b = t.r WHERE 100 * c >= 75 * (s.n + t.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT r, r FROM docs UNION SELECT reach.a, l.b FROM reach JOIN both_ways l ON reach.b = l.a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(e.doc_id) AS component_id
+FROM reach JOIN docs d ON reach.a = d.r JOIN docs e ON reach.b = e.r LEFT JOIN sizes s ON d.r = s.r GROUP BY d.r, d.doc_id, s.n""",
     "op10_chat": r"""
 WITH turns AS (
   SELECT conv_id::BIGINT AS conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -11,20 +11,21 @@ on, so copies never meet each other.
    not frequent comes first), then by hash.  Any order gives the same links;
    this one keeps frequent passages out of the prefixes.  The frequent ones
    are at most (mean set size / ``FREQUENT_SHARE``), however large the corpus.
-2. *Candidates.*  Linked sets share a shingle in their prefixes of that order
-   (n - ceil(0.75 n) + 1 shingles).  Prefix entries are dealt by ranges of
-   hashes into buckets.  Groups of up to ``SMALL_GROUP`` nodes with a common
-   shingle give their pairs; a larger group gives only pairs with a pivot,
-   drawn anew for each shingle.  Length and position bounds drop pairs that
-   cannot link.
-3. *Vertical partitioning.*  Every set is cut at fixed places of the hash
-   order into ``FRAGMENTS``; the overlaps of a pair are counted in each
-   fragment separately and summed per pair.
-4. *Rest of large groups.*  Nodes of one large group that still are in
-   different components are paired with new pivots, and after
-   ``PIVOT_ROUNDS`` rounds with all nodes of other components in the group.
-   So every candidate pair is either counted or already connected, and no
-   link between different components is lost.
+2. *Prefixes by fragments.*  Each set's prefix in that order (the first
+   n - ceil(0.75 n) + 1 + n / MORE shingles) is cut by ranges of hashes into
+   buckets.  A bucket counts the shingles that pairs of nodes share there, in
+   groups of up to ``SMALL_GROUP`` nodes with a common shingle; the counts are
+   summed per pair.  Linked sets must share a known part of their prefixes
+   (``least_in_prefix``); pairs with less, counting all they could share in
+   larger groups, go.
+3. *Vertical partitioning.*  The sets of the remaining pairs are cut at fixed
+   places of the hash order into ``FRAGMENTS``; the overlaps of a pair are
+   counted in each fragment separately and summed per pair.
+4. *Large groups.*  Nodes that share enough shingles of large groups and are
+   in different components are paired with a pivot of their group, drawn anew
+   for each shingle and round, and after ``PIVOT_ROUNDS`` rounds with all
+   nodes of other components in the group.  So every pair that could link is
+   either counted or already connected; copies of copies do not all meet.
 
 Defined results: a document without words, or without text, has an empty set
 and is linked with nothing, other empty ones included; a null ``doc_id`` is a
@@ -43,6 +44,7 @@ from pyspark.sql import types as T
 
 from courtside.llm.common import materialize, ship_code, slices
 from courtside.llm.components import components
+from courtside.llm.hashing import mix, stretch_hashes
 
 N = 5
 PERCENT = 75
@@ -50,54 +52,92 @@ FRAGMENTS = 8
 #: Share of the nodes from which on a shingle is ordered as frequent.
 FREQUENT_SHARE = 0.0005
 FREQUENT_LEAST = 32
-SMALL_GROUP = 6
+SMALL_GROUP = 24
+#: A prefix is longer by the set's size / MORE than one common shingle would take.
+MORE = 20
 PIVOT_ROUNDS = 2
 CHUNK = 1 << 21  # shingles (or entries) that a task holds before it hands them on
-CACHE_WORDS = 500_000
+GROUP_BYTES = 1 << 20  # texts hashed at once
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_SPACE = np.array([c == 0x20 or 0x09 <= c <= 0x0D for c in range(256)])
 _MULT = np.array([0x9E3779B97F4A7C15], np.uint64)
-_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<u4"), ("pos", "<u4")])
+_ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<u4")])
+
+
+def word_hashes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of lower-cased bytes, and where each word begins."""
+    inside = np.concatenate([[False], ~_SPACE[text], [False]])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    return stretch_hashes(text, start, end), start
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
+
+
+def shingle_sets(texts: list[bytes | None], n: int = N):
+    """Sorted distinct shingle hashes of each UTF-8 text in turn."""
+    at = 0
+    while at < len(texts):
+        held, size = [], 0
+        while at < len(texts) and size < GROUP_BYTES:
+            held.append(texts[at] or b"")
+            size += len(held[-1]) + 1
+            at += 1
+        joined = b" ".join(held).translate(_LOWER)
+        own, start = [], []
+        k = 0
+        while k < len(joined):  # long stretches are cut at a space
+            cut = joined.find(b" ", k + GROUP_BYTES) if len(joined) - k > 2 * GROUP_BYTES else -1
+            stop = len(joined) if cut < 0 else cut
+            h, s = word_hashes(np.frombuffer(joined, np.uint8, stop - k, k))
+            own.append(h)
+            start.append(s + k)
+            k = stop
+        h, start = (np.concatenate(own), np.concatenate(start)) if own else (np.zeros(0, np.uint64), np.zeros(0, int))
+        first = np.searchsorted(start, np.cumsum([0] + [len(t) + 1 for t in held]))
+        grams = np.zeros(len(h), np.uint64)
+        for k in range(min(n, len(h))):
+            grams[:len(h) - k] = grams[:len(h) - k] * _MULT + h[k:]
+        grams = mix(grams)
+        for x, y in zip(first[:-1].tolist(), first[1:].tolist()):
+            if y - x >= n:
+                yield _distinct(grams[x:y - n + 1])
+            elif y > x:  # one shingle, told apart by its number of words
+                whole = np.zeros(1, np.uint64)
+                for v in h[x:y]:
+                    whole = whole * _MULT + v
+                yield mix(whole + np.array([y - x], np.uint64) * _MULT)
+            else:
+                yield np.zeros(0, np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+def node_of(own: np.ndarray) -> int:
+    """The class of a set, as a signed 64-bit number."""
+    h = xxhash.xxh3_64_intdigest(own.tobytes())
+    return h - (1 << 64) if h >> 63 else h
 
 
-_word_hashes = _WordHashes()
+def beyond_prefix(n, percent: int = PERCENT):
+    """Shingles after the prefix: so few that linked sets share at least 1 + n / MORE of their prefixes."""
+    return (percent * n + 99) // 100 - 1 - n // MORE
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.array([0xBF58476D1CE4E5B9], np.uint64)
-    h = (h ^ (h >> np.uint64(27))) * np.array([0x94D049BB133111EB], np.uint64)
-    return h ^ (h >> np.uint64(31))
+def prefix_length(n, percent: int = PERCENT):
+    return n - beyond_prefix(n, percent)
 
 
-def shingles(text: bytes | None, n: int = N) -> np.ndarray:
-    """Sorted distinct shingle hashes of a UTF-8 text."""
-    words = text.translate(_LOWER).split() if text else []
-    if len(words) < n:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), len(words))] if words else [], np.uint64)
-    a = np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
-    h = a[:len(a) - n + 1].copy()
-    for k in range(1, n):
-        h = h * _MULT + a[k:len(a) - n + 1 + k]
-    h = np.sort(_mix(h))
-    return h[np.concatenate([[True], h[1:] != h[:-1]])]
+def least_overlap(size_a, size_b, percent: int = PERCENT):
+    """Common shingles that a link takes."""
+    return (percent * (size_a + size_b) + 99 + percent) // (100 + percent)
 
 
-def node_of(own: np.ndarray) -> int:
-    """The class of a set, as a signed 64-bit number."""
-    h = xxhash.xxh3_64_intdigest(own.tobytes())
-    return h - (1 << 64) if h >> 63 else h
-
-
-def prefix_length(n, percent: int = PERCENT):
-    return n - (percent * n + 99) // 100 + 1
+def least_in_prefix(size_a, size_b, percent: int = PERCENT):
+    """Shingles that linked sets have in common in their prefixes: at most one set's rest can lie beyond."""
+    return least_overlap(size_a, size_b, percent) - np.maximum(beyond_prefix(size_a, percent), beyond_prefix(size_b, percent))
 
 
 MEMBERS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()), T.StructField("n_shingles", T.LongType()),
@@ -121,8 +161,7 @@ def members(docs: DataFrame, n: int = N) -> DataFrame:
         seen, sets, total = set(), [], 0
         for b in slices(batches):
             sizes, nodes, one, many = [], [], [None] * b.num_rows, [None] * b.num_rows
-            for t in b["text"].cast(pa.binary()).to_pylist():
-                own = shingles(t, n)
+            for own in shingle_sets(b["text"].cast(pa.binary()).to_pylist(), n):
                 sizes.append(len(own))
                 nodes.append(node_of(own))
                 if len(own) and nodes[-1] not in seen:
@@ -170,13 +209,6 @@ def in_order(own: np.ndarray, often: np.ndarray, level: np.ndarray) -> np.ndarra
     return own[np.argsort(np.where(found, level[at], 0), kind="stable")]
 
 
-def may_link(size_a, pos_a, size_b, pos_b, percent: int = PERCENT):
-    """Whether two sets whose first common shingle has these positions can reach the similarity."""
-    low, high = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    need = -(-percent * (size_a + size_b) // (100 + percent))
-    return (100 * low >= percent * high) & (1 + np.minimum(size_a - 1 - pos_a, size_b - 1 - pos_b) >= need)
-
-
 def prefix_entries(docs: DataFrame, often: np.ndarray, level: np.ndarray, buckets: int, n: int = N, percent: int = PERCENT) -> DataFrame:
     """(bucket, entries): prefix shingles of all nodes as packed records, dealt by hash ranges."""
     order = docs.sparkSession.sparkContext.broadcast((often, level))
@@ -195,14 +227,13 @@ def prefix_entries(docs: DataFrame, often: np.ndarray, level: np.ndarray, bucket
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([raw[edge[k] * _ENTRY.itemsize:edge[k + 1] * _ENTRY.itemsize] for k in full], pa.binary())], names=schema.names)
 
         for b in slices(batches):
-            for t in b["text"].cast(pa.binary()).to_pylist():
-                own = shingles(t, n)
+            for own in shingle_sets(b["text"].cast(pa.binary()).to_pylist(), n):
                 if not len(own) or (node := node_of(own)) in seen:
                     continue
                 seen.add(node)
                 size = prefix_length(len(own), percent)
                 out = np.empty(size, _ENTRY)
-                out["key"], out["node"], out["size"], out["pos"] = in_order(own, *order.value)[:size], node, len(own), np.arange(size)
+                out["key"], out["node"], out["size"] = in_order(own, *order.value)[:size], node, len(own)
                 held.append(out)
                 total += size
             if total >= CHUNK // 2:
@@ -228,50 +259,52 @@ def _groups(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pairs(own: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
-    """Distinct (a, b, size of a, size of b), a below b, of the entries i and j that may link."""
+    """Distinct (a, b, size of a, size of b, times), a below b, of the entries i and j whose sizes allow a link."""
     a, b = own[i], own[j]
-    ok = may_link(a["size"].astype(np.int64), a["pos"].astype(np.int64), b["size"].astype(np.int64), b["pos"].astype(np.int64), percent) & (a["node"] != b["node"])
+    low, high = np.minimum(a["size"], b["size"]).astype(np.int64), np.maximum(a["size"], b["size"]).astype(np.int64)
+    ok = (100 * low >= percent * high) & (a["node"] != b["node"])
+    if "often" in own.dtype.names:  # as many common shingles in large groups as either has there at most
+        ok &= np.minimum(a["often"], b["often"]) >= least_in_prefix(low, high, percent)
     a, b = a[ok], b[ok]
     swap = a["node"] > b["node"]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
-    out = np.stack([a["node"], b["node"], a["size"].astype(np.int64), b["size"].astype(np.int64)], axis=1)
-    out = out[np.lexsort((out[:, 1], out[:, 0]))]
-    return out[np.concatenate([[True], (out[1:, :2] != out[:-1, :2]).any(axis=1)])] if len(out) else out
+    rank = np.lexsort((b["node"], a["node"]))
+    a, b = a[rank], b[rank]
+    edge = np.flatnonzero(np.concatenate([[True], (a["node"][1:] != a["node"][:-1]) | (b["node"][1:] != b["node"][:-1])])) if len(a) else np.zeros(0, int)
+    times = np.diff(np.concatenate([edge, [len(a)]]))
+    a, b = a[edge], b[edge]
+    return np.stack([a["node"], b["node"], a["size"].astype(np.int64), b["size"].astype(np.int64), times], axis=1)
 
 
 def pivots(own: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
     """For every entry, the entry that is its group's pivot."""
-    draw = _mix(own["node"].view(np.uint64) ^ _mix(own["key"] + np.array([seed], np.uint64)))
+    draw = mix(own["node"].view(np.uint64) ^ mix(own["key"] + np.array([seed], np.uint64)))
     least = np.repeat(np.minimum.reduceat(draw, start), size) if len(start) else draw
     at = np.where(draw == least, np.arange(len(own)), len(own))
     return np.repeat(np.minimum.reduceat(at, start), size) if len(start) else at
 
 
 FOUND = T.StructType([T.StructField("kind", T.ByteType()), T.StructField("key", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
-                      T.StructField("size_a", T.IntegerType()), T.StructField("size_b", T.IntegerType()), T.StructField("pos", T.IntegerType())])
+                      T.StructField("size_a", T.IntegerType()), T.StructField("size_b", T.IntegerType()), T.StructField("times", T.IntegerType())])
 
 
 def candidates(entries: DataFrame, percent: int = PERCENT, small_group: int = SMALL_GROUP) -> DataFrame:
-    """Rows of kind 0: pairs to count; of kind 1: entries of large groups."""
+    """Rows of kind 0: pairs with the number of shingles that they share in small groups of one bucket;
+    of kind 1: entries of large groups."""
     def find(own: np.ndarray):
         own, start, size = _groups(own)
         if not len(own):
             return
         group = np.repeat(np.arange(len(size)), size)
         large = np.repeat(size > small_group, size)
-        found = []
-        for d in range(1, small_group):
-            i = np.flatnonzero((group[:-d] == group[d:]) & ~large[:-d])
-            found.append(_pairs(own, i, i + d, percent))
-        if large.any():
-            found.append(_pairs(own, np.flatnonzero(large), pivots(own, start, size, 0)[large], percent))
-        pairs = np.concatenate(found)
+        i = [np.flatnonzero((group[:-d] == group[d:]) & ~large[:-d]) for d in range(1, small_group)]
+        pairs = _pairs(own, np.concatenate([*i, np.zeros(0, int)]), np.concatenate([*(x + d for d, x in enumerate(i, 1)), np.zeros(0, int)]), percent)
         m, rest = len(pairs), own[large]
         if m:
-            yield [np.zeros(m, np.int8), np.zeros(m, np.int64), pairs[:, 0], pairs[:, 1], pairs[:, 2].astype(np.int32), pairs[:, 3].astype(np.int32), np.zeros(m, np.int32)]
+            yield [np.zeros(m, np.int8), np.zeros(m, np.int64), pairs[:, 0], pairs[:, 1], *(pairs[:, k].astype(np.int32) for k in (2, 3, 4))]
         if len(rest):
             zero = np.zeros(len(rest), np.int32)
-            yield [np.ones(len(rest), np.int8), rest["key"].view(np.int64), rest["node"], np.zeros(len(rest), np.int64), rest["size"].astype(np.int32), zero, rest["pos"].astype(np.int32)]
+            yield [np.ones(len(rest), np.int8), rest["key"].view(np.int64), rest["node"], np.zeros(len(rest), np.int64), rest["size"].astype(np.int32), zero, zero]
 
     def run(batches):
         bucket, held = None, []
@@ -290,6 +323,29 @@ def candidates(entries: DataFrame, percent: int = PERCENT, small_group: int = SM
     return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
+def _to_count(found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs that share enough of their prefixes (summed over all buckets), and entries of large groups whose node can.
+
+    A pair that meets in small groups shares there what was counted, and in large groups at most as many
+    shingles as either node has there.  A pair that meets in large groups only shares no more than that.
+    """
+    def whole(expr):
+        return F.floor(expr).cast("long")
+
+    def beyond(size):
+        return whole((percent * size + 99) / 100) - 1 - whole(size / MORE)
+
+    entries = found.filter("kind = 1").select("key", F.col("a").alias("node"), F.col("size_a").cast("long").alias("size"))
+    often = entries.groupBy("node", "size").agg(F.count("*").alias("often"))
+    pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.first("size_a").cast("long").alias("size_a"), F.first("size_b").cast("long").alias("size_b"), F.sum("times").alias("times"))
+    pairs = pairs.join(often.select(F.col("node").alias("a"), F.col("often").alias("often_a")), "a", "left") \
+        .join(often.select(F.col("node").alias("b"), F.col("often").alias("often_b")), "b", "left")
+    need = whole((percent * (F.col("size_a") + F.col("size_b")) + 99 + percent) / (100 + percent)) - F.greatest(beyond(F.col("size_a")), beyond(F.col("size_b")))
+    pairs = pairs.filter(F.col("times") + F.least(F.coalesce("often_a", F.lit(0)), F.coalesce("often_b", F.lit(0))) >= need).select("a", "b", "size_a", "size_b")
+    able = often.filter(F.col("often") >= F.greatest(F.lit(1), whole(F.col("size") / MORE))).select("node", "often")
+    return pairs, entries.join(able, "node")
+
+
 def fragments(rows: DataFrame, n: int = N) -> DataFrame:
     """(node, fragment, part): each node's set cut by the top bits of the hashes; empty parts are left out."""
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("fragment", T.IntegerType()), T.StructField("part", T.BinaryType())])
@@ -298,8 +354,7 @@ def fragments(rows: DataFrame, n: int = N) -> DataFrame:
     def run(batches):
         for b in slices(batches):
             out = []
-            for node, t in zip(b["node"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
-                own = shingles(t, n)
+            for node, own in zip(b["node"].to_pylist(), shingle_sets(b["text"].cast(pa.binary()).to_pylist(), n)):
                 for f, part in enumerate(np.split(own, np.searchsorted(own, cuts))):
                     if len(part):
                         out.append((node, f, part.tobytes()))
@@ -339,13 +394,12 @@ def _rest(entries: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _rest_pairs(rest: DataFrame, seed: int | None, percent: int) -> DataFrame:
-    """Pairs of different components in one group: with a new pivot, or (no seed) all that may link."""
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("size_a", T.IntegerType()), T.StructField("size_b", T.IntegerType())])
-    kind = np.dtype(_ENTRY.descr + [("comp", "<i8")])
+    """Pairs of different components in one group: with a pivot, or (no seed) all that may link."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "size_a", "size_b")])
+    kind = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i8"), ("often", "<i8"), ("comp", "<i8")])
 
     def batch(pairs):
-        cols = [pairs[:, 0], pairs[:, 1], pairs[:, 2].astype(np.int32), pairs[:, 3].astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=schema.names)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in range(4)], names=schema.names)
 
     def find(own):
         own = own[np.argsort(own["comp"], kind="stable")]
@@ -371,7 +425,7 @@ def _rest_pairs(rest: DataFrame, seed: int | None, percent: int) -> DataFrame:
         for b in slices(batches, 1 << 16):
             own = np.empty(b.num_rows, kind)
             own["key"] = b["key"].to_numpy().view(np.uint64)
-            for c in ("node", "size", "pos", "comp"):
+            for c in ("node", "size", "often", "comp"):
                 own[c] = b[c].to_numpy()
             for part in np.split(own, np.flatnonzero(own["key"][1:] != own["key"][:-1]) + 1):
                 if key is not None and part["key"][0] != key:
@@ -382,36 +436,34 @@ def _rest_pairs(rest: DataFrame, seed: int | None, percent: int) -> DataFrame:
         if held:
             yield from (batch(p) for p in find(np.concatenate(held)) if len(p))
 
-    return rest.select("key", "node", "size", "pos", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(run, schema).dropDuplicates(["a", "b"])
+    return rest.select("key", "node", "size", "often", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(run, schema).dropDuplicates(["a", "b"])
 
 
 def linked_components(docs: DataFrame, rows: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """(node, comp) of every node that has a link; ``rows`` are the written ``members``."""
     spark = docs.sparkSession
     own = rows.filter("n_shingles > 0")
-    classes = own.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     n_nodes = own.agg(F.approx_count_distinct("node")).first()[0]
     often, level = frequent_shingles(rows, n_nodes)
     buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = materialize(candidates(prefix_entries(docs, often, level, buckets, n, percent), percent), "candidates")
-    pairs = found.filter("kind = 0").select("a", "b", "size_a", "size_b").dropDuplicates(["a", "b"])
-    entries = found.filter("kind = 1").select("key", F.col("a").alias("node"), F.col("size_a").alias("size"), "pos")
-    wanted = found.select(F.explode(F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("a"))).alias("node")).distinct()
-    first = classes.join(wanted, "node", "left_semi").select("node", F.col("first.doc_id").alias("d"), F.col("first.text_hash").alias("h"))
+    pairs, entries = (materialize(x, name) for x, name in zip(_to_count(found, percent), ("pairs", "entries")))
+    wanted = pairs.select("a").union(pairs.select("b")).union(entries.select("node")).toDF("node").distinct()
+    first = own.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")) \
+        .select("node", F.col("first.doc_id").alias("d"), F.col("first.text_hash").alias("h"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     met = texts.join(first, texts["doc_id"].eqNullSafe(first["d"]) & (F.xxhash64(texts["text"]) == first["h"]))
     held = materialize(met.select("node", "text"), "candidate-texts")
     if not held.groupBy("node").count().filter("count > 1").isEmpty():  # the same row stands more than once
         held = materialize(held.dropDuplicates(["node"]), "candidate-texts")
     parts = fragments(held, n)
-    links = materialize(count_links(pairs, parts, percent), "links")
-    comp = materialize(components(links), "components")
+    comp = materialize(components(count_links(pairs, parts, percent)), "components")
     for k in range(PIVOT_ROUNDS + 1):
         rest = materialize(_rest(entries, comp), "rest")
         if rest.isEmpty():
             break
         more = count_links(_rest_pairs(rest, k + 1 if k < PIVOT_ROUNDS else None, percent), parts, percent)
-        links = materialize(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more), "links")
+        links = comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)
         comp = materialize(components(links), "components")
     return comp
 

@@ -97,18 +97,43 @@ def test_keep_first(spark):
     assert J.keep_first(df.limit(0)).count() == 0 and J.join_documents(df.limit(0)).count() == 0
 
 
-def test_prefix_and_bounds_lose_no_link():
+def test_prefixes_of_linked_sets_share_enough():
     rng = np.random.default_rng(7)
-    for _ in range(400):
-        n = int(rng.integers(1, 40))
-        a = np.unique(rng.integers(0, 60, n).astype(np.uint64))
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 60, 3).astype(np.uint64)]))
+    linked = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 120))
+        a = np.unique(rng.integers(0, 200, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.choice([0.8, 0.9, 1])], rng.integers(0, 200, rng.integers(0, 12)).astype(np.uint64)]))
         common = len(np.intersect1d(a, b))
         if not common or 100 * common < 75 * (len(a) + len(b) - common):
             continue
-        pa_, pb = a[:J.prefix_length(len(a))].tolist(), b[:J.prefix_length(len(b))].tolist()
-        first = min(set(pa_) & set(pb))
-        assert J.may_link(np.int64(len(a)), np.int64(pa_.index(first)), np.int64(len(b)), np.int64(pb.index(first)))
+        linked += 1
+        assert common >= J.least_overlap(len(a), len(b))
+        shared = len(set(a[:J.prefix_length(len(a))].tolist()) & set(b[:J.prefix_length(len(b))].tolist()))
+        assert shared >= max(1, J.least_in_prefix(len(a), len(b)), min(len(a), len(b)) // J.MORE, )
+    assert linked > 300
+
+
+def test_shingles_are_distinct_and_alike_in_any_batch():
+    rng = random.Random(3)
+    texts = [None, "", "a", "A b", "a b c d", "a b c d e"] + [" ".join(rng.choices(["ab", "ba", "Éa", "aab", "x" * 40], k=rng.randint(0, 80))) for _ in range(60)]
+    raw = [t and t.encode() for t in texts]
+    alone = [next(J.shingle_sets([t])) for t in raw]
+    assert [x.tolist() for x in J.shingle_sets(raw)] == [x.tolist() for x in alone]
+    assert [len(x) for x in alone] == [len(set_of(t)) for t in texts]
+    seen = {}
+    for t, x in zip(texts, alone):
+        w = words_of(t)
+        for k in range(max(0, len(w) - 4)):
+            seen.setdefault(tuple(w[k:k + 5]), None)
+    assert len(np.unique(np.concatenate([x for x, t in zip(alone, texts) if len(words_of(t)) >= 5]))) == len(seen)
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    text = " ".join(f"w{k % 977} v{k % 31}" for k in range(3000)).encode()
+    whole = next(J.shingle_sets([text]))
+    monkeypatch.setattr(J, "GROUP_BYTES", 100)
+    assert next(J.shingle_sets([text])).tolist() == whole.tolist()
 
 
 def test_components_of_chains_and_stars(spark):

@@ -37,6 +37,7 @@ def test_chunks_equal_whole_texts(text):
 def test_odd_texts_and_small_cache(monkeypatch):
     import courtside.llm.tokens as tokens
     monkeypatch.setattr(tokens, "CACHE_CHUNKS", 5)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 30)
     own = Encoder(PATH)
     assert own.by_chunk
     got = own.encode([None] + [t.encode() for t in ODD * 2])

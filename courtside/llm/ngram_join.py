@@ -22,10 +22,11 @@ on, so copies never meet each other.
    places of the hash order into ``FRAGMENTS``; the overlaps of a pair are
    counted in each fragment separately and summed per pair.
 4. *Large groups.*  Nodes that share enough shingles of large groups and are
-   in different components are paired with a pivot of their group, drawn anew
-   for each shingle and round, and after ``PIVOT_ROUNDS`` rounds with all
-   nodes of other components in the group.  So every pair that could link is
-   either counted or already connected; copies of copies do not all meet.
+   in different components are paired with a pivot of their group: in rounds,
+   with ``PIVOTS`` different ones over all groups of one set of near copies,
+   drawn from those with the most links so far; in the end with all nodes of
+   other components in the group.  So every pair that could link is either
+   counted or already connected; copies of copies do not all meet.
 
 Defined results: a document without words, or without text, has an empty set
 and is linked with nothing, other empty ones included; a null ``doc_id`` is a
@@ -55,7 +56,8 @@ FREQUENT_LEAST = 32
 SMALL_GROUP = 24
 #: A prefix is longer by the set's size / MORE than one common shingle would take.
 MORE = 20
-PIVOT_ROUNDS = 2
+#: Rounds, and the different pivots that nodes of one large group of near copies meet in each, over all their shingles.
+PIVOTS = (8, 32, 64)
 CHUNK = 1 << 21  # shingles (or entries) that a task holds before it hands them on
 GROUP_BYTES = 1 << 20  # texts hashed at once
 
@@ -276,12 +278,11 @@ def _pairs(own: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.nd
     return np.stack([a["node"], b["node"], a["size"].astype(np.int64), b["size"].astype(np.int64), times], axis=1)
 
 
-def pivots(own: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
-    """For every entry, the entry that is its group's pivot."""
-    draw = mix(own["node"].view(np.uint64) ^ mix(own["key"] + np.array([seed], np.uint64)))
-    least = np.repeat(np.minimum.reduceat(draw, start), size) if len(start) else draw
-    at = np.where(draw == least, np.arange(len(own)), len(own))
-    return np.repeat(np.minimum.reduceat(at, start), size) if len(start) else at
+def pivot_of(own: np.ndarray, seed: int, pivots: int) -> int:
+    """A group's pivot: of the nodes with the most links so far (up to the first round's pivots) the first in one of ``pivots`` random orders."""
+    best = np.flatnonzero(own["links"] == own["links"].max())
+    order = mix(own["node"][best].view(np.uint64) ^ mix(own["key"][:1] % np.uint64(pivots) + np.array([seed << 20], np.uint64)))
+    return int(best[order.argmin()])
 
 
 FOUND = T.StructType([T.StructField("kind", T.ByteType()), T.StructField("key", T.LongType()), T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
@@ -386,46 +387,46 @@ def count_links(pairs: DataFrame, parts: DataFrame, percent: int = PERCENT) -> D
     return summed.filter(100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))).select("a", "b")
 
 
-def _rest(entries: DataFrame, comp: DataFrame) -> DataFrame:
-    """Entries of groups with more than one component, with their component."""
+def _rest(entries: DataFrame, comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries of groups with more than one component, with their component and number of links."""
+    degree = links.select("a").union(links.select("b")).toDF("node").groupBy("node").agg(F.least(F.count("*"), F.lit(PIVOTS[0])).alias("links"))
     now = entries.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    return now.join(mixed, "key", "left_semi")
+    return now.join(mixed, "key", "left_semi").join(degree, "node", "left").withColumn("links", F.coalesce("links", F.lit(0)))
 
 
-def _rest_pairs(rest: DataFrame, seed: int | None, percent: int) -> DataFrame:
-    """Pairs of different components in one group: with a pivot, or (no seed) all that may link."""
+def _rest_pairs(rest: DataFrame, seed: int, pivots: int, percent: int) -> DataFrame:
+    """Pairs of different components in one group: with its pivot, or (no pivots) all that may link."""
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "size_a", "size_b")])
-    kind = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i8"), ("often", "<i8"), ("comp", "<i8")])
+    fields = ("node", "size", "often", "comp", "links")
+    kind = np.dtype([("key", "<u8"), *[(c, "<i8") for c in fields]])
 
     def batch(pairs):
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in range(4)], names=schema.names)
 
     def find(own):
-        own = own[np.argsort(own["comp"], kind="stable")]
-        if seed is not None:
-            p = pivots(own, np.zeros(1, int), np.array([len(own)]), seed)
+        if pivots:
+            p = pivot_of(own, seed, pivots)
             i = np.flatnonzero(own["comp"] != own["comp"][p])
-            yield _pairs(own, i, p[i], percent)
+            yield _pairs(own, i, np.full(len(i), p), percent)
             return
-        held, total = [], 0
-        after = np.searchsorted(own["comp"], own["comp"], "right")
-        for i in range(len(own)):  # each entry with those of later components
-            j = np.arange(after[i], len(own))
-            held.append(_pairs(own, np.full(len(j), i), j, percent))
-            total += len(held[-1])
-            if total > 1 << 18:
-                yield np.concatenate(held)
-                held, total = [], 0
-        if held:
-            yield np.concatenate(held)
+        own = own[np.argsort(own["comp"], kind="stable")]
+        after = np.searchsorted(own["comp"], own["comp"], "right")  # each entry with those of later components, some entries at a time
+        ends = np.cumsum(len(own) - after)
+        at = 0
+        while at < len(own):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 19), "right")))
+            count = len(own) - after[at:stop]
+            i = np.repeat(np.arange(at, stop), count)
+            yield _pairs(own, i, np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(after[at:stop], count), percent)
+            at = stop
 
     def run(batches):
         held, key = [], None
         for b in slices(batches, 1 << 16):
             own = np.empty(b.num_rows, kind)
             own["key"] = b["key"].to_numpy().view(np.uint64)
-            for c in ("node", "size", "often", "comp"):
+            for c in fields:
                 own[c] = b[c].to_numpy()
             for part in np.split(own, np.flatnonzero(own["key"][1:] != own["key"][:-1]) + 1):
                 if key is not None and part["key"][0] != key:
@@ -436,7 +437,7 @@ def _rest_pairs(rest: DataFrame, seed: int | None, percent: int) -> DataFrame:
         if held:
             yield from (batch(p) for p in find(np.concatenate(held)) if len(p))
 
-    return rest.select("key", "node", "size", "often", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(run, schema).dropDuplicates(["a", "b"])
+    return rest.select("key", *[F.col(c).cast("long").alias(c) for c in fields]).repartition("key").sortWithinPartitions("key").mapInArrow(run, schema).dropDuplicates(["a", "b"])
 
 
 def linked_components(docs: DataFrame, rows: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -457,14 +458,15 @@ def linked_components(docs: DataFrame, rows: DataFrame, n: int = N, percent: int
     if not held.groupBy("node").count().filter("count > 1").isEmpty():  # the same row stands more than once
         held = materialize(held.dropDuplicates(["node"]), "candidate-texts")
     parts = fragments(held, n)
-    comp = materialize(components(count_links(pairs, parts, percent)), "components")
-    for k in range(PIVOT_ROUNDS + 1):
-        rest = materialize(_rest(entries, comp), "rest")
+    links = materialize(count_links(pairs, parts, percent), "links")
+    comp = materialize(components(links), "components")
+    for k, pivots in enumerate((*PIVOTS, 0)):
+        rest = materialize(_rest(entries, comp, links), "rest")
         if rest.isEmpty():
             break
-        more = count_links(_rest_pairs(rest, k + 1 if k < PIVOT_ROUNDS else None, percent), parts, percent)
-        links = comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)
-        comp = materialize(components(links), "components")
+        more = materialize(count_links(_rest_pairs(rest, k, pivots, percent), parts, percent), "links")
+        links = links.union(more)
+        comp = materialize(components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)), "components")
     return comp
 
 

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import chat, decontaminate, ngram_join, packing, ppm, quality_rules, repair, secrets
+from courtside.llm import chat, cotrain, decontaminate, html_extract, ngram_join, packing, ppm, quality_rules, repair, secrets
 from courtside.llm.common import table
 
 #: Place of the tokenizer file on every machine.
@@ -31,10 +31,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.encode_and_read_back(table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
@@ -71,7 +79,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_rules, op2_decontaminate, op4_ppm, op6_repair, op7_ngram_join, op8_secrets, op9_packing, op10_chat)}
+    op1_quality_rules, op2_decontaminate, op3_html_extract, op4_ppm, op5_cotrain, op6_repair, op7_ngram_join, op8_secrets, op9_packing, op10_chat)}
 
 _WORDS2 = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -34,13 +34,26 @@ def percent_value(text: Column | str) -> Column:
 
 
 def half_even(x: Column | str, digits: int) -> Column:
-    """``round(x, n)`` with ties to even, as Python rounds (C20)."""
-    return F.bround(_col(x), digits)
+    """``round(x, n)`` of the binary value, exact ties to even, as Python rounds (C20).
+
+    ``x * 10**n`` is rounded by the multiplication, so 2.675 would look like a
+    tie; the exact remainder of the product (split multiplication) tells on
+    which side of the half the value lies.  Exact while ``x * 10**n`` is below
+    2**52; larger values have no such digits left and stay as they are.
+    """
+    v, scale = _col(x).cast("double"), float(10 ** digits)
+    high = v * 134217729.0 - (v * 134217729.0 - v)  # the upper 26 bits
+    product = v * scale
+    rest = (high * scale - product) + (v - high) * scale
+    low = F.floor(product).cast("double")
+    part = product - low
+    up = (part > 0.5) | ((part == 0.5) & ((rest > 0) | ((rest == 0) & (low % 2 != 0))))
+    return F.when(F.abs(product) < 2.0 ** 52, (low + F.when(up, 1.0).otherwise(0.0)) / scale).otherwise(v)
 
 
 def fixed(x: Column | str, digits: int) -> Column:
-    """Fixed-point text, ``'%.2f'``."""
-    return F.format_string(f"%.{digits}f", _col(x))
+    """Fixed-point text, ``'%.2f'``, rounded as ``half_even``."""
+    return F.format_string(f"%.{digits}f", half_even(x, digits))
 
 
 def season_label(year: Column | str) -> Column:

@@ -51,9 +51,9 @@ IRREGULAR_FORMS = {
 
 
 # Signature rules; capture groups instead of look-behind, so the same rules
-# run on RE2 engines too.  Runs of "y" alternate, three rounds cover six.
-_SIG_RULES = [("[aeiou]", "V"), ("[^Vy]", "C"), ("^y", "C")] + \
-    [("(C)y", "{1}V"), ("(V)y", "{1}C")] * 3
+# run on RE2 engines too.  A "y" at the start or after a vowel is a consonant;
+# the rest of its run alternates from there, whatever its length.
+_SIG_RULES = [("[aeiou]", "V"), ("[^Vy]", "C"), ("(^|V)y", "{1}C"), ("yy", "VC"), ("y", "V")]
 
 
 def signature(word: Column) -> Column:

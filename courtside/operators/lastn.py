@@ -77,22 +77,3 @@ def with_summary(detail: DataFrame, summary: DataFrame, label_col: str,
     columns widen to the common type (int detail + double mean -> double).
     """
     return detail.unionByName(summary.withColumn(label_col, F.lit(label)))
-
-
-def with_summary_rollup(rows: DataFrame, entity_cols: list[str], label_col: str,
-                        measures: list[str], label: str = "Averages") -> DataFrame:
-    """Detail rows plus one mean row per entity from a single ``rollup``.
-
-    ``rollup(entity..., label)`` yields the (entity, label) level, one row per
-    game when labels are unique within an entity, and the entity level, the
-    mean over its rows; ``grouping_id`` tells them apart and the grand total
-    is dropped.  One aggregate instead of a union of two.
-    """
-    keys = [*entity_cols, label_col]
-    agg = rows.rollup(*keys).agg(F.grouping_id(*keys).alias("__cs_gid"),
-                                 *[F.avg(m).alias(m) for m in measures])
-    detail_gid, summary_gid = 0, 1
-    return (agg.where(F.col("__cs_gid").isin(detail_gid, summary_gid))
-               .withColumn(label_col, F.when(F.col("__cs_gid") == summary_gid, F.lit(label))
-                           .otherwise(F.col(label_col)))
-               .drop("__cs_gid"))

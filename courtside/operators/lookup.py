@@ -5,28 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A dimension above this many rows is joined with a shuffle instead.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def lookup_id(requests: DataFrame, name_col: str, dim: DataFrame, dim_name: str,
+              dim_id: str, out_col: str) -> DataFrame:
+    """Left-join ``dim`` on name; ``out_col`` is null for unknown names.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has <= ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame
-    is returned as is and the join falls back to a shuffle join.
+    Whether the dimension is small enough to broadcast is left to
+    ``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def lookup_id(requests: DataFrame, name_col: str, dim: DataFrame, dim_name: str,
-              dim_id: str, out_col: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left-join ``dim`` on name; ``out_col`` is null for unknown names."""
     d = dim.select(F.col(dim_name).alias("__cs_name"), F.col(dim_id).alias(out_col))
-    return (requests.join(bounded_broadcast(d, max_rows),
-                          F.col(name_col) == F.col("__cs_name"), "left")
-                    .drop("__cs_name"))
+    return requests.join(d, F.col(name_col) == F.col("__cs_name"), "left").drop("__cs_name")
 
 
 def matchup_status(team1: Column | str, team2: Column | str,

@@ -50,10 +50,9 @@ def global_row_number(df: DataFrame, order_by: list[Column], rank_col: str = "ra
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order_by)
-                 .sortWithinPartitions(*order_by)
-                 .checkpoint(eager=True))
+    # Without a number, adaptive execution merges small ranges; a fixed one is kept.
+    ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
+    ordered = ranged.sortWithinPartitions(*order_by).checkpoint(eager=True)
     tagged = (ordered.withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     # One row per non-empty partition: the number of rows before it.

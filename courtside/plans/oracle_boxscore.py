@@ -6,7 +6,7 @@ same columns (names and types) as the matching Spark query.
 
 from __future__ import annotations
 
-from courtside.plans.boxscore import H2H_TEAM1, H2H_TEAM2
+from courtside.plans.boxscore import H2H_SEASONS, H2H_TEAM1, H2H_TEAM2, PLAYER_NAME
 
 _LAST3 = """
 WITH last3 AS (
@@ -19,7 +19,7 @@ WITH last3 AS (
          max(CASE WHEN rn = 1 THEN o_totalprice END) AS g1,
          max(CASE WHEN rn = 2 THEN o_totalprice END) AS g2,
          max(CASE WHEN rn = 3 THEN o_totalprice END) AS g3,
-         round(avg(o_totalprice), 6) AS avg_price,
+         avg(o_totalprice) AS avg_price,
          count(o_totalprice) AS n_games
   FROM last3 GROUP BY o_custkey
 ), s AS (
@@ -29,14 +29,14 @@ WITH last3 AS (
 """
 
 TOPK_AVG_LAST_N = _LAST3 + """
-SELECT CAST(row_number() OVER (ORDER BY avg_price DESC, c_custkey) AS INTEGER) AS rank,
-       c_custkey, c_name, g1, g2, g3, avg_price, n_games
-FROM s ORDER BY avg_price DESC, c_custkey LIMIT 5
+SELECT CAST(row_number() OVER (ORDER BY s.avg_price DESC, c_custkey) AS INTEGER) AS rank,
+       c_custkey, c_name, g1, g2, g3, round(avg_price, 6) AS avg_price, n_games
+FROM s ORDER BY s.avg_price DESC, c_custkey LIMIT 5
 """
 
 RANKED_AVG_LAST_N = _LAST3 + """
-SELECT CAST(row_number() OVER (ORDER BY avg_price DESC, c_custkey) AS BIGINT) AS rank,
-       c_custkey, c_name, g1, g2, g3, avg_price, n_games
+SELECT CAST(row_number() OVER (ORDER BY s.avg_price DESC, c_custkey) AS BIGINT) AS rank,
+       c_custkey, c_name, g1, g2, g3, round(avg_price, 6) AS avg_price, n_games
 FROM s
 """
 
@@ -54,24 +54,26 @@ SELECT o_custkey,
 FROM last3 GROUP BY o_custkey
 """
 
-LAST10_AVG_WITH_SUMMARY = """
+_LAST10 = """
 WITH per_order AS (
   SELECT l_orderkey,
          CAST(sum(l_quantity) AS INTEGER) AS points,
          CAST(count(*) AS INTEGER) AS rebounds,
          CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS INTEGER) AS assists
   FROM lineitem GROUP BY l_orderkey
-), games AS (
-  SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, p.points, p.rebounds, p.assists
-  FROM orders o JOIN per_order p ON o.o_orderkey = p.l_orderkey
+), recent AS (
+  SELECT o_orderkey, o_custkey, o_orderdate,
+         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS seq
+  FROM orders WHERE o_custkey IS NOT NULL QUALIFY seq <= 10
 ), last10 AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey
-                                    ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS seq
-  FROM games QUALIFY seq <= 10
+  SELECT r.*, p.points, p.rebounds, p.assists FROM recent r JOIN per_order p ON r.o_orderkey = p.l_orderkey
 ), means AS (
   SELECT o_custkey, avg(points) AS points, avg(rebounds) AS rebounds, avg(assists) AS assists
   FROM last10 GROUP BY o_custkey
 )
+"""
+
+_LAST10_ROWS = """
 SELECT o_custkey AS c_custkey, seq,
        strftime(o_orderdate, '%b %d, %Y') || ' - #' || CAST(o_orderkey AS VARCHAR) AS game,
        CAST(points AS DOUBLE) AS points, CAST(rebounds AS DOUBLE) AS rebounds,
@@ -85,6 +87,39 @@ SELECT c.c_custkey, CAST(NULL AS INTEGER) AS seq, 'Averages' AS game,
 FROM customer c LEFT JOIN means m ON c.c_custkey = m.o_custkey
 """
 
+LAST10_AVG_WITH_SUMMARY = _LAST10 + _LAST10_ROWS
+
+PLAYER_REPORT = _LAST10 + f"""
+, wanted AS (SELECT min(c_custkey) AS k FROM customer WHERE c_name = '{PLAYER_NAME}')
+SELECT * FROM ({_LAST10_ROWS}) WHERE c_custkey = (SELECT k FROM wanted)
+"""
+
+HEAD_TO_HEAD_OPPONENT = f"""
+WITH games AS (
+  SELECT n.n_name AS team, CAST(year(o.o_orderdate) AS INTEGER) AS season, o.o_orderdate, o.o_orderkey,
+         CAST(floor(sum(l.l_extendedprice) / 1000) AS BIGINT) AS points,
+         strftime(o.o_orderdate, '%b %d, %Y') || ' - {H2H_TEAM1} vs. {H2H_TEAM2}' AS game_date
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation m ON s.s_nationkey = m.n_nationkey
+  WHERE n.n_name IN ('{H2H_TEAM1}', '{H2H_TEAM2}') AND m.n_name IN ('{H2H_TEAM1}', '{H2H_TEAM2}') AND n.n_name <> m.n_name
+    AND year(o.o_orderdate) BETWEEN {H2H_SEASONS[0]} AND {H2H_SEASONS[1]}
+  GROUP BY n.n_name, o.o_orderkey, o.o_orderdate
+), numbered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY team, season ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS pos FROM games
+), z AS (
+  SELECT a.season, a.pos, a.game_date AS matchup, a.points AS pts1, b.points AS pts2
+  FROM numbered a JOIN numbered b ON a.season = b.season AND a.pos = b.pos
+  WHERE a.team = '{H2H_TEAM1}' AND b.team = '{H2H_TEAM2}'
+)
+SELECT CAST(row_number() OVER (ORDER BY season DESC, pos) AS INTEGER) AS rank, season,
+       CAST(season AS VARCHAR) || '-' || lpad(CAST((season + 1) % 100 AS VARCHAR), 2, '0') AS season_label,
+       pos, matchup, pts1, pts2,
+       CASE WHEN pts1 > pts2 THEN '{H2H_TEAM1}' ELSE '{H2H_TEAM2}' END AS winner,
+       printf('%s %d - %s %d', '{H2H_TEAM1}', pts1, '{H2H_TEAM2}', pts2) AS score
+FROM z ORDER BY season DESC, pos LIMIT 5
+"""
+
 HEAD_TO_HEAD_RECENT5 = f"""
 WITH games AS (
   SELECT n.n_name AS team, CAST(year(o.o_orderdate) AS INTEGER) AS season,
@@ -120,9 +155,11 @@ WITH trades AS (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   GROUP BY c.c_nationkey, s.s_nationkey
 ), named AS (
-  SELECT n1.n_name AS team1, n2.n_name AS team2, t.n_trades
-  FROM trades t JOIN nation n1 ON t.c_nationkey = n1.n_nationkey
-  JOIN nation n2 ON t.s_nationkey = n2.n_nationkey
+  SELECT team1, team2, CAST(sum(n_trades) AS BIGINT) AS n_trades FROM (
+    SELECT n1.n_name AS team1, unnest([n2.n_name, g.r_name]) AS team2, t.n_trades
+    FROM trades t JOIN nation n1 ON t.c_nationkey = n1.n_nationkey
+    JOIN nation n2 ON t.s_nationkey = n2.n_nationkey JOIN region g ON n2.n_regionkey = g.r_regionkey)
+  GROUP BY team1, team2
 )
 SELECT r.team1, r.team2, r.n_trades, d1.n_nationkey AS id1, d2.n_nationkey AS id2,
        CASE WHEN r.team1 = r.team2 THEN 'same_team'
@@ -139,7 +176,7 @@ WITH r AS (
           CASE WHEN event_type = 'error' THEN 'DNP'
                ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END,
           CASE WHEN event_type = 'view' THEN ' '
-               ELSE regexp_extract(props, '"k":\s*(\d+)', 1) || '%' END] AS cells
+               ELSE regexp_extract(props, '"k":\s*(\d+)', 1) || '%' END][1:CASE WHEN event_id % 7 = 0 THEN 3 ELSE 5 END] AS cells
   FROM events
 ), last10 AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -179,6 +216,8 @@ SQL = {
     "ranked_avg_last_n": RANKED_AVG_LAST_N,
     "last_n_values_wide": LAST_N_VALUES_WIDE,
     "last10_avg_with_summary": LAST10_AVG_WITH_SUMMARY,
+    "player_report": PLAYER_REPORT,
+    "head_to_head_opponent": HEAD_TO_HEAD_OPPONENT,
     "head_to_head_recent5": HEAD_TO_HEAD_RECENT5,
     "matchup_validation": MATCHUP_VALIDATION,
     "cells_guarded_cast": CELLS_GUARDED_CAST,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtside.plans.graph import HITS_STEPS, PAGERANK_FIXED_STEPS
+from courtside.plans.graph import HITS_STEPS, PAGERANK_STEPS
 from courtside.plans.oracle_text import absolutize, anchor_hrefs, strip_trailing_slash
 
 _TRADE = """
@@ -41,8 +41,8 @@ def _pagerank_chain(steps: int) -> str:
     return "WITH " + ",\n".join(ctes)
 
 
-PAGERANK_TRADE = _pagerank_chain(PAGERANK_FIXED_STEPS) + f"""
-SELECT id AS n_nationkey, round(rank, 6) AS rank FROM r{PAGERANK_FIXED_STEPS}
+PAGERANK_TRADE = _pagerank_chain(PAGERANK_STEPS) + f"""
+SELECT id AS n_nationkey, round(rank, 6) AS rank FROM r{PAGERANK_STEPS}
 """
 
 # The converged listing is compared at 3 decimals against 100 unrolled steps.
@@ -96,8 +96,11 @@ def _last_segment(expr: str) -> str:
 
 LINK_GRAPH_IN_SET = f"""
 WITH l AS (SELECT url AS src, {absolutize('href', 'url')} AS dst FROM ({_HREFS})),
-e AS (SELECT * FROM l WHERE dst IN (SELECT url FROM pages) AND src <> dst)
+shared AS (SELECT dst FROM l GROUP BY dst HAVING count(DISTINCT src) >= 2),
+known AS (SELECT url AS id FROM pages UNION SELECT dst FROM shared UNION SELECT {strip_trailing_slash('dst')} FROM shared),
+e AS (SELECT src, {strip_trailing_slash('dst')} AS dst FROM l WHERE dst IN (SELECT id FROM known) AND src <> dst)
 SELECT DISTINCT {_last_segment('src')} AS src_node, {_last_segment('dst')} AS dst_node FROM e
+WHERE dst IN (SELECT id FROM known) AND src <> dst
 """
 
 SQL = {

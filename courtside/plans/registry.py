@@ -15,6 +15,8 @@ QUERIES: dict[str, Query] = {
     "ranked_avg_last_n": boxscore.ranked_avg_last_n,
     "last_n_values_wide": boxscore.last_n_values_wide,
     "last10_avg_with_summary": boxscore.last10_avg_with_summary,
+    "player_report": boxscore.player_report,
+    "head_to_head_opponent": boxscore.head_to_head_opponent,
     "head_to_head_recent5": boxscore.head_to_head_recent5,
     "matchup_validation": boxscore.matchup_validation,
     "cells_guarded_cast": boxscore.cells_guarded_cast,

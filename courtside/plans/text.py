@@ -96,16 +96,17 @@ def inverted_index_stemmed_en(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IX.inverted_index(_doc_postings(spark, sf_dir, stemmed=True, lang="en"), TOP_K_TERMS)
 
 
-def _page_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-page counts, hash-exchanged on ``page_id`` right after tokenizing.
+def _page_counts_wide(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
+    """Per-page counts; ``shared`` ones are hash-exchanged on ``page_id`` right after tokenizing.
 
     The counts are a few integers per page; the explicit exchange is cheap
     and is the point where the TF-IDF branches (document frequency and the
     per-page weights) share one tokenization pass through exchange reuse.
+    Adaptive execution sizes it.  A query with one branch needs none.
     """
     pg = pages(spark, sf_dir)
     wide = TF.term_counts_wide(pg, ["page_id", "url"], html_raw_text("html"), PAGE_TERMS)
-    return wide.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page_id")
+    return wide.repartition("page_id") if shared else wide
 
 
 def term_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,8 +114,8 @@ def term_counts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_counts_wide(spark, sf_dir)
 
 
-def _page_counts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TF.term_counts_long(_page_counts_wide(spark, sf_dir), ["page_id", "url"], PAGE_TERMS) \
+def _page_counts_long(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
+    return TF.term_counts_long(_page_counts_wide(spark, sf_dir, shared), ["page_id", "url"], PAGE_TERMS) \
         .drop("url")
 
 

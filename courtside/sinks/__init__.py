@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.functions.cells import fixed
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """UTF-8 CSV with a header row, replacing the target (B1)."""
@@ -27,9 +29,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def export_inverted_index(index: DataFrame, path: str) -> None:
-    """``Word, Document IDs`` rows in frequency order (B2)."""
+    """``Word, Block, Document IDs`` rows in frequency order (B2); a word's long id list comes in numbered blocks."""
     out = index.orderBy("rank", "block").select(
-        F.col("word").alias("Word"), F.col("document_ids").alias("Document IDs"))
+        F.col("word").alias("Word"), F.col("block").alias("Block"), F.col("document_ids").alias("Document IDs"))
     write_csv(out, path)
 
 
@@ -40,22 +42,27 @@ def export_term_counts(wide: DataFrame, path: str, url_col: str = "url",
     write_csv(wide.select(F.col(url_col).alias("URL"), *terms), path)
 
 
-def export_two_section_report(all_rows: DataFrame, top_rows: DataFrame, path: str) -> None:
+def export_two_section_report(all_rows: DataFrame, top_rows: DataFrame, path: str, avg_cols: tuple[str, ...] = ("avg_price",)) -> None:
     """A ranked listing and its top-k as two datasets under one folder.
 
     One CSV cannot hold two schemas; ``<path>/all`` and ``<path>/top`` keep
-    the reference's two sections apart.
+    the reference's two sections apart.  Averages are written with two decimals.
     """
-    write_csv(all_rows, os.path.join(path, "all"))
-    write_csv(top_rows, os.path.join(path, "top"))
+    for rows, section in ((all_rows, "all"), (top_rows, "top")):
+        shown = rows.withColumns({c: fixed(c, 2) for c in avg_cols if c in rows.columns})
+        write_csv(shown, os.path.join(path, section))
 
 
 def rank_lines(ranks: DataFrame, id_col: str = "id", rank_col: str = "rank") -> DataFrame:
     """``id : 0.xxx`` text lines."""
     return ranks.select(F.concat(F.col(id_col).cast("string"), F.lit(" : "),
-                                 F.format_string("%.3f", F.col(rank_col))).alias("line"))
+                                 fixed(rank_col, 3)).alias("line"))
 
 
 def write_per_entity(df: DataFrame, path: str, entity_cols: list[str]) -> None:
-    """One folder per entity, all written by one job."""
-    df.write.mode("overwrite").option("header", True).partitionBy(*entity_cols).csv(path)
+    """One folder per entity, all written by one job.
+
+    The rows of an entity are brought together first, so a folder gets one
+    file unless its rows are split for size.
+    """
+    df.repartition(*entity_cols).write.mode("overwrite").option("header", True).partitionBy(*entity_cols).csv(path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     try:
         want = min_partitions or spark.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+    except (PySparkAttributeError, PySparkNotImplementedError):  # no RDD view (a Spark Connect session): leave the scan as is
         return df
     # Spread on a hash of the key: the placement does not pre-satisfy later
     # (key, ...) groupings, so the plan keeps the shape it has on large input.
@@ -66,9 +67,12 @@ def pages(spark: SparkSession, sf_dir: str, keep_failed: bool = True) -> DataFra
     return df if keep_failed else df.where(F.col("html") != "")
 
 
-def seed_pages(seed: DataFrame, landed: DataFrame, url_col: str = "url") -> DataFrame:
+def seed_pages(seed: DataFrame, landed: DataFrame, url_col: str = "url", order_col: str = "html") -> DataFrame:
     """Seed documents with their landed HTML (A1, A2).
 
+    Of several landed bodies of one URL the one with the largest ``order_col``
+    counts (a landing time or page id; by default the body itself).
+
     ``seed``: ``doc_id, base_url, path`` (see ``params.seed_frame``);
     ``landed``: ``url, html``.  The full URL is ``join_url(base, path)``; a
     seed whose page is missing keeps its row with ``html = ''``, so it is
@@ -76,6 +80,6 @@ def seed_pages(seed: DataFrame, landed: DataFrame, url_col: str = "url") -> Data
     """
     from courtside.functions.urls import join_url
     docs = seed.select("doc_id", join_url("base_url", "path").alias("url"))
-    pages_ = landed.select(F.col(url_col).alias("url"), "html").dropDuplicates(["url"])
+    pages_ = landed.groupBy(F.col(url_col).alias("url")).agg(F.max_by("html", order_col).alias("html"))
     return (docs.join(pages_, "url", "left")
                 .select("doc_id", "url", F.coalesce("html", F.lit("")).alias("html")))

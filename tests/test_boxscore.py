@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from courtside.functions import cells as C
 from courtside.operators.h2h import head_to_head
 from courtside.operators.lastn import last_n, mean_or_zero, values_list, values_wide, with_summary
-from courtside.operators.lookup import bounded_broadcast, first_hit, lookup_id, matchup_status
+from courtside.operators.lookup import first_hit, lookup_id, matchup_status
 from courtside.operators.ranking import global_row_number, top_k
 from courtside.sources.params import dimension_frame
 
@@ -145,14 +145,6 @@ def test_lookup_guard_and_first_hit(spark):
     assert hits == {"lebron": "u1", "luka": "u2"}
 
 
-def test_bounded_broadcast_falls_back(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "ResolvedHint" in bounded_broadcast(small, 50)._jdf.queryExecution().logical().toString() \
-        or "broadcast" in bounded_broadcast(small, 50)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in bounded_broadcast(big, 50)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_global_row_number_matches_window(spark):
     import random
     rnd = random.Random(7)
@@ -212,12 +204,37 @@ def test_season_partitions_are_pruned(spark):
     assert q.count() == orders.where("season = 1996").count()
 
 
-def test_summary_by_rollup_equals_union(spark):
-    from courtside.operators.lastn import with_summary_rollup
-    rows = spark.createDataFrame([("p1", "g1", 19, 10), ("p1", "g2", 17, 7), ("p2", "g1", 21, 5)],
-                                 "player string, game string, pts int, reb int")
-    rolled = with_summary_rollup(rows, ["player"], "game", ["pts", "reb"])
-    means = rows.groupBy("player").agg(F.avg("pts").alias("pts"), F.avg("reb").alias("reb"))
-    union = with_summary(rows, means, "game")
-    cols = ["player", "game", "pts", "reb"]
-    assert sorted(map(tuple, rolled.select(*cols).collect())) == sorted(map(tuple, union.select(*cols).collect()))
+def test_rounding_is_that_of_the_binary_value(spark):
+    import random
+    rnd = random.Random(5)
+    values = [2.675, 0.125, 0.285, 1.125, 0.375, -2.675, -0.125, 1.005, 17.8, 0.0, 1e15, 123456.785] + [rnd.randint(0, 10 ** 6) / 1000 for _ in range(500)] \
+        + [rnd.uniform(-100, 100) for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    rows = df.select("x", C.half_even("x", 2).alias("r"), C.fixed("x", 2).alias("f")).collect()
+    assert [r.r for r in rows] == [round(r.x, 2) for r in rows]
+    assert [float(r.f) for r in rows] == [float("%.2f" % r.x) for r in rows]
+    shown = {r.x: r.f for r in rows}
+    assert (shown[2.675], shown[0.125], shown[0.285]) == ("2.67", "0.12", "0.28")
+
+
+def test_a_game_without_lines_uses_up_its_place(spark, tmp_path):
+    from courtside.plans.boxscore import last10_avg_with_summary
+    orders = [(k, 1, f"1995-01-{k:02d} 00:00:00") for k in range(1, 13)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string") \
+        .withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(k, float(k), "R") for k in range(1, 13) if k != 7]
+    spark.createDataFrame(lines, "l_orderkey long, l_quantity double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1,)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    df = last10_avg_with_summary(spark, str(tmp_path))
+    rows = df.collect()
+    assert sorted(r.points for r in rows if r.game != "Averages") == [3.0, 4.0, 5.0, 6.0, 8.0, 9.0, 10.0, 11.0, 12.0]
+    assert [r.points for r in rows if r.game == "Averages"] == [round(68 / 9, 2)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("WindowGroupLimit") if "WindowGroupLimit" in plan else True
+
+
+def test_games_with_one_label_stay_apart(spark):
+    rows = spark.createDataFrame([("p", "g", 10), ("p", "g", 20)], "player string, game string, pts int")
+    means = rows.groupBy("player").agg(F.avg("pts").alias("pts"))
+    got = sorted((r.game, r.pts) for r in with_summary(rows, means, "game").collect())
+    assert got == [("Averages", 15.0), ("g", 10.0), ("g", 20.0)]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 
 
 def q(spark, name):
@@ -55,3 +55,14 @@ def test_summary_rows_cover_every_customer(spark):
     n_cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert s.where("game = 'Averages'").count() == n_cust
     assert s.where("game <> 'Averages'").groupBy("c_custkey").count().where("count > 10").count() == 0
+
+
+def test_every_request_status_occurs(spark):
+    got = {r.status: r.n for r in q(spark, "matchup_validation").groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert set(got) == {"ok", "same_team", "unknown_team"}
+
+
+def test_the_page_graph_has_edges_and_rows_are_cut_short(spark):
+    assert E.queries()["link_graph_in_set"](spark, SF_CHECK).count() > 0
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert q(spark, "cells_guarded_cast").agg(F.sum("n_rows")).first()[0] < events

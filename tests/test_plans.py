@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from courtside.plans import registry
 from courtside.operators.lastn import last_n
 from tests.conftest import SF_SMALL
 
-QUERIES = sorted(E.queries())
+QUERIES = sorted(registry.queries())
 
 
 def _plan(df) -> str:

@@ -48,3 +48,20 @@ def test_porter_stays_in_codegen(spark):
     df = spark.createDataFrame([("generalizations",)], "term string")
     plan = stem_terms(df)._jdf.queryExecution().executedPlan().toString()
     assert "WholeStageCodegen" in plan or "*(" in plan
+
+
+def test_runs_of_y_of_any_length(spark):
+    """``y`` is a consonant at the start and after a vowel, else a vowel: letter by letter."""
+    def letters(word):
+        out = ""
+        for ch in word:
+            out += "V" if ch in "aeiou" or (ch == "y" and out and out[-1] == "C") else "C"
+        return out
+
+    import itertools
+
+    from courtside.functions.porter import signature
+    words = ["".join(w) for n in range(1, 8) for w in itertools.product("aby", repeat=n)] + ["b" + "y" * 11 + "ed", "y" * 20, "ay" * 9 + "y" * 7]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r.w: r.s for r in df.select("w", signature(df.w).alias("s")).collect()}
+    assert got == {w: letters(w) for w in words}

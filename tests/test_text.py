@@ -92,3 +92,12 @@ def test_seed_pages_keep_missing_documents(spark):
     landed = spark.createDataFrame([("https://site.org/player/1/a", "<p>Games</p>")], "url string, html string")
     rows = {r.doc_id: (r.url, r.html) for r in seed_pages(seed, landed).collect()}
     assert rows == {1: ("https://site.org/player/1/a", "<p>Games</p>"), 2: ("https://site.org/player/2/b", "")}
+
+
+def test_of_several_landed_bodies_the_latest_counts(spark):
+    from courtside.sources.params import seed_frame
+    from courtside.sources.tables import seed_pages
+    seed = seed_frame(spark, {"http://h/": {1: "a"}})
+    landed = spark.createDataFrame([("http://h/a", "old", 1), ("http://h/a", "new", 2), ("http://h/a", "mid", 1)], "url string, html string, t int")
+    for n in (1, 3):
+        assert [r.html for r in seed_pages(seed, landed.repartition(n), order_col="t").collect()] == ["new"]

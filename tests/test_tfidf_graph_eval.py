@@ -99,7 +99,7 @@ def test_pagerank_matches_power_iteration(spark):
 def test_hits_scores(spark):
     v = spark.createDataFrame([(x,) for x in GRAPH_NODES], "id string")
     e = spark.createDataFrame(GRAPH_EDGES, "src string, dst string")
-    got = {r.id: (r.hub, r.authority) for r in hits(v, e, iterations=50).collect()}
+    got = {r.id: (r.hub, r.authority) for r in hits(v, e, tol=1e-12).collect()}
     idx = {x: i for i, x in enumerate(GRAPH_NODES)}
     A = np.zeros((5, 5))
     for s, d in set(GRAPH_EDGES):
@@ -156,8 +156,8 @@ def test_graph_with_hub_is_salted_and_exact(spark):
     plain = {r.id: r.rank for r in pagerank(v, e, num_partitions=1).collect()}
     for k in want:
         assert abs(salted[k] - want[k]) < 1e-5 and abs(salted[k] - plain[k]) < 1e-12
-    h8 = {r.id: (r.hub, r.authority) for r in hits(v, e, iterations=20, num_partitions=8).collect()}
-    h1 = {r.id: (r.hub, r.authority) for r in hits(v, e, iterations=20, num_partitions=1).collect()}
+    h8 = {r.id: (r.hub, r.authority) for r in hits(v, e, tol=1e-12, num_partitions=8).collect()}
+    h1 = {r.id: (r.hub, r.authority) for r in hits(v, e, tol=1e-12, num_partitions=1).collect()}
     for k in h1:
         assert abs(h8[k][0] - h1[k][0]) < 1e-12 and abs(h8[k][1] - h1[k][1]) < 1e-12
 
@@ -170,3 +170,55 @@ def test_empty_graph(spark):
     lone = spark.createDataFrame([("a",), ("b",)], "id string")
     ranks = {r.id: r.rank for r in pagerank(lone, e).collect()}
     assert ranks == {"a": 0.5, "b": 0.5}  # no edges: all mass is dangling, spread evenly
+
+
+def test_edges_outside_the_vertex_set_lose_no_rank(spark):
+    v = spark.createDataFrame([(1,), (2,)], "id long")
+    e = spark.createDataFrame([(1, 2), (1, 9), (2, 1)], "src long, dst long")
+    ranks = {r.id: r.rank for r in pagerank(v, e, tol=1e-12, max_iter=300).collect()}
+    assert set(ranks) == {1, 2, 9} and abs(sum(ranks.values()) - 1) < 1e-9
+    # the stationary distribution as a linear system
+    m = np.array([[0, 1, 1 / 3], [0.5, 0, 1 / 3], [0.5, 0, 1 / 3]])  # column: from 1, 2, 9 (9 is dangling)
+    want = np.linalg.solve(np.eye(3) - 0.85 * m, np.full(3, 0.05))
+    assert np.allclose([ranks[k] for k in (1, 2, 9)], want, atol=1e-8)
+    scores = {r.id: (r.hub, r.authority) for r in hits(v, e).collect()}
+    assert set(scores) == {1, 2, 9} and scores[9][1] > 0
+
+
+def test_hits_raises_without_convergence(spark):
+    v = spark.createDataFrame([(x,) for x in GRAPH_NODES], "id string")
+    e = spark.createDataFrame(GRAPH_EDGES, "src string, dst string")
+    with pytest.raises(ConvergenceError):
+        hits(v, e, tol=0.0, max_iter=5)
+
+
+@pytest.mark.parametrize("hub", [False, True])
+@pytest.mark.parametrize("key, other", [("src", "dst"), ("dst", "src")])
+def test_a_step_does_not_shuffle_the_edges(spark, hub, key, other):
+    """With broadcast off, the edges of a step's join (PageRank joins on src, HITS on both) have no exchange."""
+    from courtside.operators import graph as G
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(k % 60, (k * 7) % 60) for k in range(400)] + ([(0, k) for k in range(60)] + [(k, 0) for k in range(60)] if hub else [])
+        e = spark.createDataFrame(sorted(set(rows)), "src long, dst long")
+        hot = G._hot_nodes(e, key, 4) if hub else None
+        edges = G._salted_edges(e, key, other, hot, 4)
+        values = spark.range(60).selectExpr("id", "double(id) as rank").checkpoint()
+        plan = G._join_edges(values, edges, key, hot)._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+        # the edges are the scan with the salt column: nothing but a sort stands between it and the join
+        lines = text.split("\n")
+        at = next(i for i, x in enumerate(lines) if "Scan ExistingRDD" in x and "src#" in x and "dst#" in x)
+        depth = lines[at].index("Scan") if "Scan" in lines[at] else 0
+        above = []
+        for x in reversed(lines[:at]):
+            d = len(x) - len(x.lstrip(" :+-*(0123456789)"))
+            if d < depth:
+                above.append(x)
+                depth = d
+            if "Join" in x:
+                break
+        assert above and not any("Exchange" in x for x in above), text
+        assert any("Exchange" in x for x in lines)  # the values do move
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

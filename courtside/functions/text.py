@@ -1,16 +1,14 @@
 """Text rules as Column expressions: HTML to text, tokenizing, term filters.
 
-Everything here is a chain of built-in regex functions, so it runs inside
-whole-stage codegen on the executors and needs no Python worker.  No
-higher-order functions (``transform``/``filter``) are used: their lambda
-variables differ between copies of a plan, which stops Spark from reusing a
-shuffle that two branches of a query share.  The
-patterns avoid look-around so that the same rules also run on RE2-based
+Everything here is built-in functions, run inside the executors' JVM without
+a Python worker.  The patterns avoid look-around so that the same rules also run on RE2-based
 engines (the DuckDB oracle in ``plans.oracle`` uses these constants).
 """
 
 from __future__ import annotations
 
+from html.entities import codepoint2name
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,7 +18,9 @@ from pyspark.sql import functions as F
 
 # Script, style and template bodies go first: page scripts can hold a literal
 # "</p>" inside a string, which a plain tag pattern would cut in half.
-RE_HIDDEN_BLOCKS = r"(?is)<(script|style|template)\b.*?</(script|style|template)\s*>"
+# Each ends at the close tag of its own kind.
+RE_HIDDEN_BLOCKS = "(?is)" + "|".join(rf"<{t}\b.*?</{t}\s*>" for t in ("script", "style", "template"))
+RE_COMMENTS = r"(?s)<!--.*?-->"
 RE_COMMENTS_AND_TAGS = r"(?s)<!--.*?-->|<[^>]*>"
 RE_WHITESPACE_RUN = r"\s+"
 # A text-node boundary: tags are first replaced by this marker; whitespace
@@ -29,27 +29,34 @@ NODE_MARK = "\u0001"
 RE_NODE_GAP = r"[\s\p{Z}]*\x01[\s\p{Z}\x01]*"
 RE_OUTER_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
-# Named entities decoded after tag removal, ``&amp;`` last so
-# that "&amp;quot;" becomes the literal text "&quot;".  ``&nbsp;`` is a
-# no-break space (U+00A0).
+# Character references: Latin-1 names by the standard library's table, the
+# markup characters, and typographic signs; any number in decimal or hex.
+ENTITY_CHARS = {name: chr(code) for code, name in sorted(codepoint2name.items())
+                if 160 <= code <= 255 or name in ("quot", "amp", "lt", "gt", "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "hellip", "bull", "euro", "trade")}
+ENTITY_CHARS["apos"] = "'"
 NBSP_ENTITY = ("&nbsp;", "\u00a0")
-HTML_ENTITIES = [
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    NBSP_ENTITY,
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+RE_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+[0-9]*);"
 
 
 def decode_entities(col: Column) -> Column:
-    for entity, char in HTML_ENTITIES:
-        col = F.replace(col, F.lit(entity), F.lit(char))
-    return col
+    """Character references decoded once, left to right; unknown ones stay as written.
+
+    The text is cut at its ``&``; what stands before a piece's ``;`` is looked
+    up in one map literal or decoded as a code point.
+    """
+    names = F.create_map(*[F.lit(x) for pair in ENTITY_CHARS.items() for x in pair])
+
+    def piece(p: Column) -> Column:
+        name = F.regexp_extract(p, RE_ENTITY, 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8)).try_cast("int")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(name.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))).otherwise(F.element_at(names, name))
+        rest = F.substr(p, F.length(name) + F.lit(2))
+        return F.when((name != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), p))
+
+    parts = F.split(col, "&", -1)
+    decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
 
 
 def html_to_text(html: Column | str) -> Column:

@@ -5,32 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from courtside.functions.text import decode_entities
+from courtside.functions.text import RE_COMMENTS, RE_HIDDEN_BLOCKS, decode_entities
 
-# Anchor hrefs in double quotes, single quotes or bare (C11).  Group 1, 2 or 3
-# holds the value; exactly one of them is non-empty per match.
+# Anchor hrefs in double quotes, single quotes or bare (C11); the group holds
+# the value with its quotes.
 # The attribute must start after whitespace, so ``data-href`` is not taken
 # for ``href``.
 RE_ANCHOR_HREF = (
-    r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 )
+RE_QUOTES = r"""^["']|["']$"""
 RE_TRAILING_SLASH = r"/+$"
 RE_SCHEME_HOST = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 RE_PLAYER_ID = r"player/(\d+)/"
 
 
 def anchor_hrefs(html: Column | str) -> Column:
-    """``array<string>`` of every anchor href in document order (C11)."""
-    h = F.coalesce(_col(html), F.lit(""))
-    dq = F.regexp_extract_all(h, F.lit(RE_ANCHOR_HREF), 1)
-    sq = F.regexp_extract_all(h, F.lit(RE_ANCHOR_HREF), 2)
-    bare = F.regexp_extract_all(h, F.lit(RE_ANCHOR_HREF), 3)
-    # The three arrays are aligned by match; take the non-empty group, and
-    # decode entities in the value as an HTML parser does.
-    merged = F.zip_with(
-        F.zip_with(dq, sq, lambda a, b: F.concat(a, b)),
-        bare, lambda a, b: decode_entities(F.concat(a, b)))
-    return merged
+    """``array<string>`` of every anchor href in document order (C11).
+
+    What a page only quotes, in scripts, styles, templates or comments, holds
+    no anchors.  Entities in a value are decoded as an HTML parser does.
+    """
+    h = F.regexp_replace(F.coalesce(_col(html), F.lit("")), RE_HIDDEN_BLOCKS, "")
+    found = F.regexp_extract_all(F.regexp_replace(h, RE_COMMENTS, ""), F.lit(RE_ANCHOR_HREF), 1)
+    return F.transform(found, lambda v: decode_entities(F.regexp_replace(v, RE_QUOTES, "")))
 
 
 def strip_trailing_slash(url: Column | str) -> Column:

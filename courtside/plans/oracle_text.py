@@ -24,9 +24,15 @@ def rx(expr: str, pattern: str, repl: str) -> str:
 
 
 def decode_entities(expr: str) -> str:
-    for ent, ch in T.HTML_ENTITIES:
-        expr = f"replace({expr}, {q(ent)}, {q(ch)})"
-    return expr
+    """As the Spark rule: cut at ``&``, each piece's reference looked up once."""
+    names = ", ".join(f"{q(k)}: {q(v)}" for k, v in T.ENTITY_CHARS.items())
+    name = f"regexp_extract(p, {q(T.RE_ENTITY)}, 1)"
+    code = (f"(CASE WHEN regexp_matches({name}, '^#[xX]') THEN try_cast('0x' || substr({name}, 3) AS INTEGER) ELSE try_cast(substr({name}, 2) AS INTEGER) END)")
+    char = (f"(CASE WHEN {name} LIKE '#%' THEN CASE WHEN {code} BETWEEN 1 AND 1114111 AND NOT {code} BETWEEN 55296 AND 57343 THEN chr({code}) END "
+            f"ELSE MAP {{{names}}}[{name}] END)")
+    piece = f"CASE WHEN {name} <> '' AND {char} IS NOT NULL THEN {char} || substr(p, length({name}) + 2) ELSE '&' || p END"
+    parts = f"string_split({expr}, '&')"
+    return f"(({parts})[1] || array_to_string(list_transform(({parts})[2:], lambda p: {piece}), ''))"
 
 
 def html_to_text(expr: str) -> str:
@@ -70,9 +76,9 @@ def term_filter_v2(col: str) -> str:
 
 
 def anchor_hrefs(expr: str) -> str:
-    pat = q(U.RE_ANCHOR_HREF)
-    value = f"regexp_extract(m, {pat}, 1) || regexp_extract(m, {pat}, 2) || regexp_extract(m, {pat}, 3)"
-    return (f"list_transform(regexp_extract_all(coalesce({expr}, ''), {pat}, 0), lambda m: "
+    shown = rx(rx(f"coalesce({expr}, '')", T.RE_HIDDEN_BLOCKS, ""), T.RE_COMMENTS, "")
+    value = rx("m", U.RE_QUOTES, "")
+    return (f"list_transform(regexp_extract_all({shown}, {q(U.RE_ANCHOR_HREF)}, 1), lambda m: "
             f"{decode_entities(value)})")
 
 

@@ -124,9 +124,9 @@ def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TF.document_frequency(_page_counts_long(spark, sf_dir))
 
 
-def _idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _idf_table(spark: SparkSession, sf_dir: str, shared: bool = False) -> DataFrame:
     n_docs = TF.n_documents(table(spark, sf_dir, "pages", "page_id"))
-    return TF.idf(TF.document_frequency(_page_counts_long(spark, sf_dir)), n_docs)
+    return TF.idf(TF.document_frequency(_page_counts_long(spark, sf_dir, shared)), n_docs)
 
 
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +141,7 @@ def tf_sublinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TF.tfidf(_page_counts_long(spark, sf_dir), _idf_table(spark, sf_dir))
+    return TF.tfidf(_page_counts_long(spark, sf_dir, shared=True), _idf_table(spark, sf_dir, shared=True))
 
 
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:

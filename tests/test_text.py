@@ -101,3 +101,21 @@ def test_of_several_landed_bodies_the_latest_counts(spark):
     landed = spark.createDataFrame([("http://h/a", "old", 1), ("http://h/a", "new", 2), ("http://h/a", "mid", 1)], "url string, html string, t int")
     for n in (1, 3):
         assert [r.html for r in seed_pages(seed, landed.repartition(n), order_col="t").collect()] == ["new"]
+
+
+def test_literal_pages_to_text_and_links(spark):
+    """Literal input and expected output, independent of the rule constants."""
+    from courtside.functions.text import html_raw_text, html_to_text
+    from courtside.functions.urls import anchor_hrefs
+    cases = [
+        ('<script>var x="</style>"; evil()</script>seen', "seen", "seen", []),
+        ("<style>a{}</script>b</style>c<template><p>t</p></template>d", "c d", "cd", []),
+        ("<p>caf&eacute; &#8217;s &#x41;&#X42; &mdash; &bogus; &#0;</p>", "café ’s AB — &bogus; &#0;", "café ’s AB — &bogus; &#0;", []),
+        ("a &amp;quot; b &amp;amp; c", "a &quot; b &amp; c", "a &quot; b &amp; c", []),
+        ("x &lt;b&gt; &AMP &amp y", "x <b> &AMP &amp y", "x <b> &AMP &amp y", []),
+        ('<a href="x">1</a><!-- <a href="c">2</a> --><script>"<a href=\'s\'>"</script><A data-href=q HREF=\'y&amp;z\'>3</a><a href=bare>4</a>', "1 3 4", "134", ["x", "y&z", "bare"]),
+        (None, "", "", []),
+    ]
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "k int, h string")
+    got = {r.k: (r.t, r.raw, r.links) for r in df.select("k", html_to_text("h").alias("t"), html_raw_text("h").alias("raw"), anchor_hrefs("h").alias("links")).collect()}
+    assert got == {k: c[1:] for k, c in enumerate(cases)}

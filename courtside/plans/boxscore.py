@@ -17,6 +17,7 @@ from courtside.operators.lastn import last_n, values_wide, with_summary
 from courtside.operators.lookup import first_hit, lookup_id, matchup_status
 from courtside.operators.ranking import global_row_number, top_k
 from courtside.plans.graph import trade_pairs
+from courtside.sources.html_table import html_table_rows
 from courtside.sources.tables import table
 
 def recent_first() -> list:
@@ -248,6 +249,33 @@ def cells_guarded_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.avg("pct"), 6).alias("avg_pct"))
 
 
+def order_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-score tables as HTML, one per order, read back into rows.
+
+    A line is ``<tr>`` of line number, flag, quantity and discount percent; a
+    returned line has ``-`` for its quantity, a line of full tax stops after
+    its flag.  Rows short of cells are dropped, quantities parse guarded, line
+    numbers strictly.  An order's lines are few, so its page is one small row.
+    """
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag")
+
+    def td(c):
+        return F.concat(F.lit("<td> "), c, F.lit(" </td>"))
+
+    head = F.concat(td(F.col("l_linenumber").cast("string")), td(F.concat(F.lit("<b>"), "l_returnflag", F.lit("</b>"))))
+    tail = F.concat(td(F.when(F.col("l_returnflag") == "R", F.lit("-")).otherwise(F.col("l_quantity").cast("int").cast("string"))),
+                    td(F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))))
+    row = F.concat(F.lit("<tr>"), head, F.when(F.col("l_tax") > 0.07, F.lit("")).otherwise(tail), F.lit("</tr>"))
+    pages = li.select("l_orderkey", F.struct("l_linenumber", row.alias("tr")).alias("r")).groupBy("l_orderkey").agg(
+        F.concat(F.lit("<table><thead><tr><th>#</th></tr></thead><tbody>"),
+                 F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["tr"]), "\n"), F.lit("</tbody></table>")).alias("html"))
+    rows = html_table_rows(pages, ["l_orderkey"]).where(C.has_cells("cells", 3))
+    return rows.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(C.strict_int(C.cell("cells", 0)).cast("long")).alias("line_sum"),
+        F.count(C.guarded_int(C.cell("cells", 2))).alias("n_valid"), F.sum(C.guarded_int(C.cell("cells", 2)).cast("long")).alias("quantity"),
+        F.round(F.avg(C.percent_value(C.cell("cells", 3))), 6).alias("avg_discount"))
+
+
 def entity_search_first_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each page, the first document in the page's language (D7, C25-like).
 

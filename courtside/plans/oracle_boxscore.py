@@ -198,6 +198,14 @@ SELECT user_id, count(*) AS n_rows, count(points) AS n_valid,
 FROM parsed GROUP BY user_id
 """
 
+ORDER_TABLE_ROWS = """
+SELECT l_orderkey, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS line_sum,
+       count(*) FILTER (WHERE l_returnflag <> 'R') AS n_valid,
+       CAST(sum(CAST(l_quantity AS INTEGER)) FILTER (WHERE l_returnflag <> 'R') AS BIGINT) AS quantity,
+       round(avg(round(l_discount * 100)), 6) AS avg_discount
+FROM lineitem WHERE NOT l_tax > 0.07 GROUP BY l_orderkey
+"""
+
 ENTITY_SEARCH_FIRST_HIT = r"""
 WITH hit AS (
   SELECT lang, min(doc_id) AS doc_id FROM documents GROUP BY lang
@@ -221,5 +229,6 @@ SQL = {
     "head_to_head_recent5": HEAD_TO_HEAD_RECENT5,
     "matchup_validation": MATCHUP_VALIDATION,
     "cells_guarded_cast": CELLS_GUARDED_CAST,
+    "order_table_rows": ORDER_TABLE_ROWS,
     "entity_search_first_hit": ENTITY_SEARCH_FIRST_HIT,
 }

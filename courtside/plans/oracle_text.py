@@ -10,7 +10,7 @@ from __future__ import annotations
 from courtside.functions import text as T
 from courtside.functions import urls as U
 from courtside.operators.index import DEFAULT_BLOCK
-from courtside.plans.text import PAGE_TERMS, SEARCH_K, TOP_K_TERMS
+from courtside.plans.text import PAGE_TERMS, PREFIX, SEARCH_K, TOP_K_TERMS
 from courtside.sources.params import stop_words
 
 
@@ -124,6 +124,18 @@ post AS (SELECT term, doc_id, count(*) AS tf, min(pos) AS first_pos
 
 TOKENS_CLEAN = _POSTINGS + "SELECT term, doc_id, tf, first_pos FROM post"
 
+TOKENS_CLEAN_V1 = TOKENS_CLEAN.replace(term_filter_v2("term"), (
+    f"regexp_matches(term, {q(T.RE_ALNUM)}) AND term NOT IN ({', '.join(q(w) for w in stop_words('v1'))})"))
+
+PAGE_URL_FORMS = rf"""
+SELECT page_id, url AS seed_url,
+       regexp_extract(regexp_replace(url, '/[a-z]{{2}}/(\d+)', '/player/\1/', 'g'), 'player/(\d+)/', 1) AS player_id,
+       CASE WHEN page_id % 3 = 0 THEN url
+            WHEN regexp_extract(url, '^[a-z]+://[^/]+(/.*)$', 1) <> '' THEN '{PREFIX}' || regexp_extract(url, '^[a-z]+://[^/]+(/.*)$', 1)
+            ELSE '' END AS prefixed
+FROM pages
+"""
+
 _POSTINGS_EN = _POSTINGS.replace("FROM documents)", "FROM documents WHERE lang = 'en')")
 
 def _top(src: str) -> str:
@@ -243,6 +255,8 @@ SQL = {
     "page_links_absolute": PAGE_LINKS_ABSOLUTE,
     "link_last_segment": LINK_LAST_SEGMENT,
     "tokens_clean": TOKENS_CLEAN,
+    "tokens_clean_v1": TOKENS_CLEAN_V1,
+    "page_url_forms": PAGE_URL_FORMS,
     "top15_terms": TOP15_TERMS,
     "top15_terms_en": TOP15_TERMS_EN,
     "inverted_index_top15": INVERTED_INDEX_TOP15,

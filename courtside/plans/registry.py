@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "head_to_head_recent5": boxscore.head_to_head_recent5,
     "matchup_validation": boxscore.matchup_validation,
     "cells_guarded_cast": boxscore.cells_guarded_cast,
+    "order_table_rows": boxscore.order_table_rows,
     "entity_search_first_hit": boxscore.entity_search_first_hit,
     "page_text": text.page_text,
     "page_raw_text": text.page_raw_text,
@@ -27,6 +28,8 @@ QUERIES: dict[str, Query] = {
     "page_links_absolute": text.page_links_absolute,
     "link_last_segment": text.link_last_segment,
     "tokens_clean": text.tokens_clean,
+    "tokens_clean_v1": text.tokens_clean_v1,
+    "page_url_forms": text.page_url_forms,
     "top15_terms": text.top15_terms,
     "top15_terms_en": text.top15_terms_en,
     "inverted_index_top15": text.inverted_index_top15,

@@ -22,6 +22,7 @@ from courtside.sources.tables import pages, table, text_table
 PAGE_TERMS = ["The", "Of", "De", "Der", "Und", "Et"]
 TOP_K_TERMS = 15
 SEARCH_K = 10
+PREFIX = "https://www.example.com"
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,14 +57,30 @@ def link_last_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select("page_id", "link", U.last_segment("link").alias("node"))
 
 
+def page_url_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL rules on every page's URL.
+
+    ``seed_url``: the page's last path segment joined to its own base;
+    ``player_id``: the number after the language, read as a player page;
+    ``prefixed``: the path, or for every third page the whole URL, given a base.
+    """
+    pg = table(spark, sf_dir, "pages", "page_id", "url")
+    base = F.regexp_extract("url", r"^(.*/)[^/]*$", 1)
+    rest = F.regexp_extract("url", r"^.*/([^/]*)$", 1)
+    path = F.regexp_extract("url", r"^[a-z]+://[^/]+(/.*)$", 1)
+    player = F.regexp_replace("url", r"/[a-z]{2}/(\d+)", "/player/$1/")
+    return pg.select("page_id", U.join_url(base, rest).alias("seed_url"), U.player_id(player).alias("player_id"),
+                     U.prefix_if_relative(F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(path), PREFIX).alias("prefixed"))
+
+
 def _doc_postings(spark: SparkSession, sf_dir: str, stemmed: bool = False,
-                  lang: str | None = None) -> DataFrame:
+                  lang: str | None = None, profile: str = "v2") -> DataFrame:
     if lang is None:
         docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
     else:
         docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text", "lang") \
             .where(F.col("lang") == lang).select("doc_id", "text")
-    return IX.term_postings(docs, "doc_id", "text", profile="v2", stemmed=stemmed)
+    return IX.term_postings(docs, "doc_id", "text", profile=profile, stemmed=stemmed)
 
 
 def tokens_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +88,11 @@ def tokens_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _doc_postings(spark, sf_dir)
 
 
+def tokens_clean_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``tokens_clean`` with the earlier filter profile: digits may stay inside a term."""
+    return _doc_postings(spark, sf_dir, profile="v1")
+
+
 def top15_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 15 most frequent terms; ties by first encounter."""
     return IX.top_terms(_doc_postings(spark, sf_dir), TOP_K_TERMS)

@@ -1,12 +1,13 @@
-"""Every registered query against its DuckDB oracle on sf0.001 (rows-only where no SQL)."""
+"""Every query of the plans against its DuckDB oracle on sf0.001 (rows-only where no SQL)."""
 
 import pytest
 
 import __spark_entry__ as E
+from courtside.plans import registry
 from tests.conftest import SF_SMALL
 from tests.oracle_harness import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")

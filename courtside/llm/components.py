@@ -1,9 +1,10 @@
 """Connected components of an edge table by alternating stars.
 
 Edges are first contracted inside each partition (a spanning forest of at
-most as many edges), then large-star and small-star steps alternate until
-nothing changes; each step is a group minimum and a join.  Nothing passes the
-driver but one count per round.
+most as many edges).  While more edges are left than one task may take,
+large-star and small-star steps alternate until nothing changes; each step is
+a group minimum and a join.  Nothing passes the driver but one count per
+round.
 """
 
 from __future__ import annotations
@@ -51,16 +52,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return met.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) of every node with an edge to another; comp is the least node of its component."""
+#: Edges that one task may contract alone; its forest then is the answer.
+TASK_EDGES = 1 << 20
+
+
+def components(edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
+    """(node, comp) of every node with an edge to another; comp is the least node of its component.
+
+    Partitions are contracted first; when at most ``task_edges`` edges are
+    left, one task contracts them too, else the stars go on.  Both give the
+    same components.
+    """
     ship_code(edges.sparkSession)
     now = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").mapInArrow(_contract, "a long, b long")
     now = materialize(now, "edges")
-    while True:
+    while now.count() > task_edges:
         after = materialize(_small_star(_large_star(now)).mapInArrow(_contract, "a long, b long"), "edges")
-        # a star forest: no root is another's member
+        # a star forest: no root is another's member, and each member has one root
         if after.select("b").distinct().join(after.select(F.col("a").alias("b")), "b", "left_semi").isEmpty() and \
                 after.groupBy("a").agg(F.countDistinct("b").alias("n")).filter("n > 1").isEmpty():
-            own = after.distinct()
-            return own.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(own.select("b", "b").distinct())
+            return _with_roots(after.distinct())
         now = after
+    return _with_roots(now.coalesce(1).mapInArrow(_contract, "a long, b long"))
+
+
+def _with_roots(forest: DataFrame) -> DataFrame:
+    return forest.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(forest.select("b", "b").distinct())

@@ -57,7 +57,7 @@ SMALL_GROUP = 24
 #: A prefix is longer by the set's size / MORE than one common shingle would take.
 MORE = 20
 #: Rounds, and the different pivots that nodes of one large group of near copies meet in each, over all their shingles.
-PIVOTS = (8, 32, 64)
+PIVOTS = (8, 48)
 CHUNK = 1 << 21  # shingles (or entries) that a task holds before it hands them on
 GROUP_BYTES = 1 << 20  # texts hashed at once
 

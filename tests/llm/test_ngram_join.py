@@ -151,6 +151,7 @@ def test_components_of_chains_and_stars(spark):
     edges = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges]
     rng.shuffle(edges)
     df = spark.createDataFrame(edges, "a long, b long").repartition(7)
-    got = {r["node"]: r["comp"] for r in C.components(df).collect()}
-    assert got == {**{k: 0 for k in range(201)}, **{k: 500 for k in range(500, 560)}, 700: 700, 701: 700}
+    for limit in (C.TASK_EDGES, 0):  # in one task, and by stars
+        got = {r["node"]: r["comp"] for r in C.components(df, limit).collect()}
+        assert got == {**{k: 0 for k in range(201)}, **{k: 500 for k in range(500, 560)}, 700: 700, 701: 700}
     assert C.components(df.limit(0)).count() == 0

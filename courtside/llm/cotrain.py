@@ -25,7 +25,8 @@ shuffle, with the selected features broadcast (they are features of the
 bounded fit).
 
 Defined results: null or empty texts and null metadata are features of their
-own kind; rows of one doc_id share its labels; null labels do not count;
+own kind; rows of one doc_id share its labels, and the fit takes the least of
+them; null labels do not count;
 a target without both kinds of labels scores its share everywhere and
 rejects nothing; an empty table gives no rows.
 """
@@ -188,7 +189,8 @@ def fit_rows(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows:
     pool = own.join(marks, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool_rows) \
         .select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
     wanted = materialize(sample.union(pool).toDF("doc_id", *TARGETS), "fit-ids")  # at most labelled_rows + pool_rows rows
-    met = _strings(docs).join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    met = _strings(docs).join(F.broadcast(wanted), "doc_id").groupBy("doc_id", *TARGETS) \
+        .agg(F.min(F.struct("text", "lang", "source")).alias("row")).select("doc_id", *TARGETS, "row.*")  # of rows with one doc_id the least
 
     def run(batches):
         for b in slices(batches):
@@ -209,8 +211,11 @@ def _tagged(view: str):
 MARKS = tuple(f"{t}_{v}" for t in TARGETS for v in VIEWS)
 
 
-def _fit_views(rows: DataFrame, marks: DataFrame, apart_rows: list[dict]) -> dict:
-    """Views of both targets from ``marks`` (row and a label per target and view): counts of all features in one aggregation."""
+def _fit_views(rows: DataFrame, marks: DataFrame, apart: DataFrame) -> tuple[dict, dict, dict]:
+    """Views of both targets from ``marks`` (row and a label per target and view): counts of all features in one aggregation.
+
+    Beside them the labels of the rows kept apart, and each calibrated view's logits there.
+    """
     held = rows.drop(*TARGETS).join(marks, "row")
     sums = [x for m in MARKS for x in (F.count(m).alias(f"n_{m}"), F.sum(m).alias(f"p_{m}"))]
     totals = marks.agg(*sums).first()
@@ -227,7 +232,7 @@ def _fit_views(rows: DataFrame, marks: DataFrame, apart_rows: list[dict]) -> dic
             if 0 < p < n and n1 >= 5 and associated(n1, cols[f"p_{m}"][k] or 0, n, p):
                 chosen[t, v].append(bytes(f))
     number = {v: {f: k for k, f in enumerate(sorted({f for t in TARGETS for f in chosen[t, v]}))} for v in VIEWS}
-    own = _numbered(held, number).toArrow()  # the bounded rows, with selected features only
+    own = _numbered(held, number, MARKS).toArrow()  # the bounded rows, with selected features only
     for v in VIEWS:
         numbers = [np.array(x, int) for x in own[v].to_pylist()]
         for t in TARGETS:
@@ -240,26 +245,35 @@ def _fit_views(rows: DataFrame, marks: DataFrame, apart_rows: list[dict]) -> dic
                 use[[number[v][f] for f in chosen[t, v]]] = np.arange(len(chosen[t, v]))
                 w, views[t, v].prior = sparse_logistic([x[x >= 0] for x in (use[numbers[k]] for k in at)], y, len(chosen[t, v]))
                 views[t, v].weights = dict(zip(chosen[t, v], w.tolist()))
-    for t in TARGETS:
-        for v in VIEWS:
-            raw = [(views[t, v].raw(x[v]), x[t]) for x in apart_rows if x[t] is not None]
-            y = np.array([b for _, b in raw], float)
+    kept = _numbered(apart, number, TARGETS).toArrow()
+    labels = {t: kept[t].to_pylist() for t in TARGETS}
+    logits = {}
+    for v in VIEWS:
+        rows_of = kept[v].to_pylist()
+        names = list(number[v])
+        for t in TARGETS:
+            view = views[t, v]
+            weights = np.array([view.weights.get(f, 0.0) for f in names] + [0.0])
+            raw = np.array([view.prior + weights[x].sum() for x in rows_of])
+            at = [k for k, y in enumerate(labels[t]) if y is not None]
+            y = np.array([labels[t][k] for k in at], float)
             if len(y) and 0 < y.sum() < len(y):
-                views[t, v].slope, views[t, v].offset = map(float, logistic(np.array([a for a, _ in raw]), y))
-    return views
+                view.slope, view.offset = map(float, logistic(raw[at], y))
+            logits[t, v] = view.slope * raw + view.offset
+    return views, labels, logits
 
 
-def _numbered(held: DataFrame, number: dict) -> DataFrame:
-    """Rows with the numbers of their selected features."""
-    kind = T.StructType([*[T.StructField(m, T.IntegerType()) for m in MARKS], *[T.StructField(v, T.ArrayType(T.IntegerType())) for v in VIEWS]])
+def _numbered(held: DataFrame, number: dict, labels: tuple) -> DataFrame:
+    """Rows with their labels and the numbers of their selected features."""
+    kind = T.StructType([*[T.StructField(m, T.IntegerType()) for m in labels], *[T.StructField(v, T.ArrayType(T.IntegerType())) for v in VIEWS]])
     shared = held.sparkSession.sparkContext.broadcast(number)
 
     def run(batches):
         for b in slices(batches):
             out = {v: [[shared.value[v][f] for f in x if f in shared.value[v]] for x in b[v].to_pylist()] for v in VIEWS}
-            yield pa.RecordBatch.from_arrays([*[b[m] for m in MARKS], *[pa.array(out[v], pa.list_(pa.int32())) for v in VIEWS]], names=[*MARKS, *VIEWS])
+            yield pa.RecordBatch.from_arrays([*[b[m] for m in labels], *[pa.array(out[v], pa.list_(pa.int32())) for v in VIEWS]], names=[*labels, *VIEWS])
 
-    return held.select(*MARKS, *VIEWS).mapInArrow(run, kind)
+    return held.select(*labels, *VIEWS).mapInArrow(run, kind)
 
 
 @dataclass
@@ -308,10 +322,9 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, labelled_rows:
     rows = fit_rows(docs, labels, labelled_rows, pool_rows)
     apart = F.pmod(F.xxhash64("row", F.lit("apart")), F.lit(APART)) == 0
     marked = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
-    apart_rows = [{"quality": r["quality"], "toxic": r["toxic"], "text": set(map(bytes, r["text"])), "meta": set(map(bytes, r["meta"]))}
-                  for r in rows.filter(marked & apart).collect()]  # a bounded part of the bounded sample
+    apart_rows = rows.filter(marked & apart)
     marks = rows.filter(marked & ~apart).select("row", *[F.col(t).alias(f"{t}_{v}") for t in TARGETS for v in VIEWS])
-    views = _fit_views(rows, marks, apart_rows)
+    views, y_apart, logits = _fit_views(rows, marks, apart_rows)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(views)
         kind = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(m, T.IntegerType()) for m in MARKS]])
@@ -331,12 +344,12 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, labelled_rows:
                 yield pa.RecordBatch.from_arrays([b["row"], *[pa.array(out[m], pa.int32()) for m in MARKS]], names=["row", *MARKS])
 
         pseudo = rows.filter(~marked).select("row", "text", "meta").mapInArrow(label, kind)
-        views = _fit_views(rows, materialize(marks.union(pseudo), "marks"), apart_rows)
+        views, y_apart, logits = _fit_views(rows, materialize(marks.union(pseudo), "marks"), apart_rows)
     combine, thresholds = {}, {}
     for t in TARGETS:
-        own = [x for x in apart_rows if x[t] is not None]
-        z = np.array([[views[t, v].logit(x[v]) for v in VIEWS] for x in own]).reshape(-1, len(VIEWS))
-        y = np.array([x[t] for x in own], float)
+        own = [k for k, y in enumerate(y_apart[t]) if y is not None]
+        z = np.stack([logits[t, v][own] for v in VIEWS], axis=1)
+        y = np.array([y_apart[t][k] for k in own], float)
         both = len(y) and 0 < y.sum() < len(y)
         combine[t] = logistic(z, y).tolist() if both else [0.0] * len(VIEWS) + [views[t, "text"].prior]
         sign = 1 if t == "quality" else -1  # low quality and high toxicity are rejected

@@ -193,9 +193,9 @@ def frequent_shingles(rows: DataFrame, n_nodes: int) -> tuple[np.ndarray, np.nda
                 h = np.frombuffer(b["often"][0].as_py(), "<u8").view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.frombuffer(b["counts"][0].as_py(), "<u4").astype(np.int64))], names=["h", "c"])
 
-    found = rows.filter("often is not null").select("often", "counts").mapInArrow(run, schema).groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least).collect()
-    h = np.array([r["h"] for r in found], np.int64).view(np.uint64)
-    level = np.array([r["c"].bit_length() for r in found], np.uint8)
+    found = rows.filter("often is not null").select("often", "counts").mapInArrow(run, schema).groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least).toArrow()
+    h = found["h"].to_numpy().view(np.uint64)
+    level = np.array([c.bit_length() for c in found["c"].to_pylist()], np.uint8)
     order = np.argsort(h)
     return h[order], level[order]
 

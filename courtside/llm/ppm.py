@@ -327,7 +327,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, model_grams: int = MODE
     words = counts.filter("kind = 1 and n > 0")
     n_train, n_words = (x or 0 for x in words.agg(F.sum("n"), F.count("*")).first())
     least = max(2, int(common_share * n_train))
-    common = {r["key"]: r["n"] for r in words.filter(F.col("n") >= least).collect()}  # at most 1 / common_share rows
+    t = words.filter(F.col("n") >= least).select("key", "n").toArrow()  # at most 1 / common_share rows
+    common = dict(zip(t["key"].to_pylist(), t["n"].to_pylist()))
     n_end = common.pop(END_WORD, None) or next((r["n"] for r in words.filter(F.col("key") == END_WORD).collect()), 0)
     table = counts.filter("kind = 0").select("key", "n")
     trie = None

@@ -52,7 +52,7 @@ ROUNDS = 3
 CONFIDENT = 0.97
 Z_LEAST = 5.0
 RIDGE = 1.0
-MAX_GOOD_LOSS = 0.005
+MAX_GOOD_LOSS = 0.001
 #: Every so many labelled rows are kept apart to calibrate.
 APART = 4
 TARGETS = ("quality", "toxic")

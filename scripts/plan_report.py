@@ -1,4 +1,4 @@
-"""Write PLANS.md: the final (post-AQE) physical plan shape of every registered query.
+"""Write PLANS.md: the final (post-AQE) physical plan shape of every query of the plans.
 
 Usage: python scripts/plan_report.py [SF_DIR]
 
@@ -16,7 +16,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from courtside.plans import registry  # noqa: E402
 from courtside.session import build_session  # noqa: E402
 
 OPS = r"(ReusedExchange|Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition|" \
@@ -31,7 +31,7 @@ def main():
     lines = ["# PLANS — final physical plans of the registered queries", "",
              f"Generated by `scripts/plan_report.py` on `{sf}` (local[8], AQE on). "
              "Counts are of the final adaptive plan; subqueries included.", ""]
-    for name, q in E.queries().items():
+    for name, q in registry.queries().items():
         df = q(spark, sf)
         df.collect()  # runs the frame's own query execution, so its final plan is recorded
         text = df._jdf.queryExecution().executedPlan().toString()

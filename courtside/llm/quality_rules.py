@@ -1,19 +1,20 @@
 """Quality rules: an isolation forest on rule statistics, its threshold calibrated from labels.
 
-Every document's rule statistics give a vector of shares: symbols, upper
-case, immediate repeats, digits, punctuation.  The forest sees each share at
-its rule's resolution (``GRID``), so that the small differences between clean
-documents form one dense point and what breaks a rule lies apart from it;
-repeated windows are judged by the base rule alone.  Trees of random splits
-are grown on a bounded pool (``pool_rows`` rows with distinct unrounded
-vectors by hash order, so a large group of copies counts once;
-``tree_rows`` drawn for each tree).  The mean path length turns into the
-usual anomaly score
+Every document's rule statistics give a vector of unrounded shares: symbols,
+upper case, immediate repeats, digits, punctuation, duplicate lines, length
+of the words, words in repeated windows.  Trees of random splits are grown on
+a bounded pool (``pool_rows`` rows with distinct vectors by hash order, so a
+large group of copies counts once; ``tree_rows`` drawn for each tree).  A
+leaf has two figures: its path length, and the odds of good to bad among
+*all* labelled rows that fall into it (rates with ``LEAST_RATE`` added, so a
+leaf without labels has odds of 1).  A row's mean path length, over that of a
+random tree, times the geometric mean of its odds is its ``z``; its anomaly
+score is ``2 ** -z``, without labels the usual one
 ``2 ** (-E[path] / c(tree_rows))``.  The threshold comes from the scores of
-*all* labelled rows: the score that best separates quality 0 from 1 (largest
-difference of the two rates above it) among those that reject at most
-``max_good_loss`` of the good rows.  Without labels of both kinds nothing but
-the base rules rejects.
+*all* labelled rows, each without its own label in the odds: the score that
+best separates quality 0 from 1 (largest difference of the two rates above
+it) among those that reject at most ``max_good_loss`` of the good rows.
+Without labels of both kinds nothing but the base rules rejects.
 
 The pool bounds only what the trees are fitted on; statistics, calibration
 and verdicts cover all rows, in one pass over the texts plus small tables.
@@ -44,9 +45,9 @@ REPEAT_PERCENT = 30
 WINDOW = 8
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FEATURES = ("symbol_share", "upper_share", "again_share", "digit_share", "punct_share")
-#: Resolution at which the forest sees each share.
-GRID = (0.05, 0.25, 0.1, 0.5, 0.25)
+FEATURES = ("symbol_share", "upper_share", "again_share", "digit_share", "punct_share", "dup_line_share", "word_length", "repeat_share")
+#: Added to the rates of good and bad rows in a leaf.
+LEAST_RATE = 1 / 1024
 
 _SPACE = bytes([0x20, *range(0x09, 0x0E)])
 _TAIL = bytes(range(0x80, 0xC0))  # bytes of a code point after its first
@@ -101,19 +102,15 @@ def statistics(text: bytes | None) -> tuple[int, int, int, int, int, list[float]
     upper, lower = _count(text, _UPPER), _count(text, _LOWER)
     again = sum(map(bytes.__eq__, words, words[1:]))
     return n, chars, symbols, dup, repeat, [
-        symbols / chars, upper / max(1, upper + lower), again / n, _count(text, _DIGIT) / chars, _count(text, _PUNCT) / chars]
-
-
-def on_grid(x: np.ndarray) -> np.ndarray:
-    return np.round(x / GRID)
+        symbols / chars, upper / max(1, upper + lower), again / n, _count(text, _DIGIT) / chars, _count(text, _PUNCT) / chars,
+        dup / len(lines), chars / n, repeat / n]
 
 
 class Forest:
-    """Random split trees over vectors, as flat arrays."""
+    """Random split trees over vectors, as flat arrays; ``learn`` gives the leaves their labelled rows."""
 
     def __init__(self, pool: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 17):
         rng = np.random.default_rng(seed)
-        pool = on_grid(pool)
         self.rows = max(2, min(tree_rows, len(pool)))
         depth = int(np.ceil(np.log2(self.rows)))
         self.feature, self.split, self.child, self.length, self.roots = [], [], [], [], []
@@ -122,6 +119,7 @@ class Forest:
         self.feature, self.split = np.array(self.feature, np.int32), np.array(self.split)
         self.child, self.length = np.array(self.child, np.int32).reshape(-1, 2), np.array(self.length)
         self.depth = depth
+        self.marks = None
 
     def _grow(self, x: np.ndarray, level: int, depth: int, rng) -> int:
         k = len(self.feature)
@@ -140,11 +138,8 @@ class Forest:
                 self.child[k] = (self._grow(x[left], level + 1, depth, rng), self._grow(x[~left], level + 1, depth, rng))
         return k
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Anomaly scores in (0, 1); 0.5 without trees."""
-        if not self.roots:
-            return np.full(len(x), 0.5)
-        x, total = on_grid(x), np.zeros(len(x))
+    def leaves(self, x: np.ndarray):
+        """The leaf of each row, tree by tree."""
         at_row = np.arange(len(x))
         for root in self.roots:
             node = np.full(len(x), root, np.int32)
@@ -152,8 +147,29 @@ class Forest:
                 f = self.feature[node]
                 go = (x[at_row, np.maximum(f, 0)] >= self.split[node]).astype(np.int8)
                 node = self.child[node, go]
+            yield node
+
+    def learn(self, marks: np.ndarray) -> None:
+        """Labelled rows per node: column 0 the bad ones, 1 the good ones; the odds need both."""
+        totals = marks.sum(axis=0) / max(1, len(self.roots))
+        if totals.all():
+            self.marks, self.totals = marks, totals
+            self.odds = self._odds(marks)
+
+    def _odds(self, marks: np.ndarray) -> np.ndarray:
+        rate = marks / self.totals + LEAST_RATE
+        return np.log(rate[:, 1] / rate[:, 0])
+
+    def score(self, x: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+        """Anomaly scores from 0 to 1; 0.5 without trees.  ``own`` are labels of the rows, which the odds then leave out."""
+        if not self.roots:
+            return np.full(len(x), 0.5)
+        total, odds = np.zeros(len(x)), np.zeros(len(x))
+        for node in self.leaves(x):
             total += self.length[node]
-        return np.round(2.0 ** (-total / len(self.roots) / expected_path(self.rows)), 12)
+            if self.marks is not None:
+                odds += self.odds[node] if own is None else self._odds(self.marks[node] - np.column_stack([own == 0, own == 1]))
+        return np.round(2.0 ** (-total / len(self.roots) / expected_path(self.rows) * np.exp(odds / len(self.roots))), 12)
 
 
 def expected_path(n: int) -> float:
@@ -190,26 +206,55 @@ def fit_forest(stats: DataFrame, pool_rows: int = POOL_ROWS) -> Forest:
     return Forest(np.array([r[0] for r in rows], float).reshape(len(rows), len(FEATURES)))
 
 
-def scored(stats: DataFrame, forest: Forest) -> DataFrame:
-    """``stats`` with its features exchanged for the anomaly score."""
+def _vectors(b: pa.RecordBatch) -> np.ndarray:
+    return b["features"].flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(FEATURES))
+
+
+def scored(stats: DataFrame, forest: Forest, own: str | None = None) -> DataFrame:
+    """``stats`` with its features exchanged for the anomaly score; the label in the column ``own`` is left out of it."""
     shared = stats.sparkSession.sparkContext.broadcast(forest)
     names = [c for c in stats.columns if c != "features"]
 
     def run(batches):
         for b in slices(batches, 4096):
-            x = b["features"].flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(shared.value.score(x))], names=[*names, "anomaly"])
+            score = shared.value.score(_vectors(b), own and b[own].to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(score)], names=[*names, "anomaly"])
 
     return stats.mapInArrow(run, T.StructType([*[stats.schema[n] for n in names], T.StructField("anomaly", T.DoubleType())]))
 
 
-def calibrate(scores: DataFrame, labels: DataFrame, max_good_loss: float = MAX_GOOD_LOSS) -> float:
-    """The threshold (reject above it) from all labelled rows that pass the base rules; infinity without both kinds.
+def marked_rows(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """Quality and features of all labelled rows that pass the base rules."""
+    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1) and doc_id is not null")
+    return stats.filter(~base_failed()).join(marks, "doc_id").select("quality", "features")
+
+
+def count_marks(marked: DataFrame, forest: Forest) -> np.ndarray:
+    """Bad and good rows of ``marked`` in each node of the forest: counted where they lie, then summed per node."""
+    shared, nodes = marked.sparkSession.sparkContext.broadcast(forest), len(forest.feature)
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "bad", "good")])
+
+    def run(batches):
+        found = np.zeros((2, nodes), np.int64)
+        for b in slices(batches, 4096):
+            good = b["quality"].to_numpy(zero_copy_only=False) == 1
+            for node in shared.value.leaves(_vectors(b)):
+                found += np.stack([np.bincount(node[~good], minlength=nodes), np.bincount(node[good], minlength=nodes)])
+        at = np.flatnonzero(found.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[0, at]), pa.array(found[1, at])], names=schema.names)
+
+    out = np.zeros((nodes, 2))
+    for r in marked.mapInArrow(run, schema).groupBy("node").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect():
+        out[r["node"]] = r["bad"], r["good"]
+    return out
+
+
+def calibrate(scores: DataFrame, max_good_loss: float = MAX_GOOD_LOSS) -> float:
+    """The threshold (reject above it) from the quality and score of all labelled rows; infinity without both kinds.
 
     The scores are grouped to four decimals, at most 10,001 groups.
     """
-    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1) and doc_id is not null")
-    rows = scores.filter(~base_failed()).join(marks, "doc_id").groupBy(F.floor(F.col("anomaly") * 10000).alias("s")) \
+    rows = scores.groupBy(F.floor(F.col("anomaly") * 10000).alias("s")) \
         .agg(F.sum(1 - F.col("quality")).alias("bad"), F.sum("quality").alias("good")).collect()
     if not rows:
         return float("inf")
@@ -226,10 +271,12 @@ def calibrate(scores: DataFrame, labels: DataFrame, max_good_loss: float = MAX_G
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Forest, float]:
-    """Statistics of all rows (a scratch table), the forest and the threshold."""
+    """Statistics of all rows (a scratch table), the forest with its labelled leaves, and the threshold."""
     stats = materialize(rule_statistics(docs), "rule-statistics")
     forest = fit_forest(stats)
-    return stats, forest, calibrate(scored(stats, forest), labels)
+    marked = materialize(marked_rows(stats, labels), "marked-statistics")
+    forest.learn(count_marks(marked, forest))
+    return stats, forest, calibrate(scored(marked, forest, "quality"))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -83,3 +83,41 @@ def test_expected_path_and_forest():
     forest = Q.Forest(pool)
     assert forest.score(np.array([[1.0] * 5]))[0] > forest.score(np.zeros((1, 5)))[0]
     assert Q.Forest(np.zeros((0, 5))).score(np.zeros((2, 5))).tolist() == [0.5, 0.5]
+
+
+def test_junk_by_small_shares_is_learned_from_labels(spark):
+    """Bad rows that differ by 1.5 % symbols, by duplicate lines or by the length of their words alone."""
+    rng = random.Random(4)
+    vocab = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(900)]
+    texts, marks = [], []
+    for k in range(720):
+        words = rng.choices(vocab, k=rng.randint(80, 200))
+        lines = [" ".join(words[j:j + 7]) for j in range(0, len(words), 7)]
+        if k % 12 == 0:
+            lines = [x + "#" * (j % 2 == 0) for j, x in enumerate(lines)]
+        elif k % 12 == 1:
+            lines = [y for j, x in enumerate(lines) for y in ((x, "Read on") if j % 3 == 0 else (x,))]
+        elif k % 12 == 2:
+            lines = [x.replace(" ", "", 3) for x in lines]
+        texts.append("\n".join(lines))
+        marks.append(int(k % 12 > 2))
+    labels = spark.createDataFrame([(k, m, 0) for k, m in enumerate(marks) if k // 12 % 2], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in Q.verdicts(documents(spark, texts), labels).collect()}
+    held_out = [k for k in range(len(marks)) if k // 12 % 2 == 0]
+    assert not any(r["base_failed"] for r in got.values())
+    for kind in range(3):
+        assert np.mean([not got[k]["kept"] for k in held_out if k % 12 == kind]) > 0.9
+    assert np.mean([got[k]["kept"] for k in held_out if marks[k]]) > 0.98
+
+
+def test_odds_leave_a_rows_own_label_out():
+    rng = np.random.default_rng(0)
+    x = rng.random((300, 8))
+    forest = Q.Forest(x)
+    own = (np.arange(300) % 3 > 0).astype(int)
+    marks = np.zeros((len(forest.feature), 2))
+    for node in forest.leaves(x):
+        np.add.at(marks, (node, own), 1)
+    forest.learn(marks)
+    with_own, without = forest.score(x), forest.score(x, own)
+    assert (without >= with_own)[own == 1].all() and (without <= with_own)[own == 0].all() and (without != with_own).any()

@@ -9,7 +9,12 @@ value's cost to a guesser is the minimum over all segmentations into
 * dates, repeats and alphabetic or numeric runs, walks on the keyboard,
 * brute-force stretches (per character, the size of its character class),
 
-found by dynamic programming over the positions of the value.  A value whose
+found by dynamic programming over the positions of the value.  A value that
+opens with a quote goes to the matching quote on its line, any other one over
+all visible characters that follow, without punctuation at its end; after
+``passphrase:`` or ``passphrase=`` plain words up to the end of the line are
+one value.  The words of a value with spaces cost at most a draw from a word
+list each.  A value in angle brackets is a placeholder.  A value whose
 cost reaches ``min_log10`` (log10 of guesses) is a secret: it cannot be a
 placeholder or a word.  Base spans always stay; a value that a base span
 covers adds none.
@@ -36,10 +41,18 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Where a credential's value may stand: a wider list of names, other separators, any visible characters.
+#: Where a credential's value may stand: a wider list of names, other separators.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code|_?key)|pwd|secret(?:_?key)?|(?:access|auth|refresh|session)?_?token|(?:api|access|private|signing)[_-]?key|credentials?|authorization|bearer)"""
-    r"""["']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+is\x20+|(?<=[Bb]earer)\x20+)(?:(?:basic|bearer)\x20+)?["'`]?([^\s"'`<>,;]{6,})""", re.I | re.A)
+    r"""["']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+is\x20+|(?<=[Bb]earer)\x20+)(?:(?:basic|bearer)\x20+)?""", re.I | re.A)
+_QUOTED = {q: re.compile(rf"{q}((?:\\[^\n]|[^{q}\\\n])*+){q}") for q in "\"'`"}
+_VISIBLE = re.compile(r"\S*")
+_PHRASE = re.compile(r"([A-Za-z]+(?:\x20+[A-Za-z]+)+)[\x20.]*+(?=\r?\n|\Z)")
+_BEFORE_PHRASE = re.compile(r"passphrase[\"']?\x20*(?::=|=>|[:=])\x20*\Z", re.I | re.A)
+#: What may stand after a value without being part of it.
+_AFTER = ".,;:!?)]}>\"'`"
+#: A word of a word list that dice choose from.
+_LOG_WORD = math.log10(7776)
 #: Values from 10^10 guesses on.
 MIN_LOG10 = 10.0
 
@@ -122,6 +135,30 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+def value_cost(value: str) -> float:
+    """``guess_cost`` of a value; of one with spaces the sum over its words, where plain words may come from a word list."""
+    words = value.split()
+    if len(words) < 2:
+        return guess_cost(value)
+    return sum(min(guess_cost(w), _LOG_WORD) if w.isalpha() else guess_cost(w) for w in words)
+
+
+def value_at(text: str, name: int, at: int) -> tuple[int, int]:
+    """Start and end of the value that stands at ``at``, after a credential's name from ``name`` on."""
+    if (quoted := _QUOTED.get(text[at:at + 1])) is not None:
+        if m := quoted.match(text, at):
+            return m.span(1)
+        at += 1  # the quote stays open
+    elif _BEFORE_PHRASE.search(text[name:at]) and (m := _PHRASE.match(text, at)):
+        return m.span(1)
+    end = _VISIBLE.match(text, at).end()
+    if text[at:at + 1] == "<" and ">" in text[at:end]:
+        return at, at
+    while end > at and text[end - 1] in _AFTER:
+        end -= 1
+    return at, end
+
+
 def scan_text(text: str | None, min_log10: float = MIN_LOG10) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every span by start, then kind as listed in ``KINDS``."""
     if not text:
@@ -130,12 +167,14 @@ def scan_text(text: str | None, min_log10: float = MIN_LOG10) -> list[tuple[str,
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted((s, e) for s, _, e in found)
-    for m in CONTEXT.finditer(text):
-        s, e = m.span(1)
-        while e > s and text[e - 1] in ".)]}:!?":
-            e -= 1
-        if e - s >= 6 and not any(x <= s and e <= y for x, y in base) and guess_cost(text[s:e]) >= min_log10:
-            found.append((s, 3, e))
+    at = 0
+    while m := CONTEXT.search(text, at):
+        s, e = value_at(text, m.start(), m.end())
+        at = m.end()
+        if e - s >= 6:
+            at = e
+            if not any(x <= s and e <= y for x, y in base) and value_cost(text[s:e]) >= min_log10:
+                found.append((s, 3, e))
     return [(KINDS[k], s, e) for s, k, e in sorted(found)]
 
 

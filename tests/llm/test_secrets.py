@@ -101,3 +101,25 @@ def test_operator_and_masking(spark):
 def test_long_text():
     text = ("x" * 200_000) + " password=abcdefgh " + ("0" * 100_000)
     assert [k for k, _, _ in S.scan_text(text)] == ["assign", "hex"]
+
+
+def test_values_are_taken_whole():
+    def values(text):
+        return [text[s:e] for k, s, e in S.scan_text(text) if k == "guess"]
+    assert values('passphrase: "correct horse battery staple" end') == ["correct horse battery staple"]
+    assert values("passphrase: correct horse battery staple.\nnext line") == ["correct horse battery staple"]
+    assert values("the pwd: kX9,vLq2Tz!8Wm") == ["kX9,vLq2Tz!8Wm"]
+    assert values("pwd: kX9#vLq2Tz,8Wm!pR, then more") == ["kX9#vLq2Tz,8Wm!pR"]
+    assert values("pwd='it\\'s kX9;vLq<2Tz' x") == ["it\\'s kX9;vLq<2Tz"]
+    assert values('pwd: "kX9;vLq<2Tz8Wm no end') == ["kX9;vLq<2Tz8Wm"]
+    assert values('password="kX9 vLq2Tz!8Wm"') == ["kX9 vLq2Tz!8Wm"]  # a base span covers nothing of it
+    assert values('pwd: "a" token is kX9,vLq2Tz!8Wm') == ["kX9,vLq2Tz!8Wm"]
+    for weak in ('pwd: "password 123456"', "pwd: <your-secret-token-here>", "passphrase is changeme, not more", "pwd: password,", 'pwd: "my password"'):
+        assert values(weak) == [], weak
+    text = "pwd: kX9#vLq2Tz,8Wm!pR end"
+    assert S.mask_text(text, S.scan_text(text)) == "pwd: [SECRET] end"
+
+
+def test_long_lines_of_names():
+    for text in ("password=" * 20_000, 'pwd="' * 20_000, "passphrase: a " * 20_000, "pwd: '" + "x y " * 50_000):
+        S.scan_text(text)

@@ -72,7 +72,9 @@ LEET = {"4": "a", "@": "a", "8": "b", "3": "e", "6": "g", "1": "l", "!": "i", "0
 
 _RANK = {w: k + 1 for k, w in enumerate(COMMON)}
 _LONGEST = max(map(len, COMMON))
-_DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d\d|\d\d)|(?:19|20)\d\d)")
+_DATES = tuple(map(re.compile, (
+    r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d",
+    r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1\d\d", r"(?:19|20)\d\d")))
 _LOG_DAY, _LOG_YEAR = math.log10(365 * 120), math.log10(120)
 
 
@@ -110,12 +112,14 @@ def guess_cost(value: str) -> float:
     best = [0.0] + [math.inf] * n
     ends: dict[int, list[tuple[int, float]]] = {}
     for at in range(n):
-        if m := _DATE.match(value, at):
-            ends.setdefault(m.end(), []).append((at, _LOG_YEAR if m.end() - at == 4 else _LOG_DAY))
+        for date in _DATES if value[at].isdigit() else ():
+            if m := date.match(value, at):
+                ends.setdefault(m.end(), []).append((at, _LOG_YEAR if m.end() - at == 4 else _LOG_DAY))
     same = _runs(low, lambda a, b: a == b)
     up = _runs(low, lambda a, b: ord(b) - ord(a) == 1 and a.isalnum())
     down = _runs(low, lambda a, b: ord(a) - ord(b) == 1 and b.isalnum())
     walk = _runs(low, lambda a, b: b in _NEXT.get(a, ()))
+    kinds = tuple((starts, first, turn, []) for starts, first, turn in ((same, 1.5, 0.0), (up, 1.0, 0.0), (down, 1.0, 0.0), (walk, _LOG_KEYS, _LOG_TURN)))
     for end in range(1, n + 1):
         cost = best[end - 1] + _brute(value[end - 1])
         for size in range(2, min(_LONGEST, end) + 1):
@@ -126,11 +130,20 @@ def guess_cost(value: str) -> float:
                 cost = min(cost, best[at] + math.log10(rank * (1 if part == part.lower() else 2 if part == part.capitalize() or part.isupper() else 2 ** size)) + 0.3)
         for at, date in ends.get(end, ()):
             cost = min(cost, best[at] + date)
-        for starts, first, turn in ((same, 1.5, 0.0), (up, 1.0, 0.0), (down, 1.0, 0.0), (walk, _LOG_KEYS, _LOG_TURN)):
-            at = starts[end - 1]
-            size = end - at
-            if size >= 3:
-                cost = min(cost, best[at] + first + math.log10(size) + turn * (size - 1) / 2)
+        for starts, first, turn, live in kinds:
+            if starts[end - 1] > end - 3:
+                live.clear()
+                continue
+            live.append(end - 3)
+            least, still = math.inf, []
+            for at in live:  # a start that an earlier one beats stays beaten: the longer both get, the nearer their lengths' logarithms
+                size = end - at
+                own = best[at] + first + math.log10(size) + turn * (size - 1) / 2
+                if own < least:
+                    least = own
+                    still.append(at)
+            live[:] = still
+            cost = min(cost, least)
         best[end] = cost
     return best[n]
 

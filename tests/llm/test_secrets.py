@@ -123,3 +123,39 @@ def test_values_are_taken_whole():
 def test_long_lines_of_names():
     for text in ("password=" * 20_000, 'pwd="' * 20_000, "passphrase: a " * 20_000, "pwd: '" + "x y " * 50_000):
         S.scan_text(text)
+
+
+def any_piece_cost(value, at, end):
+    """Cost of one stretch as one segment of any kind, runs, walks and dates included, from the definitions."""
+    import math
+    best, part, size = piece_cost(value, at, end), value.lower()[at:end], end - at
+    pairs = list(zip(part, part[1:]))
+    if size >= 3:
+        if all(a == b for a, b in pairs):
+            best = min(best, 1.5 + math.log10(size))
+        for way in (1, -1):
+            if all(ord(b) - ord(a) == way and min(a, b).isalnum() for a, b in pairs):
+                best = min(best, 1.0 + math.log10(size))
+        if all(b in S._NEXT.get(a, ()) for a, b in pairs):
+            best = min(best, S._LOG_KEYS + math.log10(size) + S._LOG_TURN * (size - 1) / 2)
+    day, month = r"(?:0[1-9]|[12][0-9]|3[01])", r"(?:0[1-9]|1[0-2])"
+    year = "(?:19|20)[0-9][0-9]"
+    for sep in ("", "-", "/", r"\.", "_"):
+        if re.fullmatch(f"{year}{sep}{month}{sep}{day}|{day}{sep}{month}{sep}(?:{year}|[0-9][0-9])", value[at:end]):
+            best = min(best, S._LOG_DAY)
+    return min(best, S._LOG_YEAR) if re.fullmatch(year, value[at:end]) else best
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(alphabet="abcdpassw01", min_size=1, max_size=10), st.text(alphabet="qwertyas", min_size=1, max_size=10),
+                 st.text(alphabet="0129-", min_size=1, max_size=10), st.text(alphabet="keya", min_size=1, max_size=10),
+                 st.lists(st.sampled_from(["key", "yyy", "a", "abc", "cba", "pass", "sss", "qwe", "2019", "0101", "-", "asd"]), min_size=1, max_size=3).map(lambda x: "".join(x)[:11])))
+def test_cost_equals_exhaustive_segmentation(value):
+    n = len(value)
+    cuts = [c for k in range(n) for c in itertools.combinations(range(1, n), k)]
+    cost = {(a, b): any_piece_cost(value, a, b) for a in range(n) for b in range(a + 1, n + 1)}
+    assert S.guess_cost(value) == pytest.approx(min(sum(cost[a, b] for a, b in zip((0, *c), (*c, n))) for c in cuts))
+
+
+def test_words_and_runs_that_share_letters():
+    assert S.guess_cost("sunshineeeeeeee") < 4.5 and S.scan_text("passphrase is sunshineeeeeeee") == []

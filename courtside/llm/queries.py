@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import chat, cholesky_whitening, cotrain, decontaminate, html_extract, ngram_join, packing, ppm, quality_rules, repair, secrets
+from courtside.llm import chat, cholesky_whitening, cotrain, decontaminate, html_extract, improbable, ngram_join, packing, ppm, quality_rules, repair, secrets
 from courtside.llm.common import table
 
 #: Place of the tokenizer file on every machine.
@@ -78,13 +78,17 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(events))
 
 
+def op11_improbable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return improbable.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cholesky_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_decontaminate, op3_html_extract, op4_ppm, op5_cotrain, op6_repair, op7_ngram_join, op8_secrets, op9_packing, op10_chat,
-    op12_cholesky_whitening)}
+    op11_improbable, op12_cholesky_whitening)}
 
 _WORDS2 = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import chat, cholesky_whitening, cotrain, decontaminate, html_extract, improbable, ngram_join, packing, ppm, quality_rules, repair, secrets
+from courtside.llm import chat, cholesky_whitening, cotrain, decontaminate, divergence, html_extract, improbable, ngram_join, packing, ppm, quality_rules, repair, secrets
 from courtside.llm.common import table
 
 #: Place of the tokenizer file on every machine.
@@ -86,9 +86,13 @@ def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cholesky_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_rules, op2_decontaminate, op3_html_extract, op4_ppm, op5_cotrain, op6_repair, op7_ngram_join, op8_secrets, op9_packing, op10_chat,
-    op11_improbable, op12_cholesky_whitening)}
+    op11_improbable, op12_cholesky_whitening, op13_divergence)}
 
 _WORDS2 = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -136,4 +140,36 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(n)::BIGINT AS formatted_chars
 FROM out GROUP BY conv_id""",
+    "op13_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+tokens AS (SELECT r, lang, source, t, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS t FROM docs) GROUP BY ALL),
+kept AS (SELECT lang, t FROM tokens GROUP BY lang, t HAVING count(*) >= 10),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+found AS (SELECT lang, source, t, sum(n) AS c FROM tokens JOIN kept USING (lang, t) GROUP BY ALL),
+pool AS (SELECT DISTINCT lang, source, FALSE AS whole FROM docs UNION ALL SELECT DISTINCT lang, '', TRUE FROM docs),
+every AS (SELECT lang, source, FALSE AS whole, t, c FROM found UNION ALL SELECT lang, '', TRUE, t, sum(c) FROM found GROUP BY lang, t),
+total AS (SELECT lang, source, whole, sum(c) AS n FROM every GROUP BY ALL),
+grid AS (
+  SELECT pool.lang, pool.source, pool.whole, kept.t, coalesce(every.c, 0) AS c,
+         (1 + (1000000000::HUGEINT * (coalesce(every.c, 0) + 2)) // (coalesce(total.n, 0) + 2 * size.v))::BIGINT AS p
+  FROM pool JOIN kept ON kept.lang = pool.lang JOIN size ON size.lang = pool.lang
+  LEFT JOIN total ON total.lang = pool.lang AND total.source = pool.source AND total.whole = pool.whole
+  LEFT JOIN every ON every.lang = pool.lang AND every.source = pool.source AND every.whole = pool.whole AND every.t = kept.t),
+sums AS (
+  SELECT g.lang, g.source, h.source AS item, sum(((g.p - h.p) * (g.p - h.p)) // (g.p + h.p)) AS value
+  FROM grid g JOIN grid h ON g.lang = h.lang AND g.t = h.t AND g.source <> h.source WHERE NOT g.whole AND NOT h.whole GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0)::BIGINT AS value
+  FROM pool a JOIN pool b ON a.lang = b.lang AND a.source <> b.source AND NOT a.whole AND NOT b.whole
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (
+  SELECT g.lang, g.source, 'term' AS part, g.t AS item, (((g.p - h.p) * (g.p - h.p)) // (g.p + h.p))::BIGINT AS value
+  FROM grid g JOIN grid h ON g.lang = h.lang AND g.t = h.t AND h.whole WHERE NOT g.whole AND g.c > 0 AND g.p > h.p),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }

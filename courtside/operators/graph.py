@@ -24,6 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.operators.dictionary import decode, dense_ids, encode
 from courtside.session import ensure_checkpoint_dir
 
 
@@ -204,6 +205,21 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, tol: fl
     return out
 
 
+def pagerank_by_key(vertices: DataFrame, edges: DataFrame, **options) -> DataFrame:
+    """``key, rank`` of a graph whose nodes are strings.
+
+    ``vertices``: ``key``; ``edges``: ``src, dst`` as keys.  Vertices with the
+    same key are one node.  The keys become dense ids once, so what a step
+    shuffles is a long and a double per node whatever the keys' length; the
+    keys come back with the result.  ``options`` are those of ``pagerank``.
+    """
+    ensure_checkpoint_dir(vertices.sparkSession)
+    own = edges.select("src", "dst").where("src is not null and dst is not null").distinct().checkpoint(eager=True)
+    ids = dense_ids(vertices.select("key").union(own.select(F.explode(F.array("src", "dst")))), "key")
+    numbered = encode(own, ids, {"src": "s", "dst": "d"}).select(F.col("s").alias("src"), F.col("d").alias("dst"))
+    return decode(pagerank(ids.select("id"), numbered, **options), ids, "id", "key", "rank")
+
+
 def _checkpoint_scaled(df: DataFrame, col: str) -> DataFrame:
     """Write ``df`` with a reliable checkpoint, ``col`` divided by its maximum."""
     df = df.checkpoint(eager=True)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtside.functions.cells import half_even
+
 
 def last_n(df: DataFrame, entity_cols: list[str], order_by: list[Column], n: int,
            rn_col: str = "rn") -> DataFrame:
@@ -40,14 +42,6 @@ def mean_or_zero(entities: DataFrame, rows: DataFrame, entity_cols: list[str],
         *[F.coalesce(F.col(o), F.lit(0.0)).alias(o) for o in measures])
 
 
-def mean_of_present(rows: DataFrame, entity_cols: list[str], value_col: str,
-                    out_col: str = "avg_value") -> DataFrame:
-    """Per-entity mean of the non-null values; entity dropped when none."""
-    present = rows.where(F.col(value_col).isNotNull())
-    return present.groupBy(*entity_cols).agg(
-        F.avg(value_col).alias(out_col), F.count(value_col).alias("n_values"))
-
-
 def values_wide(rows: DataFrame, entity_cols: list[str], value_col: str, rn_col: str,
                 n: int, prefix: str = "g") -> DataFrame:
     """Ordered values per entity as columns ``g1..gn``.
@@ -77,3 +71,23 @@ def with_summary(detail: DataFrame, summary: DataFrame, label_col: str,
     columns widen to the common type (int detail + double mean -> double).
     """
     return detail.unionByName(summary.withColumn(label_col, F.lit(label)))
+
+
+def rollup_summary(rows: DataFrame, entity_cols: list[str], pos_col: str, label_col: str, measures: list[str],
+                   label: str = "Averages") -> DataFrame:
+    """Detail rows and one summary row per entity from a single aggregate.
+
+    ``GROUPING SETS ((entity, position), (entity))``: Spark expands each row
+    to both groups and aggregates once, where ``with_summary`` reads the rows
+    twice.  Positions are the keys, so details with equal labels stay apart.
+    An entity whose only row has a null position (it has no games) gets its
+    summary row alone, with means of 0.  ``grouping_id`` tells the two kinds
+    apart: a null position of a detail row is not the summary's.
+    """
+    keys = [*entity_cols, pos_col]
+    sets = rows.groupingSets([keys, entity_cols], *[F.col(c) for c in keys]).agg(
+        F.grouping_id().alias("__cs_kind"), F.max(label_col).alias("__cs_label"), *[F.avg(c).alias(c) for c in measures])
+    total = F.col("__cs_kind") > 0
+    return (sets.where(total | F.col(pos_col).isNotNull())
+                .select(*keys, F.when(total, F.lit(label)).otherwise(F.col("__cs_label")).alias(label_col),
+                        *[F.when(total, half_even(F.coalesce(F.col(c), F.lit(0.0)), 2)).otherwise(F.col(c)).alias(c) for c in measures]))

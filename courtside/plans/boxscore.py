@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.functions import cells as C
-from courtside.operators.h2h import head_to_head
-from courtside.operators.lastn import last_n, values_wide, with_summary
-from courtside.operators.lookup import first_hit, lookup_id, matchup_status
+from courtside.operators.h2h import all_pairs_by_game, all_pairs_head_to_head, head_to_head
+from courtside.operators.lastn import last_n, rollup_summary, values_wide, with_summary
+from courtside.operators.lookup import first_hit, lookup_id, matchup_status, name_index, search_names
 from courtside.operators.ranking import global_row_number, top_k
 from courtside.plans.graph import trade_pairs
 from courtside.sources.html_table import html_table_rows
@@ -115,6 +115,15 @@ def last10_avg_with_summary(spark: SparkSession, sf_dir: str, cust_key=None) ->
     return with_summary(detail, summary, "game")
 
 
+def last10_rollup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``last10_avg_with_summary`` from one aggregate over grouping sets."""
+    last10 = _last_box_scores(spark, sf_dir, 10)
+    game = F.concat(F.date_format("o_orderdate", "MMM dd, yyyy"), F.lit(" - #"), F.col("o_orderkey").cast("string"))
+    cust = table(spark, sf_dir, "customer", "c_custkey")
+    rows = cust.join(last10, cust.c_custkey == last10.o_custkey, "left").select("c_custkey", "seq", game.alias("game"), "points", "rebounds", "assists")
+    return rollup_summary(rows, ["c_custkey"], "seq", "game", ["points", "rebounds", "assists"])
+
+
 def player_report(spark: SparkSession, sf_dir: str, name: str = PLAYER_NAME) -> DataFrame:
     """Last 10 games and an "Averages" row for one player found by name.
 
@@ -197,6 +206,56 @@ def head_to_head_opponent(spark: SparkSession, sf_dir: str, team1: str = H2H_TEA
                         team1, team2, team1, team2, min_season=low, max_season=high)
 
 
+def _trade_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``o_orderkey, o_orderdate, team, opponent, points`` of all orders: customer's nation against each supplier nation in it."""
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    names = {c: nation.select(F.col("n_nationkey").alias(f"{c}_key"), F.col("n_name").alias(c)) for c in ("team", "opponent")}
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_extendedprice")
+    supp = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    per_order = li.join(supp, li.l_suppkey == supp.s_suppkey).groupBy("l_orderkey", "s_nationkey").agg(F.sum("l_extendedprice").alias("total"))
+    games = per_order.join(orders, per_order.l_orderkey == orders.o_orderkey).join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    games = games.join(names["team"], F.col("c_nationkey") == F.col("team_key")).join(names["opponent"], F.col("s_nationkey") == F.col("opponent_key"))
+    return games.select("o_orderkey", "o_orderdate", "team", "opponent", F.floor(F.col("total") / 1000).cast("long").alias("points"))
+
+
+def all_pairs_h2h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five most recent meetings of every two nations that met, each side's lists zipped per season."""
+    games = _trade_games(spark, sf_dir).withColumns({
+        "season": F.year("o_orderdate"),
+        "game_date": F.concat(F.date_format("o_orderdate", "MMM dd, yyyy"), F.lit(" - "), F.least("team", "opponent"), F.lit(" vs. "), F.greatest("team", "opponent"))})
+    return all_pairs_head_to_head(games, "team", "opponent", "season", recent_first(), "points", "game_date")
+
+
+def all_pairs_h2h_by_game(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five most recent orders that two nations both supplied, for every two nations (D3 by game id, F3)."""
+    games = _trade_games(spark, sf_dir).withColumn("season", F.year("o_orderdate"))
+    met = all_pairs_by_game(games, "opponent", "o_orderkey", "season", "o_orderdate", "points")
+    return met.withColumn("game_date", F.date_format("recency", "MMM dd, yyyy")).drop("recency")
+
+
+def name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and parts searched by first and last name, all requests at once.
+
+    Asked for are each ordering customer by its number (``customer`` is a word
+    of every customer's name), each part's words in either order, the first
+    word with a part type and the brand with the last word (mostly unknown).
+    """
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_name")
+    part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand")
+    index = name_index(cust.select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+                       .union(part.select(F.lit("part"), "p_partkey", "p_name")), F.struct("kind", "id"), "name")
+    orders = table(spark, sf_dir, "orders", "o_custkey")
+    words = F.split("p_name", " ")
+    asked = orders.select(F.lit("Customer").alias("first_name"), F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("last_name")).union(
+        part.select(F.explode(F.array(*[F.struct(a.alias("first_name"), b.alias("last_name")) for a, b in (
+            (F.get(words, 0), F.get(words, 1)), (F.get(words, 1), F.get(words, 0)), (F.get(words, 0), F.col("p_type")), (F.col("p_brand"), F.get(words, 1)))])).alias("x"))
+        .select("x.first_name", "x.last_name"))
+    found = search_names(asked, index, ["first_name", "last_name"])
+    return found.select("first_name", "last_name", "n_hits", F.col("key.kind").alias("kind"), F.col("key.id").alias("id"), "status")
+
+
 def matchup_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade match-ups requested by *name*, resolved and guarded.
 

@@ -13,13 +13,17 @@ from pyspark.sql import functions as F
 
 from courtside.functions import urls as U
 from courtside.functions.cells import fixed
-from courtside.operators.graph import hits, in_set_edges, out_degree, pagerank
+from courtside.operators.graph import hits, in_set_edges, out_degree, pagerank, pagerank_by_key
 from courtside.sources.tables import pages, table
 
 # Steps after which the oracle's unrolled iterations agree with the converged ranks to 6 decimals.
 PAGERANK_STEPS = 100
 HITS_STEPS = 120
 PAGERANK_TOLERANCE = 1e-10
+# Page ranks are about 1 / pages, so they are listed with more decimals and iterated until the doubles stand still.
+PAGE_RANK_DECIMALS = 9
+PAGE_RANK_TOLERANCE = 1e-15
+PAGE_RANK_STEPS = 200
 
 
 def trade_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,3 +124,15 @@ def link_graph_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = in_set_edges(links, known, "id")
     edges = in_set_edges(edges.select("src", U.strip_trailing_slash("dst").alias("dst")), known, "id")
     return edges.select(U.last_segment("src").alias("src_node"), U.last_segment("dst").alias("dst_node")).distinct()
+
+
+def pagerank_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PageRank of the page graph, nodes named by their last path segment.
+
+    Every page is a node, also without links; pages with the same last
+    segment are one node, as are the targets inside the known set.
+    """
+    nodes = pages(spark, sf_dir).select(U.last_segment("url").alias("key"))
+    edges = link_graph_in_set(spark, sf_dir).select(F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
+    ranks = pagerank_by_key(nodes, edges, tol=PAGE_RANK_TOLERANCE, max_iter=PAGE_RANK_STEPS)
+    return ranks.select(F.col("key").alias("node"), F.round("rank", PAGE_RANK_DECIMALS).alias("rank"), fixed("rank", 3).alias("rank_text"))

@@ -219,7 +219,68 @@ SELECT req.page_id, req.lang, req.url_num, hit.doc_id
 FROM req LEFT JOIN hit ON req.lang = hit.lang
 """
 
+_TRADE_GAMES = """
+WITH per_order AS (
+  SELECT l.l_orderkey, s.s_nationkey, sum(l.l_extendedprice) AS total
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY l.l_orderkey, s.s_nationkey
+), games AS (
+  SELECT o.o_orderkey, o.o_orderdate, CAST(year(o.o_orderdate) AS INTEGER) AS season, n.n_name AS team, m.n_name AS opponent,
+         CAST(floor(p.total / 1000) AS BIGINT) AS points
+  FROM per_order p JOIN orders o ON p.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN nation m ON p.s_nationkey = m.n_nationkey
+)"""
+
+_PAIR_LABELS = """
+       CAST(season AS VARCHAR) || '-' || lpad(CAST((season + 1) % 100 AS VARCHAR), 2, '0') AS season_label,
+       pts1, pts2, CASE WHEN pts1 > pts2 THEN team1 ELSE team2 END AS winner, printf('%s %d - %s %d', team1, pts1, team2, pts2) AS score"""
+
+ALL_PAIRS_H2H = _TRADE_GAMES + f""", numbered AS (
+  SELECT *, least(team, opponent) AS team1, greatest(team, opponent) AS team2,
+         CAST(row_number() OVER (PARTITION BY team, opponent, season ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS pos
+  FROM games WHERE team <> opponent
+), z AS (
+  SELECT a.team1, a.team2, a.season, a.pos, strftime(a.o_orderdate, '%b %d, %Y') || ' - ' || a.team1 || ' vs. ' || a.team2 AS matchup, a.points AS pts1, b.points AS pts2
+  FROM numbered a JOIN numbered b ON a.team = b.opponent AND a.opponent = b.team AND a.season = b.season AND a.pos = b.pos WHERE a.team = a.team1
+)
+SELECT team1, team2, CAST(row_number() OVER (PARTITION BY team1, team2 ORDER BY season DESC, pos) AS INTEGER) AS rank, season, pos, matchup,{_PAIR_LABELS}
+FROM z QUALIFY rank <= 5
+"""
+
+ALL_PAIRS_H2H_BY_GAME = _TRADE_GAMES + f""", z AS (
+  SELECT a.opponent AS team1, b.opponent AS team2, a.season, a.o_orderkey AS game, a.o_orderdate, a.points AS pts1, b.points AS pts2
+  FROM games a JOIN games b ON a.o_orderkey = b.o_orderkey AND a.opponent < b.opponent
+)
+SELECT team1, team2, CAST(row_number() OVER (PARTITION BY team1, team2 ORDER BY season DESC, o_orderdate DESC, game) AS INTEGER) AS rank, season, game, strftime(o_orderdate, '%b %d, %Y') AS game_date,{_PAIR_LABELS}
+FROM z QUALIFY rank <= 5
+"""
+
+NAME_SEARCH = r"""
+WITH entities AS (
+  SELECT 'customer' AS kind, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'part', p_partkey, p_name FROM part
+), held AS (
+  SELECT kind, id, unnest(list_distinct(list_filter(regexp_split_to_array(lower(name), '[^\p{L}\p{N}]+'), lambda t: t <> ''))) AS token FROM entities
+), asked AS (
+  SELECT 'Customer' AS first_name, lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS last_name FROM orders
+  UNION SELECT string_split(p_name, ' ')[1], string_split(p_name, ' ')[2] FROM part
+  UNION SELECT string_split(p_name, ' ')[2], string_split(p_name, ' ')[1] FROM part
+  UNION SELECT string_split(p_name, ' ')[1], p_type FROM part
+  UNION SELECT p_brand, string_split(p_name, ' ')[2] FROM part
+), words AS (
+  SELECT first_name, last_name, list_distinct(list_filter(regexp_split_to_array(lower(concat_ws(' ', first_name, last_name)), '[^\p{L}\p{N}]+'), lambda t: t <> '')) AS w FROM asked
+), met AS (
+  SELECT first_name, last_name, kind, id FROM (SELECT first_name, last_name, len(w) AS n, unnest(w) AS token FROM words) x JOIN held USING (token)
+  GROUP BY first_name, last_name, n, kind, id HAVING count(*) = n
+), best AS (SELECT first_name, last_name, count(*) AS n_hits, min(struct_pack(kind := kind, id := id)) AS k FROM met GROUP BY first_name, last_name)
+SELECT a.first_name, a.last_name, coalesce(b.n_hits, 0) AS n_hits, b.k.kind AS kind, b.k.id AS id,
+       CASE WHEN b.n_hits IS NULL THEN 'unknown' WHEN b.n_hits = 1 THEN 'found' ELSE 'ambiguous' END AS status
+FROM asked a LEFT JOIN best b ON a.first_name IS NOT DISTINCT FROM b.first_name AND a.last_name IS NOT DISTINCT FROM b.last_name
+"""
+
 SQL = {
+    "last10_rollup_summary": LAST10_AVG_WITH_SUMMARY,
+    "all_pairs_head_to_head": ALL_PAIRS_H2H,
+    "all_pairs_by_game": ALL_PAIRS_H2H_BY_GAME,
+    "name_search": NAME_SEARCH,
     "topk_avg_last_n": TOPK_AVG_LAST_N,
     "ranked_avg_last_n": RANKED_AVG_LAST_N,
     "last_n_values_wide": LAST_N_VALUES_WIDE,

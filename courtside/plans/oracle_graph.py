@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from courtside.plans.graph import HITS_STEPS, PAGERANK_STEPS
+from courtside.plans.graph import HITS_STEPS, PAGE_RANK_DECIMALS, PAGE_RANK_STEPS, PAGERANK_STEPS
 from courtside.plans.oracle_text import absolutize, anchor_hrefs, strip_trailing_slash
 
 _TRADE = """
@@ -25,8 +25,9 @@ SELECT src, count(*) AS out_degree FROM edges GROUP BY src
 """
 
 
-def _pagerank_chain(steps: int) -> str:
-    ctes = [_TRADE,
+def _pagerank_chain(steps: int, graph: str = _TRADE) -> str:
+    """Rank vectors r0..r<steps> of the tables ``v`` (id), ``nn`` (n) and ``edges`` (src, dst) that ``graph`` makes."""
+    ctes = [graph,
             "deg AS (SELECT src, count(*) AS deg FROM edges GROUP BY src)",
             "w AS (SELECT e.src, e.dst, 1.0::DOUBLE / d.deg AS w FROM edges e JOIN deg d ON e.src = d.src)",
             "dang AS (SELECT id FROM v WHERE id NOT IN (SELECT src FROM deg))",
@@ -103,7 +104,18 @@ SELECT DISTINCT {_last_segment('src')} AS src_node, {_last_segment('dst')} AS ds
 WHERE dst IN (SELECT id FROM known) AND src <> dst
 """
 
+_PAGE_GRAPH = f"""
+e2 AS ({LINK_GRAPH_IN_SET}),
+edges AS (SELECT src_node AS src, dst_node AS dst FROM e2),
+v AS (SELECT DISTINCT id FROM (SELECT {_last_segment('url')} AS id FROM pages UNION ALL SELECT src FROM edges UNION ALL SELECT dst FROM edges) WHERE id IS NOT NULL),
+nn AS (SELECT count(*) AS n FROM v)"""
+
+PAGERANK_PAGES = _pagerank_chain(PAGE_RANK_STEPS, _PAGE_GRAPH) + f"""
+SELECT id AS node, round(rank, {PAGE_RANK_DECIMALS}) AS rank, printf('%.3f', rank) AS rank_text FROM r{PAGE_RANK_STEPS}
+"""
+
 SQL = {
+    "pagerank_pages": PAGERANK_PAGES,
     "out_degree_trade": OUT_DEGREE_TRADE,
     "pagerank_trade": PAGERANK_TRADE,
     "pagerank_report": PAGERANK_REPORT,

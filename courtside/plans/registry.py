@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.plans import boxscore, graph, oracle_boxscore, oracle_graph, oracle_text, text
+from courtside.plans import boxscore, graph, oracle_boxscore, oracle_graph, oracle_search, oracle_text, search, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ QUERIES: dict[str, Query] = {
     "cells_guarded_cast": boxscore.cells_guarded_cast,
     "order_table_rows": boxscore.order_table_rows,
     "entity_search_first_hit": boxscore.entity_search_first_hit,
+    "last10_rollup_summary": boxscore.last10_rollup_summary,
+    "all_pairs_head_to_head": boxscore.all_pairs_h2h,
+    "all_pairs_by_game": boxscore.all_pairs_h2h_by_game,
+    "name_search": boxscore.name_search,
     "page_text": text.page_text,
     "page_raw_text": text.page_raw_text,
     "page_links": text.page_links,
@@ -49,12 +53,15 @@ QUERIES: dict[str, Query] = {
     "hits_trade": graph.hits_trade,
     "page_out_degree": graph.page_out_degree,
     "link_graph_in_set": graph.link_graph_in_set,
+    "pagerank_pages": graph.pagerank_pages,
+    "search_topk_documents": search.search_topk_documents,
 }
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(oracle_boxscore.SQL)
 ORACLE_SQL.update(oracle_text.SQL)
 ORACLE_SQL.update(oracle_graph.SQL)
+ORACLE_SQL.update(oracle_search.SQL)
 
 
 def queries() -> dict[str, Query]:

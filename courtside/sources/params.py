@@ -80,10 +80,3 @@ def seed_frame(spark: SparkSession, seed: dict[str, dict[int, str]]) -> DataFram
         T.StructField("path", T.StringType(), False),
     ])
     return spark.createDataFrame(rows, schema)
-
-
-def query_terms(spark: SparkSession, terms: list[str] | None = None) -> DataFrame:
-    """``term`` (as written), ``term_lc`` (matched), ``term_order``."""
-    terms = terms or QUERY_TERMS
-    rows = [(t, t.lower(), i) for i, t in enumerate(terms)]
-    return spark.createDataFrame(rows, "term string, term_lc string, term_order int")

@@ -16,12 +16,21 @@ from pyspark.sql import functions as F
 # HTML -> text
 # ---------------------------------------------------------------------------
 
+# One tag grammar, shared by both kinds of text and by the links: a tag ends at
+# the first ">" outside a quoted attribute value (a quote begins a value only
+# right after "="), or, when a quote is never closed, at the first ">" at all.
+# After "=" the next character decides the branch, so no input makes the
+# pattern backtrack over more than one attribute.  The matcher keeps a stack
+# frame per attribute; a tag of more than 100 ends at its first ">".
+MAX_ATTRIBUTES = 100
+RE_TAG_QUOTED = r"""<[A-Za-z/!?][^>=]*(?:=\s*(?:(?:"[^"]*"|'[^']*'|[^"'>=\s])[^>=]*)?){0,%d}>""" % MAX_ATTRIBUTES
+RE_TAG = RE_TAG_QUOTED + r"|<[A-Za-z/!?][^>]*>"
 # Script, style and template bodies go first: page scripts can hold a literal
 # "</p>" inside a string, which a plain tag pattern would cut in half.
-# Each ends at the close tag of its own kind.
-RE_HIDDEN_BLOCKS = "(?is)" + "|".join(rf"<{t}\b.*?</{t}\s*>" for t in ("script", "style", "template"))
-RE_COMMENTS = r"(?s)<!--.*?-->"
-RE_COMMENTS_AND_TAGS = r"(?s)<!--.*?-->|<[^>]*>"
+# Each ends at the close tag of its own kind, or with the page.
+RE_HIDDEN_BLOCKS = "(?is)" + "|".join(rf"<{t}\b.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "template"))
+RE_COMMENTS = r"(?s)<!--.*?(?:-->|\z)"
+RE_COMMENTS_AND_TAGS = rf"{RE_COMMENTS}|{RE_TAG}"
 RE_WHITESPACE_RUN = r"\s+"
 # A text-node boundary: tags are first replaced by this marker; whitespace
 # next to markers is the stripped end of a text node.

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from courtside.functions.text import RE_COMMENTS, RE_HIDDEN_BLOCKS, decode_entities
+from courtside.functions.text import MAX_ATTRIBUTES, RE_COMMENTS, RE_HIDDEN_BLOCKS, RE_TAG, decode_entities
 
-# Anchor hrefs in double quotes, single quotes or bare (C11); the group holds
-# the value with its quotes.
-# The attribute must start after whitespace, so ``data-href`` is not taken
-# for ``href``.
+# The first href of one tag (C11), in double quotes, single quotes or bare; the
+# group holds the value with its quotes.  Attributes before it are passed over
+# whole, so neither ``data-href`` nor an ``href=`` inside another value counts.
+RE_ANCHOR = r"(?i)^<a\s"
 RE_ANCHOR_HREF = (
-    r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    r"""(?i)^<a(?:\s+[^\s>=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?){0,%d}?\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""" % MAX_ATTRIBUTES
 )
 RE_QUOTES = r"""^["']|["']$"""
 RE_TRAILING_SLASH = r"/+$"
@@ -23,12 +23,15 @@ RE_PLAYER_ID = r"player/(\d+)/"
 def anchor_hrefs(html: Column | str) -> Column:
     """``array<string>`` of every anchor href in document order (C11).
 
-    What a page only quotes, in scripts, styles, templates or comments, holds
-    no anchors.  Entities in a value are decoded as an HTML parser does.
+    What a page only quotes, in scripts, styles, templates, comments or
+    attribute values, holds no anchors: the page is cut into tags first.
+    Entities in a value are decoded as an HTML parser does.
     """
     h = F.regexp_replace(F.coalesce(_col(html), F.lit("")), RE_HIDDEN_BLOCKS, "")
-    found = F.regexp_extract_all(F.regexp_replace(h, RE_COMMENTS, ""), F.lit(RE_ANCHOR_HREF), 1)
-    return F.transform(found, lambda v: decode_entities(F.regexp_replace(v, RE_QUOTES, "")))
+    tags = F.regexp_extract_all(F.regexp_replace(h, RE_COMMENTS, ""), F.lit(RE_TAG), 0)
+    anchors = F.filter(tags, lambda t: t.rlike(RE_ANCHOR))
+    values = F.filter(F.transform(anchors, lambda t: F.regexp_extract(t, RE_ANCHOR_HREF, 1)), lambda v: v != "")
+    return F.transform(values, lambda v: decode_entities(F.regexp_replace(v, RE_QUOTES, "")))
 
 
 def strip_trailing_slash(url: Column | str) -> Column:

@@ -77,9 +77,10 @@ def term_filter_v2(col: str) -> str:
 
 def anchor_hrefs(expr: str) -> str:
     shown = rx(rx(f"coalesce({expr}, '')", T.RE_HIDDEN_BLOCKS, ""), T.RE_COMMENTS, "")
+    tags = f"list_filter(regexp_extract_all({shown}, {q(T.RE_TAG)}), lambda t: regexp_matches(t, {q(U.RE_ANCHOR)}))"
+    values = f"list_filter(list_transform({tags}, lambda t: regexp_extract(t, {q(U.RE_ANCHOR_HREF)}, 1)), lambda v: v <> '')"
     value = rx("m", U.RE_QUOTES, "")
-    return (f"list_transform(regexp_extract_all({shown}, {q(U.RE_ANCHOR_HREF)}, 1), lambda m: "
-            f"{decode_entities(value)})")
+    return f"list_transform({values}, lambda m: {decode_entities(value)})"
 
 
 def strip_trailing_slash(expr: str) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtside.plans import boxscore, graph, oracle_boxscore, oracle_graph, oracle_search, oracle_text, search, text
+from courtside.plans import boxscore, exports, graph, oracle_boxscore, oracle_exports, oracle_graph, oracle_search, oracle_text, search, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,14 @@ QUERIES: dict[str, Query] = {
     "link_graph_in_set": graph.link_graph_in_set,
     "pagerank_pages": graph.pagerank_pages,
     "search_topk_documents": search.search_topk_documents,
+    "conjunctive_search": search.conjunctive_search,
+    "tfidf_blocks": search.tfidf_blocks,
+    "tfidf_all_terms": search.tfidf_all_terms,
+    "export_csv": exports.export_csv,
+    "export_index": exports.export_index,
+    "export_counts": exports.export_counts,
+    "export_report": exports.export_report,
+    "export_per_team": exports.export_per_team,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -62,6 +70,7 @@ ORACLE_SQL.update(oracle_boxscore.SQL)
 ORACLE_SQL.update(oracle_text.SQL)
 ORACLE_SQL.update(oracle_graph.SQL)
 ORACLE_SQL.update(oracle_search.SQL)
+ORACLE_SQL.update(oracle_exports.SQL)
 
 
 def queries() -> dict[str, Query]:

@@ -1,4 +1,4 @@
-"""Ranked search and name search over the driver tables."""
+"""Ranked and conjunctive search, and the block matrix of all terms."""
 
 from __future__ import annotations
 
@@ -7,19 +7,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.functions.text import html_raw_text, whitespace_tokens
+from courtside.operators.compressed import compress, conjunction
+from courtside.operators.dictionary import dense_ids
 from courtside.operators.index import term_filter, term_postings, tokens
+from courtside.operators.matrix import all_term_weights, from_blocks, to_blocks
 from courtside.operators.search import impact_blocks, search, write_impact_index
 from courtside.session import ensure_checkpoint_dir
-from courtside.sources.tables import table, text_table
+from courtside.sources.tables import pages, table, text_table
 
 SEARCH_K = 10
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/courtside-index/{uuid.uuid4().hex}"
+
+
+def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_postings(text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text"))
+
+
 def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The impact index of ``documents``, written once below the shared checkpoint folder and read back."""
-    docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
-    path = f"{ensure_checkpoint_dir(spark)}/courtside-index/{uuid.uuid4().hex}"
-    write_impact_index(impact_blocks(term_postings(docs)), path)
+    path = _folder(spark)
+    write_impact_index(impact_blocks(_postings(spark, sf_dir)), path)
     return spark.read.parquet(path)
 
 
@@ -35,3 +46,38 @@ def search_topk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_docs = table(spark, sf_dir, "documents", "doc_id").where(F.col("doc_id").isNotNull()).count()
     found = search(document_index(spark, sf_dir), benchmark_queries(spark, sf_dir), n_docs, SEARCH_K)
     return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+def conjunctive_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold both the first and the last term (by spelling) of a benchmark item, from compressed postings."""
+    path = _folder(spark)
+    compress(_postings(spark, sf_dir)).repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(path)
+    asked = benchmark_queries(spark, sf_dir).groupBy("query_id").agg(F.array(F.min("term"), F.max("term")).alias("terms"))
+    return conjunction(spark.read.parquet(path), asked).select(F.col("query_id").alias("item_id"), "doc_id")
+
+
+def _page_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The block matrix of TF-IDF weights of all terms of all pages, and the terms' dictionary."""
+    pg = pages(spark, sf_dir)
+    found = pg.select("page_id", F.explode(whitespace_tokens(F.lower(html_raw_text("html")))).alias("term"))
+    postings = found.groupBy("term", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    path = _folder(spark)
+    postings.write.parquet(path)  # the dictionary and the weights both start here
+    postings = spark.read.parquet(path)
+    ids = dense_ids(postings, "term")
+    n_docs = table(spark, sf_dir, "pages", "page_id").count()
+    return to_blocks(all_term_weights(postings, n_docs), ids), ids
+
+
+def tfidf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of the term x page matrix of all terms: their place, cells and sum of weights (H4)."""
+    blocks, _ = _page_blocks(spark, sf_dir)
+    total = F.aggregate("cells", F.lit(0.0), lambda a, c: a + c["value"])
+    return blocks.select("term_block", "page_block", F.size("cells").cast("long").alias("n_cells"),
+                         F.element_at("cells", 1)["term_id"].alias("first_term_id"), F.round(total, 4).alias("weight"))
+
+
+def tfidf_all_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long form of the block matrix: TF-IDF of every term in every page that has it (H1-H4)."""
+    blocks, ids = _page_blocks(spark, sf_dir)
+    return from_blocks(blocks, ids).select("term", "page_id", F.round("value", 6).alias("tfidf"))

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.functions.cells import fixed
+from courtside.operators.ranking import global_row_number
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -59,10 +60,33 @@ def rank_lines(ranks: DataFrame, id_col: str = "id", rank_col: str = "rank") ->
                                  fixed(rank_col, 3)).alias("line"))
 
 
-def write_per_entity(df: DataFrame, path: str, entity_cols: list[str]) -> None:
+def write_per_entity(df: DataFrame, path: str, entity_cols: list[str], keep_others: bool = False) -> None:
     """One folder per entity, all written by one job.
 
     The rows of an entity are brought together first, so a folder gets one
-    file unless its rows are split for size.
+    file unless its rows are split for size.  The target is replaced when the
+    job commits; with ``keep_others`` only the folders of entities in ``df``
+    are, each as a whole, and a failed job replaces none.
     """
-    df.repartition(*entity_cols).write.mode("overwrite").option("header", True).partitionBy(*entity_cols).csv(path)
+    w = df.repartition(*entity_cols).write.mode("overwrite").option("header", True).partitionBy(*entity_cols)
+    w.option("partitionOverwriteMode", "dynamic" if keep_others else "static").csv(path)
+
+
+def read_per_entity(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of ``write_per_entity``; ``schema`` has the file columns, then the entity columns."""
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a CSV written here, with the given column types (a header that does not fit is an error)."""
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+
+
+def read_in_order(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """As ``read_csv`` with ``position`` from 1: files by part number, rows as they stand in a file."""
+    rows = read_csv(spark, path, schema)
+    names = rows.columns
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+    placed = rows.select(*names, part.alias("__cs_part"), F.col("_metadata.file_block_start").alias("__cs_start"), F.monotonically_increasing_id().alias("__cs_row"))
+    order = [F.col(c) for c in ("__cs_part", "__cs_start", "__cs_row")]
+    return global_row_number(placed, order, "position").select("position", *names)

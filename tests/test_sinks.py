@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
 
 from courtside import sinks
 
@@ -37,3 +39,36 @@ def test_index_export_order_and_report(spark):
     wide = spark.createDataFrame([(1, "u1", 3, 0)], "page_id int, url string, Player int, Games int")
     sinks.export_term_counts(wide, os.path.join(out, "wc"))
     assert spark.read.option("header", True).csv(os.path.join(out, "wc")).columns == ["URL", "Player", "Games"]
+
+
+def test_entities_are_replaced_alone(spark):
+    path = os.path.join(_tmp(), "per")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "team string, pts int")
+    sinks.write_per_entity(rows, path, ["team"])
+    sinks.write_per_entity(spark.createDataFrame([("b", 9), ("c", 4)], "team string, pts int"), path, ["team"], keep_others=True)
+    back = sinks.read_per_entity(spark, path, "pts int, team string")
+    assert sorted((r.team, r.pts) for r in back.collect()) == [("a", 1), ("b", 9), ("c", 4)]
+    assert os.path.exists(os.path.join(path, "_SUCCESS"))
+    failing = rows.withColumn("pts", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception):
+        sinks.write_per_entity(failing, path, ["team"], keep_others=True)
+    assert sorted((r.team, r.pts) for r in sinks.read_per_entity(spark, path, "pts int, team string").collect()) == [("a", 1), ("b", 9), ("c", 4)]
+    sinks.write_per_entity(rows.where("pts = 1"), path, ["team"])
+    assert [(r.team, r.pts) for r in sinks.read_per_entity(spark, path, "pts int, team string").collect()] == [("a", 1)]
+
+
+def test_file_order_is_kept_over_many_files(spark):
+    path = os.path.join(_tmp(), "idx")
+    rows = spark.createDataFrame([(k, f"w{k * 7 % 40}", 0, ", ".join(map(str, range(k)))) for k in range(1, 41)], "rank int, word string, block long, document_ids string")
+    out = rows.repartitionByRange(6, "rank").sortWithinPartitions("rank").select(F.col("word").alias("Word"), F.col("block").alias("Block"), F.col("document_ids").alias("Document IDs"))
+    sinks.write_csv(out, path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 6
+    back = sinks.read_in_order(spark, path, "Word string, Block long, `Document IDs` string").orderBy("position").collect()
+    assert [(r.position, r.Word) for r in back] == [(k, f"w{k * 7 % 40}") for k in range(1, 41)]
+
+
+def test_csv_with_another_header_is_refused(spark):
+    path = os.path.join(_tmp(), "x")
+    sinks.write_csv(spark.createDataFrame([(1, 2)], "a int, b int"), path)
+    with pytest.raises(Exception):
+        sinks.read_csv(spark, path, "a int, c int").collect()

@@ -1,27 +1,34 @@
-"""Quality rules: an isolation forest on rule statistics, its threshold calibrated from labels.
-
-Every document's rule statistics give a vector of unrounded shares: symbols,
-upper case, immediate repeats, digits, punctuation, duplicate lines, length
-of the words, words in repeated windows.  Trees of random splits are grown on
-a bounded pool (``pool_rows`` rows with distinct vectors by hash order, so a
-large group of copies counts once; ``tree_rows`` drawn for each tree).  A
-leaf has two figures: its path length, and the odds of good to bad among
-*all* labelled rows that fall into it (rates with ``LEAST_RATE`` added, so a
-leaf without labels has odds of 1).  A row's mean path length, over that of a
-random tree, times the geometric mean of its odds is its ``z``; its anomaly
-score is ``2 ** -z``, without labels the usual one
-``2 ** (-E[path] / c(tree_rows))``.  The threshold comes from the scores of
-*all* labelled rows, each without its own label in the odds: the score that
+"""Quality rules: isolation forests on rule statistics, their threshold calibrated from labels.
+
+Every document's rule statistics give a vector of unrounded shares between 0
+and 1: symbols, upper case, immediate repeats, digits, punctuation, duplicate
+lines, words per character, words in repeated windows.  One forest per
+statistic is grown on sound documents: a bounded sample (``fit_rows`` distinct
+vectors, by hash) of the rows labelled good, ``tree_rows`` drawn for each
+tree.  Splits are drawn from all that is left of 0 to 1, not between the
+sample's extremes only, so values where no sound document lies end in empty
+branches after few splits.  A row's path length for a statistic is the mean
+over the trees; its path length is the shortest over the statistics, and its
+anomaly score ``2 ** (-path / c(tree_rows))``.  Labels enter the score through
+the choice of the sample alone; all rows go down the same trees.
+
+The threshold comes from the scores of *all* labelled rows: the score that
 best separates quality 0 from 1 (largest difference of the two rates above
 it) among those that reject at most ``max_good_loss`` of the good rows.
 Without labels of both kinds nothing but the base rules rejects.
 
-The pool bounds only what the trees are fitted on; statistics, calibration
+A tree on one statistic is a step function of it, and so is a forest: it is
+kept as that, and a row is scored by one search per statistic.
+
+The sample bounds only what the trees are fitted on; statistics, calibration
 and verdicts cover all rows, in one pass over the texts plus small tables.
 
 Defined results: null and empty texts have no words and fail the base rules;
-repeated rows are judged one by one; labels may be null or repeat (each row
-counts; a null label does not); no labels or no documents are fine.
+repeated rows are judged one by one, equal texts alike; scores that tie with
+the threshold are rejected; labels may be null or repeat (each row counts; a
+null label does not); no labels or no documents are fine.  A text is worked on
+whole, in memory in proportion to it.  Extra columns of any name are ignored
+by the statistics and kept by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -34,10 +41,12 @@ from pyspark.sql import types as T
 
 from courtside.llm.common import hold, materialize, ship_code, slices
 
-TREES = 100
+TREES = 64
 TREE_ROWS = 256
-#: Distinct statistic vectors the trees draw from.
-POOL_ROWS = 8192
+#: Splits on a path at most.
+DEPTH = 12
+#: Distinct statistic vectors of good rows that the trees draw from.
+FIT_ROWS = 8192
 #: Share of labelled good rows that the threshold may reject.
 MAX_GOOD_LOSS = 0.005
 MIN_WORDS = 20
@@ -45,9 +54,7 @@ REPEAT_PERCENT = 30
 WINDOW = 8
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FEATURES = ("symbol_share", "upper_share", "again_share", "digit_share", "punct_share", "dup_line_share", "word_length", "repeat_share")
-#: Added to the rates of good and bad rows in a leaf.
-LEAST_RATE = 1 / 1024
+FEATURES = ("symbol_share", "upper_share", "again_share", "digit_share", "punct_share", "dup_line_share", "words_per_char", "repeat_share")
 
 _SPACE = bytes([0x20, *range(0x09, 0x0E)])
 _TAIL = bytes(range(0x80, 0xC0))  # bytes of a code point after its first
@@ -103,73 +110,55 @@ def statistics(text: bytes | None) -> tuple[int, int, int, int, int, list[float]
     again = sum(map(bytes.__eq__, words, words[1:]))
     return n, chars, symbols, dup, repeat, [
         symbols / chars, upper / max(1, upper + lower), again / n, _count(text, _DIGIT) / chars, _count(text, _PUNCT) / chars,
-        dup / len(lines), chars / n, repeat / n]
+        dup / len(lines), n / chars, repeat / n]
 
 
 class Forest:
-    """Random split trees over vectors, as flat arrays; ``learn`` gives the leaves their labelled rows."""
+    """One forest per statistic, as the step function of its mean path length.
+
+    ``edges[f]`` are the split points of all its trees, ascending;
+    ``paths[f][k]`` holds for values from ``edges[f][k - 1]`` on.
+    """
 
-    def __init__(self, pool: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = 17):
+    def __init__(self, sample: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, depth: int = DEPTH, seed: int = 17):
         rng = np.random.default_rng(seed)
-        self.rows = max(2, min(tree_rows, len(pool)))
-        depth = int(np.ceil(np.log2(self.rows)))
-        self.feature, self.split, self.child, self.length, self.roots = [], [], [], [], []
-        for _ in range(trees if len(pool) else 0):
-            self.roots.append(self._grow(pool[rng.choice(len(pool), min(self.rows, len(pool)), replace=False)], 0, depth, rng))
-        self.feature, self.split = np.array(self.feature, np.int32), np.array(self.split)
-        self.child, self.length = np.array(self.child, np.int32).reshape(-1, 2), np.array(self.length)
-        self.depth = depth
-        self.marks = None
-
-    def _grow(self, x: np.ndarray, level: int, depth: int, rng) -> int:
-        k = len(self.feature)
-        self.feature.append(-1)
-        self.split.append(0.0)
-        self.child.append((k, k))
-        self.length.append(level + expected_path(len(x)))
-        low, high = x.min(axis=0), x.max(axis=0)
-        varied = np.flatnonzero(high > low)
-        if level < depth and len(x) > 1 and len(varied):
-            f = int(rng.choice(varied))
-            at = rng.uniform(low[f], high[f])
-            left = x[:, f] < at
-            if left.any() and not left.all():
-                self.feature[k], self.split[k] = f, at
-                self.child[k] = (self._grow(x[left], level + 1, depth, rng), self._grow(x[~left], level + 1, depth, rng))
-        return k
-
-    def leaves(self, x: np.ndarray):
-        """The leaf of each row, tree by tree."""
-        at_row = np.arange(len(x))
-        for root in self.roots:
-            node = np.full(len(x), root, np.int32)
-            for _ in range(self.depth):
-                f = self.feature[node]
-                go = (x[at_row, np.maximum(f, 0)] >= self.split[node]).astype(np.int8)
-                node = self.child[node, go]
-            yield node
-
-    def learn(self, marks: np.ndarray) -> None:
-        """Labelled rows per node: column 0 the bad ones, 1 the good ones; the odds need both."""
-        totals = marks.sum(axis=0) / max(1, len(self.roots))
-        if totals.all():
-            self.marks, self.totals = marks, totals
-            self.odds = self._odds(marks)
-
-    def _odds(self, marks: np.ndarray) -> np.ndarray:
-        rate = marks / self.totals + LEAST_RATE
-        return np.log(rate[:, 1] / rate[:, 0])
-
-    def score(self, x: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
-        """Anomaly scores from 0 to 1; 0.5 without trees.  ``own`` are labels of the rows, which the odds then leave out."""
-        if not self.roots:
+        self.rows = min(tree_rows, len(sample))
+        self.edges, self.paths = [], []
+        for f in range(sample.shape[1] if len(sample) else 0):
+            starts, steps, first = [], [], 0.0
+            for _ in range(trees):
+                leaves = grow(np.sort(sample[rng.choice(len(sample), self.rows, replace=False), f]), depth, rng)
+                at, path = np.array(leaves).T
+                first += path[0]
+                starts.append(at[1:])
+                steps.append(np.diff(path))
+            starts, steps = np.concatenate(starts), np.concatenate(steps)
+            order = np.argsort(starts, kind="stable")
+            self.edges.append(starts[order])
+            self.paths.append(np.concatenate([[first], first + np.cumsum(steps[order])]) / trees)
+
+    def path_lengths(self, x: np.ndarray) -> np.ndarray:
+        """Mean path length of each row for each statistic."""
+        return np.column_stack([p[np.searchsorted(e, x[:, f], "right")] for f, (e, p) in enumerate(zip(self.edges, self.paths))])
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Anomaly scores from 0 to 1, by the shortest path over the statistics; 0.5 without trees."""
+        if not self.edges:
             return np.full(len(x), 0.5)
-        total, odds = np.zeros(len(x)), np.zeros(len(x))
-        for node in self.leaves(x):
-            total += self.length[node]
-            if self.marks is not None:
-                odds += self.odds[node] if own is None else self._odds(self.marks[node] - np.column_stack([own == 0, own == 1]))
-        return np.round(2.0 ** (-total / len(self.roots) / expected_path(self.rows) * np.exp(odds / len(self.roots))), 12)
+        return np.round(2.0 ** (-self.path_lengths(x).min(axis=1) / max(1.0, expected_path(self.rows))), 12)
+
+
+def grow(x: np.ndarray, depth: int, rng: np.random.Generator, low: float = 0.0, high: float = 1.0, level: int = 0) -> list[tuple[float, float]]:
+    """The leaves (first value, path length) of one random tree over the sorted values ``x`` between ``low`` and ``high``.
+
+    A branch ends when no value is in it or ``depth`` splits are made; values
+    that a leaf still holds count as the splits that would tell them apart.
+    """
+    if level == depth or not len(x) or not high > low:
+        return [(low, level + expected_path(len(x)))]
+    at = rng.uniform(low, high)
+    k = int(np.searchsorted(x, at))
+    return grow(x[:k], depth, rng, low, at, level + 1) + grow(x[k:], depth, rng, at, high, level + 1)
 
 
 def expected_path(n: int) -> float:
@@ -199,10 +188,17 @@ def base_failed():
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
-def fit_forest(stats: DataFrame, pool_rows: int = POOL_ROWS) -> Forest:
-    """A forest on at most ``pool_rows`` distinct vectors of the rows that pass the base rules, by hash order."""
-    pool = stats.filter(~base_failed()).select("features").dropDuplicates(["features"])
-    rows = pool.orderBy(F.xxhash64("features"), "features").limit(pool_rows).collect()
+def fit_forest(marked: DataFrame, fit_rows: int = FIT_ROWS) -> Forest:
+    """A forest on at most ``fit_rows`` distinct vectors of the good rows of ``marked_rows``, by hash order.
+
+    The count sets a bound on the hash that about twice as many pass, so the
+    driver is sent that many whatever the number of partitions.
+    """
+    vectors = marked.filter("quality = 1").select("features").dropDuplicates(["features"])
+    share = 1 << 20
+    bound = -(-share * 2 * fit_rows // max(1, vectors.count()))
+    near = vectors.filter(F.pmod(F.xxhash64("features"), F.lit(share)) < bound)
+    rows = near.orderBy(F.xxhash64("features"), "features").limit(fit_rows).collect()
     return Forest(np.array([r[0] for r in rows], float).reshape(len(rows), len(FEATURES)))
 
 
@@ -210,15 +206,14 @@ def _vectors(b: pa.RecordBatch) -> np.ndarray:
     return b["features"].flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, len(FEATURES))
 
 
-def scored(stats: DataFrame, forest: Forest, own: str | None = None) -> DataFrame:
-    """``stats`` with its features exchanged for the anomaly score; the label in the column ``own`` is left out of it."""
+def scored(stats: DataFrame, forest: Forest) -> DataFrame:
+    """``stats`` with its features exchanged for the anomaly score."""
     shared = stats.sparkSession.sparkContext.broadcast(forest)
     names = [c for c in stats.columns if c != "features"]
 
     def run(batches):
         for b in slices(batches, 4096):
-            score = shared.value.score(_vectors(b), own and b[own].to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(score)], names=[*names, "anomaly"])
+            yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(shared.value.score(_vectors(b)))], names=[*names, "anomaly"])
 
     return stats.mapInArrow(run, T.StructType([*[stats.schema[n] for n in names], T.StructField("anomaly", T.DoubleType())]))
 
@@ -229,26 +224,6 @@ def marked_rows(stats: DataFrame, labels: DataFrame) -> DataFrame:
     return stats.filter(~base_failed()).join(marks, "doc_id").select("quality", "features")
 
 
-def count_marks(marked: DataFrame, forest: Forest) -> np.ndarray:
-    """Bad and good rows of ``marked`` in each node of the forest: counted where they lie, then summed per node."""
-    shared, nodes = marked.sparkSession.sparkContext.broadcast(forest), len(forest.feature)
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "bad", "good")])
-
-    def run(batches):
-        found = np.zeros((2, nodes), np.int64)
-        for b in slices(batches, 4096):
-            good = b["quality"].to_numpy(zero_copy_only=False) == 1
-            for node in shared.value.leaves(_vectors(b)):
-                found += np.stack([np.bincount(node[~good], minlength=nodes), np.bincount(node[good], minlength=nodes)])
-        at = np.flatnonzero(found.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[0, at]), pa.array(found[1, at])], names=schema.names)
-
-    out = np.zeros((nodes, 2))
-    for r in marked.mapInArrow(run, schema).groupBy("node").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect():
-        out[r["node"]] = r["bad"], r["good"]
-    return out
-
-
 def calibrate(scores: DataFrame, max_good_loss: float = MAX_GOOD_LOSS) -> float:
     """The threshold (reject above it) from the quality and score of all labelled rows; infinity without both kinds.
 
@@ -271,12 +246,11 @@ def calibrate(scores: DataFrame, max_good_loss: float = MAX_GOOD_LOSS) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Forest, float]:
-    """Statistics of all rows (a scratch table), the forest with its labelled leaves, and the threshold."""
+    """Statistics of all rows (a scratch table), the forest, and the threshold."""
     stats = materialize(rule_statistics(docs), "rule-statistics")
-    forest = fit_forest(stats)
     marked = materialize(marked_rows(stats, labels), "marked-statistics")
-    forest.learn(count_marks(marked, forest))
-    return stats, forest, calibrate(scored(marked, forest, "quality"))
+    forest = fit_forest(marked)
+    return stats, forest, calibrate(scored(marked, forest))
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:

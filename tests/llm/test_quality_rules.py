@@ -77,12 +77,55 @@ def test_awkward_rows(spark):
     assert Q.verdicts(df.limit(0), labels).count() == 0 and Q.keep_good(df.limit(0), labels).count() == 0
 
 
-def test_expected_path_and_forest():
+def plain_path(leaves, value):
+    """The path length of a value in one tree's leaves."""
+    return [path for low, path in leaves if low <= value or low == 0.0][-1]
+
+
+def test_forest_equals_its_trees():
+    """The step function against walking down every tree, drawn again from the same seed."""
     rng = np.random.default_rng(0)
-    pool = np.concatenate([rng.normal(0, 0.001, (500, 5)), [[1, 1, 1, 1, 1]]])
-    forest = Q.Forest(pool)
-    assert forest.score(np.array([[1.0] * 5]))[0] > forest.score(np.zeros((1, 5)))[0]
+    sample = np.concatenate([rng.random((300, 2)) ** 3, np.zeros((50, 2)), np.ones((3, 2))])
+    forest = Q.Forest(sample, trees=9, tree_rows=64, depth=6, seed=5)
+    again = np.random.default_rng(5)
+    x = np.concatenate([rng.random((40, 2)), sample[::40], [[0.0, 1.0], [1.0, 0.0]]])
+    for f in range(2):
+        trees = [Q.grow(np.sort(sample[again.choice(len(sample), 64, replace=False), f]), 6, again) for _ in range(9)]
+        want = [np.mean([plain_path(t, v) for t in trees]) for v in x[:, f]]
+        assert np.allclose(forest.path_lengths(x)[:, f], want)
+    assert np.allclose(forest.score(x), 2.0 ** (-forest.path_lengths(x).min(axis=1) / Q.expected_path(64)))
+
+
+def test_a_literal_tree():
+    """Splits 0.5, then 0.25 left of it; right of 0.5 nothing lies, so that branch ends at once."""
+    class Half:
+        def uniform(self, low, high):
+            return (low + high) / 2
+
+    assert Q.grow(np.array([0.1, 0.3, 0.3]), 2, Half()) == [(0.0, 2 + Q.expected_path(1)), (0.25, 2 + Q.expected_path(2)), (0.5, 1.0)]
+    assert Q.grow(np.array([]), 5, Half()) == [(0.0, 0.0)]
+    assert [Q.expected_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0] and abs(Q.expected_path(256) - 10.24) < 0.01
+
+
+def test_path_lengths_decide():
+    rng = np.random.default_rng(0)
+    good = np.abs(rng.normal(0, 0.001, (500, 5)))
+    forest = Q.Forest(good)
+    far, near = forest.score(np.array([[0, 0, 0, 0, 0.3]]))[0], forest.score(good).max()
+    assert far > near
+    for k in range(len(forest.paths)):
+        forest.paths[k][:] = 7.0
+    assert len(set(forest.score(np.concatenate([good, [[0, 0, 0, 0, 0.3]]])))) == 1
     assert Q.Forest(np.zeros((0, 5))).score(np.zeros((2, 5))).tolist() == [0.5, 0.5]
+    assert np.isfinite(Q.Forest(np.zeros((1, 5))).score(np.ones((1, 5)))).all()
+
+
+def test_the_sample_is_bounded(spark):
+    rows = [(k % 3 > 0, [k / 1000] * 8) for k in range(900)]
+    marked = spark.createDataFrame([(int(g), v) for g, v in rows + rows], "quality int, features array<double>").repartition(5)
+    whole, some = Q.fit_forest(marked), Q.fit_forest(marked, fit_rows=40)
+    assert whole.rows == 256 and some.rows == 40
+    assert some.edges[0].tolist() == Q.fit_forest(marked.repartition(2), fit_rows=40).edges[0].tolist()
 
 
 def test_junk_by_small_shares_is_learned_from_labels(spark):
@@ -108,16 +151,3 @@ def test_junk_by_small_shares_is_learned_from_labels(spark):
     for kind in range(3):
         assert np.mean([not got[k]["kept"] for k in held_out if k % 12 == kind]) > 0.9
     assert np.mean([got[k]["kept"] for k in held_out if marks[k]]) > 0.98
-
-
-def test_odds_leave_a_rows_own_label_out():
-    rng = np.random.default_rng(0)
-    x = rng.random((300, 8))
-    forest = Q.Forest(x)
-    own = (np.arange(300) % 3 > 0).astype(int)
-    marks = np.zeros((len(forest.feature), 2))
-    for node in forest.leaves(x):
-        np.add.at(marks, (node, own), 1)
-    forest.learn(marks)
-    with_own, without = forest.score(x), forest.score(x, own)
-    assert (without >= with_own)[own == 1].all() and (without <= with_own)[own == 0].all() and (without != with_own).any()

@@ -6,8 +6,8 @@ Documents are dealt by ranges of ``doc_id`` and sorted, so shards in order of
 replaced by new symbols, round after round: each round counts all pairs,
 takes the most frequent ones (at least ``min_count`` times) and replaces
 their occurrences from the left without overlap.  A pair never spans two
-documents.  Rounds end when no pair is frequent enough, after ``rounds``, or
-when 16-bit symbols are used up (shards of larger vocabularies use 32 bits).
+documents.  Rounds end when no pair is frequent enough.  Symbols have 16 bits,
+or 32 once those are used up.
 
 A shard's payload (all numbers little-endian):
 
@@ -45,56 +45,61 @@ from courtside.llm.common import scratch_path, ship_code, slices
 from courtside.llm.tokens import encoder
 
 SHARD_IDS = 1 << 20
-ROUNDS = 4
-ROUND_PAIRS = 2048
+ROUND_PAIRS = 8192
 MIN_COUNT = 8
 _HASH_BITS = 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _slots(codes: np.ndarray) -> np.ndarray:
-    return (codes.astype(np.uint64) * _MIX) >> np.uint64(64 - _HASH_BITS)
+    """A slot below 2^20 for each code, by multiplication in the codes' own width."""
+    bits = 8 * codes.dtype.itemsize
+    return (codes * codes.dtype.type(int(_MIX) >> (64 - bits) | 1)) >> codes.dtype.type(bits - _HASH_BITS)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, round_pairs: int = ROUND_PAIRS, min_count: int = MIN_COUNT):
-    """(base, rules, symbols, symbol ends) of the ids of documents that end before ``ends``."""
+def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, round_pairs: int = ROUND_PAIRS, min_count: int = MIN_COUNT):
+    """(base, rules, symbols, symbol ends) of the ids of documents that end before ``ends``.
+
+    Goes on until no pair is found ``min_count`` times (``rounds`` stops
+    earlier, for tests).  Symbols have 16 bits until those are used up.
+    """
     base = int(ids.max()) + 1 if len(ids) else 0
-    wide = base > 0xF000
-    seq = ids.astype(np.uint64 if wide else np.uint32)
-    shift = 32 if wide else 16
-    room = (1 << 32 if wide else 1 << 16) - base
+    shift = 16 if base <= 0xF000 else 32
+    seq = ids.astype(np.uint32 if shift == 16 else np.uint64)
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(rounds):
-        if len(seq) < 2 or made >= room:
-            break
-        code = (seq[:-1] << shift) | seq[1:]
-        inner = code[~last[:-1]]
-        ranked = np.sort(inner)
+    while len(seq) > 1 and (rounds is None or len(rules) < rounds):
+        if shift == 16 and base + made + round_pairs > 1 << 16:
+            seq, shift = seq.astype(np.uint64), 32
+        code = (seq[:-1] << seq.dtype.type(shift)) | seq[1:]
+        slot = _slots(code)
+        # a pair is found no more often than its slot: only pairs of full slots are counted one by one
+        within = ~last[:-1]
+        full = np.bincount(slot, minlength=1 << _HASH_BITS) >= min_count
+        ranked = np.sort(code[full[slot] & within])
         edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])) if len(ranked) else np.zeros(1, int)
         count = np.diff(edge)
         often = np.flatnonzero(count >= min_count)
         if not len(often):
             break
-        often = often[np.lexsort((ranked[edge[often]], -count[often]))][:min(round_pairs, room - made)]
+        often = often[np.lexsort((ranked[edge[often]], -count[often]))][:round_pairs]
         chosen = ranked[edge[often]]
         keep = np.unique(_slots(chosen), return_index=True)[1]  # pairs that share a slot wait for a later round
         chosen = chosen[np.sort(keep)]
         held = np.full(1 << _HASH_BITS, -1, np.int32)
         held[_slots(chosen)] = np.arange(len(chosen), dtype=np.int32)
-        rule = held[_slots(code)]
-        hit = (rule >= 0) & ~last[:-1]
-        hit &= chosen[rule] == code
+        rule = held[slot]
         # runs of neighbouring hits: every second one, from the left
-        at = np.flatnonzero(hit)
+        at = np.flatnonzero((rule >= 0) & within)
+        at = at[chosen[rule[at]] == code[at]]
         start = np.concatenate([[True], np.diff(at) > 1])
         since = np.arange(len(at)) - np.flatnonzero(start)[np.cumsum(start) - 1]
         at = at[since % 2 == 0]
         used, number = np.unique(rule[at], return_inverse=True)
-        pairs = chosen[used]
-        rules.append(np.stack([pairs >> shift, pairs & ((1 << shift) - 1)], axis=1).astype(np.uint32))
+        pairs = chosen[used].astype(np.uint64)
+        rules.append(np.stack([pairs >> np.uint64(shift), pairs & np.uint64((1 << shift) - 1)], axis=1).astype(np.uint32))
         seq[at] = (base + made + number).astype(seq.dtype)
         last[at] |= last[at + 1]
         stay = np.ones(len(seq), bool)

@@ -52,7 +52,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False, words=TOKENIZER)
 
     def count(kind: str):
         return F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")

@@ -5,7 +5,9 @@ method adds spans of kind ``guess``: where a text names a credential
 (password, passphrase, bearer, private key, ...) and gives it a value, the
 value's cost to a guesser is the minimum over all segmentations into
 
-* words of common passwords (with case and digit-for-letter variants),
+* words of common passwords (with case and digit-for-letter variants), and of
+  a language's ranked vocabulary where one is given: a tokenizer file, whose
+  order is about that of frequency (``vocabulary``),
 * dates, repeats and alphabetic or numeric runs, walks on the keyboard,
 * brute-force stretches (per character, the size of its character class),
 
@@ -14,19 +16,25 @@ opens with a quote goes to the matching quote on its line, any other one over
 all visible characters that follow, without punctuation at its end; after
 ``passphrase:`` or ``passphrase=`` plain words up to the end of the line are
 one value.  The words of a value with spaces cost at most a draw from a word
-list each.  A value in angle brackets is a placeholder.  A value whose
+list each.  After `` is `` or ``bearer`` prose may go on, so a value of letters
+alone costs at most a draw from all words of a language there.  A value in
+angle brackets is a placeholder.  A value whose
 cost reaches ``min_log10`` (log10 of guesses) is a secret: it cannot be a
 placeholder or a word.  Base spans always stay; a value that a base span
 covers adds none.
 
 Defined results: null or empty text has no spans.  Offsets are code points,
-end exclusive.  Very long values are costed whole; repeated rows are scanned
-one by one.
+end exclusive.  Very long values are costed whole, very long texts in time
+that grows with them; repeated rows are scanned one by one; an empty table
+gives no rows; spans with equal start go by kind.  Extra columns of any name
+are kept, one named as the spans column is replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import math
 import re
 
@@ -46,6 +54,7 @@ CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code|_?key)|pwd|secret(?:_?key)?|(?:access|auth|refresh|session)?_?token|(?:api|access|private|signing)[_-]?key|credentials?|authorization|bearer)"""
     r"""["']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+is\x20+|(?<=[Bb]earer)\x20+)(?:(?:basic|bearer)\x20+)?""", re.I | re.A)
 _QUOTED = {q: re.compile(rf"{q}((?:\\[^\n]|[^{q}\\\n])*+){q}") for q in "\"'`"}
+_PROSE = re.compile(r"[A-Za-z]\x20+(?:is\x20+)?\Z")  # the name or "is", then spaces only
 _VISIBLE = re.compile(r"\S*")
 _PHRASE = re.compile(r"([A-Za-z]+(?:\x20+[A-Za-z]+)+)[\x20.]*+(?=\r?\n|\Z)")
 _BEFORE_PHRASE = re.compile(r"passphrase[\"']?\x20*(?::=|=>|[:=])\x20*\Z", re.I | re.A)
@@ -53,6 +62,8 @@ _BEFORE_PHRASE = re.compile(r"passphrase[\"']?\x20*(?::=|=>|[:=])\x20*\Z", re.I
 _AFTER = ".,;:!?)]}>\"'`"
 #: A word of a word list that dice choose from.
 _LOG_WORD = math.log10(7776)
+#: A word of a language, in no order that a guesser knows.
+_LOG_LANGUAGE = 6.0
 #: Values from 10^10 guesses on.
 MIN_LOG10 = 10.0
 
@@ -72,6 +83,8 @@ LEET = {"4": "a", "@": "a", "8": "b", "3": "e", "6": "g", "1": "l", "!": "i", "0
 
 _RANK = {w: k + 1 for k, w in enumerate(COMMON)}
 _LONGEST = max(map(len, COMMON))
+#: Letters of a vocabulary's word at most; longer ones are costed in parts.
+LONGEST_WORD = 20
 _DATES = tuple(map(re.compile, (
     r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d",
     r"(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\1\d\d", r"(?:19|20)\d\d")))
@@ -90,6 +103,15 @@ _LOG_KEYS = math.log10(sum(map(len, KEY_ROWS)))
 _LOG_TURN = math.log10(sum(map(len, _NEXT.values())) / len(_NEXT))
 
 
+@functools.cache
+def vocabulary(path: str) -> dict[str, int]:
+    """Rank from 1 of the words of three letters or more in a tokenizer file, lower case, in the file's order."""
+    entries = json.loads(open(path, encoding="utf-8").read())["model"]["vocab"]
+    order = sorted(entries, key=entries.get) if isinstance(entries, dict) else [e[0] for e in entries]
+    words = dict.fromkeys(w for e in order if len(w := e.lstrip("\u0120\u2581#").removesuffix("</w>").lower()) > 2 and w.isascii() and w.isalpha())
+    return {w: k for k, w in enumerate(words, 1)}
+
+
 def _brute(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 100)
 
@@ -103,8 +125,10 @@ def _runs(text: str, linked) -> list[int]:
     return start
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` takes."""
+def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` takes; ``words`` are ranked words beside ``COMMON``."""
+    words = words or {}
+    longest = max(_LONGEST, LONGEST_WORD if words else 0)
     n, low = len(value), value.lower()
     if len(low) != n:  # a letter whose lower case has several code points
         low = "".join(c.lower()[0] for c in value)
@@ -122,9 +146,9 @@ def guess_cost(value: str) -> float:
     kinds = tuple((starts, first, turn, []) for starts, first, turn in ((same, 1.5, 0.0), (up, 1.0, 0.0), (down, 1.0, 0.0), (walk, _LOG_KEYS, _LOG_TURN)))
     for end in range(1, n + 1):
         cost = best[end - 1] + _brute(value[end - 1])
-        for size in range(2, min(_LONGEST, end) + 1):
+        for size in range(2, min(longest, end) + 1):
             at = end - size
-            rank = _RANK.get(low[at:end]) or _RANK.get(plain[at:end], 0) * 4
+            rank = _RANK.get(low[at:end]) or _RANK.get(plain[at:end], 0) * 4 or words.get(low[at:end], 0) + len(_RANK) * (low[at:end] in words)
             if rank:
                 part = value[at:end]
                 cost = min(cost, best[at] + math.log10(rank * (1 if part == part.lower() else 2 if part == part.capitalize() or part.isupper() else 2 ** size)) + 0.3)
@@ -148,12 +172,16 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
-def value_cost(value: str) -> float:
-    """``guess_cost`` of a value; of one with spaces the sum over its words, where plain words may come from a word list."""
-    words = value.split()
-    if len(words) < 2:
-        return guess_cost(value)
-    return sum(min(guess_cost(w), _LOG_WORD) if w.isalpha() else guess_cost(w) for w in words)
+def value_cost(value: str, words: dict[str, int] | None = None, prose: bool = False) -> float:
+    """``guess_cost`` of a value; of one with spaces the sum over its words, where plain words may come from a word list.
+
+    ``prose``: the value may be the next word of a sentence.
+    """
+    parts = value.split()
+    if len(parts) < 2:
+        cost = guess_cost(value, words)
+        return min(cost, _LOG_LANGUAGE) if prose and value.isalpha() and (value.islower() or value.istitle()) else cost
+    return sum(min(guess_cost(w, words), _LOG_WORD) if w.isalpha() else guess_cost(w, words) for w in parts)
 
 
 def value_at(text: str, name: int, at: int) -> tuple[int, int]:
@@ -172,7 +200,7 @@ def value_at(text: str, name: int, at: int) -> tuple[int, int]:
     return at, end
 
 
-def scan_text(text: str | None, min_log10: float = MIN_LOG10) -> list[tuple[str, int, int]]:
+def scan_text(text: str | None, min_log10: float = MIN_LOG10, words: dict[str, int] | None = None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every span by start, then kind as listed in ``KINDS``."""
     if not text:
         return []
@@ -180,13 +208,16 @@ def scan_text(text: str | None, min_log10: float = MIN_LOG10) -> list[tuple[str,
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base = sorted((s, e) for s, _, e in found)
-    at = 0
+    at, passed, reach = 0, 0, 0  # reach: the furthest end of the base spans that start no later than the value
     while m := CONTEXT.search(text, at):
         s, e = value_at(text, m.start(), m.end())
         at = m.end()
         if e - s >= 6:
             at = e
-            if not any(x <= s and e <= y for x, y in base) and value_cost(text[s:e]) >= min_log10:
+            while passed < len(base) and base[passed][0] <= s:
+                reach = max(reach, base[passed][1])
+                passed += 1
+            if reach < e and value_cost(text[s:e], words, bool(_PROSE.search(m[0]))) >= min_log10:
                 found.append((s, 3, e))
     return [(KINDS[k], s, e) for s, k, e in sorted(found)]
 
@@ -196,16 +227,17 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 
 def find_secrets(docs: DataFrame, min_log10: float = MIN_LOG10, text: str = "text", keep_text: bool = True,
-                 spans: str = "secret_spans") -> DataFrame:
-    """``docs`` with an array of (kind, start, end) in the column ``spans``."""
+                 spans: str = "secret_spans", words: str | None = None) -> DataFrame:
+    """``docs`` with an array of (kind, start, end) in the column ``spans``; ``words`` is the path of a tokenizer file on every machine."""
     ship_code(docs.sparkSession)
     docs = docs.drop(*[c for c in docs.columns if c.lower() == spans.lower()]).withColumn(text, F.col(text).cast("string"))
     carried = [f for f in docs.schema.fields if keep_text or f.name != text]
     names = [f.name for f in carried]
 
     def scan(batches):
+        ranked = vocabulary(words) if words else None
         for b in slices(batches):
-            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in scan_text(t, min_log10)] for t in b[text].to_pylist()]
+            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in scan_text(t, min_log10, ranked)] for t in b[text].to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b[n] for n in names], pa.array(rows, _SPANS)], names=[*names, spans])
 
     return docs.mapInArrow(scan, T.StructType([*carried, T.StructField(spans, SPANS)]))
@@ -226,15 +258,16 @@ def mask_text(text: str, found: list[tuple[str, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def mask_secrets(docs: DataFrame, min_log10: float = MIN_LOG10) -> DataFrame:
+def mask_secrets(docs: DataFrame, min_log10: float = MIN_LOG10, words: str | None = None) -> DataFrame:
     """``docs`` with its columns, all rows, and secrets masked in ``text``; n_chars (if present) follows the new text."""
     ship_code(docs.sparkSession)
     held, text = hold(docs.withColumn("text", F.col("text").cast("string")))
     names = held.columns
 
     def scan(batches):
+        ranked = vocabulary(words) if words else None
         for b in slices(batches):
-            rows = [t and mask_text(t, f) if (f := scan_text(t, min_log10)) else t for t in b[text].to_pylist()]
+            rows = [t and mask_text(t, f) if (f := scan_text(t, min_log10, ranked)) else t for t in b[text].to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string()) if n == text else b[n] for n in names], names=names)
 
     out = held.mapInArrow(scan, held.schema).toDF(*docs.columns)

@@ -159,3 +159,30 @@ def test_cost_equals_exhaustive_segmentation(value):
 
 def test_words_and_runs_that_share_letters():
     assert S.guess_cost("sunshineeeeeeee") < 4.5 and S.scan_text("passphrase is sunshineeeeeeee") == []
+
+
+PROSE = ["a token is generated on each call", "The secret is patience.", "credentials: certificate of study", "the passcode is unavailable today", "The bearer is entitled to payment",
+         "passphrase is memorable", "The password is Erblesinthe and so on"]
+STRONG = ["the password is kX9vLq2TzW8m", "pwd: zqxjvkwpyhgfb", "passcode is 8f3kd92jf0q1", "bearer kX9vLq2Tz8Wm1pRt"]
+
+
+def test_prose_is_no_secret_and_strong_values_are():
+    import public_tokenizers
+    words = S.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    assert len(words) > 10_000 and {"the", "generated", "certificate"} <= words.keys() and words["the"] < words["certificate"]
+    for text in PROSE:
+        assert not [x for x in S.scan_text(text, words=words) if x[0] == "guess"], text
+    for text in STRONG:
+        assert S.scan_text(text, words=words), text
+    assert S.guess_cost("certificatepayment", words) < 10 < S.guess_cost("certificatepayment")
+
+
+def test_time_grows_with_the_text():
+    import time
+    S.scan_text("token: abcdefgh1234\n" * 100)
+    took = []
+    for n in (4000, 32_000):
+        began = time.process_time()
+        assert len(S.scan_text("token: abcdefgh1234\n" * n)) >= n
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * 3 * took[0] + 0.2, took

@@ -94,4 +94,4 @@ def test_registered_queries_match_their_oracles(spark):
     for name, sql in queries.ORACLE_SQL.items():
         res = compare(spark, name, queries.QUERIES[name], sql, SF_SMALL, con)
         assert res["status"] == "match", res
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))

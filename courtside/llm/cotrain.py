@@ -4,37 +4,45 @@ The *text* view sees which words a document has and its runs of punctuation;
 the *metadata* view sees language, source, and the page's profile (length,
 lines, shares of symbols, capitals and digits, in steps).  Each view is a
 logistic regression over the features whose association with the label is
-beyond chance (root of the likelihood ratio at least ``Z_LEAST``): Spark
-counts all features of the fit's rows, the weights of the selected ones are
-fitted to the bounded rows by a quasi-Newton method.
-
-In each of ``ROUNDS`` rounds both views are fitted to the labelled rows and
-the pseudo-labels so far, calibrated on rows kept apart, and score a pool of
-unlabelled rows; rows on which a view is confident (``CONFIDENT``) get its
-label for the other view to learn from, unless the other is more confident of
-the opposite.  In the end a logistic combination of the calibrated views,
-fitted on the rows kept apart, scores all documents.  Two targets are learned
-alike: quality and toxicity.  A document is kept if its quality reaches its
-threshold and its toxicity stays below its own; thresholds are the best
-separating ones among those that reject at most ``MAX_GOOD_LOSS`` of the rows
-that should stay.
-
-The fit takes at most ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` unlabelled
-documents, by hash order; scoring covers all documents in one pass without a
-shuffle, with the selected features broadcast (they are features of the
-bounded fit).
+beyond chance (root of the likelihood ratio at least ``Z_LEAST``, the
+``TERMS`` strongest ones).
+
+The first views are fitted to a bounded sample of labelled rows.  In each of
+``ROUNDS`` rounds both views score every document outside that sample; where
+a view is confident (``CONFIDENT``) the document gets its label for the other
+view to learn from, unless the other is more confident of the opposite.
+Tasks count the features of all these documents beside their labels, Spark
+sums the counts, and the log odds of the sums are the centre towards which
+the next fit to the labelled sample is drawn: what the sample cannot tell
+comes from the whole corpus.
+
+In the end all documents are scored by both views, and all labelled rows that
+no view was fitted to calibrate the views, combine them by a logistic
+regression (both on logits in steps of 1/16) and set the thresholds (in steps
+of 1/4096).  Two targets are learned alike: quality and toxicity.  A document
+is kept if its quality reaches its threshold and its toxicity stays below its
+own; thresholds are the best separating ones among those that reject at most
+``MAX_GOOD_LOSS`` of the rows that should stay.
+
+Bounds: ``LABELLED_ROWS`` labelled rows are fitted, by hash order, every
+``APART``-th of them kept apart; a model has at most ``TERMS`` weights per view
+and target.  Labelled rows beyond the sample are unlabelled ones to the views;
+their labels calibrate.  Pseudo-labels, counts, calibration, thresholds and
+scores cover all documents.  Texts are never shuffled but those of the sample.
 
 Defined results: null or empty texts and null metadata are features of their
-own kind; rows of one doc_id share its labels, and the fit takes the least of
-them; null labels do not count;
-a target without both kinds of labels scores its share everywhere and
-rejects nothing; an empty table gives no rows.
+own kind; a very long text is one document like others (its distinct words are
+held in one task); rows of one doc_id share its labels, and the fit takes the
+least of them; null labels and labels of null ids do not count; equal scores
+share a side of a threshold; a target without both kinds of labels scores its
+share everywhere and rejects nothing; an empty table gives no rows; other
+columns of ``docs``, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import math
-import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,7 +55,10 @@ from courtside.llm.common import materialize, ship_code, slices
 from courtside.llm.decontaminate import words_of
 
 LABELLED_ROWS = 20_000
-POOL_ROWS = 10_000
+#: Weights of one view for one target.
+TERMS = 1 << 14
+#: Counted features that a task holds before it hands them on.
+HELD = 1_000_000
 ROUNDS = 3
 CONFIDENT = 0.97
 Z_LEAST = 5.0
@@ -58,7 +69,9 @@ APART = 4
 TARGETS = ("quality", "toxic")
 VIEWS = ("text", "meta")
 
-_MARKS = re.compile(rb"[!-/:-@\[-`{-~]{2,}|(?<!\S)[!-/:-@\[-`{-~](?!\S)")
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_ONLY_MARKS = bytes(c if c in _PUNCTUATION else 0x20 for c in range(256))
+_SINGLE = {bytes([c]) for c in _PUNCTUATION}
 _UPPER, _LOWER, _DIGIT = bytes(range(65, 91)), bytes(range(97, 123)), b"0123456789"
 _SIGNS = b"#*$%&|<>!~^_=+"
 
@@ -67,7 +80,10 @@ def text_features(text: bytes | None) -> set[bytes]:
     """Distinct words, and runs of punctuation marks or marks that stand alone (each after a zero byte)."""
     if not text:
         return {b"\0empty"}
-    return set(words_of(text)) | {b"\0" + m[:8] for m in _MARKS.findall(text)}
+    found = set(words_of(text))
+    found.update([b"\0" + m[:8] for m in set(text.translate(_ONLY_MARKS).split()) if len(m) > 1])
+    found.update([b"\0" + m for m in _SINGLE.intersection(text.split())])
+    return found
 
 
 def _share(text: bytes, which: bytes) -> int:
@@ -94,50 +110,68 @@ class View:
     slope: float = 1.0
     offset: float = 0.0
 
-    def raw(self, features) -> float:
-        w = self.weights
-        return self.prior + sum([w[f] for f in w.keys() & features])
 
-    def logit(self, features) -> float:
-        return self.slope * self.raw(features) + self.offset
+class Scorer:
+    """All views as one numbered list of features per view and a column of weights per target."""
 
+    def __init__(self, views: dict):
+        self.number, self.weights, self.line = {}, {}, {}
+        for v in VIEWS:
+            names = sorted({f for t in TARGETS for f in views[t, v].weights})
+            self.number[v] = {f: k for k, f in enumerate(names)}
+            self.weights[v] = np.array([[views[t, v].weights.get(f, 0.0) for f in names] for t in TARGETS])
+            self.line[v] = [(views[t, v].prior, views[t, v].slope, views[t, v].offset) for t in TARGETS]
 
-def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
-    """Coefficients (last: constant) of a logistic regression by Newton steps."""
+    def logits(self, features: list[set], view: str) -> np.ndarray:
+        """Calibrated logits of the rows, a column per target."""
+        number = self.number[view]
+        own = [sorted([number[f] for f in number.keys() & x]) for x in features]
+        flat = np.concatenate([*map(np.array, own), np.zeros(0)]).astype(int)
+        owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        out = np.empty((len(own), len(TARGETS)))
+        for k, (prior, slope, offset) in enumerate(self.line[view]):
+            out[:, k] = slope * (prior + np.bincount(owner, self.weights[view][k][flat], len(own))) + offset
+        return out
+
+
+def logistic(x: np.ndarray, y: np.ndarray, count: np.ndarray | None = None, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
+    """Coefficients (last: constant) of a logistic regression by Newton steps; row k counts ``count[k]`` times."""
     x = np.column_stack([x, np.ones(len(x))])
+    count = np.ones(len(x)) if count is None else count
     b = np.zeros(x.shape[1])
     pull = ridge * np.eye(len(b))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + pull, x.T @ (y - p) - pull @ b)
+        step = np.linalg.solve(x.T @ (x * (count * (p * (1 - p) + 1e-9))[:, None]) + pull, x.T @ (count * (y - p)) - pull @ b)
         b += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
     return b
 
 
-def associated(n1: float, p1: float, n: float, p: float) -> bool:
-    """Whether a feature found in ``n1`` of ``n`` rows, ``p1`` of the ``p`` positive ones, goes with the label beyond chance."""
-    neg1, neg = n1 - p1, n - p
-    expected = n1 * p / n
-    g = 2 * sum(o * math.log(o / e) for o, e in (
-        (p1, expected), (neg1, n1 - expected), (p - p1, p - expected), (neg - neg1, neg - (n1 - expected))) if o > 0 and e > 0)
-    return g >= Z_LEAST ** 2
+def association(n1: str, p1: str, n: int, p: int):
+    """Likelihood ratio statistic, as a column, of a feature in ``n1`` of ``n`` rows and ``p1`` of the ``p`` positive ones."""
+    n1, p1 = F.col(n1).cast("double"), F.col(p1).cast("double")
+    with_p, with_n = n1 * p / n, n1 * (n - p) / n
+    cells = [(p1, with_p), (n1 - p1, with_n), (p - p1, p - with_p), (n - p - n1 + p1, n - p - with_n)]
+    return 2 * sum(F.when((o > 0) & (e > 0), o * F.log(o / e)).otherwise(0.0) for o, e in cells)
 
 
-def sparse_logistic(rows: list[np.ndarray], y: np.ndarray, n: int, ridge: float = RIDGE, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """Weights and constant of a logistic regression on rows of feature numbers, by limited-memory BFGS."""
+def sparse_logistic(rows: list[np.ndarray], y: np.ndarray, n: int, centre: np.ndarray | None = None, ridge: float = RIDGE, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Weights, drawn towards ``centre``, and constant of a logistic regression on rows of feature numbers, by limited-memory BFGS."""
     sizes = np.array([len(r) for r in rows])
     index = np.concatenate([*rows, np.zeros(0, int)]).astype(int)
     owner = np.repeat(np.arange(len(rows)), sizes)
+    centre = np.zeros(n) if centre is None else centre
 
     def loss(b):
         z = b[n] + np.bincount(owner, b[index], len(rows))
         g = 1 / (1 + np.exp(-np.clip(z, -35, 35))) - y
-        value = np.logaddexp(0, z).sum() - (y * z).sum() + 0.5 * ridge * (b[:n] @ b[:n])
-        return value, np.append(np.bincount(index, g[owner], n) + ridge * b[:n], g.sum())
+        off = b[:n] - centre
+        value = np.logaddexp(0, z).sum() - (y * z).sum() + 0.5 * ridge * (off @ off)
+        return value, np.append(np.bincount(index, g[owner], n) + ridge * off, g.sum())
 
-    b = np.zeros(n + 1)
+    b = np.append(centre, 0.0)
     b[n] = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     value, grad = loss(b)
     past: list[tuple[np.ndarray, np.ndarray]] = []
@@ -180,132 +214,230 @@ def _strings(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", *[(F.col(c).cast("string") if c in has else F.lit(None).cast("string")).alias(c) for c in ("text", "lang", "source")])
 
 
-def fit_rows(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: int) -> DataFrame:
-    """Features of the labelled sample and the unlabelled pool, both bounded, as a scratch table."""
-    marks = labels.select("doc_id", *[F.col(t).cast("int").alias(t) for t in TARGETS]).filter("doc_id is not null and (quality in (0, 1) or toxic in (0, 1))") \
-        .groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+def _features(b: pa.RecordBatch) -> dict[str, list[set]]:
+    raw = b["text"].cast(pa.binary()).to_pylist()
+    return {"text": [text_features(t) for t in raw],
+            "meta": [meta_features(x, s, t) for x, s, t in zip(b["lang"].to_pylist(), b["source"].to_pylist(), raw)]}
+
+
+def _marks(labels: DataFrame) -> DataFrame:
+    """doc_id, quality and toxic of the labelled ids, one row each."""
+    return labels.select("doc_id", *[F.col(t).cast("int").alias(t) for t in TARGETS]).filter("doc_id is not null and (quality in (0, 1) or toxic in (0, 1))") \
+        .groupBy("doc_id").agg(*[F.max(F.when(F.col(t).isin(0, 1), F.col(t))).alias(t) for t in TARGETS])
+
+
+def sample_rows(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Ids and labels of the labelled sample, and its rows with their features: bounded scratch tables.
+
+    A bound on the hash that about twice as many ids pass comes from their
+    count, so that no task is sent more than that, whatever the number of
+    partitions.
+    """
     own = docs.select("doc_id").filter("doc_id is not null").distinct()
-    sample = marks.join(own, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
-    pool = own.join(marks, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool_rows) \
-        .select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
-    wanted = materialize(sample.union(pool).toDF("doc_id", *TARGETS), "fit-ids")  # at most labelled_rows + pool_rows rows
+    known = _marks(labels).join(own, "doc_id", "left_semi")
+    share = 1 << 30
+    bound = -(-share * 2 * labelled_rows // max(1, known.count()))
+    near = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) < bound)
+    wanted = materialize(near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows), "fit-ids")  # at most labelled_rows rows
     met = _strings(docs).join(F.broadcast(wanted), "doc_id").groupBy("doc_id", *TARGETS) \
         .agg(F.min(F.struct("text", "lang", "source")).alias("row")).select("doc_id", *TARGETS, "row.*")  # of rows with one doc_id the least
 
     def run(batches):
         for b in slices(batches):
-            raw = b["text"].cast(pa.binary()).to_pylist()
-            text = [sorted(text_features(t)) for t in raw]
-            meta = [sorted(meta_features(x, s, t)) for x, s, t in zip(b["lang"].to_pylist(), b["source"].to_pylist(), raw)]
-            kind = pa.list_(pa.binary())
-            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), b["quality"], b["toxic"], pa.array(text, kind), pa.array(meta, kind)], names=FIT.names)
+            found = _features(b)
+            columns = [pa.array([sorted(x) for x in found[v]], pa.list_(pa.binary())) for v in VIEWS]
+            yield pa.RecordBatch.from_arrays([b["doc_id"].cast(pa.int64()), b["quality"], b["toxic"], *columns], names=FIT.names)
 
-    return materialize(met.select(F.col("doc_id").cast("long").alias("doc_id"), *TARGETS, "text", "lang", "source").mapInArrow(run, FIT), "fit-rows")
+    rows = met.select(F.col("doc_id").cast("long").alias("doc_id"), *TARGETS, "text", "lang", "source").mapInArrow(run, FIT)
+    return wanted, materialize(rows, "fit-rows")
 
 
-def _tagged(view: str):
-    return F.transform(view, lambda f: F.struct(F.lit(view).alias("view"), f.alias("f")))
+#: Counts of a feature (null: of the documents) beside the labels that 3 * quality + toxic tells: none 0, negative 1, positive 2.
+COUNTED = T.StructType([T.StructField("view", T.StringType()), T.StructField("labels", T.IntegerType()), T.StructField("f", T.BinaryType()), T.StructField("n", T.LongType())])
 
 
-#: Labels that a view learns a target from.
-MARKS = tuple(f"{t}_{v}" for t in TARGETS for v in VIEWS)
+def _code(label) -> int:
+    return 0 if label is None else int(label) + 1
 
 
-def _fit_views(rows: DataFrame, marks: DataFrame, apart: DataFrame) -> tuple[dict, dict, dict]:
-    """Views of both targets from ``marks`` (row and a label per target and view): counts of all features in one aggregation.
+class _Counts:
+    """Feature counts per view and labels, handed on when many are held."""
 
-    Beside them the labels of the rows kept apart, and each calibrated view's logits there.
+    def __init__(self):
+        self.held: dict = {}
+        self.docs: Counter = Counter()
+
+    def add(self, view: str, codes: list[int], features: list) -> None:
+        for code, own in zip(codes, features):
+            if code:
+                self.docs[view, code] += 1
+                self.held.setdefault((view, code), Counter()).update(own)
+
+    def full(self) -> bool:
+        return sum(map(len, self.held.values())) > HELD
+
+    def flush(self):
+        for (view, code), found in self.held.items():
+            n = len(found)
+            yield pa.RecordBatch.from_arrays([pa.array([view] * n), pa.array([code] * n, pa.int32()), pa.array(list(found), pa.binary()),
+                                              pa.array(list(found.values()), pa.int64())], names=COUNTED.names)
+        for (view, code), n in self.docs.items():
+            yield pa.RecordBatch.from_arrays([pa.array([view]), pa.array([code], pa.int32()), pa.array([None], pa.binary()), pa.array([n], pa.int64())], names=COUNTED.names)
+        self.held, self.docs = {}, Counter()
+
+
+def known_counts(rows: DataFrame) -> DataFrame:
+    """Counts over labelled rows with their features."""
+    def run(batches):
+        counts = _Counts()
+        for b in slices(batches):
+            codes = [3 * _code(q) + _code(t) for q, t in zip(b["quality"].to_pylist(), b["toxic"].to_pylist())]
+            for v in VIEWS:
+                counts.add(v, codes, b[v].to_pylist())
+            if counts.full():
+                yield from counts.flush()
+        yield from counts.flush()
+
+    return rows.select(*TARGETS, *VIEWS).mapInArrow(run, COUNTED)
+
+
+def taught(logits: dict[str, np.ndarray], pupil: str) -> list[int]:
+    """What the other view teaches ``pupil`` about each row: labels as in ``COUNTED``."""
+    teacher = VIEWS[1 - VIEWS.index(pupil)]
+    own, other = logits[teacher], logits[pupil]
+    said = (np.abs(own) >= math.log(CONFIDENT / (1 - CONFIDENT))) & ((own * other >= 0) | (np.abs(own) > np.abs(other)))
+    return (np.where(said, 1 + (own > 0), 0) @ [3, 1]).tolist()
+
+
+def taught_counts(docs: DataFrame, sample: DataFrame, views: dict) -> DataFrame:
+    """Counts over all documents outside the sample, beside the labels that the views give each other."""
+    shared = docs.sparkSession.sparkContext.broadcast(Scorer(views))
+
+    def run(batches):
+        counts = _Counts()
+        for b in slices(batches):
+            found = _features(b)
+            logits = {v: shared.value.logits(found[v], v) for v in VIEWS}
+            for v in VIEWS:
+                counts.add(v, taught(logits, v), found[v])
+            if counts.full():
+                yield from counts.flush()
+        yield from counts.flush()
+
+    others = _strings(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
+    return others.select("text", "lang", "source").mapInArrow(run, COUNTED)
+
+
+def selected(counts: DataFrame, terms: int = TERMS) -> tuple[dict, dict]:
+    """Per (target, view): rows and positive rows in all, and the selected features with theirs.
+
+    At most ``terms`` features, those of the highest association; the level
+    that so many reach comes from a histogram with steps of a 16th of a
+    doubling, so no features are sorted.
     """
-    held = rows.drop(*TARGETS).join(marks, "row")
-    sums = [x for m in MARKS for x in (F.count(m).alias(f"n_{m}"), F.sum(m).alias(f"p_{m}"))]
-    totals = marks.agg(*sums).first()
-    features = held.select(*MARKS, F.explode(F.concat(*[_tagged(v) for v in VIEWS])).alias("x"))
-    found = features.groupBy("x.view", "x.f").agg(*sums).filter(" or ".join(f"n_{m} >= 5" for m in MARKS))
+    label = {"quality": F.floor(F.col("labels") / 3), "toxic": F.col("labels") % 3}
+    sums = [x for t in TARGETS for x in (F.sum(F.when(label[t] > 0, F.col("n")).otherwise(0)).alias(f"n_{t}"), F.sum(F.when(label[t] == 2, F.col("n")).otherwise(0)).alias(f"p_{t}"))]
+    found = materialize(counts.groupBy("view", "f").agg(*sums).filter("f is null or " + " or ".join(f"n_{t} >= 5" for t in TARGETS)), "feature-counts")
+    totals = {(t, r["view"]): (r[f"n_{t}"], r[f"p_{t}"]) for r in found.filter("f is null").collect() for t in TARGETS}
+    chosen: dict = {}
+    for (t, v), (n, p) in totals.items():
+        if not 0 < p < n:
+            continue
+        own = found.filter((F.col("view") == v) & F.col("f").isNotNull() & (F.col(f"n_{t}") >= 5)) \
+            .select("f", F.col(f"n_{t}").alias("n"), F.col(f"p_{t}").alias("p"), association(f"n_{t}", f"p_{t}", n, p).alias("g")).filter(F.col("g") >= Z_LEAST ** 2)
+        steps = sorted(((r["s"], r["count"]) for r in own.groupBy(F.floor(F.log2("g") * 16).alias("s")).count().collect()), reverse=True)
+        reach = np.cumsum([c for _, c in steps])
+        inside = [s for (s, _), k in zip(steps, reach) if k <= terms]
+        if inside:
+            table = own.filter(F.floor(F.log2("g") * 16) >= min(inside)).toArrow()  # at most ``terms`` rows
+            chosen[t, v] = {bytes(f): (a, b) for f, a, b in zip(*[table[c].to_pylist() for c in ("f", "n", "p")])}
+    return totals, chosen
+
+
+def log_odds(counts: dict, n: int, p: int) -> np.ndarray:
+    """Of each feature, how much likelier it is in positive rows than in the others, as a logarithm."""
+    n1, p1 = np.array(list(counts.values()), float).reshape(-1, 2).T
+    return np.log((p1 + 0.5) / (p + 1)) - np.log((n1 - p1 + 0.5) / (n - p + 1))
+
+
+def fit_views(rows: DataFrame, counts: DataFrame, centred: bool) -> dict:
+    """Views of both targets with features selected by ``counts``, fitted to the sample's ``rows``, drawn towards the log
+    odds of ``counts`` if ``centred``, and calibrated on the sample's rows kept apart."""
     views = {(t, v): View() for t in TARGETS for v in VIEWS}
-    chosen: dict = {k: [] for k in views}
-    table = found.toArrow()
-    cols = {c: table[c].to_pylist() for c in table.column_names}
-    for k, (v, f) in enumerate(zip(cols["view"], cols["f"])):
-        for t in TARGETS:
-            m = f"{t}_{v}"
-            n, p, n1 = totals[f"n_{m}"], totals[f"p_{m}"] or 0, cols[f"n_{m}"][k]
-            if 0 < p < n and n1 >= 5 and associated(n1, cols[f"p_{m}"][k] or 0, n, p):
-                chosen[t, v].append(bytes(f))
-    number = {v: {f: k for k, f in enumerate(sorted({f for t in TARGETS for f in chosen[t, v]}))} for v in VIEWS}
-    own = _numbered(held, number, MARKS).toArrow()  # the bounded rows, with selected features only
+    totals, chosen = selected(counts)
+    chosen = {k: dict(sorted(x.items())) for k, x in chosen.items()}
+    number = {v: {f: k for k, f in enumerate(sorted({f for t in TARGETS for f in chosen.get((t, v), ())}))} for v in VIEWS}
+    own = _numbered(rows, number).toArrow()  # the bounded rows, with selected features only
+    away = np.array(own["apart"].to_pylist(), bool)
     for v in VIEWS:
         numbers = [np.array(x, int) for x in own[v].to_pylist()]
         for t in TARGETS:
-            marked = own[f"{t}_{v}"].to_pylist()
-            at = [k for k, y in enumerate(marked) if y is not None]
-            y = np.array([marked[k] for k in at], float)
-            views[t, v].prior = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
-            if chosen[t, v]:
-                use = np.full(len(number[v]), -1)
-                use[[number[v][f] for f in chosen[t, v]]] = np.arange(len(chosen[t, v]))
-                w, views[t, v].prior = sparse_logistic([x[x >= 0] for x in (use[numbers[k]] for k in at)], y, len(chosen[t, v]))
-                views[t, v].weights = dict(zip(chosen[t, v], w.tolist()))
-    kept = _numbered(apart, number, TARGETS).toArrow()
-    labels = {t: kept[t].to_pylist() for t in TARGETS}
-    logits = {}
-    for v in VIEWS:
-        rows_of = kept[v].to_pylist()
-        names = list(number[v])
-        for t in TARGETS:
-            view = views[t, v]
-            weights = np.array([view.weights.get(f, 0.0) for f in names] + [0.0])
-            raw = np.array([view.prior + weights[x].sum() for x in rows_of])
-            at = [k for k, y in enumerate(labels[t]) if y is not None]
-            y = np.array([labels[t][k] for k in at], float)
-            if len(y) and 0 < y.sum() < len(y):
-                view.slope, view.offset = map(float, logistic(raw[at], y))
-            logits[t, v] = view.slope * raw + view.offset
-    return views, labels, logits
-
-
-def _numbered(held: DataFrame, number: dict, labels: tuple) -> DataFrame:
-    """Rows with their labels and the numbers of their selected features."""
-    kind = T.StructType([*[T.StructField(m, T.IntegerType()) for m in labels], *[T.StructField(v, T.ArrayType(T.IntegerType())) for v in VIEWS]])
-    shared = held.sparkSession.sparkContext.broadcast(number)
+            view, marked = views[t, v], own[t].to_pylist()
+            known = np.array([y is not None for y in marked], bool)
+            y = np.array([y or 0 for y in marked], float)
+            fitted, rest = np.flatnonzero(known & ~away), np.flatnonzero(known & away)
+            view.prior = math.log((y[fitted].sum() + 0.5) / (len(fitted) - y[fitted].sum() + 0.5))
+            features = chosen.get((t, v))
+            if not features or not 0 < y[fitted].sum() < len(fitted):
+                continue
+            use = np.full(len(number[v]), -1)
+            use[[number[v][f] for f in features]] = np.arange(len(features))
+            held = [x[x >= 0] for x in (use[x] for x in numbers)]
+            centre = None
+            if centred:
+                centre = log_odds(features, *totals[t, v])
+                centre = centre * max(0.0, logistic(np.array([centre[held[k]].sum() for k in fitted]), y[fitted])[0])
+            w, view.prior = sparse_logistic([held[k] for k in fitted], y[fitted], len(features), centre)
+            view.weights = dict(zip(features, w.tolist()))
+            if 0 < y[rest].sum() < len(rest):
+                view.slope, view.offset = map(float, logistic(np.array([view.prior + w[held[k]].sum() for k in rest]), y[rest]))
+    return views
+
+
+def _numbered(rows: DataFrame, number: dict) -> DataFrame:
+    """The sample's rows with their labels, whether they are kept apart, and the numbers of their selected features."""
+    names = [*TARGETS, "apart", *VIEWS]
+    kind = T.StructType([*[T.StructField(m, T.IntegerType()) for m in names[:3]], *[T.StructField(v, T.ArrayType(T.IntegerType())) for v in VIEWS]])
+    shared = rows.sparkSession.sparkContext.broadcast(number)
 
     def run(batches):
         for b in slices(batches):
-            out = {v: [[shared.value[v][f] for f in x if f in shared.value[v]] for x in b[v].to_pylist()] for v in VIEWS}
-            yield pa.RecordBatch.from_arrays([*[b[m] for m in labels], *[pa.array(out[v], pa.list_(pa.int32())) for v in VIEWS]], names=[*labels, *VIEWS])
+            out = {v: [sorted([shared.value[v][f] for f in x if f in shared.value[v]]) for x in b[v].to_pylist()] for v in VIEWS}
+            yield pa.RecordBatch.from_arrays([*[b[m] for m in names[:3]], *[pa.array(out[v], pa.list_(pa.int32())) for v in VIEWS]], names=names)
+
+    return rows.sort("row").select(*TARGETS, _kept_apart("row").cast("int").alias("apart"), *VIEWS).mapInArrow(run, kind)
 
-    return held.select(*labels, *VIEWS).mapInArrow(run, kind)
+
+def _kept_apart(row: str):
+    return F.pmod(F.xxhash64(F.col(row).cast("long"), F.lit("apart")), F.lit(APART)) == 0
 
 
 @dataclass
 class Model:
+    """Views, and per target: each view's calibration, the combination of the views' logits, and the threshold on it (a logit)."""
     views: dict
-    combine: dict
-    thresholds: dict
+    lines: dict = field(default_factory=dict)
+    combine: dict = field(default_factory=dict)
+    thresholds: dict = field(default_factory=dict)
 
-    def scores(self, text: set, meta: set) -> list[float]:
-        """Per target: combined probability; then per target and view the view's own."""
-        own = {k: v.logit(text if k[1] == "text" else meta) for k, v in self.views.items()}
-        out = []
-        for t in TARGETS:
-            b = self.combine[t]
-            out.append(_probability(b[-1] + sum(b[k] * own[t, v] for k, v in enumerate(VIEWS))))
-        return out + [_probability(own[t, v]) for t in TARGETS for v in VIEWS]
+    def logit(self, target: str, view: str | None = None):
+        """Column over ``view_scores``: the combined logit, or a view's."""
+        if view:
+            slope, offset = self.lines[target, view]
+            return slope * F.col(f"{target}_{view}") + offset
+        *b, constant = self.combine[target]
+        return sum((x * F.col(f"{target}_{v}") for x, v in zip(b, VIEWS)), F.lit(constant))
 
 
-def _probability(logit: float) -> float:
-    if math.isinf(logit):
-        return float(logit > 0)
-    return round(1 / (1 + math.exp(-max(-700.0, min(700.0, logit)))), 12)
-
-
-def _threshold(score: np.ndarray, stays: np.ndarray, max_loss: float) -> float:
+def _threshold(score: np.ndarray, stays: np.ndarray, max_loss: float, count: np.ndarray | None = None) -> float:
     """Logits below it are rejected: 0, or what comes next to it in the gap that separates best among those that reject
-    at most ``max_loss`` of the rows that stay."""
+    at most ``max_loss`` of the rows that stay; row k counts ``count[k]`` times."""
     order = np.argsort(score)
     s, good = score[order], stays[order]
+    count = np.ones(len(s)) if count is None else count[order]
     if not good.any() or good.all():
         return -math.inf
-    lost, caught = np.cumsum(good) / good.sum(), np.cumsum(~good) / (~good).sum()
+    lost, caught = np.cumsum(good * count) / (good * count).sum(), np.cumsum(~good * count) / (~good * count).sum()
     ends = np.append(s[1:] > s[:-1], True)
     gain = np.where(ends & (lost <= max_loss), caught - lost, -1.0)
     k = int(gain.argmax())
@@ -316,69 +448,95 @@ def _threshold(score: np.ndarray, stays: np.ndarray, max_loss: float) -> float:
     return float(min(max(0.0, low + margin), high - margin))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, labelled_rows: int = LABELLED_ROWS) -> tuple[dict, DataFrame]:
+    """The views after all rounds, and the ids of the labelled sample."""
     ship_code(docs.sparkSession)
-    spark = docs.sparkSession
-    rows = fit_rows(docs, labels, labelled_rows, pool_rows)
-    apart = F.pmod(F.xxhash64("row", F.lit("apart")), F.lit(APART)) == 0
-    marked = F.col("quality").isNotNull() | F.col("toxic").isNotNull()
-    apart_rows = rows.filter(marked & apart)
-    marks = rows.filter(marked & ~apart).select("row", *[F.col(t).alias(f"{t}_{v}") for t in TARGETS for v in VIEWS])
-    views, y_apart, logits = _fit_views(rows, marks, apart_rows)
+    sample, rows = sample_rows(docs, labels, labelled_rows)
+    known = known_counts(rows.filter(~_kept_apart("row")))
+    views = fit_views(rows, known, centred=False)
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(views)
-        kind = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(m, T.IntegerType()) for m in MARKS]])
-
-        def label(batches, shared=shared):
-            sure = math.log(CONFIDENT / (1 - CONFIDENT))
-            for b in slices(batches):
-                out = {m: [] for m in MARKS}
-                for text, meta in zip(b["text"].to_pylist(), b["meta"].to_pylist()):
-                    seen = {"text": set(text), "meta": set(meta)}
-                    for t in TARGETS:
-                        z = {v: shared.value[t, v].logit(seen[v]) for v in VIEWS}
-                        for teacher, pupil in (VIEWS, VIEWS[::-1]):
-                            own, other = z[teacher], z[pupil]
-                            said = abs(own) >= sure and (own * other >= 0 or abs(own) > abs(other))
-                            out[f"{t}_{pupil}"].append(int(own > 0) if said else None)
-                yield pa.RecordBatch.from_arrays([b["row"], *[pa.array(out[m], pa.int32()) for m in MARKS]], names=["row", *MARKS])
-
-        pseudo = rows.filter(~marked).select("row", "text", "meta").mapInArrow(label, kind)
-        views, y_apart, logits = _fit_views(rows, materialize(marks.union(pseudo), "marks"), apart_rows)
-    combine, thresholds = {}, {}
+        views = fit_views(rows, known.union(taught_counts(docs, sample, views)), centred=True)
+    return views, sample
+
+
+def view_scores(docs: DataFrame, views: dict) -> DataFrame:
+    """doc_id and the logits of all views for every document, in one pass without a shuffle."""
+    ship_code(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(Scorer(views))
+    held = _strings(docs)
+    names = [f"{t}_{v}" for v in VIEWS for t in TARGETS]
+
+    def run(batches):
+        for b in slices(batches):
+            found = _features(b)
+            out = np.concatenate([shared.value.logits(found[v], v) for v in VIEWS], axis=1)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], *[pa.array(np.ascontiguousarray(out[:, k])) for k in range(len(names))]], names=["doc_id", *names])
+
+    return held.mapInArrow(run, T.StructType([held.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in names]]))
+
+
+def _steps(column, per_one: int, most: int = 32):
+    """A logit in steps, from -``most`` to ``most``."""
+    return F.round(F.greatest(F.least(column, F.lit(float(most))), F.lit(float(-most))) * per_one).cast("int")
+
+
+def calibrate(views: dict, scores: DataFrame, labels: DataFrame, sample: DataFrame, max_good_loss: float = MAX_GOOD_LOSS) -> Model:
+    """Calibration, combination and thresholds from all labelled rows that no view was fitted to.
+
+    Spark counts the rows per label and step of the views' logits, then of the
+    combined logit; the driver gets these histograms, not rows.
+    """
+    fitted = sample.filter(~_kept_apart("doc_id")).select("doc_id")
+    marked = materialize(scores.join(_marks(labels), "doc_id").join(F.broadcast(fitted), "doc_id", "left_anti"), "labelled-scores")
+    model = Model(views)
+    shares = marked.agg(*[F.avg(t).alias(t) for t in TARGETS]).first()
     for t in TARGETS:
-        own = [k for k, y in enumerate(y_apart[t]) if y is not None]
-        z = np.stack([logits[t, v][own] for v in VIEWS], axis=1)
-        y = np.array([y_apart[t][k] for k in own], float)
-        both = len(y) and 0 < y.sum() < len(y)
-        combine[t] = logistic(z, y).tolist() if both else [0.0] * len(VIEWS) + [views[t, "text"].prior]
+        found = marked.filter(F.col(t).isNotNull()).groupBy(F.col(t).alias("y"), *[_steps(F.col(f"{t}_{v}"), 16).alias(v) for v in VIEWS]).count().toArrow()
+        y, count = (np.array(found[c].to_pylist(), float) for c in ("y", "count"))
+        z = np.stack([np.array(found[v].to_pylist(), float) / 16 for v in VIEWS], axis=1)
+        order = np.lexsort((z[:, 1], z[:, 0], y))
+        y, count, z = y[order], count[order], z[order]
+        model.thresholds[t] = -math.inf
+        if not len(y) or y.min() == y.max():
+            share = shares[t]
+            prior = views[t, "text"].prior if share is None else math.log((share + 1e-9) / (1 - share + 1e-9))
+            model.lines |= {(t, v): (0.0, prior) for v in VIEWS}
+            model.combine[t] = [0.0] * len(VIEWS) + [prior]
+            continue
+        for k, v in enumerate(VIEWS):
+            model.lines[t, v] = tuple(logistic(z[:, k], y, count).tolist())
+        model.combine[t] = logistic(z, y, count).tolist()
+    wanted = [t for t in TARGETS if any(model.combine[t][:-1])]
+    for t in wanted:
         sign = 1 if t == "quality" else -1  # low quality and high toxicity are rejected
-        logit = sign * (z @ combine[t][:-1] + combine[t][-1]) if both else np.zeros(0)
-        thresholds[t] = _probability(sign * _threshold(logit, sign * y == max(0, sign), MAX_GOOD_LOSS)) if both else float(t != "quality")
-    return Model(views, combine, thresholds)
+        found = marked.filter(F.col(t).isNotNull()).groupBy(F.col(t).alias("y"), _steps(sign * model.logit(t), 4096).alias("s")).count().toArrow()
+        y, s, count = (np.array(found[c].to_pylist(), float) for c in ("y", "s", "count"))
+        model.thresholds[t] = _threshold(s / 4096, sign * y == max(0, sign), max_good_loss, count)
+    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame, **options) -> Model:
+    views, sample = learn(docs, labels, **options)
+    return calibrate(views, view_scores(docs, views), labels, sample)
 
 
 SCORES = ("quality_score", "toxic_score", "text_quality", "meta_quality", "text_toxic", "meta_toxic")
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, the scores, ``toxic`` and ``kept`` of every document."""
-    ship_code(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    held = _strings(docs)
-    schema = T.StructType([held.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in SCORES], T.StructField("toxic", T.BooleanType()), T.StructField("kept", T.BooleanType())])
+def combined(scores: DataFrame, model: Model) -> DataFrame:
+    """doc_id, the scores, ``toxic`` and ``kept`` of every row of ``view_scores``."""
+    logits = [model.logit(t) for t in TARGETS] + [model.logit(t, v) for t in TARGETS for v in VIEWS]
+    stays = {t: F.lit(True) if math.isinf(model.thresholds[t]) else (1 if t == "quality" else -1) * model.logit(t) >= model.thresholds[t] for t in TARGETS}
+    return scores.select("doc_id", *[F.round(1 / (1 + F.exp(-x)), 12).alias(c) for x, c in zip(logits, SCORES)], (~stays["toxic"]).alias("toxic"),
+                         (stays["toxic"] & stays["quality"]).alias("kept"))
 
-    def run(batches):
-        m = shared.value
-        for b in slices(batches):
-            raw = b["text"].cast(pa.binary()).to_pylist()
-            out = np.array([m.scores(text_features(t), meta_features(x, s, t)) for x, s, t in zip(b["lang"].to_pylist(), b["source"].to_pylist(), raw)])
-            toxic = out[:, 1] > m.thresholds["toxic"]  # a threshold of 1 or 0 rejects nothing
-            kept = ~toxic & (out[:, 0] >= m.thresholds["quality"])
-            yield pa.RecordBatch.from_arrays([b["doc_id"], *[pa.array(np.ascontiguousarray(out[:, k])) for k in range(len(SCORES))], pa.array(toxic), pa.array(kept)], names=schema.names)
 
-    return held.mapInArrow(run, schema)
+def score_documents(docs: DataFrame, model: Model) -> DataFrame:
+    return combined(view_scores(docs, model.views), model)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    return score_documents(docs, fit(docs, labels, **options))
+    """``score_documents`` by a fit to the same documents, which are scored once."""
+    views, sample = learn(docs, labels, **options)
+    scores = materialize(view_scores(docs, views), "view-scores")
+    return combined(scores, calibrate(views, scores, labels, sample))

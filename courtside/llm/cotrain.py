@@ -233,8 +233,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> tuple
     count, so that no task is sent more than that, whatever the number of
     partitions.
     """
-    own = docs.select("doc_id").filter("doc_id is not null").distinct()
-    known = _marks(labels).join(own, "doc_id", "left_semi")
+    known = _marks(labels).join(docs.select("doc_id"), "doc_id", "left_semi")
     share = 1 << 30
     bound = -(-share * 2 * labelled_rows // max(1, known.count()))
     near = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) < bound)
@@ -339,18 +338,26 @@ def selected(counts: DataFrame, terms: int = TERMS) -> tuple[dict, dict]:
     sums = [x for t in TARGETS for x in (F.sum(F.when(label[t] > 0, F.col("n")).otherwise(0)).alias(f"n_{t}"), F.sum(F.when(label[t] == 2, F.col("n")).otherwise(0)).alias(f"p_{t}"))]
     found = materialize(counts.groupBy("view", "f").agg(*sums).filter("f is null or " + " or ".join(f"n_{t} >= 5" for t in TARGETS)), "feature-counts")
     totals = {(t, r["view"]): (r[f"n_{t}"], r[f"p_{t}"]) for r in found.filter("f is null").collect() for t in TARGETS}
-    chosen: dict = {}
-    for (t, v), (n, p) in totals.items():
-        if not 0 < p < n:
-            continue
-        own = found.filter((F.col("view") == v) & F.col("f").isNotNull() & (F.col(f"n_{t}") >= 5)) \
-            .select("f", F.col(f"n_{t}").alias("n"), F.col(f"p_{t}").alias("p"), association(f"n_{t}", f"p_{t}", n, p).alias("g")).filter(F.col("g") >= Z_LEAST ** 2)
-        steps = sorted(((r["s"], r["count"]) for r in own.groupBy(F.floor(F.log2("g") * 16).alias("s")).count().collect()), reverse=True)
-        reach = np.cumsum([c for _, c in steps])
-        inside = [s for (s, _), k in zip(steps, reach) if k <= terms]
+    usable = [(k, n, p) for k, (n, p) in totals.items() if 0 < p < n]
+    if not usable:
+        return totals, {}
+    rated = F.array(*[F.when((F.col("view") == v) & (F.col(f"n_{t}") >= 5), F.struct(F.lit(t).alias("target"), F.col(f"n_{t}").alias("n"), F.col(f"p_{t}").alias("p"),
+                                                                                   association(f"n_{t}", f"p_{t}", n, p).alias("g"))) for (t, v), n, p in usable])
+    own = found.filter("f is not null").select("view", "f", F.explode(F.filter(rated, lambda x: x["g"] >= Z_LEAST ** 2)).alias("x")) \
+        .select("view", "f", "x.target", "x.n", "x.p", F.floor(F.log2("x.g") * 16).alias("step"))
+    steps: dict = {}
+    for r in own.groupBy("target", "view", "step").count().collect():
+        steps.setdefault((r["target"], r["view"]), []).append((r["step"], r["count"]))
+    wanted = F.lit(False)
+    for (t, v), levels in steps.items():
+        levels.sort(reverse=True)
+        inside = [s for (s, _), k in zip(levels, np.cumsum([c for _, c in levels])) if k <= terms]
         if inside:
-            table = own.filter(F.floor(F.log2("g") * 16) >= min(inside)).toArrow()  # at most ``terms`` rows
-            chosen[t, v] = {bytes(f): (a, b) for f, a, b in zip(*[table[c].to_pylist() for c in ("f", "n", "p")])}
+            wanted = wanted | ((F.col("target") == t) & (F.col("view") == v) & (F.col("step") >= min(inside)))
+    table = own.filter(wanted).toArrow()  # at most ``terms`` rows per target and view
+    chosen: dict = {}
+    for t, v, f, n, p in zip(*[table[c].to_pylist() for c in ("target", "view", "f", "n", "p")]):
+        chosen.setdefault((t, v), {})[bytes(f)] = (n, p)
     return totals, chosen
 
 
@@ -367,7 +374,7 @@ def fit_views(rows: DataFrame, counts: DataFrame, centred: bool) -> dict:
     totals, chosen = selected(counts)
     chosen = {k: dict(sorted(x.items())) for k, x in chosen.items()}
     number = {v: {f: k for k, f in enumerate(sorted({f for t in TARGETS for f in chosen.get((t, v), ())}))} for v in VIEWS}
-    own = _numbered(rows, number).toArrow()  # the bounded rows, with selected features only
+    own = _numbered(rows, number).toArrow().sort_by("row")  # the bounded rows, with selected features only
     away = np.array(own["apart"].to_pylist(), bool)
     for v in VIEWS:
         numbers = [np.array(x, int) for x in own[v].to_pylist()]
@@ -396,16 +403,16 @@ def fit_views(rows: DataFrame, counts: DataFrame, centred: bool) -> dict:
 
 def _numbered(rows: DataFrame, number: dict) -> DataFrame:
     """The sample's rows with their labels, whether they are kept apart, and the numbers of their selected features."""
-    names = [*TARGETS, "apart", *VIEWS]
-    kind = T.StructType([*[T.StructField(m, T.IntegerType()) for m in names[:3]], *[T.StructField(v, T.ArrayType(T.IntegerType())) for v in VIEWS]])
+    names = ["row", *TARGETS, "apart", *VIEWS]
+    kind = T.StructType([T.StructField("row", T.LongType()), *[T.StructField(m, T.IntegerType()) for m in names[1:4]], *[T.StructField(v, T.ArrayType(T.IntegerType())) for v in VIEWS]])
     shared = rows.sparkSession.sparkContext.broadcast(number)
 
     def run(batches):
         for b in slices(batches):
             out = {v: [sorted([shared.value[v][f] for f in x if f in shared.value[v]]) for x in b[v].to_pylist()] for v in VIEWS}
-            yield pa.RecordBatch.from_arrays([*[b[m] for m in names[:3]], *[pa.array(out[v], pa.list_(pa.int32())) for v in VIEWS]], names=names)
+            yield pa.RecordBatch.from_arrays([*[b[m] for m in names[:4]], *[pa.array(out[v], pa.list_(pa.int32())) for v in VIEWS]], names=names)
 
-    return rows.sort("row").select(*TARGETS, _kept_apart("row").cast("int").alias("apart"), *VIEWS).mapInArrow(run, kind)
+    return rows.select("row", *TARGETS, _kept_apart("row").cast("int").alias("apart"), *VIEWS).mapInArrow(run, kind)
 
 
 def _kept_apart(row: str):

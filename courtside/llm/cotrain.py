@@ -24,6 +24,9 @@ is kept if its quality reaches its threshold and its toxicity stays below its
 own; thresholds are the best separating ones among those that reject at most
 ``MAX_GOOD_LOSS`` of the rows that should stay.
 
+Tasks tell the text view's features apart by 64-bit hashes, so that arrays
+hold those of many documents; tables and models have their names.
+
 Bounds: ``LABELLED_ROWS`` labelled rows are fitted, by hash order, every
 ``APART``-th of them kept apart; a model has at most ``TERMS`` weights per view
 and target.  Labelled rows beyond the sample are unlabelled ones to the views;
@@ -32,7 +35,7 @@ scores cover all documents.  Texts are never shuffled but those of the sample.
 
 Defined results: null or empty texts and null metadata are features of their
 own kind; a very long text is one document like others (its distinct words are
-held in one task); rows of one doc_id share its labels, and the fit takes the
+held in one task; one above ``LONG_BYTES`` is parsed by itself); rows of one doc_id share its labels, and the fit takes the
 least of them; null labels and labels of null ids do not count; equal scores
 share a side of a threshold; a target without both kinds of labels scores its
 share everywhere and rejects nothing; an empty table gives no rows; other
@@ -52,7 +55,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtside.llm.common import materialize, ship_code, slices
-from courtside.llm.decontaminate import words_of
+from courtside.llm.decontaminate import lowered, words_of
+from courtside.llm.hashing import mix, stretch_hashes
 
 LABELLED_ROWS = 20_000
 #: Weights of one view for one target.
@@ -64,6 +68,8 @@ CONFIDENT = 0.97
 Z_LEAST = 5.0
 RIDGE = 1.0
 MAX_GOOD_LOSS = 0.001
+#: Texts of more bytes are parsed one by one: arrays of theirs would be large.
+LONG_BYTES = 1 << 23
 #: Every so many labelled rows are kept apart to calibrate.
 APART = 4
 TARGETS = ("quality", "toxic")
@@ -91,17 +97,94 @@ def _share(text: bytes, which: bytes) -> int:
     return int(100 * (len(text) - len(text.translate(None, which))) / max(1, len(text))).bit_length()
 
 
-def meta_features(lang, source, text: bytes | None) -> set[bytes]:
-    text = text or b""
+def _profile(lang, source, text: bytes, words: int, again: int) -> set[bytes]:
+    """Metadata features of a text with ``words`` words, ``again`` of them equal to the one before."""
     lines = text.count(b"\n") + 1
-    words = text.split()
-    again = sum(map(bytes.__eq__, words, words[1:]))
     parts = {"lang": lang, "source": source, "size": len(text).bit_length(), "lines": lines.bit_length(), "line": (len(text) // lines).bit_length(),
-             "word": len(text) // max(1, len(words)), "again": int(100 * again / max(1, len(words))).bit_length(),
+             "word": len(text) // max(1, words), "again": int(100 * again / max(1, words)).bit_length(),
              "upper": _share(text, _UPPER), "digit": _share(text, _DIGIT), "signs": _share(text, _SIGNS)}
     return {f"{k}={v}".encode() for k, v in parts.items()}
 
 
+def meta_features(lang, source, text: bytes | None) -> set[bytes]:
+    words = (text or b"").split()
+    return _profile(lang, source, text or b"", len(words), sum(map(bytes.__eq__, words, words[1:])))
+
+
+_IS_MARK = np.array([c in _PUNCTUATION for c in range(256)])
+_IS_SPACE = np.array([c in b" \t\n\r\x0b\x0c" for c in range(256)])
+_MARK_KEY = np.array([0x9E3779B97F4A7C15], np.uint64)
+
+
+def _stretches(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true entries; the last entry is false."""
+    edge = np.flatnonzero(np.diff(inside, prepend=False))
+    return edge[::2], edge[1::2]
+
+
+def keys_of(names: list[bytes]) -> np.ndarray:
+    """64-bit keys of text features by their names."""
+    marked = np.array([x[:1] == b"\0" for x in names], bool)
+    parts = [x[1:] if m else x for x, m in zip(names, marked)]
+    sizes = np.array([len(x) for x in parts], np.int64)
+    ends = np.cumsum(sizes)
+    h = stretch_hashes(np.frombuffer(b"".join(parts) + b" ", np.uint8), ends - sizes, ends)
+    return np.where(marked, mix(h ^ _MARK_KEY), h)
+
+
+class Parsed:
+    """Features of some documents, the text view's by 64-bit keys: distinct ``keys``, ascending, and each
+    document's distinct features as pairs of ``owner`` and ``number`` (a place in ``keys``); ``meta`` has sets."""
+
+    def __init__(self, raw: list[bytes | None], lang: list, source: list):
+        texts = [x or b"" for x in raw]
+        short = [x if len(x) <= LONG_BYTES else b"" for x in texts]
+        self.n, self.joined = len(texts), b" ".join(short) + b" "
+        t, self.lower = np.frombuffer(self.joined, np.uint8), self.joined.lower()
+        first = np.cumsum([0, *[len(x) + 1 for x in short]])[:-1]
+        word, mark = _stretches(np.frombuffer(lowered(self.joined), np.uint8) != 0x20), _stretches(_IS_MARK[t])
+        runs = (mark[1] - mark[0] > 1) | (_IS_SPACE[t[mark[0] - 1]] & _IS_SPACE[t[mark[1]]])  # before the first byte is the last, a space
+        mark = mark[0][runs], np.minimum(mark[1], mark[0] + 8)[runs]
+        rest = [(k, f) for k, x in enumerate(texts) if not x or len(x) > LONG_BYTES for f in sorted(text_features(x))]
+        self.rest, self.words = [f for _, f in rest], len(word[0])
+        self.start, self.end = np.concatenate([word[0], mark[0]]), np.concatenate([word[1], mark[1]])
+        key = stretch_hashes(np.frombuffer(self.lower, np.uint8), self.start, self.end)
+        key[self.words:] = mix(key[self.words:] ^ _MARK_KEY)
+        key = np.concatenate([key, keys_of(self.rest)])
+        owner = np.concatenate([np.searchsorted(first, self.start, "right") - 1, np.array([k for k, _ in rest], np.int64)])
+        coded = pa.array(key).dictionary_encode()
+        met, found = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        order = np.argsort(found)
+        self.keys, rank = found[order], np.empty(len(found), np.int64)
+        rank[order] = np.arange(len(found))
+        self.example = np.empty(len(found), np.int64)  # an occurrence of each key
+        self.example[rank[met]] = np.arange(len(met))
+        pairs = np.sort(owner * max(1, len(found)) + rank[met])
+        self.owner, self.number = np.divmod(pairs[np.diff(pairs, prepend=-1) > 0], max(1, len(found)))
+        s, e = _stretches(~_IS_SPACE[t])
+        of = np.searchsorted(first, s, "right") - 1
+        count = np.bincount(of, minlength=self.n).tolist()
+        alike = (np.diff(of) == 0) & (np.diff(e - s) == 0) & (t[s[1:]] == t[s[:-1]]) & (t[e[1:] - 1] == t[e[:-1] - 1])
+        same = [k + 1 for k in np.flatnonzero(alike).tolist() if self.joined[s[k]:e[k]] == self.joined[s[k + 1]:e[k + 1]]]
+        again = np.bincount(of[np.array(same, np.int64)], minlength=self.n).tolist()
+        self.meta = [_profile(*row) if len(row[2]) <= LONG_BYTES else meta_features(*row[:3]) for row in zip(lang, source, texts, count, again)]
+
+    def names(self, which: np.ndarray) -> list[bytes]:
+        """Names of the keys at the places ``which``."""
+        out, at = [], self.example[which].tolist()
+        for k in at:
+            if k < len(self.start):
+                name = self.lower[self.start[k]:self.end[k]]
+                out.append(name if k < self.words else b"\0" + name)
+            else:
+                out.append(self.rest[k - len(self.start)])
+        return out
+
+
+def parsed(b: pa.RecordBatch) -> Parsed:
+    return Parsed(b["text"].cast(pa.binary()).to_pylist(), b["lang"].to_pylist(), b["source"].to_pylist())
+
+
 @dataclass
 class View:
     """Weights of one view for one target, and the line that calibrates its sum."""
@@ -112,25 +195,32 @@ class View:
 
 
 class Scorer:
-    """All views as one numbered list of features per view and a column of weights per target."""
+    """All views: the text view's features by ascending keys, the other's numbered, and a row of weights per target."""
 
     def __init__(self, views: dict):
-        self.number, self.weights, self.line = {}, {}, {}
+        self.weights, self.line = {}, {}
+        names = {v: sorted({f for t in TARGETS for f in views[t, v].weights}) for v in VIEWS}
+        keys = keys_of(names["text"])
+        order = np.argsort(keys)
+        self.keys, names["text"] = keys[order], [names["text"][k] for k in order]
+        self.number = {f: k for k, f in enumerate(names["meta"])}
         for v in VIEWS:
-            names = sorted({f for t in TARGETS for f in views[t, v].weights})
-            self.number[v] = {f: k for k, f in enumerate(names)}
-            self.weights[v] = np.array([[views[t, v].weights.get(f, 0.0) for f in names] for t in TARGETS])
+            self.weights[v] = np.array([[*[views[t, v].weights.get(f, 0.0) for f in names[v]], 0.0] for t in TARGETS])  # last: no feature
             self.line[v] = [(views[t, v].prior, views[t, v].slope, views[t, v].offset) for t in TARGETS]
 
-    def logits(self, features: list[set], view: str) -> np.ndarray:
-        """Calibrated logits of the rows, a column per target."""
-        number = self.number[view]
-        own = [sorted([number[f] for f in number.keys() & x]) for x in features]
-        flat = np.concatenate([*map(np.array, own), np.zeros(0)]).astype(int)
-        owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
-        out = np.empty((len(own), len(TARGETS)))
-        for k, (prior, slope, offset) in enumerate(self.line[view]):
-            out[:, k] = slope * (prior + np.bincount(owner, self.weights[view][k][flat], len(own))) + offset
+    def logits(self, docs: Parsed) -> dict[str, np.ndarray]:
+        """Per view the calibrated logits of the documents, a column per target."""
+        place = np.searchsorted(self.keys, docs.keys)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == docs.keys[known]
+        place[~known] = len(self.keys)
+        meta = [sorted([self.number[f] for f in x if f in self.number]) for x in docs.meta]
+        flat = {"text": (docs.owner, place[docs.number]),
+                "meta": (np.repeat(np.arange(docs.n), [len(x) for x in meta]), np.array([k for x in meta for k in x], np.int64))}
+        out = {v: np.empty((docs.n, len(TARGETS))) for v in VIEWS}
+        for v, (owner, at) in flat.items():
+            for k, (prior, slope, offset) in enumerate(self.line[v]):
+                out[v][:, k] = slope * (prior + np.bincount(owner, self.weights[v][k][at], docs.n)) + offset
         return out
 
 
@@ -278,13 +368,54 @@ class _Counts:
     def flush(self):
         for (view, code), found in self.held.items():
             n = len(found)
-            yield pa.RecordBatch.from_arrays([pa.array([view] * n), pa.array([code] * n, pa.int32()), pa.array(list(found), pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.array([view] * n, pa.string()), pa.array([code] * n, pa.int32()), pa.array(list(found), pa.binary()),
                                               pa.array(list(found.values()), pa.int64())], names=COUNTED.names)
         for (view, code), n in self.docs.items():
-            yield pa.RecordBatch.from_arrays([pa.array([view]), pa.array([code], pa.int32()), pa.array([None], pa.binary()), pa.array([n], pa.int64())], names=COUNTED.names)
+            yield pa.RecordBatch.from_arrays([pa.array([view], pa.string()), pa.array([code], pa.int32()), pa.array([None], pa.binary()), pa.array([n], pa.int64())], names=COUNTED.names)
         self.held, self.docs = {}, Counter()
 
 
+class _TextCounts:
+    """The text view's counts per labels over parsed documents, handed on when many features are held."""
+
+    def __init__(self):
+        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # known keys, ascending, and their places below
+        self.names: list[bytes] = []
+        self.held = np.zeros((9, 1024), np.int64)
+
+    def _places(self, docs: Parsed) -> np.ndarray:
+        where = np.searchsorted(self.keys, docs.keys)
+        new = np.ones(len(where), bool)
+        inside = where < len(self.keys)
+        new[inside] = self.keys[where[inside]] != docs.keys[inside]
+        self.at = np.insert(self.at, where[new], len(self.names) + np.arange(new.sum()))
+        self.keys = np.insert(self.keys, where[new], docs.keys[new])
+        self.names += docs.names(np.flatnonzero(new))
+        if len(self.names) > self.held.shape[1]:
+            self.held = np.pad(self.held, ((0, 0), (0, 2 * len(self.names) - self.held.shape[1])))
+        return self.at[np.searchsorted(self.keys, docs.keys)]
+
+    def add(self, codes: list[int], docs: Parsed) -> None:
+        if not len(docs.keys):
+            return
+        place, own = self._places(docs), np.array(codes)[docs.owner]
+        for code in sorted(set(codes) - {0}):
+            self.held[code, place] += np.bincount(docs.number[own == code], minlength=len(place))
+
+    def full(self) -> bool:
+        return len(self.names) > HELD
+
+    def flush(self):
+        names = pa.array(self.names, pa.binary())
+        for code in range(1, 9):
+            which = np.flatnonzero(self.held[code])
+            for k in range(0, len(which), 1 << 16):
+                part = which[k:k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(["text"] * len(part), pa.string()), pa.array([code] * len(part), pa.int32()), names.take(pa.array(part)),
+                                                  pa.array(self.held[code][part])], names=COUNTED.names)
+        self.__init__()
+
+
 def known_counts(rows: DataFrame) -> DataFrame:
     """Counts over labelled rows with their features."""
     def run(batches):
@@ -313,15 +444,18 @@ def taught_counts(docs: DataFrame, sample: DataFrame, views: dict) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Scorer(views))
 
     def run(batches):
-        counts = _Counts()
+        meta, text = _Counts(), _TextCounts()
         for b in slices(batches):
-            found = _features(b)
-            logits = {v: shared.value.logits(found[v], v) for v in VIEWS}
-            for v in VIEWS:
-                counts.add(v, taught(logits, v), found[v])
-            if counts.full():
-                yield from counts.flush()
-        yield from counts.flush()
+            found = parsed(b)
+            logits = shared.value.logits(found)
+            codes = {v: taught(logits, v) for v in VIEWS}
+            meta.add("meta", codes["meta"], found.meta)
+            meta.add("text", codes["text"], [()] * found.n)  # the documents
+            text.add(codes["text"], found)
+            if text.full():
+                yield from text.flush()
+        yield from meta.flush()
+        yield from text.flush()
 
     others = _strings(docs).join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
     return others.select("text", "lang", "source").mapInArrow(run, COUNTED)
@@ -475,8 +609,8 @@ def view_scores(docs: DataFrame, views: dict) -> DataFrame:
 
     def run(batches):
         for b in slices(batches):
-            found = _features(b)
-            out = np.concatenate([shared.value.logits(found[v], v) for v in VIEWS], axis=1)
+            logits = shared.value.logits(parsed(b))
+            out = np.concatenate([logits[v] for v in VIEWS], axis=1)
             yield pa.RecordBatch.from_arrays([b["doc_id"], *[pa.array(np.ascontiguousarray(out[:, k])) for k in range(len(names))]], names=["doc_id", *names])
 
     return held.mapInArrow(run, T.StructType([held.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in names]]))

@@ -48,9 +48,14 @@ _KEEP = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c +
               for c in range(256))
 
 
+def lowered(text: bytes) -> bytes:
+    """``text`` with lower-cased A-Z and a space for every byte that belongs to no word."""
+    return text.translate(_KEEP)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text: lower-cased A-Z, runs of letters, digits and non-ASCII characters."""
-    return text.translate(_KEEP).split() if text else []
+    return lowered(text).split() if text else []
 
 
 class WuManber:

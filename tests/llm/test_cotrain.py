@@ -108,6 +108,30 @@ def test_marks_against_patterns(text):
     assert C.text_features(raw) == want
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aB7 \t\n.,*é%\x0b\x1c", max_size=40)), max_size=6), st.sampled_from([C.LONG_BYTES, 12]))
+def test_parsed_batches_against_single_texts(texts, long_bytes):
+    """Features of documents parsed together equal those of each text by itself, short or long."""
+    raw = [x if x is None else x.encode() for x in texts]
+    langs, sources = [None, "en"] * 3, ["s", None, "t"] * 2
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(C, "LONG_BYTES", long_bytes)
+        docs = C.Parsed(raw, langs, sources)
+    names = docs.names(np.arange(len(docs.keys)))
+    assert len(set(names)) == len(names) and C.keys_of(names).tolist() == docs.keys.tolist() == sorted(docs.keys.tolist())
+    found = [set() for _ in raw]
+    for k, i in zip(docs.owner.tolist(), docs.number.tolist()):
+        assert names[i] not in found[k]
+        found[k].add(names[i])
+    assert found == [C.text_features(x) for x in raw]
+    assert docs.meta == [C.meta_features(x, s, t) for x, s, t in zip(langs, sources, raw)]
+    some = names[::2]
+    views = {(t, v): C.View(0.5, {f: 1.0 + k for k, f in enumerate(some)} if v == "text" and t == "toxic" else {b"lang=en": 2.0}) for t in C.TARGETS for v in C.VIEWS}
+    z = C.Scorer(views).logits(docs)
+    assert z["text"][:, 1].tolist() == pytest.approx([0.5 + sum(1.0 + some.index(f) for f in x if f in some) for x in found])
+    assert z["meta"][:, 0].tolist() == [0.5 + 2 * (x == "en") for x, _ in zip(langs, raw)]
+
+
 def plain_counts(rows, views, sample):
     """Counts of features beside the labels that the other view gives, row by row from the views' weights."""
     sure, found = math.log(C.CONFIDENT / (1 - C.CONFIDENT)), Counter()

@@ -26,7 +26,9 @@ Defined results: null text counts as empty, null role as the empty string;
 events with a null ``conv_id`` form one conversation of their own; equal
 ``seq`` values are ordered by role, then text; repeated rows are separate
 messages; events that name a missing target are ignored; a conversation whose
-messages are all deleted keeps a row with no text.
+messages are all deleted keeps a row with no text.  A very long text is one
+message, held whole by one task; an empty table gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -24,7 +24,9 @@ Defined results: null or empty text has no words, no hits and is not
 contaminated; null benchmark text has no windows; a null ``item_id`` counts
 as the empty string, and rows with one ``item_id`` count as one item;
 repeated document rows are judged one by one; an empty benchmark hits
-nothing.  Whole texts of any length are searched.
+nothing, and an empty table of documents gives no rows.  Whole texts of any
+length are searched.  Extra columns are kept, those named as a result column
+give way to it.  No order enters the result: windows that tie count alike.
 """
 
 from __future__ import annotations

@@ -31,7 +31,10 @@ on, so copies never meet each other.
 Defined results: a document without words, or without text, has an empty set
 and is linked with nothing, other empty ones included; a null ``doc_id`` is a
 document, and a component's id is its smallest doc_id that is not null;
-repeated rows are copies of each other; an empty table gives no rows.
+repeated rows are copies of each other; an empty table gives no rows.  Equal
+doc_ids are told apart by their texts' hashes; a text of any length is one
+document of its task.  Extra columns of any name are ignored by the join and
+kept by ``keep_first``.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ for the ids themselves.
 
 Defined results: null and empty texts are one piece with the end id; repeated
 rows are packed separately; an empty table has no pieces; ``sequence_id`` is
-unique, not gapless.
+unique, not gapless.  A very long text is encoded whole by one task and cut
+into many pieces; pieces of equal length go by their place in the group; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

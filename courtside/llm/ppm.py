@@ -26,6 +26,8 @@ broadcast, occurrences of the others are joined.  Words are told apart by
 Defined results: null and empty texts have only the end token; without
 training documents every byte has probability 1/256; repeated rows are
 scored, and learned from, one by one; a null doc_id counts as the empty text.
+A very long text is one document of its task; an empty table gives no rows;
+equal counts need no order; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

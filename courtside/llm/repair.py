@@ -26,7 +26,8 @@ payload) in the shared scratch folder, committed by Spark's writer.
 
 Defined results: null and empty texts are the end id alone; rows with equal
 doc_id are ordered by text, null first; a null doc_id comes first; an empty
-table gives no shards.
+table gives no shards.  A very long text makes its shard as long as it is;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -6,6 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from courtside.llm import chat as C
+from tests.llm.helpers import with_clashes
 
 SCHEMA = "conv_id long, seq long, kind string, target long, role string, text string"
 PIECES = st.lists(st.sampled_from(["<|im_end|>", "<|im_start|>", "<", "\\", "|", "<\\|", "<\\\\|im", "\n", "assistant", "é", "%0A", "%"]), max_size=8).map("".join)
@@ -36,7 +37,7 @@ def test_operator(spark):
             (2, 0, "message", None, None, None), (None, 0, "message", None, "assistant", "n"), (3, 0, "message", None, "user", "a"), (3, 0, "message", None, "user", "a"),
             (4, 5, "delta", None, None, "lost"), (5, 0, "message", None, "assistant", "z" * 300_000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    out = C.format_chats(df)
+    out = C.format_chats(with_clashes(df, "formatted", "loss_spans", "n_turns"))
     got = {r["conv_id"]: r for r in C.read_back(out).collect()}
     assert set(got) == {1, 2, 3, 4, 5, None}
     text = "user\nq?\nassistant\nyes <|im_end|> ok\n"

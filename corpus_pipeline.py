@@ -3,6 +3,13 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and works on all rows that the stage before it kept.  All but the last return
 the columns of ``docs``.
+
+Defined results: rows with null or empty text fail the quality rules and go.
+A stage by itself keeps them: without words they are linked with nothing, not
+contaminated and have no secrets; packed, they are one piece.  Very long texts
+pass whole.  Ties go as the operators' modules say; of repeated rows one stays
+after the joins; empty tables give no rows.  Extra columns, whatever their
+names, pass all stages up to packing, which leaves them out.
 """
 
 from __future__ import annotations

@@ -12,9 +12,14 @@ entropies over the host's pages:
 A branch's importance is the larger of the two, times the share of its text
 outside links.  A branch seen once keeps importance 1.  From each page the
 branches below ``LEAST`` go, and whatever marks itself as a menu, header,
-footer, sidebar, notice, advert, form, script, style or reader comment.  A
-page whose markup names its article (or main part) keeps that part alone, and
-all of it: a text that several pages share is dropped nowhere inside.  Inside a
+footer, sidebar, notice, advert, form, script, style or reader comment.
+
+The branches inside an article (or main part) that a page names are branches of
+the tree too.  The mark is a prior: copies of one article are counted once, and
+of a low branch only those texts go that stand on at least half of the host's
+different articles with that branch, and on ``SITE_ARTICLES`` of them.  What the
+tree leaves of the named part is the page's text, without the page's other
+branches; a named part of which it would leave nothing stays.  Inside a
 form or a wrapper with the words of a menu, notice and so on, an article or
 main part is none of that: the parts of one wrapper are a group, which is
 read in place of the page's other parts if it has more text (under a mark of
@@ -23,7 +28,7 @@ the main part if it has at least half the text of both.
 
 Page trees are made where the page lies; only hashes and counts are shuffled.
 Counts are summed per (host, branch, text) before the sums per branch, so a
-host with a third of all pages makes no large group.  The branches to remove
+host with a third of all pages makes no large group.  The removals
 are broadcast up to ``BROADCAST_BYTES``; beyond that each page's removals are
 found by a join on (host, branch) and brought back to the page's row.
 
@@ -48,6 +53,8 @@ from pyspark.sql import types as T
 from courtside.llm.common import materialize, ship_code, slices
 
 LEAST = 0.35
+#: Different articles of a host that must hold a text before the tree takes it out of an article.
+SITE_ARTICLES = 4
 BROADCAST_BYTES = 8 << 20
 
 # Element kinds of HTML.
@@ -86,7 +93,7 @@ class Element:
 
 
 class Page:
-    """Blocks of one page: (branch, text, characters in links, part); and the children of each branch.
+    """Blocks of one page: (path, text, characters in links, part); and the children of each path (``inner``: inside a named part).
 
     ``part`` is 2 inside an article, 1 inside the main part, else 0.
     """
@@ -94,6 +101,7 @@ class Page:
     def __init__(self, html: str | None):
         self.blocks: list[tuple[str, str, int, int]] = []
         self.presentations: list[tuple[str, str]] = []
+        self.inner: list[tuple[str, str]] = []
         self._groups: list[int] = []  # of each block
         self._readers: list[bool] = [False]  # of each group, whether it is marked as reader comments
         self._text: list[str] = []
@@ -112,8 +120,8 @@ class Page:
 
     def _pop(self) -> None:
         e = self._stack.pop()
-        if e.name in BLOCK and not e.noise and not e.part:
-            self.presentations.append((e.path, " ".join(e.children)))
+        if e.name in BLOCK and not e.noise:
+            (self.inner if e.part else self.presentations).append((e.path, " ".join(e.children)))
 
     def _close(self, names, stop) -> None:
         """Close the innermost element of ``names`` that is open above any of ``stop``."""
@@ -212,17 +220,20 @@ class Page:
         while len(self._stack) > 1:
             self._pop()
 
-    def region(self) -> set[int]:
-        """Numbers of the blocks of the part that the page names; empty without one."""
-        size = [len(b[1]) for b in self.blocks]
+    def region(self, left=None) -> set[int]:
+        """Numbers of the blocks of the part that the page names, of those ``left`` (all by default); empty without one."""
+        left = range(len(self.blocks)) if left is None else left
+        size = [0] * len(self.blocks)
+        for k in left:
+            size[k] = len(self.blocks[k][1])
 
         def chars(blocks) -> int:
             return sum(size[k] for k in blocks)
 
         parts: dict[int, list[int]] = {0: []}
-        for k, g in enumerate(self._groups):
+        for k in left:
             if self.blocks[k][3]:
-                parts.setdefault(g, []).append(k)
+                parts.setdefault(self._groups[k], []).append(k)
         best = parts.pop(0)
         article = [k for k in best if self.blocks[k][3] == 2]
         best = article if 2 * chars(article) >= chars(best) else best
@@ -232,10 +243,25 @@ class Page:
                 best = article if 2 * chars(article) >= chars(found) else found
         return set(best)
 
-    def text(self, remove=frozenset()) -> str:
-        """The article's blocks: of the part that the page names, else of the branches that stay."""
-        region = self.region()
-        return "\n".join(b[1] for k, b in enumerate(self.blocks) if (k in region if region else not b[3] and b[0] not in remove))
+    def article(self) -> int:
+        """Hash of the text of the part that the page names."""
+        return _hash("\n".join(self.blocks[k][1] for k in sorted(self.region())))
+
+    def text(self, remove=None) -> str:
+        """The article's blocks: of the branches that the tree leaves, those of the part that the page names, if it names one.
+
+        ``remove`` maps a branch to the hashes of its texts to remove (null: all of them).
+        """
+        remove = remove or {}
+        left = [k for k, (path, text, _, part) in enumerate(self.blocks)
+                if (name := branch(path, part)) not in remove or remove[name] is not None and _hash(text) not in remove[name]]
+        region = self.region(left) or self.region()
+        return "\n".join(self.blocks[k][1] for k in (sorted(region) if region else left) if region or not self.blocks[k][3])
+
+
+def branch(path: str, part: int) -> str:
+    """Name of a branch of the host's tree: a path inside a named part is another branch than the same path outside."""
+    return f"article:{path}" if part else path
 
 
 def host_of(column):
@@ -252,13 +278,15 @@ def _input(pages: DataFrame) -> DataFrame:
 
 
 OBSERVED = T.StructType([T.StructField("host", T.StringType()), T.StructField("branch", T.StringType()), T.StructField("kind", T.IntegerType()),
-                         T.StructField("what", T.LongType()), T.StructField("chars", T.LongType()), T.StructField("linked", T.LongType())])
+                         T.StructField("what", T.LongType()), T.StructField("chars", T.LongType()), T.StructField("linked", T.LongType()),
+                         T.StructField("article", T.LongType())])
 
 
 def observe(pages: DataFrame) -> DataFrame:
     """What the branches of all pages show: hashes of child sequences (kind 0) and of texts (kind 1).
 
-    Pages that name their article need no tree, but show their other branches to the host's tree.
+    Branches inside a named part also show their article (kind 2); ``article``
+    is its hash there and null elsewhere.
     """
     ship_code(pages.sparkSession)
 
@@ -267,23 +295,33 @@ def observe(pages: DataFrame) -> DataFrame:
             out = []
             for host, raw in zip(b["host"].to_pylist(), b["html"].to_pylist()):
                 page = Page(raw)
-                out += [(host, path, 0, _hash(children), 0, 0) for path, children in page.presentations if children]
-                out += [(host, path, 1, _hash(t), len(t), linked) for path, t, linked, part in page.blocks if not part]
-            cols = list(zip(*out)) or [()] * 6
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                own = page.article() if any(x[3] for x in page.blocks) else None
+                out += [(host, path, 0, _hash(children), 0, 0, None) for path, children in page.presentations if children]
+                out += [(host, branch(path, part), 1, _hash(t), len(t), linked, own if part else None) for path, t, linked, part in page.blocks]
+                out += [(host, name, 2, own, 0, 0, own) for name in {branch(x[0], x[3]) for x in page.blocks if x[3]}]
+                out += [(host, branch(path, 2), 0, _hash(children), 0, 0, own) for path, children in page.inner if children and own is not None]
+            cols = list(zip(*out)) or [()] * 7
+            kinds = (pa.string(), pa.string(), pa.int32(), *(pa.int64(),) * 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=OBSERVED.names)
 
     return _input(pages).select("host", "html").mapInArrow(run, OBSERVED)
 
 
-def importances(observed: DataFrame) -> DataFrame:
-    """(host, branch, presentation, content, importance) of the merged trees."""
-    same = observed.groupBy("host", "branch", "kind", "what").agg(F.count("*").alias("c"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+def count_texts(observed: DataFrame) -> DataFrame:
+    """(host, branch, kind, what, c, chars, linked, named): inside named parts ``c`` counts different articles, elsewhere occurrences."""
+    key = ["host", "branch", "kind", "what"]
+    once = observed.groupBy(*key, "article").agg(F.count("*").alias("c"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    inside = F.col("article").isNotNull()
+    return once.groupBy(*key, inside.alias("named")).agg(
+        F.sum(F.when(inside, 1).otherwise(F.col("c"))).alias("c"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+
+
+def _importances(counted: DataFrame) -> DataFrame:
     look, say = F.col("kind") == 0, F.col("kind") == 1
     c = F.col("c")
-    sums = same.groupBy("host", "branch").agg(
+    sums = counted.groupBy("host", "branch", "named").agg(
         *[F.coalesce(F.sum(F.when(k, x)), F.lit(0.0)).alias(n) for k, s in ((look, "look"), (say, "say")) for n, x in ((f"m_{s}", c), (f"clog_{s}", c * F.log(c)))],
-        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.coalesce(F.sum(F.when(F.col("kind") == 2, c)), F.lit(0)).alias("articles"))
 
     def spread(s: str):
         """log m minus the mean of log c, over log m: 1 if all differ, 0 if all are alike."""
@@ -291,27 +329,50 @@ def importances(observed: DataFrame) -> DataFrame:
         return F.when(m > 1, 1 - F.col(f"clog_{s}") / (m * F.log(m))).when(m == 1, 1.0).otherwise(0.0)
 
     free = F.when(F.col("chars") > 0, 1 - F.least(F.lit(1.0), F.col("linked") / F.col("chars"))).otherwise(1.0)
-    return sums.select("host", "branch", spread("look").alias("presentation"), spread("say").alias("content"),
+    return sums.select("host", "branch", "named", "articles", spread("look").alias("presentation"), spread("say").alias("content"),
                        (F.greatest(spread("look"), spread("say")) * free).alias("importance"))
 
 
+def importances(observed: DataFrame) -> DataFrame:
+    """(host, branch, presentation, content, importance) of the merged trees outside the parts that pages name."""
+    return _importances(count_texts(observed)).where("NOT named").drop("named", "articles")
+
+
+def removals(observed: DataFrame, least: float = LEAST) -> DataFrame:
+    """(host, branch, what): branches below ``least``, whole (``what`` is null) or, inside named parts, their site-wide texts."""
+    counted = materialize(count_texts(observed), "branch-texts")
+    low = materialize(_importances(counted).filter(F.col("importance") < least).select("host", "branch", "named", "articles"), "low-branches")
+    # few texts stand on so many articles: the frequent branch of a large host sends only those to the join
+    often = counted.where(F.col("named") & (F.col("kind") == 1) & (F.col("c") >= SITE_ARTICLES)).select("host", "branch", "what", "c")
+    shared = often.join(low.where("named").drop("named"), ["host", "branch"]).where(2 * F.col("c") >= F.col("articles"))
+    return low.where("NOT named").select("host", "branch", F.lit(None).cast("long").alias("what")).unionByName(shared.select("host", "branch", "what"))
+
+
+def _by_branch(pairs) -> dict:
+    """``Page.text``'s ``remove`` of (branch, what) pairs."""
+    remove: dict = {}
+    for name, what in pairs:
+        remove[name] = None if what is None else {*remove.get(name, ()), what}
+    return remove
+
+
 def extract(pages: DataFrame, least: float = LEAST, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(page_id, url, text) of every page."""
     ship_code(pages.sparkSession)
-    low = materialize(importances(observe(pages)).filter(F.col("importance") < least).select("host", "branch"), "low-branches")
+    low = materialize(removals(observe(pages), least), "removals")
     held = _input(pages)
-    size = low.agg(F.sum(F.length("host") + F.length("branch") + 32)).first()[0] or 0
+    size = low.agg(F.sum(F.length("host") + F.length("branch") + 40)).first()[0] or 0
     kept = [held.schema["page_id"], held.schema["url"]]
     schema = T.StructType([*kept, T.StructField("text", T.StringType())])
     if size <= broadcast_bytes:
-        remove: dict[str, set] = {}
+        found: dict[str, list] = {}
         for r in low.collect():
-            remove.setdefault(r["host"], set()).add(r["branch"])
-        shared = pages.sparkSession.sparkContext.broadcast(remove)
+            found.setdefault(r["host"], []).append((r["branch"], r["what"]))
+        shared = pages.sparkSession.sparkContext.broadcast({host: _by_branch(pairs) for host, pairs in found.items()})
 
         def run(batches):
             for b in slices(batches, 128):
-                text = [Page(h).text(shared.value.get(host, frozenset())) for host, h in zip(b["host"].to_pylist(), b["html"].to_pylist())]
+                text = [Page(h).text(shared.value.get(host)) for host, h in zip(b["host"].to_pylist(), b["html"].to_pylist())]
                 yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(text, pa.string())], names=schema.names)
 
         return held.mapInArrow(run, schema)
@@ -329,16 +390,16 @@ def _extract_joined(held: DataFrame, low: DataFrame, schema: T.StructType) -> Da
             branches = []
             for h in b["html"].to_pylist():
                 page = Page(h)
-                branches.append([] if page.region() else sorted({x[0] for x in page.blocks}))
+                branches.append(sorted({branch(x[0], x[3]) for x in page.blocks}))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(range(row, row + b.num_rows), pa.int64()), pa.array(branches, pa.list_(pa.string()))], names=kind.names)
             row += b.num_rows
 
     listed = materialize(held.mapInArrow(list_branches, kind), "page-branches")
-    own = listed.select("row", "host", F.explode("branches").alias("branch")).join(low, ["host", "branch"]).groupBy("row").agg(F.collect_list("branch").alias("remove"))
+    own = listed.select("row", "host", F.explode("branches").alias("branch")).join(low, ["host", "branch"]).groupBy("row").agg(F.collect_list(F.struct("branch", "what")).alias("remove"))
 
     def run(batches):
         for b in slices(batches, 128):
-            text = [Page(h).text(frozenset(r or ())) for h, r in zip(b["html"].to_pylist(), b["remove"].to_pylist())]
+            text = [Page(h).text(_by_branch((x["branch"], x["what"]) for x in r or ())) for h, r in zip(b["html"].to_pylist(), b["remove"].to_pylist())]
             yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(text, pa.string())], names=schema.names)
 
     return listed.drop("branches").join(own, "row", "left").mapInArrow(run, schema)

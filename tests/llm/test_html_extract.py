@@ -130,3 +130,33 @@ WRAPPED = [
 @pytest.mark.parametrize("html, text", WRAPPED)
 def test_wrappers_take_no_article_away(html, text):
     assert H.Page(html).text() == text
+
+
+def noticed():
+    """Articles with a site-wide notice under a neutral class, a shared title on some, and copies of one article."""
+    rows, want = [], {}
+    for k in range(12):
+        title = "Weather" if k < 4 else f"Title {k}"
+        rows.append((k, "http://news.example/a", f"<article><h1>{title}</h1><p>text {k}</p><p>more {k}</p><div class='box'><p>Read this site on paper</p></div></article><div>foot</div>"))
+        want[k] = f"{title}\ntext {k}\nmore {k}"
+    rows.append((20, "http://news.example/b", "<article><div class='box'><p>Read this site on paper</p></div></article>"))  # nothing else: stays
+    rows.append((21, "http://news.example/b", "<article><h1>T</h1><div class='box'><p>a text of its own</p></div></article>"))
+    want |= {20: "Read this site on paper", 21: "T\na text of its own"}
+    for k in range(30, 42):  # copies say nothing about a site
+        rows.append((k, "http://copies.example/", "<article><h1>One</h1><p>same text</p></article>"))
+        want[k] = "One\nsame text"
+    for k in range(50, 53):  # too few different articles
+        rows.append((k, "http://few.example/", f"<article><h1>Same</h1><p>text {k}</p></article>"))
+        want[k] = f"Same\ntext {k}"
+    return rows, want
+
+
+def test_site_tree_decides_inside_articles(spark):
+    rows, want = noticed()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for options in ({}, {"broadcast_bytes": -1}):
+        assert {r["page_id"]: r["text"] for r in H.extract(df, **options).collect()} == want
+    twice = H.extract(df.union(df)).collect()  # repeated rows are no more articles
+    assert len(twice) == 2 * len(rows) and {r["page_id"]: r["text"] for r in twice} == want
+    found = {(r["host"], r["branch"]) for r in H.removals(H.observe(df)).collect()}
+    assert ("news.example", "article:/article/div.box/p") in found and ("news.example", "/div") in found

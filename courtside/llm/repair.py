@@ -96,12 +96,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, round
         at = np.flatnonzero((rule >= 0) & within)
         at = at[chosen[rule[at]] == code[at]]
         start = np.concatenate([[True], np.diff(at) > 1])
-        since = np.arange(len(at)) - np.flatnonzero(start)[np.cumsum(start) - 1]
-        at = at[since % 2 == 0]
-        used, number = np.unique(rule[at], return_inverse=True)
+        if not start.all():
+            since = np.arange(len(at)) - np.flatnonzero(start)[np.cumsum(start) - 1]
+            at = at[since % 2 == 0]
+        hit = rule[at]
+        used = np.flatnonzero(np.bincount(hit, minlength=len(chosen)))
+        number = np.zeros(len(chosen), seq.dtype)
+        number[used] = np.arange(base + made, base + made + len(used))
         pairs = chosen[used].astype(np.uint64)
         rules.append(np.stack([pairs >> np.uint64(shift), pairs & np.uint64((1 << shift) - 1)], axis=1).astype(np.uint32))
-        seq[at] = (base + made + number).astype(seq.dtype)
+        seq[at] = number[hit]
         last[at] |= last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False

@@ -1,17 +1,19 @@
 """Token ids of whole texts with the tokenizers library, each distinct chunk encoded once.
 
 A tokenizer whose splitting rule drops white space gives the ids of a text as
-the ids of its space-separated chunks in turn.  For such a tokenizer each
-distinct chunk of many texts goes through the library once and a bounded
-store per Python worker keeps its ids, found again by 64-bit hashes; any
-other tokenizer encodes each text whole.  Both ways return the library's own
-ids.
+the ids of its space-separated chunks in turn, and those of a chunk as the ids of
+its runs of letters and of other characters.  For such a tokenizer each
+distinct run of many texts goes through the library once and a bounded store
+per Python worker keeps its ids, found again by 64-bit hashes; any other
+tokenizer encodes each text whole.  Both ways return the library's own ids.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from codecs import charmap_decode
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -30,8 +32,13 @@ LONG_CHUNK = 256
 SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _CHUNKS = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c in b"\t\n\r" else c for c in range(256))
-_STOPS = np.array([c in b".," for c in range(256)])
-_LETTERS = np.array([0x61 <= c <= 0x7A for c in range(256)])
+# A byte may stand before (after) the split of a letter and a sign, or of a sign and a letter.
+_LETTER_SIGN, _SIGN_LETTER = 1, 2
+_SIGNS = [0x21 <= c <= 0x7E and not chr(c).isalpha() for c in range(256)]
+_BEFORE = np.array([_LETTER_SIGN * (0x61 <= c <= 0x7A) | _SIGN_LETTER * (_SIGNS[c] and c != 0x27) for c in range(256)], np.uint8)
+_AFTER = np.array([_SIGN_LETTER * (0x61 <= c <= 0x7A) | _LETTER_SIGN * _SIGNS[c] for c in range(256)], np.uint8)
+# Pairs with a first byte of the two-byte letters up to U+017F that are no letters, or more than one when lower-cased or composed.
+_NO_LETTERS = (0xC397, 0xC3B7, 0xC4B0, 0xC589)
 
 # Letters beyond these may be composed, split or lower-cased in ways of their own.
 _OTHER = re.compile("[^a-zA-Z\u00c0-\u012f\u0131-\u0148\u014a-\u017e]")
@@ -53,7 +60,8 @@ class Encoder:
         self.by_chunk &= all(len(ids) == 1 for _, ids in self.marks)
         # the byte-level alphabet: printable Latin-1 stands for itself, other bytes for letters from U+0100 on
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        self.letters = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
+        letters = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in plain)}
+        self.letters = "".join(chr(letters.get(b, b)) for b in range(256))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -68,9 +76,10 @@ class Encoder:
         out, rest = {}, []
         tokenize = self.tokenizer.model.tokenize
         for c in chunks:
-            word = c.decode()
-            if word.isalpha() and (c.isascii() or not _OTHER.search(word)):  # one word as the splitting rule has it
-                out[c] = [t.id for t in tokenize(word if c.isascii() else self._as_letters(word.lower()))]
+            if c.isalpha():  # one word as the splitting rule has it; of bytes these are the letters A to Z
+                out[c] = [t.id for t in tokenize(c.decode())]
+            elif (word := c.decode()).isalpha() and not _OTHER.search(word):
+                out[c] = [t.id for t in tokenize(charmap_decode(word.lower().encode(), "strict", self.letters)[0])]
             else:
                 rest.append(c)
         for mark, (mark_id,) in self.marks:
@@ -85,18 +94,15 @@ class Encoder:
                 break
         return out | {c: self._ids(c.decode()) for c in rest}
 
-    def _as_letters(self, word: str) -> str:
-        return word.encode().decode("latin-1").translate(self.letters)
-
     def _learn(self, keys: np.ndarray, chunks: list[bytes]) -> None:
         """Add chunks with their hashes (sorted, not known yet)."""
         found = self._library(list(set(chunks)))
         ids = [found[c] for c in chunks]
-        size = np.array([len(x) for x in ids], np.int64)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
         need = self.used + int(size.sum())
         if need > len(self.store):
             self.store = np.concatenate([self.store[:self.used], np.zeros(2 * need - self.used, np.uint32)])
-        self.store[self.used:need] = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
+        self.store[self.used:need] = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
         where = np.searchsorted(self.keys, keys)
         self.at = np.insert(self.at, where, self.used + np.cumsum(size) - size)
         self.size = np.insert(self.size, where, size)
@@ -107,9 +113,14 @@ class Encoder:
         raw = b" ".join(texts).translate(_CHUNKS)
         t = np.frombuffer(raw, np.uint8)
         space = np.concatenate([[True], t == 0x20, [True]])
-        # a full stop or comma after a letter at a chunk's end is a chunk of its own
+        # Between a letter and a sign or digit the splitting rule always splits (after a quote mark a clitic may go on): chunks end there too.
+        # No part of it is a combining mark, so both sides are normalised apart.
+        before, after = _BEFORE[t], _AFTER[t]
+        at = np.flatnonzero((t >= 0xC3) & (t <= 0xC5))
+        at = at[~np.isin(t[at].astype(np.int32) << 8 | t[at + 1], _NO_LETTERS)]
+        before[at + 1], after[at] = _LETTER_SIGN, _SIGN_LETTER
         stop = np.zeros(len(space), bool)
-        stop[2:-1] = _STOPS[t[1:]] & space[3:] & _LETTERS[t[:-1]]
+        stop[2:-1] = before[:-1] & after[1:]
         start = np.flatnonzero(~space[1:-1] & (space[:-2] | stop[1:-1]))
         end = np.flatnonzero(~space[1:-1] & (space[2:] | stop[2:])) + 1
         keys = stretch_hashes(t, start, end)

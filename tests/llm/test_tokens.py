@@ -154,3 +154,17 @@ def test_little_padding(spark):
 @pytest.mark.parametrize("n", [0, 1, 4095, 4096, 4097])
 def test_cut_edges(n):
     assert sum(x for _, x in K.cuts(n)) == n
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "é", "İ", "ŉ", "×", "÷", "ß", "à", "í", "ż", "Ž", "'", "’", ".", "***", "re", "s", "1", "=", "<", "\x7f", " ", "ñ", "\u0338", "ё"]), max_size=25).map("".join))
+def test_runs_of_letters_and_signs_equal_whole_texts(text):
+    assert np.frombuffer(encoder(PATH).encode([text.encode()])[0], "<u4").tolist() == library(text)
+
+
+def test_words_with_signs_are_learned_once():
+    own = Encoder(PATH)
+    own.encode(["señor señor. señor,,, ¿señor? (señor) señor's".encode()])
+    known = len(own.keys)
+    own.encode(["(señor señor. señor,,, (señor,,, 's".encode()])
+    assert len(own.keys) == known

@@ -19,6 +19,20 @@ TABLES = (
 )
 
 
+#: Input rows per task of a step that sorts or expands them, whatever the size of the tables.
+TASK_ROWS = 1 << 18
+
+
+def row_bounded(df: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """Partitions that give a task about ``task_rows`` rows of ``df``, and each core one.
+
+    For scans: their row count comes from the file footers.  As a fixed number
+    of ``repartition`` it is not merged by adaptive execution, which fills a
+    task by shuffled bytes: a multiple of them once rows are sorted or expanded.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // task_rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read ``<sf_dir>/<name>.parquet``; keep only ``columns`` when given."""
     if name not in TABLES:

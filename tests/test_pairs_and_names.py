@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from courtside.operators.h2h import all_pairs_by_game, all_pairs_head_to_head, head_to_head, head_to_head_by_game
 from courtside.operators.lastn import rollup_summary
 from courtside.operators.lookup import name_index, name_tokens, search_names
+from courtside.plans.boxscore import all_pairs_h2h_by_game
+from courtside.sources.tables import row_bounded
+from tests.conftest import SF_SMALL
 
 GAMES = "side string, opponent string, season int, day int, points long, label string"
 
@@ -58,6 +61,23 @@ def test_by_game_equals_the_single_pair_query(spark):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_pairs_expand_in_bounded_partitions(spark):
+    rnd = random.Random(4)
+    rows = [(g, s, 2000 + g % 3, g // 4, rnd.randint(0, 50)) for g in range(200) for s in rnd.sample("ABCDE", 3)]
+    games = spark.createDataFrame(rows, "game long, side string, season int, day int, points long")
+    plain, bounded = (all_pairs_by_game(games, "side", "game", "season", "day", "points", partitions=p) for p in (None, 9))
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("explode(slice"):]  # one shuffle, by game, and its number stays
+    assert below.count("Exchange hashpartitioning") == 1 and ", 9), REPARTITION_BY_NUM" in below
+    assert sorted(map(tuple, bounded.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_partitions_grow_with_the_rows(spark):
+    assert [row_bounded(spark.range(n), 10) for n in (0, 35, 1000, 1001)] == [spark.sparkContext.defaultParallelism] * 2 + [100, 101]
+    plan = all_pairs_h2h_by_game(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_no_games(spark):
     games = spark.createDataFrame([], GAMES)
     assert all_pairs_head_to_head(games, "side", "opponent", "season", [F.col("day").desc()], "points", "label").collect() == []

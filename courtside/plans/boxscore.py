@@ -74,7 +74,8 @@ def _last_box_scores(spark: SparkSession, sf_dir: str, n: int, cust_key=None) ->
     The limit is taken on the games; only their lines are read on, reduced to
     one row per game before they join back.  A game without lines has no box
     score: it uses up its place and shows no row.  ``cust_key`` (a Column,
-    e.g. a scalar subquery) restricts the games to one player first.
+    e.g. a scalar subquery) restricts the games to one player first.  For all
+    players, lines and games meet in partitions of a bounded number of lines.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag")
     # A game without a player key belongs to no one.
@@ -83,6 +84,9 @@ def _last_box_scores(spark: SparkSession, sf_dir: str, n: int, cust_key=None) ->
     if cust_key is not None:
         orders = orders.where(F.col("o_custkey") == cust_key)
     games = last_n(orders, ["o_custkey"], recent_first(), n, rn_col="seq")
+    if cust_key is None:
+        parts = row_bounded(li)
+        li, games = li.repartition(parts, "l_orderkey"), games.repartition(parts, "o_orderkey")
     per_order = li.join(games.select("o_orderkey"), li.l_orderkey == games.o_orderkey, "left_semi") \
         .groupBy("l_orderkey").agg(
             F.sum("l_quantity").cast("int").alias("points"),

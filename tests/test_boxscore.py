@@ -233,6 +233,13 @@ def test_a_game_without_lines_uses_up_its_place(spark, tmp_path):
     assert plan.index("Join") < plan.index("WindowGroupLimit") if "WindowGroupLimit" in plan else True
 
 
+def test_lines_meet_games_in_bounded_partitions(spark):
+    from courtside.plans.boxscore import last10_avg_with_summary, player_report
+    from tests.conftest import SF_SMALL
+    plans = [q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString() for q in (last10_avg_with_summary, player_report)]
+    assert ["REPARTITION_BY_NUM" in p for p in plans] == [True, False]
+
+
 def test_games_with_one_label_stay_apart(spark):
     rows = spark.createDataFrame([("p", "g", 10), ("p", "g", 20)], "player string, game string, pts int")
     means = rows.groupBy("player").agg(F.avg("pts").alias("pts"))

@@ -129,11 +129,11 @@ def inverted_index(postings: DataFrame, k: int = 15, block: int = DEFAULT_BLOCK)
     """Top-k terms with their posting strings, in frequency order (B2).
 
     The top-k list is computed once and broadcast (k rows); the strings
-    branch reads the same postings columns as the ranking branch, so Spark
-    reuses the postings shuffle instead of tokenizing the corpus twice.
+    branch reads the same postings columns as the ranking branch, whichever
+    of its own a caller keeps, so Spark reuses the postings shuffle instead
+    of tokenizing the corpus twice.
     """
-    top = top_terms(postings, k)
-    ranked = postings.join(F.broadcast(top.select("term", "rank")), "term")
+    ranked = top_postings(postings, top_terms(postings, k))
     strings = posting_strings(ranked, block, keys=("term", "rank"))
     return strings.select("rank", F.col("term").alias("word"), "block", "document_ids", "n_docs",
                           "occurrences", "first_doc", "first_pos")

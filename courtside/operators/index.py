@@ -79,11 +79,17 @@ def term_postings(docs: DataFrame, id_col: str = "doc_id", text: Column | str =
 
 
 def term_frequency(postings: DataFrame) -> DataFrame:
-    """``term, n, n_docs, first``: corpus count and first encounter."""
-    return postings.groupBy("term").agg(
+    """``term, n, n_docs, first``: corpus count and first encounter.
+
+    A term has one row per document, so the least document's position is the
+    first; both are numbers, which a hash aggregate holds (the least struct
+    would sort all postings).
+    """
+    found = postings.groupBy("term").agg(
         F.sum("tf").alias("n"),
         F.count(F.lit(1)).alias("n_docs"),
-        F.min(F.struct("doc_id", "first_pos")).alias("first"))
+        F.min("doc_id").alias("doc_id"), F.min_by("first_pos", "doc_id").alias("first_pos"))
+    return found.select("term", "n", "n_docs", F.struct("doc_id", "first_pos").alias("first"))
 
 
 def top_terms(postings: DataFrame, k: int = 15) -> DataFrame:

@@ -29,15 +29,15 @@ from courtside.sources.params import stop_words
 DEFAULT_BLOCK = 1_000_000
 
 
-def tokens(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text") -> DataFrame:
-    """``doc_id, pos, term``: one row per raw token, document order.
+def tokens(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text", kept: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, pos, term``: one row per raw token, document order (C3, C4); before them the ``kept`` columns.
 
     A document without an id cannot be indexed.  Filtering it here also makes
     every branch that reads the tokens start from the same scan predicate, so
     their shared shuffles stay reusable even when a later join infers it.
     """
     return (docs.where(F.col(id_col).isNotNull())
-                .select(F.col(id_col).alias("doc_id"),
+                .select(*kept, F.col(id_col).alias("doc_id"),
                         F.posexplode(word_tokens(text)).alias("pos", "term")))
 
 
@@ -57,16 +57,19 @@ def term_filter(term: Column | str = "term", profile: str = "v2") -> Column:
 
 
 def term_postings(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text",
-                  profile: str = "v2", stemmed: bool = False) -> DataFrame:
+                  profile: str = "v2", stemmed: bool = False, kept: tuple[str, ...] = ()) -> DataFrame:
     """Long postings ``term, doc_id, tf, first_pos`` after filtering (and stemming).
 
+    ``kept`` columns, which must follow from the document's id, come before
+    them; documents dealt by such a column are counted without a shuffle.
+
     Stemming runs on the distinct vocabulary only and is joined back (C9): the
     vocabulary is far smaller than the token stream.  The vocabulary -> stem
     dictionary is written once with a reliable ``checkpoint()``; the main plan
     then joins a plain table instead of carrying the long rule chain.
     """
-    toks = tokens(docs, id_col, text).where(term_filter("term", profile))
-    per_doc = toks.groupBy("term", "doc_id").agg(
+    toks = tokens(docs, id_col, text, kept).where(term_filter("term", profile))
+    per_doc = toks.groupBy(*kept, "term", "doc_id").agg(
         F.count(F.lit(1)).alias("tf"), F.min("pos").alias("first_pos"))
     if not stemmed:
         return per_doc
@@ -74,7 +77,7 @@ def term_postings(docs: DataFrame, id_col: str = "doc_id", text: Column | str =
     ensure_checkpoint_dir(docs.sparkSession)
     stems = stem_terms(vocab, "term", "stem").checkpoint(eager=True)
     return (per_doc.join(stems, "term")
-                   .groupBy(F.col("stem").alias("term"), "doc_id")
+                   .groupBy(*kept, F.col("stem").alias("term"), "doc_id")
                    .agg(F.sum("tf").alias("tf"), F.min("first_pos").alias("first_pos")))
 
 

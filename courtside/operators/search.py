@@ -4,11 +4,16 @@ The score of a document for a query is the sum of ``(1 + log10 tf) * idf`` over
 the query's distinct terms, as ``tfidf`` defines it.  Scoring every posting of
 every query term is what this module avoids:
 
+* ``by_range`` deals the documents by document range before they are read, so
+  one shuffle of the texts is all that an index needs: a range's postings are
+  counted, cut into blocks and written where its documents are.
 * ``impact_blocks`` cuts each term's postings by impact tier (term frequency,
   then powers of two of it) and document range.  A block knows the least and
   greatest frequency in it, so its impact bounds are known from a narrow scan
   that leaves the postings column unread.  A block holds at most
   ``docs_per_block`` postings, also of a term that occurs in every document.
+* A search reads the blocks of the terms that are asked for; no step moves the
+  others.
 * Per query a threshold, below which no document can be among the first
   ``k``, comes from block counts alone (a term's ``k``-th impact) and from
   scoring the document ranges with the highest bounds.
@@ -50,25 +55,42 @@ def tier(tf: Column) -> Column:
     return F.when(tf <= EXACT_TIERS, tf).otherwise(EXACT_TIERS + 1 + F.floor(F.log2(tf / F.lit(EXACT_TIERS + 1)))).cast("int")
 
 
+def document_range(doc_id: Column, docs_per_block: int = DOCS_PER_BLOCK) -> Column:
+    """The range of ``docs_per_block`` ids that a document falls in."""
+    return F.floor(doc_id / F.lit(docs_per_block)).cast("long")
+
+
+def by_range(docs: DataFrame, id_col: str = "doc_id", docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
+    """``docs`` with their ``range``, those of one range together; the ones without an id, which no index holds, stay out."""
+    return docs.where(F.col(id_col).isNotNull()).withColumn("range", document_range(F.col(id_col), docs_per_block)).repartition("range")
+
+
 def impact_blocks(postings: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """``term, tier, range, min_tf, max_tf, n, postings`` of ``term, doc_id, tf`` rows.
 
-    ``postings`` are ``(doc_id, tf)`` by document within a block.
+    ``postings`` are ``(doc_id, tf)`` by document within a block.  Rows that
+    come with the ``range`` of ``by_range`` are grouped where they are.
     """
-    span = F.floor(F.col("doc_id") / F.lit(docs_per_block)).cast("long")
+    span = F.col("range") if "range" in postings.columns else document_range(F.col("doc_id"), docs_per_block)
     return postings.groupBy("term", tier(F.col("tf")).alias("tier"), span.alias("range")).agg(
         F.min("tf").alias("min_tf"), F.max("tf").alias("max_tf"), F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
 
 
 def write_impact_index(blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The blocks sorted by term, best impacts first; a frequent term spreads over several files by range."""
-    blocks.repartitionByRange("term", "range").sortWithinPartitions("term", F.desc("tier"), "range").write.mode(mode).parquet(path)
+    """The blocks by whole ranges, within a file sorted by term, best impacts first; a frequent term spreads over the files."""
+    blocks.repartition("range").sortWithinPartitions("term", F.desc("tier"), "range").write.mode(mode).parquet(path)
+
+
+def _asked(index: DataFrame, queries: DataFrame) -> DataFrame:
+    """The index's blocks of the queries' terms."""
+    return index.join(queries.select("term").distinct(), "term", "left_semi")
 
 
 def _bounds(index: DataFrame, queries: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks of the queries' terms with impact bounds, and the terms' idf; the postings are not read."""
-    meta = index.select("term", "tier", "range", "min_tf", "max_tf", "n").join(queries.select("term").distinct(), "term", "left_semi")
+    """Blocks of the queries' terms with impact bounds, and the terms' idf; the postings are not read, the rest once."""
+    ensure_checkpoint_dir(index.sparkSession)
+    meta = _asked(index.select("term", "tier", "range", "min_tf", "max_tf", "n"), queries).checkpoint()
     idf = meta.groupBy("term").agg(F.log10(F.lit(float(n_docs)) / F.sum("n")).alias("idf"))
     blocks = meta.join(idf, "term").select("term", "tier", "range", "n", (sublinear_tf(F.col("min_tf")) * F.col("idf")).alias("low"),
                                            (sublinear_tf(F.col("max_tf")) * F.col("idf")).alias("high"))
@@ -104,6 +126,7 @@ def block_plan(index: DataFrame, queries: DataFrame, n_docs: int, k: int, first_
     """
     q = queries.select("query_id", "term").distinct()
     blocks, idf = _bounds(index, q, n_docs)
+    index = _asked(index, q)
     per_query = q.join(blocks, "term").join(idf, "term")
     best = per_query.groupBy("query_id", "range", "term").agg(F.max("high").alias("top"))
     ranges = best.groupBy("query_id", "range").agg(F.sum("top").alias("most"))
@@ -132,6 +155,7 @@ def search_with_blocks(index: DataFrame, queries: DataFrame, n_docs: int, k: int
     """The result of ``search``, the block plan, and the rows of it that were read."""
     ensure_checkpoint_dir(index.sparkSession)
     plan = block_plan(index, queries, n_docs, k, first_ranges).checkpoint()
+    index = _asked(index, queries)
     needed = plan.where("needed")
     named = needed.where("naming")
     found = _sums(_impacts(index, named)).checkpoint()

@@ -12,7 +12,7 @@ from courtside.operators.compressed import compress, conjunction
 from courtside.operators.dictionary import dense_ids
 from courtside.operators.index import term_filter, term_postings, tokens
 from courtside.operators.matrix import all_term_weights, from_blocks, to_blocks
-from courtside.operators.search import impact_blocks, search, write_impact_index
+from courtside.operators.search import by_range, impact_blocks, search, write_impact_index
 from courtside.session import ensure_checkpoint_dir
 from courtside.sources.tables import pages, table, text_table
 
@@ -30,7 +30,8 @@ def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The impact index of ``documents``, written once below the shared checkpoint folder and read back."""
     path = _folder(spark)
-    write_impact_index(impact_blocks(_postings(spark, sf_dir)), path)
+    docs = by_range(table(spark, sf_dir, "documents", "doc_id", "text"))
+    write_impact_index(impact_blocks(term_postings(docs, kept=("range",))), path)
     return spark.read.parquet(path)
 
 

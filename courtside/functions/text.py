@@ -28,9 +28,14 @@ RE_TAG = RE_TAG_QUOTED + r"|<[A-Za-z/!?][^>]*>"
 # Script, style and template bodies go first: page scripts can hold a literal
 # "</p>" inside a string, which a plain tag pattern would cut in half.
 # Each ends at the close tag of its own kind, or with the page.
-RE_HIDDEN_BLOCKS = "(?is)" + "|".join(rf"<{t}\b.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "template"))
+HIDDEN_TAGS = ("script", "style", "template")
+RE_HIDDEN_BLOCKS = "(?is)" + "|".join(rf"<{t}\b.*?(?:</{t}\s*>|\z)" for t in HIDDEN_TAGS)
 RE_COMMENTS = r"(?s)<!--.*?(?:-->|\z)"
 RE_COMMENTS_AND_TAGS = rf"{RE_COMMENTS}|{RE_TAG}"
+# The same two for the JVM's matcher, with the "<" that every branch begins with
+# ahead of them: it then tries the branches at a "<" instead of at each character.
+JVM_HIDDEN_BLOCKS = "(?is)<(?:" + "|".join(rf"{t}\b.*?(?:</{t}\s*>|\z)" for t in HIDDEN_TAGS) + ")"
+JVM_COMMENTS_AND_TAGS = rf"(?s)<(?:!--.*?(?:-->|\z)|{RE_TAG_QUOTED[1:]}|[A-Za-z/!?][^>]*>)"
 RE_WHITESPACE_RUN = r"\s+"
 # A text-node boundary: tags are first replaced by this marker; whitespace
 # next to markers is the stripped end of a text node.
@@ -78,22 +83,27 @@ def html_to_text(html: Column | str) -> Column:
     """
     c = F.coalesce(_col(html), F.lit(""))
     c = F.replace(c, F.lit(NBSP_ENTITY[0]), F.lit(NBSP_ENTITY[1]))
-    c = F.regexp_replace(c, RE_HIDDEN_BLOCKS, NODE_MARK)
-    c = F.regexp_replace(c, RE_COMMENTS_AND_TAGS, NODE_MARK)
+    c = F.regexp_replace(c, JVM_HIDDEN_BLOCKS, NODE_MARK)
+    c = F.regexp_replace(c, JVM_COMMENTS_AND_TAGS, NODE_MARK)
     c = F.regexp_replace(c, RE_NODE_GAP, " ")
     c = F.regexp_replace(c, RE_OUTER_SPACE, "")
     return decode_entities(c)
 
 
+def without_markup(html: Column | str) -> Column:
+    """The page without hidden blocks, comments and tags; character references stay as written."""
+    c = F.coalesce(_col(html), F.lit(""))
+    return F.regexp_replace(F.regexp_replace(c, JVM_HIDDEN_BLOCKS, ""), JVM_COMMENTS_AND_TAGS, "")
+
+
 def html_raw_text(html: Column | str) -> Column:
     """Text nodes concatenated with no separator, whitespace kept.
 
-    ``<td>a</td><td>b</td>`` gives ``ab``.
+    ``<td>a</td><td>b</td>`` gives ``ab``.  Decoding uses its input more than
+    once: a large table takes ``without_markup`` in a projection of its own
+    and ``decode_entities`` of that column, so that tags are matched once.
     """
-    c = F.coalesce(_col(html), F.lit(""))
-    c = F.regexp_replace(c, RE_HIDDEN_BLOCKS, "")
-    c = F.regexp_replace(c, RE_COMMENTS_AND_TAGS, "")
-    return decode_entities(c)
+    return decode_entities(without_markup(html))
 
 
 # ---------------------------------------------------------------------------

@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 from courtside.operators.ranking import global_row_number
 
 
-def dense_ids(keys: DataFrame, key_col: str = "key", num_partitions: int | None = None) -> DataFrame:
+def dense_ids(keys: DataFrame, key_col: str = "key", num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
     """``key, id`` for the distinct non-null keys; ids count from 0 in key order.
 
     The numbered table is checkpointed, so every join below sees the same ids.
+    With a ``count_col`` it also holds under that name how many rows have the key.
     """
-    distinct = keys.select(F.col(key_col).alias("key")).where(F.col("key").isNotNull()).distinct()
-    return global_row_number(distinct, [F.col("key").asc()], "id", num_partitions).select("key", (F.col("id") - 1).alias("id"))
+    found = keys.select(F.col(key_col).alias("key")).where(F.col("key").isNotNull())
+    distinct = found.groupBy("key").agg(F.count(F.lit(1)).alias(count_col)) if count_col else found.distinct()
+    numbered = global_row_number(distinct, [F.col("key").asc()], "id", num_partitions)
+    return numbered.select("key", (F.col("id") - 1).alias("id"), *([count_col] if count_col else []))
 
 
 def encode(df: DataFrame, ids: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.functions.text import html_raw_text, whitespace_tokens
+from courtside.functions.text import decode_entities, whitespace_tokens, without_markup
 from courtside.operators.compressed import compress, conjunction
 from courtside.operators.dictionary import dense_ids
 from courtside.operators.index import term_filter, term_postings, tokens
@@ -59,15 +59,16 @@ def conjunctive_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _page_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The block matrix of TF-IDF weights of all terms of all pages, and the terms' dictionary."""
-    pg = pages(spark, sf_dir)
-    found = pg.select("page_id", F.explode(whitespace_tokens(F.lower(html_raw_text("html")))).alias("term"))
+    # Pages are dealt before they are read, so their terms are counted where they are.
+    pg = pages(spark, sf_dir).select("page_id", "html").repartition("page_id").select("page_id", without_markup("html").alias("raw"))
+    found = pg.select("page_id", F.explode(whitespace_tokens(F.lower(decode_entities(F.col("raw"))))).alias("term"))
     postings = found.groupBy("term", "page_id").agg(F.count(F.lit(1)).alias("n"))
     path = _folder(spark)
     postings.write.parquet(path)  # the dictionary and the weights both start here
     postings = spark.read.parquet(path)
-    ids = dense_ids(postings, "term")
+    ids = dense_ids(postings, "term", count_col="df")
     n_docs = table(spark, sf_dir, "pages", "page_id").count()
-    return to_blocks(all_term_weights(postings, n_docs), ids), ids
+    return to_blocks(all_term_weights(postings, n_docs, ids), ids), ids
 
 
 def tfidf_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """PPM against a direct implementation of its rules, broadcast and joined; the word model against plain counts."""
 
 import math
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -109,6 +111,49 @@ def test_scores(spark, monkeypatch, options):
         assert r["score"] == pytest.approx(plain.log10(t))
 
 
+@pytest.mark.parametrize("model_grams", [40, 400])
+def test_scores_with_the_frequent_strings_broadcast(spark, monkeypatch, model_grams):
+    for name, size in (("SEGMENT", 64), ("CHUNK", 100), ("BUCKET", 150)):
+        monkeypatch.setattr(P, name, size)
+    texts = [*corpus(), "held out: never seen 0123456789 \x7f" * 3] * 2
+    got = {r["doc_id"]: r["score"] for r in P.score_documents(documents(spark, texts), model_grams=model_grams).collect()}
+    plain = Plain([t for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 7 != 2], P.ORDER)
+    assert got == {k: pytest.approx(plain.log10(t)) for k, t in enumerate(texts)}
+
+
+def test_frequent_strings_are_the_most_frequent_at_most_so_many(spark):
+    n = [1, 1, 1, 2, 2, 3, 50, 1000, 1 << 40]
+    table = spark.createDataFrame(list(enumerate(n)), "key long, n long")
+    for most, least in ((9, 0), (8, 1), (6, 1), (5, 2), (4, 2), (0, 1 << 40), (-1, 1 << 40)):
+        often, others, occurrences = P.frequent(table, most)
+        rest = [x for x in n if x <= least]
+        assert sorted(r["n"] for r in table.filter(~often).collect()) == rest
+        assert (others, occurrences) == (len(rest), sum(rest))
+
+
+def test_scratch_tables_stay_below_the_texts(spark, monkeypatch):
+    """With one string too many for the broadcast table, not every string of every document goes to disk."""
+    rng = random.Random(9)
+    vocab = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 7))) for _ in range(1500)]
+    texts = [" ".join(rng.choices(vocab, k=150)) for _ in range(1500)]
+    df = documents(spark, texts)
+    n_grams = P.count_corpus(df).filter("kind = 0").count()
+    paths = []
+
+    def kept(df, name):
+        out = materialize(df, name)
+        paths.extend(urlparse(f).path for f in out.inputFiles())
+        return out
+
+    materialize = P.materialize
+    monkeypatch.setattr(P, "materialize", kept)
+    P.score_documents(df, model_grams=n_grams - 1).write.format("noop").mode("overwrite").save()
+    size = defaultdict(int)
+    for p in paths:
+        size[p.rsplit("/", 2)[-2].rpartition("-")[0]] += os.path.getsize(p)
+    assert size["document-rows"] < 0.5 * sum(map(len, texts)), dict(size)
+
+
 def test_held_out_text_is_likelier_than_noise(spark):
     rng = random.Random(8)
     vocab = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(300)]
